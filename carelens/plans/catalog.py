@@ -195,3 +195,7 @@ def patient_split_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     enc = base.encounters(spark, sf_dir).select("encounter_id", "patient_id")
     s = base.split_features(spark, sf_dir).select("encounter_id", "discharge_date", "split").join(enc, "encounter_id")
     return split.patient_split(s).select("encounter_id", "patient_id", "split")
+
+
+# Further families register themselves on import.
+from carelens.plans import catalog_eval  # noqa: E402,F401
