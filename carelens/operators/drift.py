@@ -129,9 +129,12 @@ def ks_two_sample(baseline: DataFrame, current: DataFrame, column: str, pvalue_t
     series = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
                          lambda acc, k: acc + F.lit(2.0) * F.pow(F.lit(-1.0), k - 1) * F.exp(F.lit(-2.0) * k * k * lam2))
     p = F.when(F.col("ks_statistic") == 0, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
+    # p is computed in its own projection: in a single select, the rounded output alias
+    # would shadow the unrounded statistic (lateral column alias resolution).
+    d = d.withColumn("_p", p)
     return d.select(F.col("n").alias("baseline_n"), F.col("m").alias("current_n"),
-                    F.round("ks_statistic", 4).alias("ks_statistic"), F.round(p, 6).alias("ks_pvalue"),
-                    (p < F.lit(float(pvalue_threshold))).alias("drift_detected"))
+                    F.round("ks_statistic", 4).alias("ks_statistic"), F.round("_p", 6).alias("ks_pvalue"),
+                    (F.col("_p") < F.lit(float(pvalue_threshold))).alias("drift_detected"))
 
 
 def ks_pvalue(d: float, n: int, m: int, terms: int = 100) -> float:
