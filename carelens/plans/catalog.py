@@ -200,3 +200,4 @@ def patient_split_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Further families register themselves on import.
 from carelens.plans import catalog_eval  # noqa: E402,F401
 from carelens.plans import catalog_monitor  # noqa: E402,F401
+from carelens.plans import catalog_store  # noqa: E402,F401
