@@ -101,8 +101,11 @@ def run_expectations(df: DataFrame, suite: list[Expectation] = ENCOUNTER_SUITE)
     Columns: idx, expectation, column, success, element_count, missing_count,
     unexpected_count, unexpected_percent (over non-missing rows; over all rows for
     not_null). Expectations on absent columns fail with NULL counts.
+
+    Plan: one aggregate row with every count (a single scan, partial aggregation per
+    task), the uniqueness count from a second grouped aggregate (one row), and an
+    ``inline`` of per-expectation structs to turn the row into the report.
     """
-    spark = df.sparkSession
     present = set(df.columns)
     aggs = [F.count(F.lit(1)).alias("n")]
     for i, e in enumerate(suite):
@@ -111,46 +114,36 @@ def run_expectations(df: DataFrame, suite: list[Expectation] = ENCOUNTER_SUITE)
             if e.kind != "unique":
                 aggs.append(F.count_if(_unexpected(e)).alias(f"u{i}"))
     totals = df.agg(*aggs)
-    parts = []
+    for i, e in enumerate(suite):
+        if e.kind == "unique" and e.column in present:
+            # Every member of a duplicated (non-NULL) key counts as unexpected.
+            dup = (df.where(F.col(e.column).isNotNull()).groupBy(e.column).count()
+                   .agg(F.coalesce(F.sum(F.when(F.col("count") > 1, F.col("count"))), F.lit(0)).alias(f"u{i}")))
+            totals = totals.crossJoin(dup)  # one-row tables
+    null_long = F.lit(None).cast("bigint")
+    rows = []
     for i, e in enumerate(suite):
         name = expectation_name(e)
         if e.kind == "columns_match_set":
             ok = set(e.value_set) <= present
-            parts.append(totals.select(
-                F.lit(i).alias("idx"), F.lit(name).alias("expectation"), F.lit(None).cast("string").alias("column"),
-                F.lit(ok).alias("success"), F.col("n").alias("element_count"),
-                F.lit(None).cast("bigint").alias("missing_count"),
-                F.lit(len(set(e.value_set) - present)).cast("bigint").alias("unexpected_count")))
-            continue
-        if e.column not in present:
-            parts.append(totals.select(
-                F.lit(i).alias("idx"), F.lit(name).alias("expectation"), F.lit(e.column).alias("column"),
-                F.lit(False).alias("success"), F.col("n").alias("element_count"),
-                F.lit(None).cast("bigint").alias("missing_count"), F.lit(None).cast("bigint").alias("unexpected_count")))
-            continue
-        if e.kind == "unique":
-            # Every member of a duplicated (non-NULL) key counts as unexpected.
-            dup = (df.where(F.col(e.column).isNotNull()).groupBy(e.column).count()
-                   .agg(F.coalesce(F.sum(F.when(F.col("count") > 1, F.col("count"))), F.lit(0)).alias("dups")))
-            unexpected = F.col("dups")
-            sub = totals.crossJoin(dup)
+            rows.append((i, name, None, F.lit(ok), null_long, F.lit(len(set(e.value_set) - present)).cast("bigint")))
+        elif e.column not in present:
+            rows.append((i, name, e.column, F.lit(False), null_long, null_long))
         else:
-            unexpected = F.col(f"u{i}")
-            sub = totals
-        missing = F.lit(0).cast("bigint") if e.kind == "not_null" else F.col(f"m{i}")
-        parts.append(sub.select(
-            F.lit(i).alias("idx"), F.lit(name).alias("expectation"), F.lit(e.column).alias("column"),
-            F.lit(None).cast("boolean").alias("success"), F.col("n").alias("element_count"),
-            missing.cast("bigint").alias("missing_count"), unexpected.cast("bigint").alias("unexpected_count")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+            miss = F.lit(0).cast("bigint") if e.kind == "not_null" else F.col(f"m{i}")
+            unexpected = F.col(f"m{i}") if e.kind == "not_null" else F.col(f"u{i}")
+            rows.append((i, name, e.column, F.lit(None).cast("boolean"), miss, unexpected))
+    structs = [F.struct(F.lit(i).alias("idx"), F.lit(name).alias("expectation"),
+                        F.lit(col).cast("string").alias("column"), ok.alias("success"),
+                        F.col("n").alias("element_count"), miss.cast("bigint").alias("missing_count"),
+                        unexp.cast("bigint").alias("unexpected_count"))
+               for i, name, col, ok, miss, unexp in rows]
+    out = totals.select(F.inline(F.array(*structs)))
     mostly = F.element_at(F.array(*[F.lit(float(e.mostly)) for e in suite]), F.col("idx") + 1)
     denom = F.col("element_count") - F.coalesce(F.col("missing_count"), F.lit(0))
     pct = F.when(denom > 0, F.col("unexpected_count") * 100.0 / denom).otherwise(F.lit(0.0))
     ok = F.coalesce(F.col("success"), F.when(denom > 0, (F.lit(1.0) - F.col("unexpected_count") / denom) >= mostly)
                     .otherwise(F.lit(True)))
-    del spark
     return out.select("idx", "expectation", "column", ok.alias("success"), "element_count", "missing_count",
                       "unexpected_count", F.round(pct, 6).alias("unexpected_percent"))
 
