@@ -64,11 +64,12 @@ def clean_raw_encounters(df: DataFrame, observation: Observation | None = None,
     return drop_null_label(coerce_dates(dedup_first(df, "encounter_id", order_by)), observation)
 
 
-def engineer_features(df: DataFrame, *, keep_ethnicity: bool = True) -> DataFrame:
+def engineer_features(df: DataFrame, *, keep_ethnicity: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     """Derived features in the fixed column order.
 
     ``discharge_date`` goes to position 1 when present; ``ethnicity`` is kept when asked
-    and present; the label is kept when present.
+    and present; the label is kept when present. ``carry`` columns (e.g. request
+    envelope ids) are appended unchanged.
     """
     derived = {
         "age_band": fx.age_band("age"),
@@ -84,6 +85,7 @@ def engineer_features(df: DataFrame, *, keep_ethnicity: bool = True) -> DataFram
         cols.append(LABEL_COLUMN)
     if "discharge_date" in df.columns:
         cols.insert(1, "discharge_date")
+    cols += [c for c in carry if c not in cols]
     return df.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in cols])
 
 
