@@ -1,0 +1 @@
+"""Structured Streaming jobs; each has a batch twin in ``carelens.operators``."""
