@@ -61,18 +61,21 @@ def linear_contributions(model: PipelineModel, df: DataFrame, train: DataFrame |
     return out.withColumn("base_value", F.lit(base))
 
 
-# The synthetic score's margin terms, 4 * weight * term (see functions.features).
+# The synthetic score's margin terms (feature, 4 * weight, term as SQL text
+# valid in Spark SQL and DuckDB alike; see functions.features.RISK_WEIGHTS).
+SYNTHETIC_TERMS = [
+    ("age", 4 * -0.18, "CAST(age < 18 AS DOUBLE)"),
+    ("admission_type", 4 * 0.09, "CAST(admission_type = 'Emergency' AS DOUBLE)"),
+    ("discharge_disposition", 4 * 0.09, "CAST(discharge_disposition = 'SNF' AS DOUBLE)"),
+    ("charlson_index", 4 * 0.45, "CAST(charlson_index AS DOUBLE) / CAST(10 AS DOUBLE)"),
+    ("prior_admissions_12mo", 4 * 0.63, "CAST(prior_admissions_12mo AS DOUBLE) / CAST(3 AS DOUBLE)"),
+    ("prior_ed_visits_12mo", 4 * 0.54, "CAST(prior_ed_visits_12mo AS DOUBLE) / CAST(4 AS DOUBLE)"),
+    ("num_medications", 4 * 0.18, "CAST(num_medications >= 5 AS DOUBLE)"),
+]
+
+
 def synthetic_terms() -> dict[str, Column]:
-    c = F.col
-    return {
-        "prior_admissions_12mo": F.lit(4 * 0.63) * (c("prior_admissions_12mo") / F.lit(3.0)),
-        "prior_ed_visits_12mo": F.lit(4 * 0.54) * (c("prior_ed_visits_12mo") / F.lit(4.0)),
-        "charlson_index": F.lit(4 * 0.45) * (c("charlson_index") / F.lit(10.0)),
-        "num_medications": F.lit(4 * 0.18) * (c("num_medications") >= 5).cast("double"),
-        "discharge_disposition": F.lit(4 * 0.09) * (c("discharge_disposition") == "SNF").cast("double"),
-        "admission_type": F.lit(4 * 0.09) * (c("admission_type") == "Emergency").cast("double"),
-        "age": F.lit(4 * -0.18) * (c("age") < 18).cast("double"),
-    }
+    return {f: F.lit(w) * F.expr(t) for f, w, t in SYNTHETIC_TERMS}
 
 
 def synthetic_contributions(df: DataFrame) -> DataFrame:
