@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelens.operators.split import with_class_weight
+from carelens.session import scratch_path
 from carelens.schemas import CATEGORICAL_COLUMNS, LABEL_COLUMN, MODEL_FEATURE_COLUMNS
 
 NUMERIC_FEATURES = [c for c in MODEL_FEATURE_COLUMNS if c not in CATEGORICAL_COLUMNS]
@@ -87,7 +88,13 @@ def train_model(train: DataFrame, val: DataFrame | None, spec: TrainSpec) -> Pip
         if spec.class_weight:
             v = v.withColumn("weight", F.lit(1.0))
         t = t.unionByName(v)
-    return build_pipeline(spec, early_stop).fit(t)
+    fitted = build_pipeline(spec, early_stop).fit(t)
+    # Reload from the shared folder: a freshly fitted linear model keeps its training
+    # summary, which references the session and makes scoring plans unserialisable once
+    # the session has used observations. The reloaded model is summary-free.
+    path = scratch_path(train.sparkSession, f"model-{spec.algorithm}")
+    fitted.write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def predict_proba(model: PipelineModel, df: DataFrame, prob_col: str = "y_prob") -> DataFrame:

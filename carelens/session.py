@@ -61,10 +61,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the shared checkpoint folder (reliable, survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "lineage-cut") -> DataFrame:
+    """Cut the lineage of ``df`` by writing it to the shared checkpoint folder.
+
+    A parquet table there (rather than ``df.checkpoint()``) keeps column pruning for the
+    readers and leaves no RDD scan in later plans; a lost executor recomputes from the
+    written files.
+    """
+    return materialize(df, name)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
