@@ -41,8 +41,9 @@ def model_input(df: DataFrame, label: bool = True) -> DataFrame:
 
 def encoder_stages(algorithm: str) -> tuple[list, list[str]]:
     """M1: indexers (+ one-hot for the linear model) and the assembled input columns."""
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep", stringOrderType="alphabetAsc")
-           for c in CATEGORICAL_COLUMNS]
+    # one multi-column indexer: a single pass over the data for all six vocabularies
+    idx = [StringIndexer(inputCols=CATEGORICAL_COLUMNS, outputCols=[f"{c}__idx" for c in CATEGORICAL_COLUMNS],
+                         handleInvalid="keep", stringOrderType="alphabetAsc")]
     if algorithm == "gbt":
         # native categorical splits: indexed columns carry nominal metadata
         return idx, NUMERIC_FEATURES + [f"{c}__idx" for c in CATEGORICAL_COLUMNS]

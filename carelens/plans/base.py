@@ -38,20 +38,27 @@ def _fingerprint(sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
-def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw encounters (22 columns), materialised once per session and input snapshot."""
-    key = (id(spark.sparkContext), _fingerprint(sf_dir))
+def _curated(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Materialise ``build()`` once per session and input snapshot (parquet in the shared
+    checkpoint folder) and return a scan of it."""
+    key = (id(spark.sparkContext), _fingerprint(sf_dir), name)
     path = _CACHE.get(key)
     if path is None:
-        path = scratch_path(spark, "curated-encounters")
-        raw_encounters(spark, sf_dir).write.mode("overwrite").parquet(path)
+        path = scratch_path(spark, f"curated-{name}")
+        build().write.mode("overwrite").parquet(path)
         _CACHE[key] = path
     return spark.read.parquet(path)
 
 
+def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw encounters (22 columns) derived from the driver tables (curated zone)."""
+    return _curated(spark, sf_dir, "encounters", lambda: raw_encounters(spark, sf_dir))
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned feature table (C3): dedup, dates, NULL labels dropped, P6 with ethnicity."""
-    return transform(encounters(spark, sf_dir))
+    """Cleaned feature table (C3): dedup, dates, NULL labels dropped, P6 with ethnicity
+    (curated zone, like the reference's feature table)."""
+    return _curated(spark, sf_dir, "features", lambda: transform(encounters(spark, sf_dir)))
 
 
 def scored(spark: SparkSession, sf_dir: str, threshold: float = 0.5) -> DataFrame:
@@ -63,8 +70,10 @@ def scored(spark: SparkSession, sf_dir: str, threshold: float = 0.5) -> DataFram
 
 
 def split_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature table with a ``split`` column (temporal 70/15/15)."""
-    return temporal_split(features(spark, sf_dir), 0.70, 0.15)
+    """Feature table with a ``split`` column (temporal 70/15/15), persisted once like the
+    reference's split tables (S5); readers filter on ``split``."""
+    return _curated(spark, sf_dir, "split-features",
+                    lambda: temporal_split(features(spark, sf_dir), 0.70, 0.15))
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,8 +81,10 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The split is the temporal split of all encounters; baseline = validation, current = test.
     """
-    enc = engineer_features(encounters(spark, sf_dir), keep_ethnicity=True)
-    sp = temporal_split(enc, 0.70, 0.15)
-    return sp.select("encounter_id", "discharge_date", "split",
-                     fx.synthetic_score().alias("readmission_probability"),
-                     F.col(LABEL_COLUMN).cast("int").alias(LABEL_COLUMN))
+    def build():
+        enc = engineer_features(encounters(spark, sf_dir), keep_ethnicity=True)
+        sp = temporal_split(enc, 0.70, 0.15)
+        return sp.select("encounter_id", "discharge_date", "split",
+                         fx.synthetic_score().alias("readmission_probability"),
+                         F.col(LABEL_COLUMN).cast("int").alias(LABEL_COLUMN))
+    return _curated(spark, sf_dir, "predictions", build)
