@@ -76,6 +76,46 @@ def psi_numeric(baseline: DataFrame, current: DataFrame, features: list[str], n_
             .select("feature", F.coalesce(F.col("psi"), F.lit(0.0)).alias("psi")))
 
 
+def psi_numeric_by_period(baseline: DataFrame, current: DataFrame, features: list[str], period: str,
+                          n_bins: int = 10, approx: bool = False) -> DataFrame:
+    """D1 per period of the current side (e.g. month): one fused job for every
+    (period, feature); edges from the whole baseline. Output: period, feature, psi."""
+    edges = quantile_edges(baseline, features, n_bins, approx)
+    inner = F.slice(F.col("edges"), 2, F.greatest(F.size("edges") - 2, F.lit(0)))
+    base_long = _long(baseline, "baseline", features, True).where(F.col("value").isNotNull())
+    cur_long = current.select(F.col(period).alias("_period"), F.lit("current").alias("side"),
+                              F.inline(F.array(*[F.struct(F.lit(f).alias("feature"),
+                                                          (F.col(f).cast("int") if dict(current.dtypes)[f] == "boolean"
+                                                           else F.col(f)).cast("double").alias("value"))
+                                                 for f in features]))).where(F.col("value").isNotNull())
+    binned_b = base_long.join(F.broadcast(edges), "feature").where(F.size("edges") >= 3) \
+        .select("feature", F.size(F.filter(inner, lambda e: e < F.col("value"))).alias("bin"))
+    binned_c = cur_long.join(F.broadcast(edges), "feature").where(F.size("edges") >= 3) \
+        .select("_period", "feature", F.size(F.filter(inner, lambda e: e < F.col("value"))).alias("bin"))
+    b = binned_b.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
+    c = binned_c.groupBy("_period", "feature", "bin").agg(F.count(F.lit(1)).alias("n"))
+    periods = c.select("_period").distinct()
+    # the baseline distribution is the same for every period: one small cross product of
+    # (periods x baseline bins), both bounded (calendar periods, <= 10 bins x features)
+    b_all = periods.crossJoin(F.broadcast(b)).withColumn("side", F.lit("baseline"))
+    counts = b_all.unionByName(c.withColumn("side", F.lit("current")))
+    psi = _psi(counts, ["_period", "feature", "bin"])
+    grid = periods.crossJoin(F.broadcast(edges.select("feature")))
+    return (grid.join(psi, ["_period", "feature"], "left")
+            .select(F.col("_period").alias(period), "feature", F.coalesce(F.col("psi"), F.lit(0.0)).alias("psi")))
+
+
+def drift_events_by_period(baseline: DataFrame, current: DataFrame, period: str, features: list[str],
+                           psi_threshold: float = 0.2) -> DataFrame:
+    """D4 over time: one 'DataDriftReport' event per period (timestamp = period start),
+    drift_detected when any feature's PSI exceeds the threshold."""
+    p = psi_numeric_by_period(baseline, current, features, period)
+    return p.groupBy(period).agg(F.max((F.col("psi") > psi_threshold).cast("int")).alias("_d"),
+                                 F.round(F.max("psi"), 6).alias("max_psi")).select(
+        F.col(period).cast("timestamp").alias("timestamp"), F.lit("DataDriftReport").alias("name"),
+        (F.col("_d") == 1).alias("drift_detected"), "max_psi")
+
+
 def psi_categorical(baseline: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:
     """PSI per categorical feature on value shares; NULL is its own category."""
     long = (_long(baseline, "baseline", features, False).unionByName(_long(current, "current", features, False))
@@ -137,6 +177,36 @@ def ks_two_sample(baseline: DataFrame, current: DataFrame, column: str, pvalue_t
                     (F.col("_p") < F.lit(float(pvalue_threshold))).alias("drift_detected"))
 
 
+def ks_by_period(baseline: DataFrame, current: DataFrame, column: str, period: str,
+                 pvalue_threshold: float = 0.01, terms: int = 100) -> DataFrame:
+    """D5 per period of the current side: baseline per-value counts are replicated to every
+    period (periods x distinct values, both bounded), then one window per period over its
+    per-value counts gives the CDF gap."""
+    from pyspark.sql.window import Window
+
+    b = baseline.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("score")) \
+        .agg(F.count(F.lit(1)).alias("pos"))
+    c = current.where(F.col(column).isNotNull()).groupBy(F.col(period).alias("_period"), F.col(column).alias("score")) \
+        .agg(F.count(F.lit(1)).alias("neg"))
+    periods = c.select("_period").distinct()
+    rows = (periods.crossJoin(b).withColumn("neg", F.lit(0).cast("bigint"))
+            .unionByName(c.withColumn("pos", F.lit(0).cast("bigint")))
+            .groupBy("_period", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
+    w = Window.partitionBy("_period").orderBy("score").rowsBetween(Window.unboundedPreceding, 0)
+    wt = Window.partitionBy("_period")
+    cum = rows.select("_period", F.sum("pos").over(w).alias("cp"), F.sum("neg").over(w).alias("cn"),
+                      F.sum("pos").over(wt).alias("n"), F.sum("neg").over(wt).alias("m"))
+    d = cum.groupBy("_period", "n", "m").agg(F.max(F.abs(F.col("cp") / F.col("n") - F.col("cn") / F.col("m")))
+                                             .alias("_d"))
+    lam2 = F.pow(F.col("_d"), 2) * F.col("n") * F.col("m") / (F.col("n") + F.col("m"))
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
+                         lambda acc, k: acc + F.lit(2.0) * F.pow(F.lit(-1.0), k - 1) * F.exp(F.lit(-2.0) * k * k * lam2))
+    d = d.withColumn("_p", F.when(F.col("_d") == 0, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0))))
+    return d.select(F.col("_period").alias(period), F.col("n").alias("baseline_n"), F.col("m").alias("current_n"),
+                    F.round("_d", 4).alias("ks_statistic"), F.round("_p", 6).alias("ks_pvalue"),
+                    (F.col("_p") < F.lit(float(pvalue_threshold))).alias("drift_detected"))
+
+
 def ks_pvalue(d: float, n: int, m: int, terms: int = 100) -> float:
     """Driver-side twin of the asymptotic p-value (used by tests)."""
     if d == 0:
@@ -152,7 +222,6 @@ def rolling_auc(current: DataFrame, prob: str = "readmission_probability", label
     n_labeled, roc_auc (rounded to 4; NULL when no labels or one class), below_threshold."""
     lab = current.where(F.col(label).isNotNull())
     if by:
-        from carelens.operators.evaluate import score_counts  # noqa: F401  (grouped form below)
         from pyspark.sql.window import Window
         sc = (lab.groupBy(*by, F.col(prob).alias("score"))
               .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")))
@@ -174,3 +243,14 @@ def model_drift(ks: DataFrame, auc: DataFrame) -> DataFrame:
     return ks.crossJoin(auc.select(F.col("n_labeled"), F.col("roc_auc").alias("rolling_roc_auc"),
                                    F.col("below_threshold"))).withColumn(
         "model_drift_detected", F.col("drift_detected") | F.coalesce(F.col("below_threshold"), F.lit(False)))
+
+
+def join_late_labels(scores: DataFrame, labels: DataFrame, horizon_days: int = 60) -> DataFrame:
+    """J8 (batch twin of the streaming interval join): scores (encounter_id, scored_ts, ...)
+    left-joined to labels (encounter_id, label_ts, readmitted_30d) that arrive within
+    [scored_ts, scored_ts + horizon]. An equi-join on the id with a range filter."""
+    s = scores.alias("s")
+    lab = labels.alias("l")
+    cond = (F.col("s.encounter_id") == F.col("l.encounter_id")) & (F.col("l.label_ts") >= F.col("s.scored_ts")) & \
+        (F.col("l.label_ts") <= F.col("s.scored_ts") + F.expr(f"INTERVAL {int(horizon_days)} DAYS"))
+    return s.join(lab, cond, "left").select("s.*", "l.label_ts", "l.readmitted_30d")

@@ -137,15 +137,21 @@ def alerts(requests: DataFrame, dependencies: DataFrame, drift_events: DataFrame
     l3 = (dep.groupBy(F.window("timestamp", "15 minutes", "5 minutes").alias("w"))
           .agg((F.lit(100.0) * F.count_if(F.col("success")) / F.count(F.lit(1))).alias("value"))
           .where(F.col("value") < 99.0).select(F.lit("EndpointAvailabilityDrop").alias("alert"), "w", "value"))
-    parts = [l1, l2, l3]
-    if drift_events is not None:
-        for alert, event in (("DataDriftDetected", "DataDriftReport"), ("ModelDriftDetected", "ModelDriftReport")):
-            parts.append(drift_events.where((F.col("name") == event) & F.col("drift_detected"))
-                         .groupBy(F.window("timestamp", "1 hour").alias("w"))
-                         .agg(F.count(F.lit(1)).cast("double").alias("value"))
-                         .where(F.col("value") > 0).select(F.lit(alert).alias("alert"), "w", "value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("alert", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                      F.round("value", 6).alias("value"))
+    out = l1.unionByName(l2).unionByName(l3).select(
+        "alert", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+        F.round("value", 6).alias("value"))
+    return out if drift_events is None else out.unionByName(drift_alerts(drift_events))
+
+
+def drift_alerts(drift_events: DataFrame) -> DataFrame:
+    """Hourly windows holding at least one flagged drift report event
+    (``drift_events``: timestamp, name, drift_detected)."""
+    parts = []
+    for alert, event in (("DataDriftDetected", "DataDriftReport"), ("ModelDriftDetected", "ModelDriftReport")):
+        parts.append(drift_events.where((F.col("name") == event) & F.col("drift_detected"))
+                     .groupBy(F.window("timestamp", "1 hour").alias("w"))
+                     .agg(F.count(F.lit(1)).cast("double").alias("value"))
+                     .where(F.col("value") > 0).select(F.lit(alert).alias("alert"), "w", "value"))
+    return parts[0].unionByName(parts[1]).select(
+        "alert", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+        F.round("value", 6).alias("value"))

@@ -258,3 +258,123 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1-L3: fired alert windows (p95 latency, 5xx rate, sliding availability)."""
     a = tm.alerts(src.requests(spark, sf_dir), src.dependencies(spark, sf_dir))
     return _ntz(_ntz(a, "window_start"), "window_end")
+
+
+# ---------------------------------------------------------------- drift over time
+
+def _month_sides(spark: SparkSession, sf_dir: str):
+    s = base.split_features(spark, sf_dir)
+    cur = s.where(F.col("split").isin("val", "test")).withColumn("month", F.trunc("discharge_date", "month"))
+    return s.where(F.col("split") == "train"), cur
+
+
+def _long_month_sql(cols: list[str]) -> str:
+    parts = []
+    for c in cols:
+        v = f"CAST(CAST({c} AS INTEGER) AS DOUBLE)" if c == "polypharmacy_flag" else f"CAST({c} AS DOUBLE)"
+        parts.append(f"SELECT CAST(date_trunc('month', discharge_date) AS DATE) AS month, '{c}' AS feature, "
+                     f"{v} AS value FROM sfeat WHERE split IN ('val', 'test')")
+    return " UNION ALL ".join(parts)
+
+
+def _psi_month_sql() -> str:
+    grid = ", ".join(f"CAST('{q!r}' AS DOUBLE)" for q in GRID)
+    inner = "len(list_filter(e.edges[2:len(e.edges) - 1], lambda x: x < l.value))"
+    return f"""
+, lb AS ({_long_sql(NUMERIC, 'DOUBLE')}),
+edges AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, [{grid}]))) AS edges
+          FROM lb WHERE side = 'baseline' AND value IS NOT NULL GROUP BY feature),
+lc AS ({_long_month_sql(NUMERIC)}),
+bb AS (SELECT l.feature, {inner} AS k, count(*) AS n FROM lb l JOIN edges e USING (feature)
+       WHERE l.side = 'baseline' AND l.value IS NOT NULL AND len(e.edges) >= 3 GROUP BY 1, 2),
+bc AS (SELECT l.month, l.feature, {inner} AS k, count(*) AS n FROM lc l JOIN edges e USING (feature)
+       WHERE l.value IS NOT NULL AND len(e.edges) >= 3 GROUP BY 1, 2, 3),
+periods AS (SELECT DISTINCT month FROM bc),
+cnt AS (SELECT p.month, bb.feature, bb.k, 'baseline' AS side, bb.n FROM periods p CROSS JOIN bb
+        UNION ALL SELECT month, feature, k, 'current', n FROM bc),
+props AS (SELECT *, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY month, feature, side) AS p FROM cnt),
+wide AS (SELECT month, feature, k, coalesce(sum(p) FILTER (WHERE side = 'baseline'), 0.0) AS b,
+                coalesce(sum(p) FILTER (WHERE side = 'current'), 0.0) AS c FROM props GROUP BY month, feature, k),
+psi AS (SELECT month, feature, sum((greatest(c, 0.0001) - greatest(b, 0.0001)) * ln(greatest(c, 0.0001) / greatest(b, 0.0001)))
+          AS psi FROM wide GROUP BY month, feature),
+mpsi AS (SELECT g.month, e.feature, coalesce(p.psi, 0.0) AS psi FROM periods g CROSS JOIN edges e
+         LEFT JOIN psi p ON p.month = g.month AND p.feature = e.feature)"""
+
+
+@register("drift_by_month", DRIFT_BASE + _psi_month_sql() + """
+SELECT month, feature, round(psi, 6) AS psi FROM mpsi""")
+def drift_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 over time: PSI of every numeric feature per discharge month after the training
+    period, against the training split (one fused job)."""
+    b, c = _month_sides(spark, sf_dir)
+    return dr.psi_numeric_by_period(b, c, NUMERIC, "month").withColumn("psi", F.round("psi", 6))
+
+
+KS_MONTH_SQL = """
+, kb AS (SELECT readmission_probability AS score, count(*) AS pos FROM pred WHERE split = 'val'
+         AND readmission_probability IS NOT NULL GROUP BY 1),
+kc AS (SELECT CAST(date_trunc('month', discharge_date) AS DATE) AS month, readmission_probability AS score,
+              count(*) AS neg FROM pred WHERE split = 'test' AND readmission_probability IS NOT NULL GROUP BY 1, 2),
+kper AS (SELECT DISTINCT month FROM kc),
+krows AS (SELECT month, score, sum(pos) AS pos, sum(neg) AS neg FROM (
+            SELECT p.month, kb.score, kb.pos, 0 AS neg FROM kper p CROSS JOIN kb
+            UNION ALL SELECT month, score, 0, neg FROM kc) GROUP BY month, score),
+kcum AS (SELECT month, sum(pos) OVER (PARTITION BY month ORDER BY score ROWS UNBOUNDED PRECEDING) AS cp,
+                sum(neg) OVER (PARTITION BY month ORDER BY score ROWS UNBOUNDED PRECEDING) AS cn,
+                sum(pos) OVER (PARTITION BY month) AS n, sum(neg) OVER (PARTITION BY month) AS m FROM krows),
+kd AS (SELECT month, n, m, max(abs(CAST(cp AS DOUBLE) / n - CAST(cn AS DOUBLE) / m)) AS d FROM kcum GROUP BY month, n, m),
+kp AS (SELECT *, CASE WHEN d = 0 THEN 1.0 ELSE least(greatest(list_sum(list_transform(range(1, 101),
+          lambda k: 2.0 * pow(-1.0, k - 1) * exp(-2.0 * k * k * (pow(d, 2) * n * m / (n + m))))), 0.0), 1.0) END AS p FROM kd),
+asc_ AS (SELECT CAST(date_trunc('month', discharge_date) AS DATE) AS month, readmission_probability AS score,
+                count_if(readmitted_30d = 1) AS pos, count_if(readmitted_30d <> 1) AS neg
+         FROM pred WHERE split = 'test' AND readmitted_30d IS NOT NULL GROUP BY 1, 2),
+acum AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY month ORDER BY score
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cneg FROM asc_),
+ra AS (SELECT month, sum(pos * (cneg + CAST(0.5 AS DOUBLE) * neg)) / nullif(CAST(sum(pos) AS DOUBLE) * sum(neg), 0) AS auc
+       FROM acum GROUP BY month)"""
+
+
+@register("drift_alerts", with_ctes(ENC, FEAT, SPLIT, ALLFEAT, PRED) + _psi_month_sql() + KS_MONTH_SQL + """
+, ev AS (SELECT CAST(month AS TIMESTAMP) AS ts, 'DataDriftReport' AS name, max(psi) > 0.2 AS flagged FROM mpsi GROUP BY month
+         UNION ALL
+         SELECT CAST(kp.month AS TIMESTAMP), 'ModelDriftReport', (kp.p < 0.01) OR coalesce(ra.auc < 0.7, false)
+         FROM kp LEFT JOIN ra USING (month))
+SELECT CASE name WHEN 'DataDriftReport' THEN 'DataDriftDetected' ELSE 'ModelDriftDetected' END AS alert,
+       time_bucket(INTERVAL '1 hour', ts) AS window_start, time_bucket(INTERVAL '1 hour', ts) + INTERVAL 1 HOUR AS window_end,
+       CAST(count(*) AS DOUBLE) AS value
+FROM ev WHERE flagged GROUP BY 1, 2""")
+def drift_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly data-drift (PSI) and model-drift (KS or rolling AUC) reports after the
+    training period become events; hourly windows with a flagged report fire."""
+    b, c = _month_sides(spark, sf_dir)
+    data_events = dr.drift_events_by_period(b, c, "month", NUMERIC).drop("max_psi")
+    p = base.predictions(spark, sf_dir)
+    test = p.where(F.col("split") == "test").withColumn("month", F.trunc("discharge_date", "month"))
+    ks = dr.ks_by_period(p.where(F.col("split") == "val"), test, "readmission_probability", "month")
+    auc = dr.rolling_auc(test, by=["month"])
+    model_events = ks.join(auc.select("month", "below_threshold"), "month", "left").select(
+        F.col("month").cast("timestamp").alias("timestamp"), F.lit("ModelDriftReport").alias("name"),
+        (F.col("drift_detected") | F.coalesce(F.col("below_threshold"), F.lit(False))).alias("drift_detected"))
+    a = tm.drift_alerts(data_events.unionByName(model_events))
+    return _ntz(_ntz(a, "window_start"), "window_end")
+
+
+@register("late_labels", with_ctes(ENC, ALLFEAT, PRED) + """
+, s AS (SELECT encounter_id, CAST(discharge_date AS TIMESTAMP) AS scored_ts, readmission_probability
+        FROM pred WHERE split = 'test'),
+l AS (SELECT encounter_id, CAST(discharge_date + 30 AS TIMESTAMP) AS label_ts, readmitted_30d FROM enc
+      WHERE readmitted_30d IS NOT NULL)
+SELECT s.encounter_id, s.scored_ts, s.readmission_probability, l.label_ts, l.readmitted_30d
+FROM s LEFT JOIN l ON s.encounter_id = l.encounter_id AND l.label_ts >= s.scored_ts
+  AND l.label_ts <= s.scored_ts + INTERVAL 60 DAY""")
+def late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test-period scores joined to labels that arrive (30 days after discharge) within
+    60 days of scoring; encounters whose label never arrives keep NULL."""
+    p = base.predictions(spark, sf_dir).where(F.col("split") == "test")
+    scores = p.select("encounter_id", F.col("discharge_date").cast("timestamp").alias("scored_ts"),
+                      "readmission_probability")
+    labels = base.encounters(spark, sf_dir).where(F.col("readmitted_30d").isNotNull()).select(
+        "encounter_id", F.date_add("discharge_date", 30).cast("timestamp").alias("label_ts"), "readmitted_30d")
+    out = dr.join_late_labels(scores, labels, 60)
+    return out.withColumn("scored_ts", F.col("scored_ts").cast("timestamp_ntz")) \
+        .withColumn("label_ts", F.col("label_ts").cast("timestamp_ntz"))
