@@ -133,3 +133,27 @@ def test_late_label_join(spark, tmp_path):
     _run(jobs.late_label_join(s, lab), "late_out")
     got = {(r.encounter_id, r.readmitted_30d) for r in spark.table("late_out").collect() if r.encounter_id != "Z"}
     assert got == {("E1", 1), ("E2", None), ("E3", None)}
+
+
+def test_streaming_scoring_matches_batch(spark, tmp_path):
+    """The batch scoring function applied to a request stream."""
+    from carelens.operators import model as md
+    from carelens.operators import scoring as sc
+    from carelens.schemas import REQUEST_SCHEMA
+    from tests.test_model import planted
+
+    feats = planted(spark, n=600)
+    model = md.train_model(feats, None, md.TrainSpec("logreg", {"maxIter": 20}))
+    requests = spark.createDataFrame([(f"R{i}", 20 + i % 60, "MF"[i % 2], "A", "Emergency", "SNF", i % 9, i % 4,
+                                       float(i % 7), i % 5, i % 3, i % 11, 25.0, 120.0, 100.0, 1.0)
+                                      for i in range(200)], REQUEST_SCHEMA)
+    requests.repartition(4).write.parquet(str(tmp_path / "req"))
+    stream = spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "req"))
+    out = sc.score(model, stream, "v1", explain=True, reference=feats)
+    _run(out.drop("response_id", "scored_at"), "score_out")
+    got = {(r.encounter_id, r.readmission_probability, r.risk_tier, tuple((f.feature, f.shap_value) for f in r.top_factors))
+           for r in spark.table("score_out").collect()}
+    batch = sc.score(model, requests, "v1", explain=True, reference=feats).collect()
+    exp = {(r.encounter_id, r.readmission_probability, r.risk_tier, tuple((f.feature, f.shap_value) for f in r.top_factors))
+           for r in batch}
+    assert got == exp and len(got) == 200
