@@ -39,16 +39,26 @@ def _long(df: DataFrame, side: str, features: list[str], numeric: bool) -> DataF
     return df.select(F.lit(side).alias("side"), F.inline(F.array(*vals)))
 
 
+def _term(c, b):
+    """One bin's PSI term with both shares clipped at EPSILON from below."""
+    c = F.greatest(c, F.lit(EPSILON))
+    b = F.greatest(b, F.lit(EPSILON))
+    return (c - b) * F.ln(c / b)
+
+
 def _psi(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """D3 over (keys..., side, n): proportions, union of bins (missing = 0), clip, sum."""
-    totals = counts.groupBy(*keys[:-1], "side").agg(F.sum("n").alias("_t"))
-    props = counts.join(totals, [*keys[:-1], "side"]).withColumn("_p", F.col("n") / F.col("_t"))
+    """D3 over (keys..., side, n): shares, union of bins (missing = 0), clip, sum.
+
+    ``counts`` is already aggregated (features x sides x bins rows), so the per-side
+    totals are a window over it rather than a second pass over the data.
+    """
+    from pyspark.sql.window import Window
+
+    props = counts.withColumn("_p", F.col("n") / F.sum("n").over(Window.partitionBy(*keys[:-1], "side")))
     wide = props.groupBy(*keys).agg(
         F.coalesce(F.sum(F.when(F.col("side") == "baseline", F.col("_p"))), F.lit(0.0)).alias("b"),
         F.coalesce(F.sum(F.when(F.col("side") == "current", F.col("_p"))), F.lit(0.0)).alias("c"))
-    b = F.greatest(F.col("b"), F.lit(EPSILON))
-    c = F.greatest(F.col("c"), F.lit(EPSILON))
-    return wide.groupBy(*keys[:-1]).agg(F.sum((c - b) * F.ln(c / b)).alias("psi"))
+    return wide.groupBy(*keys[:-1]).agg(F.sum(_term(F.col("c"), F.col("b"))).alias("psi"))
 
 
 def quantile_edges(baseline: DataFrame, features: list[str], n_bins: int = 10, approx: bool = False,
@@ -60,49 +70,58 @@ def quantile_edges(baseline: DataFrame, features: list[str], n_bins: int = 10, a
     return long.groupBy("feature").agg(F.array_distinct(F.array_sort(q)).alias("edges"))
 
 
+def _bin_col(edges_col: str = "edges") -> F.Column:
+    """Right-closed bin index over the inner edges; a feature with fewer than 3 distinct
+    edges puts every value in bin 0, which makes its PSI exactly 0."""
+    inner = F.slice(F.col(edges_col), 2, F.greatest(F.size(edges_col) - 2, F.lit(0)))
+    return F.when(F.size(edges_col) >= 3, F.size(F.filter(inner, lambda e: e < F.col("value")))).otherwise(F.lit(0))
+
+
 def psi_numeric(baseline: DataFrame, current: DataFrame, features: list[str], n_bins: int = 10,
                 approx: bool = False) -> DataFrame:
     """PSI per numeric feature; baseline deciles, outer edges +-inf, right-closed bins,
-    proportions over non-NULL values; fewer than 3 distinct edges -> 0."""
+    proportions over non-NULL values; fewer than 3 distinct edges -> 0.
+
+    Passes: the baseline once for the edges, then baseline and current once each for the
+    bin counts (edges broadcast: one row per feature)."""
     edges = quantile_edges(baseline, features, n_bins, approx)
-    inner = F.slice(F.col("edges"), 2, F.greatest(F.size("edges") - 2, F.lit(0)))
     long = (_long(baseline, "baseline", features, True).unionByName(_long(current, "current", features, True))
             .where(F.col("value").isNotNull()))
-    # edges: one row per feature, bounded by the feature list
-    binned = long.join(F.broadcast(edges), "feature").where(F.size("edges") >= 3).select(
-        "feature", "side", F.size(F.filter(inner, lambda e: e < F.col("value"))).alias("bin"))
-    psi = _psi(binned.groupBy("feature", "side", "bin").agg(F.count(F.lit(1)).alias("n")), ["feature", "bin"])
-    return (edges.select("feature").join(psi, "feature", "left")
-            .select("feature", F.coalesce(F.col("psi"), F.lit(0.0)).alias("psi")))
+    binned = long.join(F.broadcast(edges), "feature").select("feature", "side", _bin_col().alias("bin"))
+    return _psi(binned.groupBy("feature", "side", "bin").agg(F.count(F.lit(1)).alias("n")), ["feature", "bin"])
 
 
 def psi_numeric_by_period(baseline: DataFrame, current: DataFrame, features: list[str], period: str,
                           n_bins: int = 10, approx: bool = False) -> DataFrame:
-    """D1 per period of the current side (e.g. month): one fused job for every
-    (period, feature); edges from the whole baseline. Output: period, feature, psi."""
+    """D1 per period of the current side (e.g. month), one fused job for every
+    (period, feature) with values; edges from the whole baseline. Output: period, feature, psi.
+
+    PSI_p = sum over the baseline's bins of term(eps, b) (a per-feature constant)
+          + sum over the period's bins of [term(c, b) - term(eps, b) if b present else term(c, eps)],
+    so the current side is aggregated once and joined only to small broadcast tables
+    (bins x features), with no periods x bins cross product."""
+    from pyspark.sql.window import Window
+
     edges = quantile_edges(baseline, features, n_bins, approx)
-    inner = F.slice(F.col("edges"), 2, F.greatest(F.size("edges") - 2, F.lit(0)))
     base_long = _long(baseline, "baseline", features, True).where(F.col("value").isNotNull())
-    cur_long = current.select(F.col(period).alias("_period"), F.lit("current").alias("side"),
-                              F.inline(F.array(*[F.struct(F.lit(f).alias("feature"),
-                                                          (F.col(f).cast("int") if dict(current.dtypes)[f] == "boolean"
-                                                           else F.col(f)).cast("double").alias("value"))
-                                                 for f in features]))).where(F.col("value").isNotNull())
-    binned_b = base_long.join(F.broadcast(edges), "feature").where(F.size("edges") >= 3) \
-        .select("feature", F.size(F.filter(inner, lambda e: e < F.col("value"))).alias("bin"))
-    binned_c = cur_long.join(F.broadcast(edges), "feature").where(F.size("edges") >= 3) \
-        .select("_period", "feature", F.size(F.filter(inner, lambda e: e < F.col("value"))).alias("bin"))
-    b = binned_b.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
-    c = binned_c.groupBy("_period", "feature", "bin").agg(F.count(F.lit(1)).alias("n"))
-    periods = c.select("_period").distinct()
-    # the baseline distribution is the same for every period: one small cross product of
-    # (periods x baseline bins), both bounded (calendar periods, <= 10 bins x features)
-    b_all = periods.crossJoin(F.broadcast(b)).withColumn("side", F.lit("baseline"))
-    counts = b_all.unionByName(c.withColumn("side", F.lit("current")))
-    psi = _psi(counts, ["_period", "feature", "bin"])
-    grid = periods.crossJoin(F.broadcast(edges.select("feature")))
-    return (grid.join(psi, ["_period", "feature"], "left")
-            .select(F.col("_period").alias(period), "feature", F.coalesce(F.col("psi"), F.lit(0.0)).alias("psi")))
+    b = (base_long.join(F.broadcast(edges), "feature").groupBy("feature", _bin_col().alias("bin"))
+         .agg(F.count(F.lit(1)).alias("n")))
+    b = b.select("feature", "bin", (F.col("n") / F.sum("n").over(Window.partitionBy("feature"))).alias("pb"))
+    const = b.groupBy("feature").agg(F.sum(_term(F.lit(0.0), F.col("pb"))).alias("_const"))
+    cur_long = current.select(F.col(period).alias("_period"), F.inline(F.array(*[
+        F.struct(F.lit(f).alias("feature"),
+                 (F.col(f).cast("int") if dict(current.dtypes)[f] == "boolean" else F.col(f)).cast("double").alias("value"))
+        for f in features]))).where(F.col("value").isNotNull())
+    c = (cur_long.join(F.broadcast(edges), "feature").groupBy("_period", "feature", _bin_col().alias("bin"))
+         .agg(F.count(F.lit(1)).alias("n")))
+    c = c.select("_period", "feature", "bin",
+                 (F.col("n") / F.sum("n").over(Window.partitionBy("_period", "feature"))).alias("pc"))
+    j = c.join(F.broadcast(b), ["feature", "bin"], "left")  # bins x features: bounded
+    delta = F.when(F.col("pb").isNotNull(), _term(F.col("pc"), F.col("pb")) - _term(F.lit(0.0), F.col("pb"))) \
+        .otherwise(_term(F.col("pc"), F.lit(0.0)))
+    per = j.groupBy("_period", "feature").agg(F.sum(delta).alias("_d"))
+    return per.join(F.broadcast(const), "feature").select(
+        F.col("_period").alias(period), "feature", (F.col("_d") + F.col("_const")).alias("psi"))
 
 
 def drift_events_by_period(baseline: DataFrame, current: DataFrame, period: str, features: list[str],
