@@ -179,10 +179,8 @@ def ks_two_sample(baseline: DataFrame, current: DataFrame, column: str, pvalue_t
     c = current.where(F.col(column).isNotNull()).select(F.col(column).alias("score"), F.lit(0).alias("pos"),
                                                          F.lit(1).alias("neg"))
     counts = b.unionByName(c).groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    cum = cumulative_counts(counts)
-    tot = counts.agg(F.sum("pos").alias("n"), F.sum("neg").alias("m"))
-    gap = cum.crossJoin(F.broadcast(tot)).select(
-        "n", "m", F.abs(F.col("cum_pos") / F.col("n") - F.col("cum_neg") / F.col("m")).alias("gap"))
+    cum = cumulative_counts(counts).withColumnRenamed("total_pos", "n").withColumnRenamed("total_neg", "m")
+    gap = cum.select("n", "m", F.abs(F.col("cum_pos") / F.col("n") - F.col("cum_neg") / F.col("m")).alias("gap"))
     d = gap.groupBy("n", "m").agg(F.max("gap").alias("ks_statistic"))
     lam2 = F.pow(F.col("ks_statistic"), 2) * F.col("n") * F.col("m") / (F.col("n") + F.col("m"))
     series = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),

@@ -27,7 +27,7 @@ def score_counts(df: DataFrame, y_true: str = "y_true", y_prob: str = "y_prob")
 
 def cumulative_counts(counts: DataFrame, order: str = "score", cols=("pos", "neg"), descending: bool = False,
                       inclusive: bool = True) -> DataFrame:
-    """Add ``cum_<c>`` = running sum of ``c`` in score order.
+    """Add ``cum_<c>`` = running sum of ``c`` in score order (W2) and ``total_<c>``.
 
     Bounded inputs (quantised scores) use one window; larger ones a distributed prefix.
     """
@@ -36,7 +36,9 @@ def cumulative_counts(counts: DataFrame, order: str = "score", cols=("pos", "neg
     n = counts.count()
     if n <= SINGLE_TASK_SCORE_ROWS:
         w = Window.orderBy(o).rowsBetween(Window.unboundedPreceding, frame_end)
-        return counts.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"cum_{c}") for c in cols])
+        whole = Window.partitionBy()  # same single partition as the running sum: no extra pass
+        return counts.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"cum_{c}") for c in cols],
+                             *[F.sum(c).over(whole).alias(f"total_{c}") for c in cols])
     parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = cut_lineage(counts.repartitionByRange(parts, o).withColumn("_pid", F.spark_partition_id()))
     wl = Window.partitionBy("_pid").orderBy(o).rowsBetween(Window.unboundedPreceding, frame_end)
@@ -44,25 +46,56 @@ def cumulative_counts(counts: DataFrame, order: str = "score", cols=("pos", "neg
     totals = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_t{c}") for c in cols])
     wo = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = totals.select("_pid", *[F.coalesce(F.sum(f"_t{c}").over(wo), F.lit(0)).alias(f"_o{c}") for c in cols])
-    out = local.join(F.broadcast(offs), "_pid")  # one row per partition
-    return out.select(*counts.columns, *[(F.col(f"_l{c}") + F.col(f"_o{c}")).alias(f"cum_{c}") for c in cols])
+    grand = totals.agg(*[F.sum(f"_t{c}").alias(f"total_{c}") for c in cols])
+    out = local.join(F.broadcast(offs), "_pid").crossJoin(F.broadcast(grand))  # per-partition / one-row tables
+    return out.select(*counts.columns, *[(F.col(f"_l{c}") + F.col(f"_o{c}")).alias(f"cum_{c}") for c in cols],
+                      *[F.col(f"total_{c}") for c in cols])
+
+
+def curve_table(df: DataFrame, y_true: str = "y_true", y_prob: str = "y_prob") -> DataFrame:
+    """Per-score counts with ascending cumulative sums (inclusive) and class totals:
+    score, pos, neg, cum_pos, cum_neg, P, N. Every curve metric is one aggregate over it:
+    counts at or above a score are ``P - cum_pos + pos`` (exact integers)."""
+    c = cumulative_counts(score_counts(df, y_true, y_prob))
+    return c.withColumnRenamed("total_pos", "P").withColumnRenamed("total_neg", "N")
+
+
+def _tp_fp_at_or_above():
+    tp = F.col("P") - F.col("cum_pos") + F.col("pos")
+    fp = F.col("N") - F.col("cum_neg") + F.col("neg")
+    return tp, fp
+
+
+def auc_expr() -> Column:
+    """Mann-Whitney over the curve table: ties count 1/2; NULL when one class is absent."""
+    below = F.col("cum_neg") - F.col("neg")
+    return (F.sum(F.col("pos") * (below + F.lit(0.5) * F.col("neg")))
+            / F.nullif(F.first("P") * F.first("N"), F.lit(0)))
+
+
+def ap_expr() -> Column:
+    """Average precision: sum over thresholds of (R_n - R_{n-1}) * P_n (step sum)."""
+    tp, fp = _tp_fp_at_or_above()
+    return F.sum(F.col("pos") * tp / (tp + fp)) / F.nullif(F.first("P"), F.lit(0))
+
+
+def high_recall_expr(precision_floor: float) -> Column:
+    """Lowest score whose precision (predict >= score) reaches the floor; none -> 0.5; rounded to 4."""
+    tp, fp = _tp_fp_at_or_above()
+    best = F.min(F.when(tp / (tp + fp) >= F.lit(float(precision_floor)), F.col("score")))
+    return F.round(F.coalesce(best, F.lit(0.5)), 4)
 
 
 def roc_auc(df: DataFrame, y_true: str = "y_true", y_prob: str = "y_prob") -> DataFrame:
     """One row (n, n_pos, n_neg, roc_auc). Ties count 1/2; NULL when one class."""
-    c = cumulative_counts(score_counts(df, y_true, y_prob), inclusive=False)
-    return c.agg(
+    return curve_table(df, y_true, y_prob).agg(
         F.sum(F.col("pos") + F.col("neg")).alias("n"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
-        (F.sum(F.col("pos") * (F.col("cum_neg") + F.lit(0.5) * F.col("neg")))
-         / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0))).alias("roc_auc"))
+        auc_expr().alias("roc_auc"))
 
 
 def average_precision(df: DataFrame, y_true: str = "y_true", y_prob: str = "y_prob") -> DataFrame:
     """Sum over thresholds of (R_n - R_{n-1}) * P_n (step sum, no interpolation)."""
-    c = cumulative_counts(score_counts(df, y_true, y_prob), descending=True)
-    prec = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
-    return c.agg(F.sum("pos").alias("n_pos"),
-                 (F.sum(F.col("pos") * prec) / F.nullif(F.sum("pos"), F.lit(0))).alias("average_precision"))
+    return curve_table(df, y_true, y_prob).agg(F.sum("pos").alias("n_pos"), ap_expr().alias("average_precision"))
 
 
 def brier(df: DataFrame, y_true: str = "y_true", y_prob: str = "y_prob") -> DataFrame:
@@ -104,10 +137,7 @@ def high_recall_threshold(df: DataFrame, precision_floor: float, y_true: str = "
                           y_prob: str = "y_prob") -> DataFrame:
     """Lowest observed score whose precision (predict >= score) is >= the floor; that is
     the maximum-recall candidate (first on ties). None qualifies -> 0.5. Rounded to 4."""
-    c = cumulative_counts(score_counts(df, y_true, y_prob), descending=True)
-    prec = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
-    best = c.where(prec >= F.lit(float(precision_floor))).agg(F.min("score").alias("best"))
-    return best.select(F.round(F.coalesce(F.col("best"), F.lit(0.5)), 4).alias("threshold"))
+    return curve_table(df, y_true, y_prob).agg(high_recall_expr(precision_floor).alias("threshold"))
 
 
 def calibration_edges(n_bins: int = 10) -> list[float]:
@@ -134,16 +164,17 @@ def calibration(df: DataFrame, n_bins: int = 10, y_true: str = "y_true", y_prob:
 def evaluate(df: DataFrame, decision_threshold: float = 0.5, precision_floor: float = 0.30,
              min_roc_auc: float = 0.70, min_pr_auc: float = 0.35, max_brier: float = 0.20,
              y_true: str = "y_true", y_prob: str = "y_prob") -> DataFrame:
-    """E7 + E8: one metric row with gate columns (the gate compares the rounded values)."""
-    auc = roc_auc(df, y_true, y_prob).select("n", "roc_auc")
-    ap = average_precision(df, y_true, y_prob).select("average_precision")
+    """E7 + E8: one metric row with gate columns (the gate compares the rounded values).
+
+    One per-score curve table serves ROC-AUC, AP and the high-recall threshold in a single
+    aggregate; rate and Brier are a second aggregate over the rows."""
+    curve = curve_table(df, y_true, y_prob).agg(auc_expr().alias("_auc"), ap_expr().alias("_ap"),
+                                                high_recall_expr(precision_floor).alias("high_recall_threshold"))
     extra = df.agg(F.avg(F.col(y_true).cast("double")).alias("_pr"), F.count(F.lit(1)).alias("n_rows"),
                    F.avg(F.pow(F.col(y_prob) - F.col(y_true), 2)).alias("_br"))
-    hr = high_recall_threshold(df, precision_floor, y_true, y_prob).withColumnRenamed("threshold", "high_recall_threshold")
-    row = auc.crossJoin(ap).crossJoin(extra).crossJoin(hr)  # one-row tables
-    out = row.select(
-        "n_rows", F.round("_pr", 4).alias("positive_rate"), F.round("roc_auc", 4).alias("roc_auc"),
-        F.round("average_precision", 4).alias("pr_auc"), F.round("_br", 4).alias("brier_score"),
+    out = curve.crossJoin(extra).select(  # one-row tables
+        "n_rows", F.round("_pr", 4).alias("positive_rate"), F.round("_auc", 4).alias("roc_auc"),
+        F.round("_ap", 4).alias("pr_auc"), F.round("_br", 4).alias("brier_score"),
         F.lit(float(decision_threshold)).alias("decision_threshold"), "high_recall_threshold")
     return out.select("*", (F.col("roc_auc") >= min_roc_auc).alias("passes_roc_auc"),
                       (F.col("pr_auc") >= min_pr_auc).alias("passes_pr_auc"),
