@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from carelens.session import cut_lineage
+
 
 def daily_history(enc: DataFrame, *, patient: str, admit: str, discharge: str, emergency: Column,
                   lookback_days: int = 365, horizon_days: int = 30) -> DataFrame:
@@ -48,7 +50,7 @@ def with_patient_history(enc: DataFrame, *, patient: str = "patient_id", admit:
                          follow_up_end: Column | None = None, lookback_days: int = 365,
                          horizon_days: int = 30, label: str = "readmitted_30d",
                          prior_adm: str = "prior_admissions_12mo",
-                         prior_ed: str = "prior_ed_visits_12mo") -> DataFrame:
+                         prior_ed: str = "prior_ed_visits_12mo", materialize_daily: bool = True) -> DataFrame:
     """Add the look-ahead label and the prior-use counts to ``enc``.
 
     label = 1 when another encounter of the patient is admitted within
@@ -59,6 +61,10 @@ def with_patient_history(enc: DataFrame, *, patient: str = "patient_id", admit:
         emergency = F.col("admission_type") == "Emergency"
     hist = daily_history(enc, patient=patient, admit=admit, discharge=discharge, emergency=emergency,
                          lookback_days=lookback_days, horizon_days=horizon_days)
+    if materialize_daily:
+        # both lookups read one written copy (at most two narrow rows per encounter);
+        # otherwise column pruning splits the window into two evaluations
+        hist = cut_lineage(hist, "daily-history")
     prior = hist.select(F.col(patient).alias("_hp"), F.col("day").alias("_ha"),
                         F.col("prior_adm").alias(prior_adm), F.col("prior_ed").alias(prior_ed))
     ahead = hist.select(F.col(patient).alias("_fp"), F.col("day").alias("_fd"), F.col("fwd_adm").alias("_fwd"))

@@ -184,3 +184,17 @@ def test_rolling_auc(spark):
     df = spark.createDataFrame([(0.9, 0), (0.8, 0), (0.2, 1), (0.1, 1)], "readmission_probability double, readmitted_30d int")
     r = dr.rolling_auc(df).first()
     assert r.n_labeled == 4 and r.roc_auc == 0.0 and r.below_threshold
+
+
+def test_psi_and_ks_by_period_match_per_period_runs(spark):
+    rnd = random.Random(4)
+    base = spark.createDataFrame([(rnd.gauss(50, 10), round(rnd.random(), 2)) for _ in range(600)], "bmi double, p double")
+    cur_rows = [(m, rnd.gauss(50 + 10 * m, 10), round(rnd.random() ** (1 + m), 2)) for m in range(3) for _ in range(300)]
+    cur = spark.createDataFrame(cur_rows, "m int, bmi double, p double")
+    per = {r.m: r.psi for r in dr.psi_numeric_by_period(base, cur, ["bmi"], "m").collect()}
+    ks = {r.m: (r.ks_statistic, r.ks_pvalue) for r in dr.ks_by_period(base, cur, "p", "m").collect()}
+    for m in range(3):
+        one = cur.where(F.col("m") == m)
+        assert per[m] == pytest.approx(dr.psi_numeric(base, one, ["bmi"]).first().psi, abs=1e-12)
+        r = dr.ks_two_sample(base, one, "p").first()
+        assert ks[m] == (r.ks_statistic, r.ks_pvalue)
