@@ -14,6 +14,17 @@ from carelens.streaming import jobs, rate_limit as rl
 SF = "/root/testdata/sf0.001"
 
 
+def _later(path, seconds=120):
+    """Give the files under ``path`` a later modification time: the file source reads
+    oldest first, so the watermark-advancing flush rows come in the last micro-batch."""
+    import os
+    import time
+    t = time.time() + seconds
+    for root, _, files in os.walk(str(path)):
+        for f in files:
+            os.utime(os.path.join(root, f), (t, t))
+
+
 def _run(stream_df, name, mode="append"):
     q = stream_df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
     q.awaitTermination(300)
@@ -56,6 +67,7 @@ def test_rate_limit_stream_matches_batch(spark, tmp_path):
         hi = dt.datetime.fromtimestamp(bounds[k + 1], dt.timezone.utc).replace(tzinfo=None)
         df.where((F.col("ts") >= lo) & (F.col("ts") < hi)).drop("timestamp").coalesce(1) \
             .write.parquet(str(tmp_path / f"in/part{k}"))
+        _later(tmp_path / f"in/part{k}", seconds=10 * (k + 1))  # files are read oldest first
     spark.streams.active
     stream = spark.readStream.schema("client string, request_id string, ts timestamp_ntz") \
         .option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in")) \
@@ -77,6 +89,7 @@ def test_latency_stream_matches_batch(spark, tmp_path):
     # a final row far ahead moves the watermark past every real window
     flush = ev.limit(1).withColumn("ts", F.lit(dt.datetime(2030, 1, 1)).cast("timestamp_ntz"))
     flush.write.parquet(str(tmp_path / "ev/zzz"))
+    _later(tmp_path / "ev/zzz")
     stream = spark.readStream.schema(jobs.EVENTS_SCHEMA).option("maxFilesPerTrigger", 5) \
         .option("recursiveFileLookup", "true").parquet(str(tmp_path / "ev"))
     _run(jobs.latency_stream(src.requests_from_events(stream)), "lat_out")
@@ -90,6 +103,7 @@ def test_availability_alert_stream(spark, tmp_path):
     ev = spark.read.parquet(f"{SF}/events.parquet")
     ev.write.parquet(str(tmp_path / "ev/a"))
     ev.limit(1).withColumn("ts", F.lit(dt.datetime(2030, 1, 1)).cast("timestamp_ntz")).write.parquet(str(tmp_path / "ev/b"))
+    _later(tmp_path / "ev/b")
     stream = spark.readStream.schema(jobs.EVENTS_SCHEMA).option("recursiveFileLookup", "true") \
         .option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "ev"))
     _run(jobs.availability_alert_stream(src.dependencies_from_events(stream)), "avail_out")
@@ -124,8 +138,12 @@ def test_late_label_join(spark, tmp_path):
                                    "encounter_id string, label_ts timestamp, readmitted_30d int")
     flush_s = spark.createDataFrame([("Z", dt.datetime(2025, 1, 1), 0.0)], scores.schema)
     flush_l = spark.createDataFrame([("Z", dt.datetime(2025, 1, 1), 0)], labels.schema)
-    scores.write.parquet(str(tmp_path / "s/a")); flush_s.write.parquet(str(tmp_path / "s/b"))
-    labels.write.parquet(str(tmp_path / "l/a")); flush_l.write.parquet(str(tmp_path / "l/b"))
+    scores.coalesce(1).write.parquet(str(tmp_path / "s/a"))
+    flush_s.write.parquet(str(tmp_path / "s/b"))
+    labels.coalesce(1).write.parquet(str(tmp_path / "l/a"))
+    flush_l.write.parquet(str(tmp_path / "l/b"))
+    _later(tmp_path / "s/b")
+    _later(tmp_path / "l/b")
     s = spark.readStream.schema(scores.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true") \
         .parquet(str(tmp_path / "s"))
     lab = spark.readStream.schema(labels.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true") \
