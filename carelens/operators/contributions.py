@@ -4,15 +4,16 @@ factors (F6, O4).
 Re-aimed attribution: exact additive contributions of a linear margin,
 ``coef_j * (x_j - mean_j)`` per assembled slot, one-hot slots summed back to their
 source column, so that ``base_value + sum(contributions) = margin`` for every row.
-Everything is a column expression over ``vector_to_array(features)``: no UDF, no
-per-row Python. The training means come from one distributed ``Summarizer`` pass.
+The fitted pipeline is compiled into plain column expressions (one indicator per learned
+category, the coefficients as literals): no UDF, no per-row Python, whole-stage codegen.
+The training means come from one aggregate pass, fitted once with the model.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,39 +27,71 @@ def _contrib_array(values: dict[str, Column]) -> Column:
                      for f in MODEL_FEATURE_COLUMNS])
 
 
-def slot_sources(assembled_schema_field) -> list[str]:
-    """Source feature of every assembled slot, from the VectorAssembler's ML attributes."""
-    attrs = assembled_schema_field.metadata["ml_attr"]["attrs"]
-    slots = sorted((a["idx"], a["name"]) for kind in attrs.values() for a in kind)
-    out = []
-    for _, name in slots:
-        base = name.split("__")[0] if "__" in name else name
-        out.append(base)
-    return out
+@dataclass
+class CompiledLinear:
+    """A fitted linear pipeline as column expressions: one numeric slot per numeric
+    feature; per categorical, one indicator slot per learned category, one for unseen/NULL
+    values (the indexer's ``keep`` bucket) and the encoder's own ``keep`` slot, in the
+    assembler's slot order."""
+    slots: list[tuple[str, Column]]  # (source feature, slot value)
+    coef: list[float]
+    intercept: float
+
+    def margin(self) -> Column:
+        return sum((F.lit(c) * x for c, (_, x) in zip(self.coef, self.slots)), F.lit(self.intercept))
+
+
+def compile_linear(model: PipelineModel) -> CompiledLinear:
+    """Compile indexer + one-hot + assembler + logistic model into JVM-native expressions."""
+    indexer, encoder, assembler, lr = model.stages[0], model.stages[1], model.stages[2], model.stages[-1]
+    labels = dict(zip(indexer.getInputCols(), indexer.labelsArray))
+    ohe_src = {o: i.replace("__idx", "") for i, o in zip(encoder.getInputCols(), encoder.getOutputCols())}
+    slots: list[tuple[str, Column]] = []
+    for col in assembler.getInputCols():
+        if col in ohe_src:
+            src = ohe_src[col]
+            known = labels[src]
+            for lab in known:
+                slots.append((src, (F.col(src) == F.lit(lab)).cast("double")))
+            # the indexer's keep bucket (unseen or NULL) ...
+            slots.append((src, (F.col(src).isNull() | ~F.col(src).isin(*known)).cast("double")))
+            # ... and the encoder's own keep slot for out-of-range indices, never set here
+            slots.append((src, F.lit(0.0)))
+        else:
+            slots.append((col, F.coalesce(F.col(col).cast("double"), F.lit(float("nan")))))
+    coef = lr.coefficients.toArray().tolist()
+    if len(coef) != len(slots):
+        raise ValueError(f"slot count {len(slots)} does not match the model's {len(coef)} coefficients")
+    return CompiledLinear(slots, coef, float(lr.intercept))
+
 
+def contribution_means(model: PipelineModel, train: DataFrame) -> list[float]:
+    """Mean of every assembled slot over ``train`` (one aggregate pass). Fitted once with
+    the model, like an explainer's background data; reused for every batch."""
+    cl = compile_linear(model)
+    row = model_input(train, label=False).agg(*[F.avg(x).alias(f"m{i}") for i, (_, x) in enumerate(cl.slots)]).first()
+    return [float(row[f"m{i}"]) for i in range(len(cl.slots))]
 
-def linear_contributions(model: PipelineModel, df: DataFrame, train: DataFrame | None = None) -> DataFrame:
-    """F4 for a fitted linear pipeline (last stage LogisticRegression).
 
-    Adds ``margin``, ``base_value`` and ``contributions``. Means come from ``train``
-    (default: ``df``).
+def linear_contributions(model: PipelineModel, df: DataFrame, train: DataFrame | None = None,
+                         means: list[float] | None = None) -> DataFrame:
+    """F4 for a fitted linear pipeline (indexer, one-hot, assembler, logistic regression).
+
+    Adds ``margin``, ``base_value`` and ``contributions`` in one projection of plain
+    column expressions (no vector UDFs): per slot ``coef * (x - mean)``, summed back to
+    the source feature. ``means`` (see ``contribution_means``) default to those of
+    ``train`` (else of ``df``).
     """
-    lr = model.stages[-1]
-    coef = lr.coefficients.toArray().tolist()
-    scored = model.transform(model_input(df, label=False))
-    sources = slot_sources(scored.schema["features"])
-    ref = model.transform(model_input(train if train is not None else df, label=False))
-    mean = ref.select(Summarizer.mean(F.col("features")).alias("m")).first()["m"].toArray().tolist()
-    base = lr.intercept + sum(c * m for c, m in zip(coef, mean))
-    arr = vector_to_array("features")
+    cl = compile_linear(model)
+    mean = means if means is not None else contribution_means(model, train if train is not None else df)
+    base = cl.intercept + sum(c * m for c, m in zip(cl.coef, mean))
     per: dict[str, Column] = {}
-    for s, (c, m, src) in enumerate(zip(coef, mean, sources)):
-        term = F.lit(c) * (arr[s] - F.lit(m))
+    for (src, x), c, m in zip(cl.slots, cl.coef, mean):
+        term = F.lit(c) * (x - F.lit(m))
         per[src] = per[src] + term if src in per else term
-    out = scored.select(*[F.col(c) for c in df.columns],
-                        (F.lit(lr.intercept) + sum(F.lit(c) * arr[s] for s, c in enumerate(coef))).alias("margin"),
-                        _contrib_array(per).alias("contributions"))
-    return out.withColumn("base_value", F.lit(base))
+    inp = model_input(df, label=False)
+    return inp.select(*[F.col(c) for c in df.columns], cl.margin().alias("margin"),
+                      _contrib_array(per).alias("contributions"), F.lit(float(base)).alias("base_value"))
 
 
 # The synthetic score's margin terms (feature, 4 * weight, term as SQL text

@@ -22,18 +22,19 @@ ENVELOPE = ("request_id", "is_batch", "item", "envelope_error")
 
 
 def score(model: PipelineModel, requests: DataFrame, model_version: str, explain: bool = True,
-          reference: DataFrame | None = None) -> DataFrame:
+          reference: DataFrame | None = None, means: list[float] | None = None) -> DataFrame:
     """M5: one response row per request record.
 
-    ``explain`` adds linear top factors (the last stage must be linear); ``reference``
-    is the table whose feature means centre the contributions (default: the batch).
+    ``explain`` adds linear top factors (the last stage must be linear). The contributions
+    are centred on ``means`` (fitted once, see ``contributions.contribution_means``), else on
+    the feature means of ``reference``, else of the batch itself.
     """
     req = requests if "ethnicity" in requests.columns else requests.withColumn("ethnicity", F.lit(None).cast("string"))
     carry = tuple(c for c in ENVELOPE if c in req.columns)
     feats = engineer_features(req, keep_ethnicity=False, carry=carry)
     if explain:
-        ref = engineer_features(reference, keep_ethnicity=False) if reference is not None else None
-        c = linear_contributions(model, feats, ref)
+        ref = engineer_features(reference, keep_ethnicity=False) if reference is not None and means is None else None
+        c = linear_contributions(model, feats, ref, means)
         scored = c.withColumn("y_prob", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin"))))
         factors = top_factors(F.col("contributions"), 3)
     else:
@@ -51,6 +52,53 @@ def score(model: PipelineModel, requests: DataFrame, model_version: str, explain
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("scored_at"))
 
 
+class Scorer:
+    """A loaded model with its scoring projection built once (an endpoint's init).
+
+    ``score(requests)`` is then three ``select`` calls over the request rows: features,
+    compiled linear margin + contributions, response columns. Column objects are
+    unresolved expressions, so they are reused across request DataFrames; only the
+    small per-request plan is analysed and run.
+    """
+
+    def __init__(self, model: PipelineModel, model_version: str, means: list[float], carry: tuple[str, ...] = ENVELOPE):
+        from carelens.functions import features as fx
+        from carelens.operators.clean import FEATURE_COLUMNS
+        from carelens.operators.contributions import _contrib_array, compile_linear
+
+        cl = compile_linear(model)
+        base = cl.intercept + sum(c * m for c, m in zip(cl.coef, means))
+        derived = {
+            "age_band": fx.age_band("age"), "los_bucket": fx.los_bucket("length_of_stay"),
+            "comorbidity_score": fx.comorbidity_score("comorbidity_count", "charlson_index"),
+            "prior_utilization_rate": fx.prior_utilization_rate("prior_admissions_12mo", "prior_ed_visits_12mo"),
+            "polypharmacy_flag": fx.polypharmacy_flag("num_medications"),
+        }
+        self.carry = carry
+        self._feat = [derived[c].alias(c) if c in derived else F.col(c) for c in FEATURE_COLUMNS]
+        per: dict = {}
+        for (src, x), c, m in zip(cl.slots, cl.coef, means):
+            term = F.lit(c) * (x - F.lit(m))
+            per[src] = per[src] + term if src in per else term
+        self._model = [cl.margin().alias("margin"), _contrib_array(per).alias("contributions")]
+        prob = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin")))
+        self._out = [
+            F.coalesce(F.col("encounter_id"), F.concat(F.lit("unknown-"), F.col("_item").cast("string")))
+            .alias("encounter_id"),
+            F.lit(model_version).alias("model_version"), F.round(prob, 4).alias("readmission_probability"),
+            risk_tier(prob).alias("risk_tier"), top_factors(F.col("contributions"), 3).alias("top_factors"),
+            F.expr("uuid()").alias("response_id"),
+            F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("scored_at")]
+        self.base_value = base
+
+    def score(self, requests: DataFrame) -> DataFrame:
+        carry = [F.col(c) for c in self.carry if c in requests.columns]
+        item = (F.col("item") if "item" in requests.columns else F.lit(0)).alias("_item")
+        f = requests.select(*carry, item, *self._feat)
+        m = f.select(*carry, "_item", "encounter_id", *self._model)
+        return m.select(*carry, *self._out)
+
+
 class PromotionGateError(Exception):
     pass
 
