@@ -21,7 +21,7 @@ from carelens.schemas import MODEL_FEATURE_COLUMNS, REQUEST_COLUMNS
 from carelens.streaming import rate_limit as rl
 
 
-def _contrib_sql() -> str:
+def _contrib_sql(src: str = "feat") -> str:
     terms = ", ".join(f"CAST('{w!r}' AS DOUBLE) * ({t}) AS t_{f}" for f, w, t in ct.SYNTHETIC_TERMS)
     means = ", ".join(f"avg(t_{f}) AS m_{f}" for f, _, _ in ct.SYNTHETIC_TERMS)
     active = {f for f, _, _ in ct.SYNTHETIC_TERMS}
@@ -30,7 +30,7 @@ def _contrib_sql() -> str:
         f"'v': {'t_' + f + ' - m_' + f if f in active else 'CAST(0.0 AS DOUBLE)'}}}"
         for i, f in enumerate(MODEL_FEATURE_COLUMNS))
     return f"""
-, tt AS (SELECT encounter_id, {terms} FROM feat),
+, tt AS (SELECT encounter_id, {terms} FROM {src}),
 mm AS (SELECT {means} FROM tt),
 cc AS (SELECT encounter_id, list_sort([{items}]) AS c FROM tt CROSS JOIN mm)"""
 
@@ -54,6 +54,21 @@ def top_factors_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("t")[k]["feature"].alias(f"factor_{k + 1}"), F.col("t")[k]["shap_value"].alias(f"value_{k + 1}"))])
 
 
+@register("attribution_sample", with_ctes(ENC, FEAT) + """
+, samp AS (SELECT * FROM feat ORDER BY md5(encounter_id || '42'), encounter_id LIMIT 1000)""" + _contrib_sql("samp") + """
+SELECT encounter_id, c[1].feature AS factor_1, round(c[1].v, 4) AS value_1, c[2].feature AS factor_2,
+       round(c[2].v, 4) AS value_2, c[3].feature AS factor_3, round(c[3].v, 4) AS value_3 FROM cc""")
+def attribution_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C6 + F4/F6: the attribution report's seeded sample of 1000 encounters (the sample
+    is the feature: explanation cost is bounded), contributions centred on the sample."""
+    from carelens.operators.split import sample_rows
+    s = sample_rows(base.features(spark, sf_dir), 1000, seed=42)
+    c = ct.synthetic_contributions(s)
+    t = c.select("encounter_id", ct.top_factors(F.col("contributions"), 3).alias("t"))
+    return t.select("encounter_id", *[x for k in range(3) for x in (
+        F.col("t")[k]["feature"].alias(f"factor_{k + 1}"), F.col("t")[k]["shap_value"].alias(f"value_{k + 1}"))])
+
+
 def _splits(spark: SparkSession, sf_dir: str):
     s = base.split_features(spark, sf_dir)
     return s.where("split = 'train'"), s.where("split = 'val'"), s.where("split = 'test'")
