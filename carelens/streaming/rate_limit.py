@@ -19,14 +19,20 @@ micro-batch is bounded by the trigger), across micro-batches input must be in or
 
 from __future__ import annotations
 
+import sys
 from collections import deque
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+# The handler runs in Python workers: ship this module's code with the job rather than
+# requiring the package to be installed on every executor.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 OUTPUT_SCHEMA = "client string, request_id string, timestamp timestamp, admitted boolean, retry_after int"
 WINDOW_SECONDS = 60.0
 
