@@ -43,10 +43,14 @@ def _curated(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     checkpoint folder) and return a scan of it."""
     key = (id(spark.sparkContext), _fingerprint(sf_dir), name)
     path = _CACHE.get(key)
-    if path is None:
-        path = scratch_path(spark, f"curated-{name}")
-        build().write.mode("overwrite").parquet(path)
-        _CACHE[key] = path
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except Exception:  # noqa: BLE001 - the folder was cleaned up: build again
+            _CACHE.pop(key, None)
+    path = scratch_path(spark, f"curated-{name}")
+    build().write.mode("overwrite").parquet(path)
+    _CACHE[key] = path
     return spark.read.parquet(path)
 
 
