@@ -38,9 +38,9 @@ def _fingerprint(sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
-def _curated(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def _curated(spark: SparkSession, sf_dir: str, name: str, build, partition_by: list[str] | None = None) -> DataFrame:
     """Materialise ``build()`` once per session and input snapshot (parquet in the shared
-    checkpoint folder) and return a scan of it."""
+    checkpoint folder, optionally partitioned for pruning) and return a scan of it."""
     key = (id(spark.sparkContext), _fingerprint(sf_dir), name)
     path = _CACHE.get(key)
     if path is not None:
@@ -49,7 +49,10 @@ def _curated(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
         except Exception:  # noqa: BLE001 - the folder was cleaned up: build again
             _CACHE.pop(key, None)
     path = scratch_path(spark, f"curated-{name}")
-    build().write.mode("overwrite").parquet(path)
+    w = build().write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
     _CACHE[key] = path
     return spark.read.parquet(path)
 
@@ -77,7 +80,7 @@ def split_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature table with a ``split`` column (temporal 70/15/15), persisted once like the
     reference's split tables (S5); readers filter on ``split``."""
     return _curated(spark, sf_dir, "split-features",
-                    lambda: temporal_split(features(spark, sf_dir), 0.70, 0.15))
+                    lambda: temporal_split(features(spark, sf_dir), 0.70, 0.15), ["split"])
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,4 +94,4 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         return sp.select("encounter_id", "discharge_date", "split",
                          fx.synthetic_score().alias("readmission_probability"),
                          F.col(LABEL_COLUMN).cast("int").alias(LABEL_COLUMN))
-    return _curated(spark, sf_dir, "predictions", build)
+    return _curated(spark, sf_dir, "predictions", build, ["split"])
