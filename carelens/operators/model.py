@@ -15,7 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -90,19 +90,35 @@ def train_model(train: DataFrame, val: DataFrame | None, spec: TrainSpec) -> Pip
             v = v.withColumn("weight", F.lit(1.0))
         t = t.unionByName(v)
     fitted = build_pipeline(spec, early_stop).fit(t)
-    # Reload from the shared folder: a freshly fitted linear model keeps its training
-    # summary, which references the session and makes scoring plans unserialisable once
-    # the session has used observations. The reloaded model is summary-free.
-    path = scratch_path(train.sparkSession, f"model-{spec.algorithm}")
-    fitted.write().overwrite().save(path)
+    if spec.algorithm == "logreg":
+        # scored through compiled column expressions (contributions.compile_linear): no
+        # Spark ML UDF ever captures the fitted model
+        return fitted
+    return summary_free(fitted, train.sparkSession)
+
+
+def summary_free(model: PipelineModel, spark) -> PipelineModel:
+    """Reload ``model`` from the shared folder. A freshly fitted model may keep a training
+    summary that references the session; once the session has used observations, plans
+    whose UDFs capture such a model cannot be serialised. The reloaded model has none."""
+    path = scratch_path(spark, "model")
+    model.write().overwrite().save(path)
     return PipelineModel.load(path)
 
 
-def predict_proba(model: PipelineModel, df: DataFrame, prob_col: str = "y_prob") -> DataFrame:
-    """M4: ``df`` + the probability of class 1 (extra columns are carried through)."""
+def predict_proba(model: PipelineModel, df: DataFrame, prob_col: str = "y_prob", compiled: bool = True) -> DataFrame:
+    """M4: ``df`` + the probability of class 1 (extra columns are carried through).
+
+    A logistic pipeline is evaluated as compiled column expressions (same arithmetic as
+    Spark ML, no UDF); other models through ``model.transform``."""
+    keep = [F.col(c) for c in df.columns]
+    if compiled and isinstance(model.stages[-1], LogisticRegressionModel):
+        from carelens.operators.contributions import compile_linear
+
+        margin = compile_linear(model).margin()
+        return model_input(df, label=False).select(*keep, (F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))).alias(prob_col))
     out = model.transform(model_input(df, label=False))
-    keep = [c for c in df.columns]
-    return out.select(*[F.col(c) for c in keep], vector_to_array("probability")[1].alias(prob_col))
+    return out.select(*keep, vector_to_array("probability")[1].alias(prob_col))
 
 
 # ---------------------------------------------------------------- search (M3)
