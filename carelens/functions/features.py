@@ -59,34 +59,34 @@ def predict_label(probability, threshold: float) -> Column:
     return (_c(probability) >= F.lit(float(threshold))).cast("int")
 
 
-# Synthetic risk weights: fixed values equal to the reference's data generator (without
-# its noise term). Used as the deterministic score column when no model is involved.
-RISK_WEIGHTS = {
-    "prior_admissions_12mo / 3": 0.63,
-    "prior_ed_visits_12mo / 4": 0.54,
-    "charlson_index / 10": 0.45,
-    "num_medications >= 5": 0.18,
-    "discharge_disposition = SNF": 0.09,
-    "admission_type = Emergency": 0.09,
-    "age < 18": -0.18,
-}
-
-
-def synthetic_risk(prefix: str = "") -> Column:
-    """Risk score over raw/feature columns (see RISK_WEIGHTS)."""
-    c = lambda n: F.col(prefix + n)
-    return (F.lit(0.63) * (c("prior_admissions_12mo") / F.lit(3.0))
-            + F.lit(0.54) * (c("prior_ed_visits_12mo") / F.lit(4.0))
-            + F.lit(0.45) * (c("charlson_index") / F.lit(10.0))
-            + F.lit(0.18) * (c("num_medications") >= 5).cast("double")
-            + F.lit(0.09) * (c("discharge_disposition") == "SNF").cast("double")
-            + F.lit(0.09) * (c("admission_type") == "Emergency").cast("double")
-            - F.lit(0.18) * (c("age") < 18).cast("double"))
-
-
-def synthetic_score(prefix: str = "") -> Column:
+# The synthetic risk weights of the reference's data generator (without its
+# noise term): (feature the term explains, weight, term as SQL text valid in Spark SQL and
+# DuckDB alike). The deterministic score column, its SQL twin and the explained margin
+# terms are all generated from this one list.
+RISK_TERMS = [
+    ("prior_admissions_12mo", 0.63, "CAST(prior_admissions_12mo AS DOUBLE) / CAST(3 AS DOUBLE)"),
+    ("prior_ed_visits_12mo", 0.54, "CAST(prior_ed_visits_12mo AS DOUBLE) / CAST(4 AS DOUBLE)"),
+    ("charlson_index", 0.45, "CAST(charlson_index AS DOUBLE) / CAST(10 AS DOUBLE)"),
+    ("num_medications", 0.18, "CAST(num_medications >= 5 AS DOUBLE)"),
+    ("discharge_disposition", 0.09, "CAST(discharge_disposition = 'SNF' AS DOUBLE)"),
+    ("admission_type", 0.09, "CAST(admission_type = 'Emergency' AS DOUBLE)"),
+    ("age", -0.18, "CAST(age < 18 AS DOUBLE)"),
+]
+RISK_SLOPE, RISK_CENTER = 4.0, 1.0  # probability = 1 / (1 + exp(-slope * (risk - center)))
+
+
+def synthetic_risk() -> Column:
+    """Risk score over raw/feature columns (see RISK_TERMS)."""
+    return sum((F.lit(w) * F.expr(t) for _, w, t in RISK_TERMS[1:]), F.lit(RISK_TERMS[0][1]) * F.expr(RISK_TERMS[0][2]))
+
+
+def synthetic_score() -> Column:
     """Deterministic probability ``round(1 / (1 + exp(-4 * (risk - 1))), 4)``."""
-    return F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-4.0) * (synthetic_risk(prefix) - F.lit(1.0)))), 4)
+    return F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-RISK_SLOPE) * (synthetic_risk() - F.lit(RISK_CENTER)))), 4)
+
+
+def _sql_risk() -> str:
+    return " + ".join(f"CAST('{w!r}' AS DOUBLE) * ({t})" for _, w, t in RISK_TERMS)
 
 
 # SQL twins of the expressions above, for the DuckDB oracle.
@@ -96,7 +96,5 @@ SQL_AGE_BAND = """CASE WHEN {a} > -1 AND {a} <= 17 THEN '<18' WHEN {a} > 17 AND
 SQL_LOS_BUCKET = """CASE WHEN {d} > -1 AND {d} <= 2 THEN '0-2' WHEN {d} > 2 AND {d} <= 5 THEN '3-5'
  WHEN {d} > 5 AND {d} <= 10 THEN '6-10' WHEN {d} > 10 AND {d} <= 10000 THEN '11+' END"""
 SQL_RISK_TIER = "CASE WHEN {p} < 0.20 THEN 'low' WHEN {p} <= 0.50 THEN 'medium' WHEN {p} IS NOT NULL THEN 'high' END"
-SQL_SCORE = """round(1.0 / (1.0 + exp(-4.0 * ((0.63 * (prior_admissions_12mo / 3.0) + 0.54 * (prior_ed_visits_12mo / 4.0)
- + 0.45 * (charlson_index / 10.0) + 0.18 * CAST(num_medications >= 5 AS DOUBLE)
- + 0.09 * CAST(discharge_disposition = 'SNF' AS DOUBLE) + 0.09 * CAST(admission_type = 'Emergency' AS DOUBLE)
- - 0.18 * CAST(age < 18 AS DOUBLE)) - 1.0))), 4)"""
+SQL_SCORE = (f"round(CAST(1.0 AS DOUBLE) / (CAST(1.0 AS DOUBLE) + exp(CAST('{-RISK_SLOPE!r}' AS DOUBLE) * "
+             f"(({_sql_risk()}) - CAST('{RISK_CENTER!r}' AS DOUBLE)))), 4)")

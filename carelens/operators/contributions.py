@@ -17,6 +17,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelens.functions.features import RISK_CENTER, RISK_SLOPE, RISK_TERMS
 from carelens.operators.model import model_input
 from carelens.schemas import MODEL_FEATURE_COLUMNS
 
@@ -94,17 +95,8 @@ def linear_contributions(model: PipelineModel, df: DataFrame, train: DataFrame |
                       _contrib_array(per).alias("contributions"), F.lit(float(base)).alias("base_value"))
 
 
-# The synthetic score's margin terms (feature, 4 * weight, term as SQL text
-# valid in Spark SQL and DuckDB alike; see functions.features.RISK_WEIGHTS).
-SYNTHETIC_TERMS = [
-    ("age", 4 * -0.18, "CAST(age < 18 AS DOUBLE)"),
-    ("admission_type", 4 * 0.09, "CAST(admission_type = 'Emergency' AS DOUBLE)"),
-    ("discharge_disposition", 4 * 0.09, "CAST(discharge_disposition = 'SNF' AS DOUBLE)"),
-    ("charlson_index", 4 * 0.45, "CAST(charlson_index AS DOUBLE) / CAST(10 AS DOUBLE)"),
-    ("prior_admissions_12mo", 4 * 0.63, "CAST(prior_admissions_12mo AS DOUBLE) / CAST(3 AS DOUBLE)"),
-    ("prior_ed_visits_12mo", 4 * 0.54, "CAST(prior_ed_visits_12mo AS DOUBLE) / CAST(4 AS DOUBLE)"),
-    ("num_medications", 4 * 0.18, "CAST(num_medications >= 5 AS DOUBLE)"),
-]
+# The deterministic score's margin terms: slope * weight * term (see functions.features.RISK_TERMS).
+SYNTHETIC_TERMS = [(f, RISK_SLOPE * w, t) for f, w, t in RISK_TERMS]
 
 
 def synthetic_terms() -> dict[str, Column]:
@@ -118,9 +110,10 @@ def synthetic_contributions(df: DataFrame) -> DataFrame:
     means = df.agg(*[F.avg(t).alias(f"_m_{f}") for f, t in terms.items()])
     j = df.crossJoin(F.broadcast(means))
     per = {f: t - F.col(f"_m_{f}") for f, t in terms.items()}
-    base = sum(F.col(f"_m_{f}") for f in terms) - F.lit(4.0)
+    offset = F.lit(RISK_SLOPE * RISK_CENTER)
+    base = sum(F.col(f"_m_{f}") for f in terms) - offset
     return j.select(*[F.col(c) for c in df.columns], base.alias("base_value"),
-                    (sum(terms.values()) - F.lit(4.0)).alias("margin"), _contrib_array(per).alias("contributions"))
+                    (sum(terms.values()) - offset).alias("margin"), _contrib_array(per).alias("contributions"))
 
 
 def top_factors(contributions: Column, n: int = 3) -> Column:

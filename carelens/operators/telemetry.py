@@ -126,17 +126,18 @@ def alerts(requests: DataFrame, dependencies: DataFrame, drift_events: DataFrame
     < 99 % over 15 min windows sliding every 5 min; L4/L5 any flagged drift report
     (``drift_events``: timestamp, name, drift_detected) per hour.
     """
+    r1, r2, r3 = (ALERT_RULES[k] for k in ("HighScoringLatencyP95", "HighErrorRate", "EndpointAvailabilityDrop"))
     score = requests.where(has_term(F.col("name"), SCORE_OPERATION))
-    l1 = (score.groupBy(F.window("timestamp", "5 minutes").alias("w"))
+    l1 = (score.groupBy(F.window("timestamp", r1["window"]).alias("w"))
           .agg(F.percentile("duration", F.lit(0.95)).alias("value"))
-          .where(F.col("value") > 1000.0).select(F.lit("HighScoringLatencyP95").alias("alert"), "w", "value"))
-    l2 = (score.groupBy(F.window("timestamp", "5 minutes").alias("w"))
+          .where(F.col("value") > r1["threshold"]).select(F.lit("HighScoringLatencyP95").alias("alert"), "w", "value"))
+    l2 = (score.groupBy(F.window("timestamp", r2["window"]).alias("w"))
           .agg((F.lit(100.0) * F.count_if(startswith_ci(F.col("resultCode"), "5")) / F.count(F.lit(1))).alias("value"))
-          .where(F.col("value") > 5.0).select(F.lit("HighErrorRate").alias("alert"), "w", "value"))
+          .where(F.col("value") > r2["threshold"]).select(F.lit("HighErrorRate").alias("alert"), "w", "value"))
     dep = dependencies.where(has_term(F.col("target"), INFERENCE_TARGET))
-    l3 = (dep.groupBy(F.window("timestamp", "15 minutes", "5 minutes").alias("w"))
+    l3 = (dep.groupBy(F.window("timestamp", r3["window"], r3["slide"]).alias("w"))
           .agg((F.lit(100.0) * F.count_if(F.col("success")) / F.count(F.lit(1))).alias("value"))
-          .where(F.col("value") < 99.0).select(F.lit("EndpointAvailabilityDrop").alias("alert"), "w", "value"))
+          .where(F.col("value") < r3["threshold"]).select(F.lit("EndpointAvailabilityDrop").alias("alert"), "w", "value"))
     out = l1.unionByName(l2).unionByName(l3).select(
         "alert", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
         F.round("value", 6).alias("value"))
@@ -148,10 +149,11 @@ def drift_alerts(drift_events: DataFrame) -> DataFrame:
     (``drift_events``: timestamp, name, drift_detected)."""
     parts = []
     for alert, event in (("DataDriftDetected", "DataDriftReport"), ("ModelDriftDetected", "ModelDriftReport")):
+        rule = ALERT_RULES[alert]
         parts.append(drift_events.where((F.col("name") == event) & F.col("drift_detected"))
-                     .groupBy(F.window("timestamp", "1 hour").alias("w"))
+                     .groupBy(F.window("timestamp", rule["window"]).alias("w"))
                      .agg(F.count(F.lit(1)).cast("double").alias("value"))
-                     .where(F.col("value") > 0).select(F.lit(alert).alias("alert"), "w", "value"))
+                     .where(F.col("value") > rule["threshold"]).select(F.lit(alert).alias("alert"), "w", "value"))
     return parts[0].unionByName(parts[1]).select(
         "alert", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
         F.round("value", 6).alias("value"))

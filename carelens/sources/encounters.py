@@ -22,11 +22,6 @@ from carelens.schemas import RAW_ENCOUNTER_COLUMNS
 from carelens.session import materialize
 from carelens.sources.tables import table
 
-# Mapping of order priority / status to admission type / disposition.
-PRIORITY_TO_ADMISSION = {"1-URGENT": "Urgent", "2-HIGH": "Emergency", "3-MEDIUM": "Emergency"}
-STATUS_TO_DISPOSITION = {"F": "Home", "O": "SNF", "P": "Rehab"}
-
-
 def line_aggregates(lineitem: DataFrame) -> DataFrame:
     """Per-order line count, returned lines, discount sum, distinct parts."""
     return (lineitem.groupBy("l_orderkey")
