@@ -30,15 +30,20 @@ def value_shares(df: DataFrame, columns: list[str]) -> DataFrame:
         "column", "value", "count", F.round(F.col("count") / F.col("_t"), 6).alias("share"))
 
 
-def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
-    """A3 (numeric): count, mean, std (sample), min, 25/50/75% (linear), max per column."""
+def describe_numeric(df: DataFrame, columns: list[str], approx: bool = False, accuracy: int = 10_000) -> DataFrame:
+    """A3 (numeric): count, mean, std (sample), min, 25/50/75% (linear), max per column.
+
+    Exact quartiles keep a value->count map per column (memory = distinct values);
+    ``approx=True`` uses ``percentile_approx`` (bounded sketch) for continuous columns."""
     long = _long(df, columns, "double").where(F.col("value").isNotNull())
+
+    def q(p):
+        return F.percentile_approx("value", F.lit(p), accuracy).cast("double") if approx else F.percentile("value", F.lit(p))
     return long.groupBy("column").agg(
         F.count(F.lit(1)).alias("count"), F.round(F.avg("value"), 6).alias("mean"),
         F.round(F.stddev_samp("value"), 6).alias("std"), F.min("value").alias("min"),
-        F.round(F.percentile("value", F.lit(0.25)), 6).alias("p25"),
-        F.round(F.percentile("value", F.lit(0.5)), 6).alias("p50"),
-        F.round(F.percentile("value", F.lit(0.75)), 6).alias("p75"), F.max("value").alias("max"))
+        F.round(q(0.25), 6).alias("p25"), F.round(q(0.5), 6).alias("p50"), F.round(q(0.75), 6).alias("p75"),
+        F.max("value").alias("max"))
 
 
 def describe_categorical(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -198,3 +198,12 @@ def test_psi_and_ks_by_period_match_per_period_runs(spark):
         assert per[m] == pytest.approx(dr.psi_numeric(base, one, ["bmi"]).first().psi, abs=1e-12)
         r = dr.ks_two_sample(base, one, "p").first()
         assert ks[m] == (r.ks_statistic, r.ks_pvalue)
+
+
+def test_approx_percentiles_close_to_exact(spark):
+    from carelens.operators import profile as pr
+    rnd = random.Random(8)
+    df = spark.createDataFrame([(rnd.gauss(100, 15),) for _ in range(5000)], "x double")
+    ex = pr.describe_numeric(df, ["x"]).first()
+    ap = pr.describe_numeric(df, ["x"], approx=True).first()
+    assert abs(ex.p50 - ap.p50) < 1.0 and abs(ex.p25 - ap.p25) < 1.0 and ex.count == ap.count
