@@ -28,13 +28,26 @@ def dedup_first(df: DataFrame, key: str = "encounter_id", order_by: list[str | C
 
     ``order_by`` defaults to an ingestion-order column ``_ingest_seq`` when present, else
     to all columns, which makes the choice deterministic (``dropDuplicates`` is not).
+
+    Plan: a narrow count per key (hash aggregate over the key column only) finds the
+    duplicated keys; rows with a unique key pass through an anti-join, and only rows of
+    duplicated keys go through the ``min_by`` aggregate, whose partial aggregation
+    collapses even a key repeated in a third of all rows before the shuffle. When the
+    duplicated-key set is small, AQE broadcasts it and the wide rows are never shuffled.
+    NULL keys group together (null-safe joins).
     """
     cols = df.columns
     if order_by is None:
         order_by = ["_ingest_seq"] if "_ingest_seq" in cols else [c for c in cols if c != key]
     order = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order_by])
     packed = F.struct(*[F.col(c) for c in cols])
-    return df.groupBy(key).agg(F.min_by(packed, order).alias("_row")).select("_row.*")
+    dup_keys = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+                .select(F.col(key).alias("_dk")))
+    on = F.col(key).eqNullSafe(F.col("_dk"))
+    unique_rows = df.join(dup_keys, on, "left_anti")
+    repeated = (df.join(dup_keys, on, "left_semi").groupBy(key)
+                .agg(F.min_by(packed, order).alias("_row")).select("_row.*"))
+    return unique_rows.unionByName(repeated)
 
 
 def coerce_dates(df: DataFrame) -> DataFrame:

@@ -98,3 +98,11 @@ def test_envelope(spark):
     df = spark.createDataFrame([([1],), ([],), (list(range(101)),), (None,)], "data array<int>")
     got = [r[0] for r in df.select(quality.envelope_failures(F.col("data"))).collect()]
     assert got[0] is None and "non-empty" in got[1] and "exceeds max of 100" in got[2] and "non-empty" in got[3]
+
+
+def test_dedup_hot_key_and_nulls(spark):
+    rows = [("HOT", i, f"v{i}") for i in range(300)] + [(f"K{i}", i, "u") for i in range(200)] + \
+        [(None, 5, "n5"), (None, 3, "n3")]
+    df = spark.createDataFrame(rows, "encounter_id string, _ingest_seq int, v string")
+    got = {r.encounter_id: r.v for r in clean.dedup_first(df).collect()}
+    assert len(got) == 202 and got["HOT"] == "v0" and got[None] == "n3" and got["K7"] == "u"
