@@ -51,7 +51,7 @@ def describe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("describe_categorical", with_ctes(ENC, FEAT) + f"""
 , lng AS ({_union_long('feat', CATEGORICAL_COLUMNS + ['ethnicity'], 'VARCHAR')}),
 cnt AS (SELECT "column", value, count(*) AS k FROM lng WHERE value IS NOT NULL GROUP BY ALL)
-SELECT "column", sum(k) AS count, count(*) AS unique, arg_min(value, (-k, value)) AS top, max(k) AS freq
+SELECT "column", CAST(sum(k) AS BIGINT) AS count, count(*) AS unique, arg_min(value, (-k, value)) AS top, max(k) AS freq
 FROM cnt GROUP BY "column\"""")
 def describe_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: count / unique / top / freq of the categorical columns."""
@@ -169,12 +169,16 @@ def high_recall_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("threshold_metrics", SC + SCORE_COUNTS + HR + """
 , pts AS (
   SELECT 'default' AS operating_point, CAST(0.5 AS DOUBLE) AS threshold,
-    count_if(y_prob < 0.5 AND y_true <> 1) AS tn, count_if(y_prob >= 0.5 AND y_true <> 1) AS fp,
-    count_if(y_prob < 0.5 AND y_true = 1) AS fn, count_if(y_prob >= 0.5 AND y_true = 1) AS tp FROM scored2
+    CAST(count_if(y_prob < 0.5 AND y_true <> 1) AS BIGINT) AS tn,
+    CAST(count_if(y_prob >= 0.5 AND y_true <> 1) AS BIGINT) AS fp,
+    CAST(count_if(y_prob < 0.5 AND y_true = 1) AS BIGINT) AS fn,
+    CAST(count_if(y_prob >= 0.5 AND y_true = 1) AS BIGINT) AS tp FROM scored2
   UNION ALL
   SELECT 'high_recall', any_value(hr.threshold),
-    count_if(y_prob < hr.threshold AND y_true <> 1), count_if(y_prob >= hr.threshold AND y_true <> 1),
-    count_if(y_prob < hr.threshold AND y_true = 1), count_if(y_prob >= hr.threshold AND y_true = 1)
+    CAST(count_if(y_prob < hr.threshold AND y_true <> 1) AS BIGINT),
+    CAST(count_if(y_prob >= hr.threshold AND y_true <> 1) AS BIGINT),
+    CAST(count_if(y_prob < hr.threshold AND y_true = 1) AS BIGINT),
+    CAST(count_if(y_prob >= hr.threshold AND y_true = 1) AS BIGINT)
   FROM scored2 CROSS JOIN hr)
 """ + _rates_sql("pts"))
 def threshold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

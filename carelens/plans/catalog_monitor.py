@@ -193,7 +193,7 @@ def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("error_rate_5xx", with_ctes(TEL) + f"""
-SELECT {_tb('5 minutes')} AS "timestamp", count(*) AS total, count_if(lower(resultCode) LIKE '5%') AS errors,
+SELECT {_tb('5 minutes')} AS "timestamp", count(*) AS total, CAST(count_if(lower(resultCode) LIKE '5%') AS BIGINT) AS errors,
   round(100.0 * count_if(lower(resultCode) LIKE '5%') / count(*), 2) AS errorRate
 FROM req WHERE {HAS_SCORE} GROUP BY 1""")
 def error_rate_5xx(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,7 +209,7 @@ def failures_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("dependency_health", with_ctes(TEL) + f"""
-SELECT {_tb('5 minutes')} AS "timestamp", count(*) AS total, count_if(NOT success) AS failures,
+SELECT {_tb('5 minutes')} AS "timestamp", count(*) AS total, CAST(count_if(NOT success) AS BIGINT) AS failures,
   round(avg(duration), 6) AS avgDuration FROM dep WHERE {HAS_TARGET} GROUP BY 1""")
 def dependency_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: inference dependency calls per 5 minutes."""
@@ -233,7 +233,7 @@ def throttled_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("availability", with_ctes(TEL) + f"""
-SELECT {_tb('15 minutes')} AS "timestamp", count(*) AS total, count_if(success) AS successCount,
+SELECT {_tb('15 minutes')} AS "timestamp", count(*) AS total, CAST(count_if(success) AS BIGINT) AS successCount,
   round(100.0 * count_if(success) / count(*), 3) AS availabilityPct FROM dep WHERE {HAS_TARGET} GROUP BY 1""")
 def availability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Endpoint availability per 15 minutes."""

@@ -32,3 +32,15 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and df.columns == ["age_band", "los_bucket", "n_encounters", "readmission_rate",
                                              "mean_prior_utilization"]
+
+
+TYPE_NAMES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+              "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_types_match_sql_twin(spark, con, name):
+    sdf = entry.queries()[name](spark, SF)
+    spark_types = {f.name: TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    rel = con.sql(SQL[name])
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
