@@ -106,3 +106,11 @@ def test_store_lookup_and_missing(spark, tmp_path):
     assert [r.encounter_id for r in fs.get_online_features(["E2"], columns=["age"]).collect()] == ["E2"]
     with pytest.raises(KeyError, match="E9"):
         fs.get_online_features(["E1", "E9"], columns=["age"])
+
+
+def test_temporal_split_single_hot_date(spark):
+    rows = [(f"E{i:04d}", dt.date(2021, 5, 5)) for i in range(500)]
+    df = spark.createDataFrame(rows, "encounter_id string, discharge_date date")
+    got = {r.encounter_id: r.split for r in split.temporal_split(df, 0.7, 0.15).collect()}
+    ids = sorted(got)
+    assert [got[i] for i in ids] == ["train"] * 350 + ["val"] * 75 + ["test"] * 75
