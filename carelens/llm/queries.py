@@ -19,12 +19,32 @@ def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken", "mix.copies")
 
 
+def tokenizer_file(name: str) -> bytes:
+    """A public vocabulary file, read on the driver (at most a few megabytes) and sent with the tasks."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelens.llm.bpe import encode_documents
+
+    return encode_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from carelens.llm.simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelens.llm.transducer import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     from carelens.llm.repetition import repetition_rules
 
@@ -64,7 +84,9 @@ SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix": op2_mix,
+    "op3_byte_bpe": op3_byte_bpe,
     "op4_simhash": op4_simhash,
+    "op7_token_counts": op7_token_counts,
     "op10_repetition": op10_repetition,
 }
 SQL: dict[str, str] = {"op2_mix": OP2_SQL}
