@@ -39,6 +39,12 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelens.llm.kdtree import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from carelens.llm.transducer import token_counts
 
@@ -82,11 +88,25 @@ c AS (SELECT q.*, whole + CASE WHEN p.size IS NULL THEN 0 ELSE 1 END AS copies
 SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken, copies FROM c
 """
 
+OP5_SQL = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+p AS (SELECT a.vec_id AS query_id, b.vec_id,
+             CAST(list_sum([z[1] * z[2] FOR z IN list_zip(a.q, b.q)]) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix": op2_mix,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_simhash": op4_simhash,
+    "op5_kdtree": op5_kdtree,
     "op7_token_counts": op7_token_counts,
     "op10_repetition": op10_repetition,
 }
-SQL: dict[str, str] = {"op2_mix": OP2_SQL}
+SQL: dict[str, str] = {"op2_mix": OP2_SQL, "op5_kdtree": OP5_SQL}
