@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from carelens.llm.common import written
 
 WORD = r"[^\x20\x09-\x0D]+"
-BINS = 65536
+BINS = 4096
 
 
 def word_count(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -51,6 +51,23 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def remainder(divisor: int) -> Column:
+    """crc32 of the id as text, modulo."""
+    return F.crc32(F.col("doc_id").cast("string")) % divisor
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelens.llm.bytecnn import identify_language
+
+    return identify_language(table(spark, sf_dir, "documents"), remainder(3) == 1)
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelens.llm.bytecnn import score_quality
+
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder(4) == 2)
+
+
 def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     from carelens.llm.repetition import repetition_rules
 
@@ -107,6 +124,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_kdtree": op5_kdtree,
     "op7_token_counts": op7_token_counts,
+    "op8_language": op8_language,
+    "op9_quality": op9_quality,
     "op10_repetition": op10_repetition,
 }
 SQL: dict[str, str] = {"op2_mix": OP2_SQL, "op5_kdtree": OP5_SQL}
