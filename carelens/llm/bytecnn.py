@@ -261,7 +261,7 @@ def quality_net(classes: int) -> Net:
 
 def score_quality(
     docs: DataFrame, labels: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-    per_class: int = 800, windows: int = 6, threshold: float = 0.7,
+    per_class: int = 1200, windows: int = 6, threshold: float = 0.7,
 ) -> DataFrame:
     """(doc_id, held_out, score, predicted) per document; score: the probability of label 1.
 

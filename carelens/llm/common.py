@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -179,3 +180,41 @@ def block_table(docs: DataFrame, columns: list[str], text: str, block_bytes: int
 
     rows = docs.select(*columns, F.spark_partition_id().alias("__part"))
     return written(rows.mapInArrow(build, "block long, n_bytes long, payload binary"), "blocks")
+
+
+# Arrays between tasks: deltas and byte planes under zstd.
+
+
+def squeeze(*arrays: np.ndarray) -> bytes:
+    """Unsigned arrays as one compressed message."""
+    head = np.array([len(arrays), *[x for a in arrays for x in (a.itemsize, len(a))]], "<i8")
+    planes = [np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() for a in arrays]
+    return zstandard.compress(head.tobytes() + b"".join(planes), 3)
+
+
+def unsqueeze(data: bytes) -> list[np.ndarray]:
+    raw = zstandard.decompress(data)
+    n = int(np.frombuffer(raw, "<i8", 1)[0])
+    shapes = np.frombuffer(raw, "<i8", 2 * n, 8).reshape(n, 2).tolist()
+    at, out = 8 + 16 * n, []
+    for size, length in shapes:
+        planes = np.frombuffer(raw, np.uint8, size * length, at).reshape(size, length)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(f"<u{size}"))
+        at += size * length
+    return out
+
+
+def deltas(x: np.ndarray) -> np.ndarray:
+    """Of ascending unsigned numbers: the first, then the differences."""
+    return np.diff(x, prepend=x.dtype.type(0)) if len(x) else x
+
+
+def undelta(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.cumsum(x, dtype=x.dtype)
+
+
+def ranges_of(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """Where each of ``ranges`` equal parts of the 64-bit numbers begins in ascending keys, and the end."""
+    edges = np.array([(i << 64) // ranges for i in range(ranges)], np.uint64)
+    return np.append(np.searchsorted(keys, edges), len(keys))

@@ -45,6 +45,12 @@ def op5_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelens.llm.suffixes import dedup_report
+
+    return dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from carelens.llm.transducer import token_counts
 
@@ -123,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_simhash": op4_simhash,
     "op5_kdtree": op5_kdtree,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_language": op8_language,
     "op9_quality": op9_quality,
