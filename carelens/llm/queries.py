@@ -13,6 +13,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelens.llm.automaton import score_texts
+
+    scored = score_texts(table(spark, sf_dir, "documents"), remainder(5) != 1)
+    return scored.select("doc_id", F.coalesce(remainder(5) == 1, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from carelens.llm.mixing import mix_plan
 
@@ -125,6 +132,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_automaton": op1_automaton,
     "op2_mix": op2_mix,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_simhash": op4_simhash,
