@@ -1,4 +1,4 @@
-"""The stages of the corpus pipeline: each applies one operator to all its predecessor kept.
+"""The stages of the corpus pipeline: each applies one operator to all that its predecessor kept.
 
 Every function takes (spark, docs, sf_dir); all but the last return the columns of documents.
 """
@@ -7,3 +7,52 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from carelens.llm.bpe import encode_documents
+from carelens.llm.bytecnn import identify_language
+from carelens.llm.common import written
+from carelens.llm.mixing import mix_documents
+from carelens.llm.queries import remainder, tokenizer_file
+from carelens.llm.simhash import near_duplicates
+from carelens.llm.suffixes import dedup_documents
+
+#: The least probability of a text's predicted language; texts that mix languages fall below.
+LEAST_SCORE = 0.5
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents with a letter whose language the network tells with ``LEAST_SCORE``."""
+    columns = tuple(docs.columns)
+    found = identify_language(docs, remainder(3) == 1, carry=columns)
+    kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    return kept.select(*[F.col(f"`carry_{c}`").alias(c) for c in columns])
+
+
+def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each SimHash component: the one with the smallest id, and one row of
+    those that repeat it. Rows without an id stand behind all others, in order of a text hash."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    stand_in = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 2) + F.lit(1 << 62)
+    named = docs.withColumn("__id", F.coalesce("doc_id", stand_in))
+    groups = near_duplicates(named, doc_id="__id")
+    ids = written(groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("n")), "kept-ids")
+    once = named.join(ids.where("n = 1").select("__id"), "__id", "left_semi").select(*columns)
+    repeated = named.join(ids.where("n > 1").select("__id"), "__id", "left_semi")
+    first = repeated.groupBy("__id").agg(F.min(F.struct(*columns)).alias("row")).select("row.*")
+    return once.unionByName(first)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts repeated passages out of all texts; ``n_chars`` follows the text."""
+    cut = dedup_documents(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes).get("n_chars", "bigint"))) if "n_chars" in docs.columns else cut
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of sources: every document as often as its plan says."""
+    return mix_documents(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document of the mix, with their digests."""
+    return encode_documents(docs, tokenizer_file("byte_bpe_50k.tiktoken"), with_ids=True)
