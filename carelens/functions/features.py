@@ -51,6 +51,7 @@ def polypharmacy_flag(num_medications) -> Column:
 def risk_tier(probability) -> Column:
     """< 0.20 low, <= 0.50 medium, else high (on the unrounded probability)."""
     p = _c(probability)
+    p = F.when(~F.isnan(p), p)  # no tier without a probability
     return F.when(p < 0.20, "low").when(p <= 0.50, "medium").when(p.isNotNull(), "high")
 
 
@@ -59,29 +60,28 @@ def predict_label(probability, threshold: float) -> Column:
     return (_c(probability) >= F.lit(float(threshold))).cast("int")
 
 
-# The synthetic risk weights of the reference's data generator (without its
-# noise term): (feature the term explains, weight, term as SQL text valid in Spark SQL and
-# DuckDB alike). The deterministic score column, its SQL twin and the explained margin
-# terms are all generated from this one list.
+# The demo score: (feature the term explains, weight, term as SQL text valid in Spark SQL and
+# DuckDB alike). Own choice of terms and weights, over the engineered features. The
+# deterministic score column, its SQL twin and the explained margin terms are generated from it.
 RISK_TERMS = [
-    ("prior_admissions_12mo", 0.63, "CAST(prior_admissions_12mo AS DOUBLE) / CAST(3 AS DOUBLE)"),
-    ("prior_ed_visits_12mo", 0.54, "CAST(prior_ed_visits_12mo AS DOUBLE) / CAST(4 AS DOUBLE)"),
-    ("charlson_index", 0.45, "CAST(charlson_index AS DOUBLE) / CAST(10 AS DOUBLE)"),
-    ("num_medications", 0.18, "CAST(num_medications >= 5 AS DOUBLE)"),
-    ("discharge_disposition", 0.09, "CAST(discharge_disposition = 'SNF' AS DOUBLE)"),
-    ("admission_type", 0.09, "CAST(admission_type = 'Emergency' AS DOUBLE)"),
-    ("age", -0.18, "CAST(age < 18 AS DOUBLE)"),
+    ("prior_utilization_rate", 1.4, "prior_utilization_rate"),
+    ("comorbidity_score", 0.22, "comorbidity_score"),
+    ("length_of_stay", 0.06, "CAST(length_of_stay AS DOUBLE)"),
+    ("creatinine", 0.08, "creatinine"),
+    ("polypharmacy_flag", 0.15, "CAST(polypharmacy_flag AS DOUBLE)"),
+    ("discharge_disposition", 0.12, "CAST(discharge_disposition <> 'Home' AS DOUBLE)"),
+    ("age", 0.25, "CAST(age >= 75 AS DOUBLE)"),
 ]
-RISK_SLOPE, RISK_CENTER = 4.0, 1.0  # probability = 1 / (1 + exp(-slope * (risk - center)))
+RISK_SLOPE, RISK_CENTER = 2.5, 1.5  # probability = 1 / (1 + exp(-slope * (risk - center)))
 
 
 def synthetic_risk() -> Column:
-    """Risk score over raw/feature columns (see RISK_TERMS)."""
+    """Risk score over feature columns (see RISK_TERMS)."""
     return sum((F.lit(w) * F.expr(t) for _, w, t in RISK_TERMS[1:]), F.lit(RISK_TERMS[0][1]) * F.expr(RISK_TERMS[0][2]))
 
 
 def synthetic_score() -> Column:
-    """Deterministic probability ``round(1 / (1 + exp(-4 * (risk - 1))), 4)``."""
+    """Deterministic probability ``round(1 / (1 + exp(-slope * (risk - center))), 4)``."""
     return F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-RISK_SLOPE) * (synthetic_risk() - F.lit(RISK_CENTER)))), 4)
 
 

@@ -43,8 +43,10 @@ class CompiledLinear:
 
 
 def compile_linear(model: PipelineModel) -> CompiledLinear:
-    """Compile indexer + one-hot + assembler + logistic model into JVM-native expressions."""
-    indexer, encoder, assembler, lr = model.stages[0], model.stages[1], model.stages[2], model.stages[-1]
+    """Compile imputer + indexer + one-hot + assembler + logistic model into JVM-native expressions."""
+    imputer, indexer, encoder, assembler, lr = model.stages
+    means = imputer.surrogateDF.first().asDict()  # one row
+    source = dict(zip(imputer.getOutputCols(), imputer.getInputCols()))
     labels = dict(zip(indexer.getInputCols(), indexer.labelsArray))
     ohe_src = {o: i.replace("__idx", "") for i, o in zip(encoder.getInputCols(), encoder.getOutputCols())}
     slots: list[tuple[str, Column]] = []
@@ -59,7 +61,8 @@ def compile_linear(model: PipelineModel) -> CompiledLinear:
             # ... and the encoder's own keep slot for out-of-range indices, never set here
             slots.append((src, F.lit(0.0)))
         else:
-            slots.append((col, F.coalesce(F.col(col).cast("double"), F.lit(float("nan")))))
+            x = F.col(source[col]).cast("double")
+            slots.append((source[col], F.coalesce(F.when(~F.isnan(x), x), F.lit(float(means[source[col]])))))
     coef = lr.coefficients.toArray().tolist()
     if len(coef) != len(slots):
         raise ValueError(f"slot count {len(slots)} does not match the model's {len(coef)} coefficients")

@@ -1,26 +1,22 @@
 """Data drift (PSI, D1-D4, A8, J3, C8) and prediction drift (KS, rolling AUC, D5-D7).
 
-Fused drift: both sides are unpivoted to (side, feature, value) with ``inline``, the
-baseline's decile edges come from ONE ``percentile`` aggregate grouped by feature, the
-edges table (one row per feature, a bounded broadcast) is joined back, and one
-``groupBy(feature, bin)`` yields both sides' counts. No per-feature loop, one shuffle of
-the data for the bin counts.
-
-Exact ``percentile`` keeps a value->count map per feature, so its memory is the number
-of distinct values of that feature, not its row count; ``approx=True`` swaps in
-``percentile_approx`` for high-cardinality continuous features.
+Fused drift: both sides are unpivoted to (side, feature, value) with ``inline`` and counted
+once per distinct value (partial aggregation); the baseline's decile edges are read off a
+distributed running sum of these counts, and the bin counts are a second, small aggregate of
+them. The edges table has one row per feature and is broadcast. No per-feature loop, and no
+task holds a whole feature.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from carelens.operators.evaluate import cumulative_counts, roc_auc
+from carelens.operators.prefix import ks_pvalue, quantiles, running_sums
 from carelens.schemas import CATEGORICAL_COLUMNS, MODEL_FEATURE_COLUMNS
+from carelens.session import cut_lineage
 
 EPSILON = 1e-4
 
@@ -60,13 +56,21 @@ def _psi(counts: DataFrame, keys: list[str]) -> DataFrame:
     return wide.groupBy(*keys[:-1]).agg(F.sum(_term(F.col("c"), F.col("b"))).alias("psi"))
 
 
-def quantile_edges(baseline: DataFrame, features: list[str], n_bins: int = 10, approx: bool = False,
-                   accuracy: int = 100_000) -> DataFrame:
+def value_counts(df: DataFrame, side: str, features: list[str], numeric: bool = True) -> DataFrame:
+    """(side, feature, value, n) over non-NULL values."""
+    long = _long(df, side, features, numeric).where(F.col("value").isNotNull())
+    return long.groupBy("side", "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def edges_of(counts: DataFrame, n_bins: int = 10) -> DataFrame:
+    """A8 from (feature, value, n): per feature the distinct quantile edges, ascending."""
+    q = quantiles(counts, "value", quantile_grid(n_bins), ["feature"])
+    return q.select("feature", F.array_distinct(F.array_sort("q")).alias("edges"))
+
+
+def quantile_edges(baseline: DataFrame, features: list[str], n_bins: int = 10) -> DataFrame:
     """Per feature, distinct baseline quantile edges (linear interpolation), NULLs ignored."""
-    long = _long(baseline, "baseline", features, numeric=True).where(F.col("value").isNotNull())
-    grid = F.array(*[F.lit(q) for q in quantile_grid(n_bins)])
-    q = F.percentile_approx("value", grid, accuracy) if approx else F.percentile("value", grid)
-    return long.groupBy("feature").agg(F.array_distinct(F.array_sort(q)).alias("edges"))
+    return edges_of(value_counts(baseline, "baseline", features), n_bins)
 
 
 def _bin_col(edges_col: str = "edges") -> F.Column:
@@ -76,56 +80,75 @@ def _bin_col(edges_col: str = "edges") -> F.Column:
     return F.when(F.size(edges_col) >= 3, F.size(F.filter(inner, lambda e: e < F.col("value")))).otherwise(F.lit(0))
 
 
-def psi_numeric(baseline: DataFrame, current: DataFrame, features: list[str], n_bins: int = 10,
-                approx: bool = False) -> DataFrame:
+def psi_numeric(baseline: DataFrame, current: DataFrame, features: list[str], n_bins: int = 10) -> DataFrame:
     """PSI per numeric feature; baseline deciles, outer edges +-inf, right-closed bins,
     proportions over non-NULL values; fewer than 3 distinct edges -> 0.
 
-    Passes: the baseline once for the edges, then baseline and current once each for the
-    bin counts (edges broadcast: one row per feature)."""
-    edges = quantile_edges(baseline, features, n_bins, approx)
-    long = (_long(baseline, "baseline", features, True).unionByName(_long(current, "current", features, True))
-            .where(F.col("value").isNotNull()))
-    binned = long.join(F.broadcast(edges), "feature").select("feature", "side", _bin_col().alias("bin"))
-    return _psi(binned.groupBy("feature", "side", "bin").agg(F.count(F.lit(1)).alias("n")), ["feature", "bin"])
+    Each side is read once, for its value counts (edges broadcast: one row per feature)."""
+    counts = cut_lineage(value_counts(baseline, "baseline", features)
+                         .unionByName(value_counts(current, "current", features)))
+    edges = edges_of(counts.where("side = 'baseline'"), n_bins)
+    binned = counts.join(F.broadcast(edges), "feature").select("feature", "side", _bin_col().alias("bin"), "n")
+    return _psi(binned.groupBy("feature", "side", "bin").agg(F.sum("n").alias("n")), ["feature", "bin"])
 
 
-def psi_numeric_by_period(baseline: DataFrame, current: DataFrame, features: list[str], period: str,
-                          n_bins: int = 10, approx: bool = False) -> DataFrame:
-    """D1 per period of the current side (e.g. month), one fused job for every
-    (period, feature) with values; edges from the whole baseline. Output: period, feature, psi.
+def _psi_deltas(c: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """PSI per period from shares: c (_period, keys, pc) and b (keys, pb), keys[0] the feature.
 
     PSI_p = sum over the baseline's bins of term(eps, b) (a per-feature constant)
           + sum over the period's bins of [term(c, b) - term(eps, b) if b present else term(c, eps)],
-    so the current side is aggregated once and joined only to small broadcast tables
-    (bins x features), with no periods x bins cross product."""
-    edges = quantile_edges(baseline, features, n_bins, approx)
-    base_long = _long(baseline, "baseline", features, True).where(F.col("value").isNotNull())
-    b = (base_long.join(F.broadcast(edges), "feature").groupBy("feature", _bin_col().alias("bin"))
-         .agg(F.count(F.lit(1)).alias("n")))
+    so there is no periods x bins cross product."""
+    const = b.groupBy(keys[0]).agg(F.sum(_term(F.lit(0.0), F.col("pb"))).alias("_const"))
+    delta = F.when(F.col("pb").isNotNull(), _term(F.col("pc"), F.col("pb")) - _term(F.lit(0.0), F.col("pb"))) \
+        .otherwise(_term(F.col("pc"), F.lit(0.0)))
+    per = c.join(b, keys, "left").groupBy("_period", keys[0]).agg(F.sum(delta).alias("_d"))
+    return per.join(const, keys[0]).select("_period", keys[0], (F.col("_d") + F.col("_const")).alias("psi"))
+
+
+def psi_numeric_by_period(baseline: DataFrame, current: DataFrame, features: list[str], period: str,
+                          n_bins: int = 10) -> DataFrame:
+    """D1 per period of the current side (e.g. month), one fused job for every
+    (period, feature) with values; edges from the whole baseline. Output: period, feature, psi."""
+    base = cut_lineage(value_counts(baseline, "baseline", features))
+    edges = edges_of(base, n_bins)
+    b = (base.join(F.broadcast(edges), "feature").groupBy("feature", _bin_col().alias("bin"))
+         .agg(F.sum("n").alias("n")))
     b = b.select("feature", "bin", (F.col("n") / F.sum("n").over(Window.partitionBy("feature"))).alias("pb"))
-    const = b.groupBy("feature").agg(F.sum(_term(F.lit(0.0), F.col("pb"))).alias("_const"))
     cur_long = current.select(F.col(period).alias("_period"), F.inline(F.array(*[
         F.struct(F.lit(f).alias("feature"),
                  (F.col(f).cast("int") if dict(current.dtypes)[f] == "boolean" else F.col(f)).cast("double").alias("value"))
         for f in features]))).where(F.col("value").isNotNull())
-    c = (cur_long.join(F.broadcast(edges), "feature").groupBy("_period", "feature", _bin_col().alias("bin"))
-         .agg(F.count(F.lit(1)).alias("n")))
+    c = cur_long.groupBy("_period", "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    c = (c.join(F.broadcast(edges), "feature").groupBy("_period", "feature", _bin_col().alias("bin"))
+         .agg(F.sum("n").alias("n")))
     c = c.select("_period", "feature", "bin",
                  (F.col("n") / F.sum("n").over(Window.partitionBy("_period", "feature"))).alias("pc"))
-    j = c.join(F.broadcast(b), ["feature", "bin"], "left")  # bins x features: bounded
-    delta = F.when(F.col("pb").isNotNull(), _term(F.col("pc"), F.col("pb")) - _term(F.lit(0.0), F.col("pb"))) \
-        .otherwise(_term(F.col("pc"), F.lit(0.0)))
-    per = j.groupBy("_period", "feature").agg(F.sum(delta).alias("_d"))
-    return per.join(F.broadcast(const), "feature").select(
-        F.col("_period").alias(period), "feature", (F.col("_d") + F.col("_const")).alias("psi"))
+    return _psi_deltas(c, b, ["feature", "bin"]).withColumnRenamed("_period", period).select(period, "feature", "psi")
+
+
+def psi_categorical_by_period(baseline: DataFrame, current: DataFrame, features: list[str], period: str) -> DataFrame:
+    """D2 per period of the current side; NULL is its own category. Output: period, feature, psi."""
+    b = (_long(baseline, "baseline", features, False).withColumn("value", F.coalesce("value", F.lit("None")))
+         .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
+    b = b.select("feature", "value", (F.col("n") / F.sum("n").over(Window.partitionBy("feature"))).alias("pb"))
+    c = current.select(F.col(period).alias("_period"), F.inline(F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.coalesce(F.col(f).cast("string"), F.lit("None")).alias("value"))
+        for f in features]))).groupBy("_period", "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    c = c.select("_period", "feature", "value",
+                 (F.col("n") / F.sum("n").over(Window.partitionBy("_period", "feature"))).alias("pc"))
+    return _psi_deltas(c, b, ["feature", "value"]).withColumnRenamed("_period", period).select(period, "feature", "psi")
 
 
 def drift_events_by_period(baseline: DataFrame, current: DataFrame, period: str, features: list[str],
                            psi_threshold: float = 0.2) -> DataFrame:
     """D4 over time: one 'DataDriftReport' event per period (timestamp = period start),
-    drift_detected when any feature's PSI exceeds the threshold."""
-    p = psi_numeric_by_period(baseline, current, features, period)
+    drift_detected when any feature's PSI exceeds the threshold, over numeric and categorical
+    features alike."""
+    cats = [f for f in features if f in CATEGORICAL_COLUMNS]
+    nums = [f for f in features if f not in CATEGORICAL_COLUMNS]
+    parts = [psi_numeric_by_period(baseline, current, nums, period)] if nums else []
+    parts += [psi_categorical_by_period(baseline, current, cats, period)] if cats else []
+    p = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return p.groupBy(period).agg(F.max((F.col("psi") > psi_threshold).cast("int")).alias("_d"),
                                  F.round(F.max("psi"), 6).alias("max_psi")).select(
         F.col(period).cast("timestamp").alias("timestamp"), F.lit("DataDriftReport").alias("name"),
@@ -141,7 +164,7 @@ def psi_categorical(baseline: DataFrame, current: DataFrame, features: list[str]
 
 
 def drift_report(baseline: DataFrame, current: DataFrame, psi_threshold: float = 0.2, n_bins: int = 10,
-                 features: list[str] = MODEL_FEATURE_COLUMNS, approx: bool = False) -> DataFrame:
+                 features: list[str] = MODEL_FEATURE_COLUMNS) -> DataFrame:
     """One row per model feature present on both sides: psi (rounded to 4), drifted
     (psi > threshold, unrounded), kind."""
     both = [f for f in features if f in baseline.columns and f in current.columns]
@@ -149,7 +172,7 @@ def drift_report(baseline: DataFrame, current: DataFrame, psi_threshold: float =
     nums = [f for f in both if f not in CATEGORICAL_COLUMNS]
     parts = []
     if nums:
-        parts.append(psi_numeric(baseline, current, nums, n_bins, approx).withColumn("kind", F.lit("numeric")))
+        parts.append(psi_numeric(baseline, current, nums, n_bins).withColumn("kind", F.lit("numeric")))
     if cats:
         parts.append(psi_categorical(baseline, current, cats).withColumn("kind", F.lit("categorical")))
     out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -166,11 +189,18 @@ def drift_summary(report: DataFrame, baseline: DataFrame, current: DataFrame) ->
     return rows.crossJoin(flags).withColumn("drift_detected", F.size("drifted_features") > 0)
 
 
-def ks_two_sample(baseline: DataFrame, current: DataFrame, column: str, pvalue_threshold: float = 0.01,
-                  terms: int = 100) -> DataFrame:
-    """Two-sample KS: D = max gap of the two empirical CDFs over per-value counts;
-    asymptotic p = 2 sum_{k>=1} (-1)^(k-1) exp(-2 k^2 lambda^2), lambda = D sqrt(nm/(n+m)),
-    clipped to [0, 1]; D = 0 -> 1. NULLs dropped (C8)."""
+def _ks_row(d: DataFrame, gap: str, pvalue_threshold: float, keys=()) -> DataFrame:
+    # p is computed in its own projection: in a single select, the rounded output alias
+    # would shadow the unrounded statistic (lateral column alias resolution).
+    d = d.withColumn("_p", ks_pvalue(F.col(gap), F.col("n"), F.col("m")))
+    return d.select(*keys, F.col("n").alias("baseline_n"), F.col("m").alias("current_n"),
+                    F.round(gap, 4).alias("ks_statistic"), F.round("_p", 6).alias("ks_pvalue"),
+                    (F.col("_p") < F.lit(float(pvalue_threshold))).alias("drift_detected"))
+
+
+def ks_two_sample(baseline: DataFrame, current: DataFrame, column: str, pvalue_threshold: float = 0.01) -> DataFrame:
+    """Two-sample KS: D = max gap of the two empirical CDFs over per-value counts, with
+    the asymptotic p-value of lambda = D sqrt(nm/(n+m)); D = 0 -> 1. NULLs dropped (C8)."""
     b = baseline.where(F.col(column).isNotNull()).select(F.col(column).alias("score"), F.lit(1).alias("pos"),
                                                           F.lit(0).alias("neg"))
     c = current.where(F.col(column).isNotNull()).select(F.col(column).alias("score"), F.lit(0).alias("pos"),
@@ -178,54 +208,29 @@ def ks_two_sample(baseline: DataFrame, current: DataFrame, column: str, pvalue_t
     counts = b.unionByName(c).groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     cum = cumulative_counts(counts).withColumnRenamed("total_pos", "n").withColumnRenamed("total_neg", "m")
     gap = cum.select("n", "m", F.abs(F.col("cum_pos") / F.col("n") - F.col("cum_neg") / F.col("m")).alias("gap"))
-    d = gap.groupBy("n", "m").agg(F.max("gap").alias("ks_statistic"))
-    lam2 = F.pow(F.col("ks_statistic"), 2) * F.col("n") * F.col("m") / (F.col("n") + F.col("m"))
-    series = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
-                         lambda acc, k: acc + F.lit(2.0) * F.pow(F.lit(-1.0), k - 1) * F.exp(F.lit(-2.0) * k * k * lam2))
-    p = F.when(F.col("ks_statistic") == 0, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
-    # p is computed in its own projection: in a single select, the rounded output alias
-    # would shadow the unrounded statistic (lateral column alias resolution).
-    d = d.withColumn("_p", p)
-    return d.select(F.col("n").alias("baseline_n"), F.col("m").alias("current_n"),
-                    F.round("ks_statistic", 4).alias("ks_statistic"), F.round("_p", 6).alias("ks_pvalue"),
-                    (F.col("_p") < F.lit(float(pvalue_threshold))).alias("drift_detected"))
+    return _ks_row(gap.groupBy("n", "m").agg(F.max("gap").alias("_gap")), "_gap", pvalue_threshold)
 
 
 def ks_by_period(baseline: DataFrame, current: DataFrame, column: str, period: str,
-                 pvalue_threshold: float = 0.01, terms: int = 100) -> DataFrame:
-    """D5 per period of the current side: baseline per-value counts are replicated to every
-    period (periods x distinct values, both bounded), then one window per period over its
-    per-value counts gives the CDF gap."""
+                 pvalue_threshold: float = 0.01) -> DataFrame:
+    """D5 per period of the current side.
+
+    Between two scores of a period its own CDF is flat and the baseline's rises, so the largest
+    gap stands at a score of the period or just before one: the baseline CDF is needed at the
+    periods' scores only. One running sum over the distinct scores gives it there; the periods'
+    own CDFs are a second one, grouped by period."""
     b = baseline.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("score")) \
         .agg(F.count(F.lit(1)).alias("pos"))
     c = current.where(F.col(column).isNotNull()).groupBy(F.col(period).alias("_period"), F.col(column).alias("score")) \
         .agg(F.count(F.lit(1)).alias("neg"))
-    periods = c.select("_period").distinct()
-    rows = (periods.crossJoin(b).withColumn("neg", F.lit(0).cast("bigint"))
-            .unionByName(c.withColumn("pos", F.lit(0).cast("bigint")))
-            .groupBy("_period", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
-    w = Window.partitionBy("_period").orderBy("score").rowsBetween(Window.unboundedPreceding, 0)
-    wt = Window.partitionBy("_period")
-    cum = rows.select("_period", F.sum("pos").over(w).alias("cp"), F.sum("neg").over(w).alias("cn"),
-                      F.sum("pos").over(wt).alias("n"), F.sum("neg").over(wt).alias("m"))
-    d = cum.groupBy("_period", "n", "m").agg(F.max(F.abs(F.col("cp") / F.col("n") - F.col("cn") / F.col("m")))
-                                             .alias("_d"))
-    lam2 = F.pow(F.col("_d"), 2) * F.col("n") * F.col("m") / (F.col("n") + F.col("m"))
-    series = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
-                         lambda acc, k: acc + F.lit(2.0) * F.pow(F.lit(-1.0), k - 1) * F.exp(F.lit(-2.0) * k * k * lam2))
-    d = d.withColumn("_p", F.when(F.col("_d") == 0, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0))))
-    return d.select(F.col("_period").alias(period), F.col("n").alias("baseline_n"), F.col("m").alias("current_n"),
-                    F.round("_d", 4).alias("ks_statistic"), F.round("_p", 6).alias("ks_pvalue"),
-                    (F.col("_p") < F.lit(float(pvalue_threshold))).alias("drift_detected"))
-
-
-def ks_pvalue(d: float, n: int, m: int, terms: int = 100) -> float:
-    """Driver-side twin of the asymptotic p-value (used by tests)."""
-    if d == 0:
-        return 1.0
-    lam2 = d * d * n * m / (n + m)
-    s = sum(2.0 * (-1) ** (k - 1) * math.exp(-2.0 * k * k * lam2) for k in range(1, terms + 1))
-    return min(max(s, 0.0), 1.0)
+    scores = b.unionByName(c.select("score", F.lit(0).cast("bigint").alias("pos"))).groupBy("score").agg(F.sum("pos").alias("pos"))
+    cdf = cumulative_counts(scores, cols=("pos",)).select("score", "pos", "cum_pos", F.col("total_pos").alias("n"))
+    own = running_sums(c, F.col("score").asc(), ["neg"], ["_period"]).withColumnRenamed("total_neg", "m")
+    j = own.join(cdf, "score")
+    at = F.abs(F.col("cum_pos") / F.col("n") - F.col("cum_neg") / F.col("m"))
+    just_before = F.abs((F.col("cum_pos") - F.col("pos")) / F.col("n") - (F.col("cum_neg") - F.col("neg")) / F.col("m"))
+    d = j.groupBy("_period", "n", "m").agg(F.max(F.greatest(at, just_before)).alias("_gap"))
+    return _ks_row(d, "_gap", pvalue_threshold, [F.col("_period").alias(period)])
 
 
 def rolling_auc(current: DataFrame, prob: str = "readmission_probability", label: str = "readmitted_30d",
@@ -236,8 +241,7 @@ def rolling_auc(current: DataFrame, prob: str = "readmission_probability", label
     if by:
         sc = (lab.groupBy(*by, F.col(prob).alias("score"))
               .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")))
-        w = Window.partitionBy(*by).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-        sc = sc.withColumn("cum_neg", F.coalesce(F.sum("neg").over(w), F.lit(0)))
+        sc = cumulative_counts(sc, cols=("neg",), by=by).withColumn("cum_neg", F.col("cum_neg") - F.col("neg"))
         auc = sc.groupBy(*by).agg(
             F.sum(F.col("pos") + F.col("neg")).alias("n_labeled"),
             (F.sum(F.col("pos") * (F.col("cum_neg") + F.lit(0.5) * F.col("neg")))

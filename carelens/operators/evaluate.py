@@ -1,21 +1,16 @@
 """Model evaluation on a scored table (y_true, y_prob): E1-E8, E10, E11, W2, A9, P9.
 
 Every curve metric starts from the per-score aggregate (one row per distinct score,
-partial aggregation per task). Scores rounded to 4 decimals give at most 10,001 rows,
-so a cumulative window over them in one task is bounded; ``cumulative_counts`` checks
-the size and switches to a distributed prefix sum (range partitions + per-partition
-offsets) when the scores are not quantised.
+partial aggregation per task), whose running sums are a distributed prefix sum (range
+partitions + per-partition offsets, ``operators.prefix``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from carelens.session import cut_lineage
-
-SINGLE_TASK_SCORE_ROWS = 2_000_000
+from carelens.operators.prefix import running_sums
 
 
 def score_counts(df: DataFrame, y_true: str = "y_true", y_prob: str = "y_prob") -> DataFrame:
@@ -25,31 +20,10 @@ def score_counts(df: DataFrame, y_true: str = "y_true", y_prob: str = "y_prob")
             .agg(F.count_if(F.col(y_true) == 1).alias("pos"), F.count_if(F.col(y_true) != 1).alias("neg")))
 
 
-def cumulative_counts(counts: DataFrame, order: str = "score", cols=("pos", "neg"), descending: bool = False,
-                      inclusive: bool = True) -> DataFrame:
-    """Add ``cum_<c>`` = running sum of ``c`` in score order (W2) and ``total_<c>``.
-
-    Bounded inputs (quantised scores) use one window; larger ones a distributed prefix.
-    """
-    o = F.col(order).desc() if descending else F.col(order).asc()
-    frame_end = 0 if inclusive else -1
-    n = counts.count()
-    if n <= SINGLE_TASK_SCORE_ROWS:
-        w = Window.orderBy(o).rowsBetween(Window.unboundedPreceding, frame_end)
-        whole = Window.partitionBy()  # same single partition as the running sum: no extra pass
-        return counts.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"cum_{c}") for c in cols],
-                             *[F.sum(c).over(whole).alias(f"total_{c}") for c in cols])
-    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(counts.repartitionByRange(parts, o).withColumn("_pid", F.spark_partition_id()))
-    wl = Window.partitionBy("_pid").orderBy(o).rowsBetween(Window.unboundedPreceding, frame_end)
-    local = ranged.select("*", *[F.coalesce(F.sum(c).over(wl), F.lit(0)).alias(f"_l{c}") for c in cols])
-    totals = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_t{c}") for c in cols])
-    wo = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = totals.select("_pid", *[F.coalesce(F.sum(f"_t{c}").over(wo), F.lit(0)).alias(f"_o{c}") for c in cols])
-    grand = totals.agg(*[F.sum(f"_t{c}").alias(f"total_{c}") for c in cols])
-    out = local.join(F.broadcast(offs), "_pid").crossJoin(F.broadcast(grand))  # per-partition / one-row tables
-    return out.select(*counts.columns, *[(F.col(f"_l{c}") + F.col(f"_o{c}")).alias(f"cum_{c}") for c in cols],
-                      *[F.col(f"total_{c}") for c in cols])
+def cumulative_counts(counts: DataFrame, order: str = "score", cols=("pos", "neg"), by=()) -> DataFrame:
+    """Add ``cum_<c>`` = running sum of ``c`` in score order (W2) and ``total_<c>``, by a
+    distributed prefix sum."""
+    return running_sums(counts, F.col(order).asc(), cols, by)
 
 
 def curve_table(df: DataFrame, y_true: str = "y_true", y_prob: str = "y_prob") -> DataFrame:
@@ -176,9 +150,10 @@ def evaluate(df: DataFrame, decision_threshold: float = 0.5, precision_floor: fl
         "n_rows", F.round("_pr", 4).alias("positive_rate"), F.round("_auc", 4).alias("roc_auc"),
         F.round("_ap", 4).alias("pr_auc"), F.round("_br", 4).alias("brier_score"),
         F.lit(float(decision_threshold)).alias("decision_threshold"), "high_recall_threshold")
-    return out.select("*", (F.col("roc_auc") >= min_roc_auc).alias("passes_roc_auc"),
-                      (F.col("pr_auc") >= min_pr_auc).alias("passes_pr_auc"),
-                      (F.col("brier_score") <= max_brier).alias("passes_brier_score"))
+    # a metric that cannot be computed (one class, no rows) does not pass
+    return out.select("*", F.coalesce(F.col("roc_auc") >= min_roc_auc, F.lit(False)).alias("passes_roc_auc"),
+                      F.coalesce(F.col("pr_auc") >= min_pr_auc, F.lit(False)).alias("passes_pr_auc"),
+                      F.coalesce(F.col("brier_score") <= max_brier, F.lit(False)).alias("passes_brier_score"))
 
 
 def operating_points(df: DataFrame, decision_threshold: float = 0.5, precision_floor: float = 0.30,

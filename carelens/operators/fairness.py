@@ -123,24 +123,21 @@ def promotion_gate(metrics: DataFrame, differences: DataFrame, min_roc_auc: floa
     """One row per failed check with a readable reason (empty table = pass).
 
     ``metrics`` is the one-row output of ``evaluate``; ``differences`` the output of
-    ``fairness_differences``. An enforced attribute missing from it only warns (no row).
+    ``fairness_differences``. A value that could not be computed (NULL) fails its check. An
+    enforced attribute missing from the table only warns (no row).
     """
-    m = metrics.select(
-        F.explode(F.array(
-            F.struct(F.lit("roc_auc").alias("check"), F.col("roc_auc").alias("value"),
-                     (F.col("roc_auc") < min_roc_auc).alias("failed"),
-                     F.format_string(f"roc_auc %s < required {min_roc_auc}", F.col("roc_auc").cast("string")).alias("reason")),
-            F.struct(F.lit("pr_auc").alias("check"), F.col("pr_auc").alias("value"),
-                     (F.col("pr_auc") < min_pr_auc).alias("failed"),
-                     F.format_string(f"pr_auc %s < required {min_pr_auc}", F.col("pr_auc").cast("string")).alias("reason")),
-            F.struct(F.lit("brier_score").alias("check"), F.col("brier_score").alias("value"),
-                     (F.col("brier_score") > max_brier).alias("failed"),
-                     F.format_string(f"brier_score %s > allowed {max_brier}",
-                                     F.col("brier_score").cast("string")).alias("reason")))).alias("c")).select("c.*")
+    def failed(check, value, limit: float, lowest: bool):
+        bad = F.coalesce(value < limit if lowest else value > limit, F.lit(True))
+        bound = "minimum" if lowest else "maximum"
+        reason = F.when(value.isNull(), F.concat(check, F.lit(" could not be computed"))).otherwise(
+            F.concat(check, F.lit(" is "), value.cast("string"), F.lit(f"; the {bound} is {limit}")))
+        return F.struct(check.alias("check"), value.alias("value"), bad.alias("failed"), reason.alias("reason"))
+
+    m = metrics.select(F.explode(F.array(
+        failed(F.lit("roc_auc"), F.col("roc_auc"), min_roc_auc, True),
+        failed(F.lit("pr_auc"), F.col("pr_auc"), min_pr_auc, True),
+        failed(F.lit("brier_score"), F.col("brier_score"), max_brier, False))).alias("c")).select("c.*")
+    name = F.concat(F.lit("equalized_odds_difference["), F.col("attribute"), F.lit("]"))
     f = differences.where(F.col("attribute").isin(*enforced)).select(
-        F.concat(F.lit("equalized_odds_difference["), F.col("attribute"), F.lit("]")).alias("check"),
-        F.col("equalized_odds_difference").alias("value"),
-        (F.col("equalized_odds_difference") > max_eod).alias("failed"),
-        F.format_string(f"equalized_odds_difference[%s] %s > allowed {max_eod}", F.col("attribute"),
-                        F.col("equalized_odds_difference").cast("string")).alias("reason"))
+        failed(name, F.col("equalized_odds_difference"), max_eod, False).alias("c")).select("c.*")
     return m.unionByName(f).where("failed").select("check", "value", "reason")

@@ -1,7 +1,7 @@
 """Modelling on Spark ML: encoding (M1), training (M2, C7), search (M3), prediction
 (M4, P17), candidate comparison (E10, O5).
 
-The model is a ``PipelineModel``: StringIndexers (unseen -> extra index, ``keep``) ->
+The model is a ``PipelineModel``: mean imputation -> StringIndexers (unseen -> extra index, ``keep``) ->
 [OneHotEncoder for the linear model] -> VectorAssembler (fixes the column order) ->
 classifier. Training is Spark ML's distributed fit; nothing is collected but the
 one-row class-weight aggregate and the small metric rows of a search.
@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,14 +42,15 @@ def model_input(df: DataFrame, label: bool = True) -> DataFrame:
 def encoder_stages(algorithm: str) -> tuple[list, list[str]]:
     """M1: indexers (+ one-hot for the linear model) and the assembled input columns."""
     # one multi-column indexer: a single pass over the data for all six vocabularies
-    idx = [StringIndexer(inputCols=CATEGORICAL_COLUMNS, outputCols=[f"{c}__idx" for c in CATEGORICAL_COLUMNS],
+    imputed = [f"{c}__imp" for c in NUMERIC_FEATURES]  # missing numbers take the training mean
+    idx = [Imputer(inputCols=NUMERIC_FEATURES, outputCols=imputed, strategy="mean"), StringIndexer(inputCols=CATEGORICAL_COLUMNS, outputCols=[f"{c}__idx" for c in CATEGORICAL_COLUMNS],
                          handleInvalid="keep", stringOrderType="alphabetAsc")]
     if algorithm == "gbt":
         # native categorical splits: indexed columns carry nominal metadata
-        return idx, NUMERIC_FEATURES + [f"{c}__idx" for c in CATEGORICAL_COLUMNS]
+        return idx, imputed + [f"{c}__idx" for c in CATEGORICAL_COLUMNS]
     ohe = OneHotEncoder(inputCols=[f"{c}__idx" for c in CATEGORICAL_COLUMNS],
                         outputCols=[f"{c}__ohe" for c in CATEGORICAL_COLUMNS], handleInvalid="keep", dropLast=False)
-    return idx + [ohe], NUMERIC_FEATURES + [f"{c}__ohe" for c in CATEGORICAL_COLUMNS]
+    return idx + [ohe], imputed + [f"{c}__ohe" for c in CATEGORICAL_COLUMNS]
 
 
 @dataclass
@@ -60,7 +61,9 @@ class TrainSpec:
     class_weight: bool = True
 
 
-def build_pipeline(spec: TrainSpec, early_stop: bool = False) -> Pipeline:
+def build_pipeline(spec: TrainSpec, early_stop: bool = False, categories: int = 0) -> Pipeline:
+    """``categories``: the most distinct values of a categorical column (trees need a bin for
+    each, and one for unseen values)."""
     stages, inputs = encoder_stages(spec.algorithm)
     asm = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
     p = dict(spec.params)
@@ -68,7 +71,7 @@ def build_pipeline(spec: TrainSpec, early_stop: bool = False) -> Pipeline:
     if spec.class_weight:
         common["weightCol"] = "weight"
     if spec.algorithm == "gbt":
-        clf = GBTClassifier(seed=spec.seed, maxBins=max(32, p.pop("maxBins", 32)), **common, **p)
+        clf = GBTClassifier(seed=spec.seed, maxBins=max(32, categories + 2, p.pop("maxBins", 32)), **common, **p)
         if early_stop:
             clf.setValidationIndicatorCol("is_val")
     elif spec.algorithm == "logreg":
@@ -89,7 +92,10 @@ def train_model(train: DataFrame, val: DataFrame | None, spec: TrainSpec) -> Pip
         if spec.class_weight:
             v = v.withColumn("weight", F.lit(1.0))
         t = t.unionByName(v)
-    fitted = build_pipeline(spec, early_stop).fit(t)
+    categories = 0
+    if spec.algorithm == "gbt":
+        categories = max(t.agg(*[F.count_distinct(c) for c in CATEGORICAL_COLUMNS]).first())
+    fitted = build_pipeline(spec, early_stop, categories).fit(t)
     if spec.algorithm == "logreg":
         # scored through compiled column expressions (contributions.compile_linear): no
         # Spark ML UDF ever captures the fitted model
@@ -148,7 +154,7 @@ DEFAULT_SPACE = SearchSpace(
 
 
 def search(train: DataFrame, val: DataFrame, trials: int = 20, concurrency: int = 4, seed: int = 42,
-           space: SearchSpace = DEFAULT_SPACE, algorithm: str = "gbt", max_iter_cap: int | None = None):
+           space: SearchSpace = DEFAULT_SPACE, algorithm: str = "gbt"):
     """M3: seeded candidates trained concurrently (driver threads submit Spark jobs),
     ranked by average precision on the temporal validation split. Returns
     (best_model, metrics DataFrame with one row per trial)."""
@@ -159,8 +165,6 @@ def search(train: DataFrame, val: DataFrame, trials: int = 20, concurrency: int
     for c in cands:
         if "featureSubsetStrategy" in c:
             c["featureSubsetStrategy"] = f"{c['featureSubsetStrategy']:.3f}"
-        if max_iter_cap and "maxIter" in c:
-            c["maxIter"] = min(c["maxIter"], max_iter_cap)
 
     def run(i_params):
         i, params = i_params

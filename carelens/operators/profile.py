@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carelens.operators.prefix import quantiles
+
 
 def _long(df: DataFrame, columns: list[str], cast: str) -> DataFrame:
     return df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(cast).alias("value"))
@@ -33,17 +35,21 @@ def value_shares(df: DataFrame, columns: list[str]) -> DataFrame:
 def describe_numeric(df: DataFrame, columns: list[str], approx: bool = False, accuracy: int = 10_000) -> DataFrame:
     """A3 (numeric): count, mean, std (sample), min, 25/50/75% (linear), max per column.
 
-    Exact quartiles keep a value->count map per column (memory = distinct values);
-    ``approx=True`` uses ``percentile_approx`` (bounded sketch) for continuous columns."""
+    Quartiles are exact, read off a distributed running count of distinct values;
+    ``approx=True`` uses ``percentile_approx`` (a bounded sketch, one pass)."""
     long = _long(df, columns, "double").where(F.col("value").isNotNull())
-
-    def q(p):
-        return F.percentile_approx("value", F.lit(p), accuracy).cast("double") if approx else F.percentile("value", F.lit(p))
-    return long.groupBy("column").agg(
-        F.count(F.lit(1)).alias("count"), F.round(F.avg("value"), 6).alias("mean"),
-        F.round(F.stddev_samp("value"), 6).alias("std"), F.min("value").alias("min"),
-        F.round(q(0.25), 6).alias("p25"), F.round(q(0.5), 6).alias("p50"), F.round(q(0.75), 6).alias("p75"),
-        F.max("value").alias("max"))
+    stats = [F.count(F.lit(1)).alias("count"), F.round(F.avg("value"), 6).alias("mean"),
+             F.round(F.stddev_samp("value"), 6).alias("std"), F.min("value").alias("min")]
+    probs = [0.25, 0.5, 0.75]
+    if approx:
+        q = F.percentile_approx("value", F.array(*map(F.lit, probs)), accuracy).cast("array<double>")
+        g = long.groupBy("column").agg(*stats, F.max("value").alias("max"), q.alias("q"))
+    else:
+        counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+        g = long.groupBy("column").agg(*stats, F.max("value").alias("max")).join(
+            quantiles(counts, "value", probs, ["column"]), "column")
+    return g.select("column", "count", "mean", "std", "min",
+                    *[F.round(F.col("q")[i], 6).alias(f"p{int(p * 100)}") for i, p in enumerate(probs)], "max")
 
 
 def describe_categorical(df: DataFrame, columns: list[str]) -> DataFrame:

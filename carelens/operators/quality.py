@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelens.schemas import RAW_ENCOUNTER_COLUMNS
+from carelens.schemas import ADMISSION_TYPES, DISCHARGE_DISPOSITIONS, RAW_ENCOUNTER_COLUMNS, SEX_VALUES
 
 
 @dataclass(frozen=True)
@@ -36,9 +36,9 @@ ENCOUNTER_SUITE: list[Expectation] = [
     Expectation("unique", "encounter_id"),
     Expectation("not_null", "patient_id"),
     Expectation("between", "age", 0, 120),
-    Expectation("in_set", "sex", value_set=("M", "F", "U")),
-    Expectation("in_set", "admission_type", value_set=("Elective", "Emergency", "Urgent")),
-    Expectation("in_set", "discharge_disposition", value_set=("Home", "SNF", "Rehab", "HomeHealth", "AMA")),
+    Expectation("in_set", "sex", value_set=tuple(SEX_VALUES)),
+    Expectation("in_set", "admission_type", value_set=tuple(ADMISSION_TYPES)),
+    Expectation("in_set", "discharge_disposition", value_set=tuple(DISCHARGE_DISPOSITIONS)),
     Expectation("between", "length_of_stay", 0, 365),
     Expectation("between", "comorbidity_count", 0, 30),
     Expectation("between", "charlson_index", 0, 20),
@@ -56,8 +56,8 @@ ENCOUNTER_SUITE: list[Expectation] = [
 # Scoring request field rules (strict bounds are open intervals).
 REQUEST_RULES: list[tuple[str, str, tuple]] = [
     ("age", "range", (0, 120)),
-    ("sex", "in", ("M", "F", "U")),
-    ("admission_type", "in", ("Elective", "Emergency", "Urgent")),
+    ("sex", "in", tuple(SEX_VALUES)),
+    ("admission_type", "in", tuple(ADMISSION_TYPES)),
     ("length_of_stay", "range", (0, 365)),
     ("comorbidity_count", "min", (0,)),
     ("charlson_index", "min", (0,)),
@@ -210,7 +210,5 @@ def request_failures(df: DataFrame) -> Column:
 
 def envelope_failures(data: Column, max_batch: int = 100) -> Column:
     """The batch envelope ``data`` must be a non-empty array of at most ``max_batch``."""
-    return (F.when(data.isNull(), F.lit("'data' must be a non-empty array"))
-            .when(F.size(data) == 0, F.lit("'data' must be a non-empty array"))
-            .when(F.size(data) > max_batch, F.concat(F.lit("batch size "), F.size(data).cast("string"),
-                                                      F.lit(f" exceeds max of {max_batch}"))))
+    return (F.when(data.isNull() | (F.size(data) == 0), F.lit("no records in 'data'"))
+            .when(F.size(data) > max_batch, F.concat(F.size(data).cast("string"), F.lit(f" records; at most {max_batch} per batch"))))

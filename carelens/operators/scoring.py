@@ -8,6 +8,7 @@ directly, see ``streaming.scoring``); there is no per-row loop.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,13 +112,16 @@ def register(spark: SparkSession, model: PipelineModel, model_root: str, registr
     if reasons:
         raise PromotionGateError("; ".join(reasons))
     try:
-        prev = spark.read.parquet(registry_path).where(F.col("model_name") == model_name) \
-            .agg(F.max("version")).first()[0]
-    except Exception:  # noqa: BLE001 - first registration: no table yet
+        registry = spark.read.parquet(registry_path)
+    except AnalysisException as ex:
+        if ex.getCondition() != "PATH_NOT_FOUND":  # only a missing table means a first registration
+            raise
         prev = None
+    else:
+        prev = registry.where(F.col("model_name") == model_name).agg(F.max("version")).first()[0]
     version = (prev or 0) + 1
     path = f"{model_root.rstrip('/')}/{model_name}/v{version}"
-    model.write().overwrite().save(path)
+    model.save(path)  # fails if the version is there: a registered model is never overwritten
     t = tags or {}
     row = metrics.select(
         F.lit(model_name).alias("model_name"), F.lit(version).alias("version"), F.lit(path).alias("model_path"),

@@ -2,10 +2,9 @@
 class weight (C7).
 
 Temporal split without a global single-partition window:
-  1. per-date counts (partial aggregate; one row per calendar day, a bound set by
-     the DATE type and the data's time span, not by the row count);
-  2. the small per-date table gives, on the driver, the two boundary dates and how
-     many rows of each go to the earlier split;
+  1. per-date counts (partial aggregate) and their running sums (distributed);
+  2. the at most two rows that hold a boundary position come to the driver: a date and
+     how many of its rows go to the earlier split;
   3. only rows on the two boundary dates need a rank within their date. That rank is
      computed by a distributed ranking (range partitioning on the order key, per-
      partition offsets), so a hot date holding a third of all rows is sorted by many
@@ -19,12 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from carelens.operators.prefix import running_sums
 from carelens.schemas import LABEL_COLUMN
 from carelens.session import cut_lineage
 
-MAX_SPLIT_DATES = 1_000_000  # a DATE column spans far fewer days than this
-
-
 def distributed_rank(df: DataFrame, order: list[str], rank_col: str = "_rank",
                      partitions: int | None = None) -> DataFrame:
     """0-based rank of each row by ``order`` (unique key assumed), computed without a
@@ -52,47 +49,54 @@ def distributed_rank(df: DataFrame, order: list[str], rank_col: str = "_rank",
 def temporal_split(df: DataFrame, train_fraction: float = 0.70, validation_fraction: float = 0.15,
                    date_col: str = "discharge_date", key: str = "encounter_id",
                    split_col: str = "split") -> DataFrame:
-    """Rows ordered by (date_col, key): first int(n*train) -> train, next int(n*val) -> val,
-    rest -> test."""
-    per_date = df.groupBy(date_col).agg(F.count(F.lit(1)).alias("n")).orderBy(date_col)
-    dates = per_date.collect()  # one row per day: bounded by the calendar span
-    if len(dates) > MAX_SPLIT_DATES:
-        raise ValueError("too many distinct split dates")
-    n = sum(r["n"] for r in dates)
+    """Rows ordered by (date_col, key), NULL dates last: first int(n*train) -> train, next
+    int(n*val) -> val, rest -> test."""
+    per_date = df.groupBy(F.col(date_col).alias("d")).agg(F.count(F.lit(1)).alias("n"))
+    cum = cut_lineage(running_sums(per_date, F.col("d").asc_nulls_last(), ["n"]))
+    n = cum.agg(F.max("total_n")).first()[0] or 0
     train_end = int(n * train_fraction)
     val_end = train_end + int(n * validation_fraction)
 
+    def holds(pos: int) -> Column:
+        return (F.col("cum_n") - F.col("n") <= pos) & (F.col("cum_n") > pos)
+
+    edges = cum.where(holds(train_end) | holds(val_end)).collect()  # at most two rows
+
     def boundary(pos: int):
         """(date, k): rows of `date` with within-date rank < k are before `pos`."""
-        cum = 0
-        for r in dates:
-            if cum + r["n"] > pos:
-                return r[date_col], pos - cum
-            cum += r["n"]
-        return None, 0
-
-    d1, k1 = boundary(train_end)
-    d2, k2 = boundary(val_end)
+        for r in edges:
+            if r["cum_n"] - r["n"] <= pos < r["cum_n"]:
+                return r["d"], pos - (r["cum_n"] - r["n"])
+        return None  # all rows are before
+
     dcol = F.col(date_col)
 
-    def before(d, k, inner: Column) -> Column:
-        if d is None:
+    def before(at, inner: Column) -> Column:
+        if at is None:
             return F.lit(True)
-        return (dcol < F.lit(d)) | ((dcol == F.lit(d)) & (inner < F.lit(k)))
-
-    boundary_dates = [d for d in {d1, d2} if d is not None]
-    if boundary_dates:
-        edge = df.where(dcol.isin(*boundary_dates)).select(dcol.alias("_bd"), F.col(key).alias("_bk"))
+        d, k = at
+        if d is None:  # the boundary lies among the NULL dates
+            return dcol.isNotNull() | (inner < F.lit(k))
+        return F.coalesce((dcol < F.lit(d)) | ((dcol == F.lit(d)) & (inner < F.lit(k))), F.lit(False))
+
+    first, second = boundary(train_end), boundary(val_end)
+    dates = [at[0] for at in {first, second} if at is not None]
+    if dates:
+        on_edge = F.lit(False)
+        for d in dates:
+            on_edge = on_edge | dcol.eqNullSafe(F.lit(d))
+        edge = df.where(on_edge).select(dcol.alias("_bd"), F.col(key).alias("_bk"))
         edge = distributed_rank(edge, ["_bd", "_bk"], "_grank")
         # rank within date = global rank among boundary rows - rows on earlier boundary dates
-        first = edge.groupBy("_bd").agg(F.min("_grank").alias("_first"))
-        edge = edge.join(F.broadcast(first), "_bd").select("_bd", "_bk", (F.col("_grank") - F.col("_first")).alias("_r"))
-        out = df.join(edge, (dcol == F.col("_bd")) & (F.col(key) == F.col("_bk")), "left")
+        least = edge.groupBy(F.col("_bd").alias("_fd")).agg(F.min("_grank").alias("_first"))  # two rows
+        edge = edge.join(F.broadcast(least), F.col("_bd").eqNullSafe(F.col("_fd"))).select(
+            "_bd", "_bk", (F.col("_grank") - F.col("_first")).alias("_r"))
+        out = df.join(edge, dcol.eqNullSafe(F.col("_bd")) & (F.col(key) == F.col("_bk")), "left")
     else:
         out = df.withColumn("_r", F.lit(None).cast("bigint"))
     inner = F.col("_r")
-    split = (F.when(before(d1, k1, inner), F.lit("train"))
-             .when(before(d2, k2, inner), F.lit("val"))
+    split = (F.when(before(first, inner), F.lit("train"))
+             .when(before(second, inner), F.lit("val"))
              .otherwise(F.lit("test")))
     return out.withColumn(split_col, split).drop("_bd", "_bk", "_r")
 

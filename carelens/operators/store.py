@@ -3,8 +3,8 @@
 Offline read is a lazy scan (column pruning and filter pushdown reach the files).
 Online lookup is a ``left_semi`` join of the requested ids; the missing-id check is a
 ``left_anti`` join. Catalyst/AQE pick broadcast for a small request and sort-merge for
-a batch-sized one; nothing is collected except the missing ids of a failed lookup,
-which the error message caps.
+a batch-sized one; nothing is collected. The missing ids of a failed lookup are a written
+table that the error names.
 """
 
 from __future__ import annotations
@@ -13,6 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelens.schemas import MODEL_FEATURE_COLUMNS
+from carelens.session import scratch_path
+
+
+class MissingIdsError(KeyError):
+    """Requested ids are not in the table; ``ids()`` is the whole list as a DataFrame."""
+
+    def __init__(self, n: int, path: str, spark: SparkSession):
+        super().__init__(f"{n} requested encounter id(s) have no features; the list is in {path}")
+        self.n, self.path, self._spark = n, path, spark
+
+    def ids(self) -> DataFrame:
+        return self._spark.read.parquet(self.path)
 
 
 class FeatureStore:
@@ -28,10 +40,9 @@ class FeatureStore:
         return self._df
 
     def get_online_features(self, ids, columns: list[str] = MODEL_FEATURE_COLUMNS,
-                            strict: bool = True, max_report: int = 20) -> DataFrame:
+                            strict: bool = True) -> DataFrame:
         """J1 (+ J2 when ``strict``): rows of the requested ids, model columns only."""
-        return lookup(self.get_offline_features(), _ids_frame(self.spark, ids, self.key), self.key, columns,
-                      strict, max_report)
+        return lookup(self.get_offline_features(), _ids_frame(self.spark, ids, self.key), self.key, columns, strict)
 
 
 def _ids_frame(spark: SparkSession, ids, key: str) -> DataFrame:
@@ -46,16 +57,17 @@ def missing_ids(table: DataFrame, requested: DataFrame, key: str = "encounter_id
 
 
 def lookup(table: DataFrame, requested: DataFrame, key: str = "encounter_id",
-           columns: list[str] = MODEL_FEATURE_COLUMNS, strict: bool = False, max_report: int = 20) -> DataFrame:
+           columns: list[str] = MODEL_FEATURE_COLUMNS, strict: bool = False) -> DataFrame:
     """Semi-join of the table with the requested ids.
 
-    ``strict``: raise ``KeyError`` with the (sorted, capped) missing ids when any is absent.
+    ``strict``: when any id is absent, write the sorted missing ids to the shared scratch
+    folder and raise ``MissingIdsError`` (a ``KeyError``) with their number and the path.
     """
     if strict:
-        missing = missing_ids(table, requested, key)
-        head = [r[0] for r in missing.orderBy(key).limit(max_report + 1).collect()]
-        if head:
-            more = " ..." if len(head) > max_report else ""
-            raise KeyError(f"encounter ids not found: {head[:max_report]}{more}")
+        path = scratch_path(table.sparkSession, "missing-ids")
+        missing_ids(table, requested, key).orderBy(key).write.parquet(path)
+        n = table.sparkSession.read.parquet(path).count()
+        if n:
+            raise MissingIdsError(n, path, table.sparkSession)
     cols = [key] + [c for c in columns if c in table.columns and c != key]
     return table.join(requested.select(key).distinct(), key, "left_semi").select(*cols)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelens.operators.prefix import quantiles
+
 # Endpoint name and dependency target matched by the queries.
 SCORE_OPERATION = "v1/score"
 INFERENCE_TARGET = "inference.ml.azure.com"
@@ -32,6 +34,13 @@ def dim(col: Column, key: str) -> Column:
     return F.get_json_object(col, f"$.{key}")
 
 
+def dim_bool(col: Column, key: str) -> Column:
+    """``tobool(customDimensions[key])``: true / false in any case, or a number (0 is false);
+    anything else is NULL."""
+    v = F.lower(dim(col, key))
+    return F.when(v.isin("true", "false"), v == "true").otherwise(v.try_cast("double") != 0)
+
+
 def pct(num: Column, den: Column, digits: int) -> Column:
     """round(100 * num / den, digits)."""
     return F.round(F.lit(100.0) * num / den, digits)
@@ -51,16 +60,21 @@ def _bin(size: str, ts: str = "timestamp") -> Column:
 def latency_percentiles(requests: DataFrame, as_of: Column | None = None, lookback: str | None = None,
                         bin_size: str = "5 minutes", approx: bool = False, accuracy: int = 10_000) -> DataFrame:
     """K1 + A7: p50/p95/p99 duration and request count per bin. Exact (linear) by default;
-    ``approx=True`` uses a bounded ``percentile_approx`` sketch per bin (KQL's own
-    percentile is approximate), for bins with many distinct durations."""
+    ``approx=True`` uses a ``percentile_approx`` sketch per bin (KQL's own percentile is
+    approximate). In time order."""
     r = recent(requests, as_of, lookback).where(has_term(F.col("name"), SCORE_OPERATION))
-
-    def q(p):
-        return (F.percentile_approx("duration", F.lit(p), accuracy).cast("double") if approx
-                else F.percentile("duration", F.lit(p)))
-    return (r.groupBy(_bin(bin_size).alias("timestamp"))
-            .agg(F.round(q(0.5), 6).alias("p50"), F.round(q(0.95), 6).alias("p95"), F.round(q(0.99), 6).alias("p99"),
-                 F.count(F.lit(1)).alias("requestCount")))
+    r = r.select(_bin(bin_size).alias("timestamp"), "duration")
+    probs = [0.5, 0.95, 0.99]
+    g = r.groupBy("timestamp")
+    if approx:
+        out = g.agg(F.count(F.lit(1)).alias("requestCount"),
+                    F.percentile_approx("duration", F.array(*map(F.lit, probs)), accuracy).cast("array<double>").alias("q"))
+    else:
+        counts = r.groupBy("timestamp", "duration").agg(F.count(F.lit(1)).alias("n"))
+        out = g.agg(F.count(F.lit(1)).alias("requestCount")).join(
+            quantiles(counts, "duration", probs, ["timestamp"]), "timestamp", "left")
+    return out.select("timestamp", *[F.round(F.col("q")[i], 6).alias(f"p{int(p * 100)}") for i, p in enumerate(probs)],
+                      "requestCount").orderBy("timestamp")
 
 
 def error_rate_5xx(requests: DataFrame, as_of: Column | None = None, lookback: str | None = None,
@@ -69,14 +83,15 @@ def error_rate_5xx(requests: DataFrame, as_of: Column | None = None, lookback: s
     r = recent(requests, as_of, lookback).where(has_term(F.col("name"), SCORE_OPERATION))
     g = r.groupBy(_bin(bin_size).alias("timestamp")).agg(
         F.count(F.lit(1)).alias("total"), F.count_if(startswith_ci(F.col("resultCode"), "5")).alias("errors"))
-    return g.withColumn("errorRate", pct(F.col("errors"), F.col("total"), 2))
+    return g.withColumn("errorRate", pct(F.col("errors"), F.col("total"), 2)).orderBy("timestamp")
 
 
 def failures_by_code(requests: DataFrame, as_of: Column | None = None, lookback: str | None = None,
                      bin_size: str = "5 minutes") -> DataFrame:
     """K3: failed requests by result code and bin."""
     r = recent(requests, as_of, lookback).where(~F.col("success"))
-    return r.groupBy("resultCode", _bin(bin_size).alias("timestamp")).agg(F.count(F.lit(1)).alias("count_"))
+    return (r.groupBy("resultCode", _bin(bin_size).alias("timestamp")).agg(F.count(F.lit(1)).alias("count_"))
+            .orderBy("timestamp", "resultCode"))
 
 
 def dependency_health(dependencies: DataFrame, as_of: Column | None = None, lookback: str | None = None,
@@ -85,7 +100,7 @@ def dependency_health(dependencies: DataFrame, as_of: Column | None = None, look
     d = recent(dependencies, as_of, lookback).where(has_term(F.col("target"), INFERENCE_TARGET))
     return d.groupBy(_bin(bin_size).alias("timestamp")).agg(
         F.count(F.lit(1)).alias("total"), F.count_if(~F.col("success")).alias("failures"),
-        F.round(F.avg("duration"), 6).alias("avgDuration"))
+        F.round(F.avg("duration"), 6).alias("avgDuration")).orderBy("timestamp")
 
 
 def tier_counts(custom_events: DataFrame, as_of: Column | None = None, lookback: str | None = None,
@@ -93,7 +108,8 @@ def tier_counts(custom_events: DataFrame, as_of: Column | None = None, lookback:
     """K5: scored encounters per risk tier and bin."""
     e = recent(custom_events, as_of, lookback).where(F.col("name") == "ScoringCompleted")
     return (e.withColumn("riskTier", dim(F.col("customDimensions"), "risk_tier"))
-            .groupBy("riskTier", _bin(bin_size).alias("timestamp")).agg(F.count(F.lit(1)).alias("count_")))
+            .groupBy("riskTier", _bin(bin_size).alias("timestamp")).agg(F.count(F.lit(1)).alias("count_"))
+            .orderBy("timestamp", "riskTier"))
 
 
 def throttled_clients(requests: DataFrame, as_of: Column | None = None, lookback: str | None = None,
@@ -101,7 +117,8 @@ def throttled_clients(requests: DataFrame, as_of: Column | None = None, lookback
     """K6: 429 responses by client application and bin."""
     r = recent(requests, as_of, lookback).where(F.col("resultCode") == "429")
     return (r.withColumn("appId", dim(F.col("customDimensions"), "appid"))
-            .groupBy("appId", _bin(bin_size).alias("timestamp")).agg(F.count(F.lit(1)).alias("count_")))
+            .groupBy("appId", _bin(bin_size).alias("timestamp")).agg(F.count(F.lit(1)).alias("count_"))
+            .orderBy("timestamp", "appId"))
 
 
 def availability(dependencies: DataFrame, as_of: Column | None = None, lookback: str | None = None,
@@ -110,7 +127,7 @@ def availability(dependencies: DataFrame, as_of: Column | None = None, lookback:
     d = recent(dependencies, as_of, lookback).where(has_term(F.col("target"), INFERENCE_TARGET))
     g = d.groupBy(_bin(bin_size).alias("timestamp")).agg(
         F.count(F.lit(1)).alias("total"), F.count_if(F.col("success")).alias("successCount"))
-    return g.withColumn("availabilityPct", pct(F.col("successCount"), F.col("total"), 3))
+    return g.withColumn("availabilityPct", pct(F.col("successCount"), F.col("total"), 3)).orderBy("timestamp")
 
 
 # Alert rule thresholds and windows.
@@ -132,8 +149,10 @@ def alerts(requests: DataFrame, dependencies: DataFrame, drift_events: DataFrame
     """
     r1, r2, r3 = (ALERT_RULES[k] for k in ("HighScoringLatencyP95", "HighErrorRate", "EndpointAvailabilityDrop"))
     score = requests.where(has_term(F.col("name"), SCORE_OPERATION))
-    l1 = (score.groupBy(F.window("timestamp", r1["window"]).alias("w"))
-          .agg(F.percentile("duration", F.lit(0.95)).alias("value"))
+    counts = score.groupBy(F.window("timestamp", r1["window"]).alias("w"), "duration").agg(F.count(F.lit(1)).alias("n"))
+    l1 = (quantiles(counts.withColumn("start", F.col("w.start")), "duration", [0.95], ["start"])
+          .select(F.struct(F.col("start"), (F.col("start") + F.expr(f"INTERVAL {r1['window']}")).alias("end")).alias("w"),
+                  F.col("q")[0].alias("value"))
           .where(F.col("value") > r1["threshold"]).select(F.lit("HighScoringLatencyP95").alias("alert"), "w", "value"))
     l2 = (score.groupBy(F.window("timestamp", r2["window"]).alias("w"))
           .agg((F.lit(100.0) * F.count_if(startswith_ci(F.col("resultCode"), "5")) / F.count(F.lit(1))).alias("value"))
@@ -149,8 +168,11 @@ def alerts(requests: DataFrame, dependencies: DataFrame, drift_events: DataFrame
 
 
 def drift_alerts(drift_events: DataFrame) -> DataFrame:
-    """Hourly windows holding at least one flagged drift report event
-    (``drift_events``: timestamp, name, drift_detected)."""
+    """Hourly windows holding at least one flagged drift report event. The flag is the
+    ``drift_detected`` entry of the events' ``customDimensions`` (``drift_events``: timestamp,
+    name, customDimensions), or a column of that name."""
+    if "customDimensions" in drift_events.columns:
+        drift_events = drift_events.withColumn("drift_detected", dim_bool(F.col("customDimensions"), "drift_detected"))
     parts = []
     for alert, event in (("DataDriftDetected", "DataDriftReport"), ("ModelDriftDetected", "ModelDriftReport")):
         rule = ALERT_RULES[alert]

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from carelens.operators import drift as dr
 from carelens.operators import telemetry as tm
+from carelens.operators.prefix import ks_pvalue_sql, with_row_number
 from carelens.plans import base
-from carelens.plans.catalog import register
+from carelens.plans.catalog import SQL, register
 from carelens.plans.oracle import ALLFEAT, ENC, FEAT, PRED, SPLIT, with_ctes
 from carelens.schemas import CATEGORICAL_COLUMNS, MODEL_FEATURE_COLUMNS
 from carelens.sources import telemetry as src
@@ -101,8 +102,7 @@ kcum AS (SELECT *, sum(pos) OVER (ORDER BY score ROWS UNBOUNDED PRECEDING) AS cp
 kt AS (SELECT sum(pos) AS n, sum(neg) AS m FROM kc),
 kd AS (SELECT CAST(n AS BIGINT) AS n, CAST(m AS BIGINT) AS m, max(abs(CAST(cp AS DOUBLE) / n - CAST(cn AS DOUBLE) / m)) AS d
        FROM kcum CROSS JOIN kt GROUP BY n, m),
-kp AS (SELECT *, CASE WHEN d = 0 THEN 1.0 ELSE least(greatest(list_sum(list_transform(range(1, 101),
-          lambda k: 2.0 * pow(-1.0, k - 1) * exp(-2.0 * k * k * (pow(d, 2) * n * m / (n + m))))), 0.0), 1.0) END AS p FROM kd)"""
+kp AS (SELECT *, """ + ks_pvalue_sql("d", "n", "m") + """ AS p FROM kd)"""
 
 
 @register("ks_two_sample", with_ctes(ENC, ALLFEAT, PRED) + KS_SQL + """
@@ -240,6 +240,53 @@ def availability(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(tm.availability(src.dependencies(spark, sf_dir)))
 
 
+# ---------------------------------------------------------------- as written: lookback and time order
+
+# Each query's own lookback and time bin.
+RECENT = {
+    "latency_percentiles": ("requests", "1 hour", "5 minutes"),
+    "error_rate_5xx": ("requests", "30 minutes", "5 minutes"),
+    "failures_by_code": ("requests", "30 minutes", "5 minutes"),
+    "dependency_health": ("dependencies", "30 minutes", "5 minutes"),
+    "tier_counts": ("custom_events", "24 hours", "1 hour"),
+    "throttled_clients": ("requests", "1 hour", "5 minutes"),
+    "availability": ("dependencies", "24 hours", "15 minutes"),
+}
+_TEL_VIEW = {"requests": "req", "dependencies": "dep", "custom_events": "cev"}
+_ORDER_KEYS = {"failures_by_code": "resultCode", "tier_counts": "riskTier", "throttled_clients": "appId"}
+
+
+def _recent_sql(name: str) -> str:
+    """The query's SQL over rows after max(timestamp) - lookback, with its row number in time order."""
+    source, lookback, _ = RECENT[name]
+    view = _TEL_VIEW[source]
+    body = SQL[name].strip().removeprefix("WITH ")
+    cut = body.rindex("\nSELECT")
+    query = body[cut:].replace(f"FROM {view}", f"FROM recent")
+    order = ", ".join(['"timestamp"', *([f"{_ORDER_KEYS[name]} NULLS FIRST"] if name in _ORDER_KEYS else [])])
+    return (f"WITH {body[:cut]}, recent AS (SELECT * FROM {view} WHERE \"timestamp\" > "
+            f"(SELECT max(\"timestamp\") FROM {view}) - INTERVAL '{lookback}'), result AS ({query}) "
+            f"SELECT *, CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS row_no FROM result")
+
+
+def _recent_query(name: str):
+    source, lookback, bin_size = RECENT[name]
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = getattr(src, source)(spark, sf_dir)
+        as_of = F.lit(rows.agg(F.max("timestamp")).first()[0])
+        result = getattr(tm, name)(rows, as_of, lookback, bin_size)
+        # The position of each row in the returned order: range partitions are in order.
+        return _ntz(with_row_number(result))
+
+    query.__doc__ = f"{name} over the last {lookback} before the newest record, in time order (row_no)."
+    return query
+
+
+for _name in RECENT:
+    register(f"{_name}_recent", _recent_sql(_name))(_recent_query(_name))
+
+
 @register("alerts", with_ctes(TEL) + f"""
 , l1 AS (SELECT 'HighScoringLatencyP95' AS alert, {_tb('5 minutes')} AS ws, quantile_cont(duration, 0.95) AS value
          FROM req WHERE {HAS_SCORE} GROUP BY 2 HAVING quantile_cont(duration, 0.95) > 1000),
@@ -301,6 +348,31 @@ mpsi AS (SELECT g.month, e.feature, coalesce(p.psi, 0.0) AS psi FROM periods g C
          LEFT JOIN psi p ON p.month = g.month AND p.feature = e.feature)"""
 
 
+def _psi_cat_month_sql() -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT CASE split WHEN 'train' THEN NULL ELSE CAST(date_trunc('month', discharge_date) AS DATE) END AS month, "
+        f"'{c}' AS feature, coalesce(CAST({c} AS VARCHAR), 'None') AS k FROM sfeat" for c in CATEGORICAL_COLUMNS)
+    return f"""
+, cl AS ({rows}),
+cb AS (SELECT feature, k, count(*) / sum(CAST(count(*) AS DOUBLE)) OVER (PARTITION BY feature) AS p
+       FROM cl WHERE month IS NULL GROUP BY feature, k),
+cc AS (SELECT month, feature, k, count(*) / sum(CAST(count(*) AS DOUBLE)) OVER (PARTITION BY month, feature) AS p
+       FROM cl WHERE month IS NOT NULL GROUP BY month, feature, k),
+cboth AS (SELECT m.month, cb.feature, cb.k, cb.p AS b, 0.0 AS c FROM (SELECT DISTINCT month FROM cc) m CROSS JOIN cb
+          UNION ALL SELECT month, feature, k, 0.0, p FROM cc),
+cw AS (SELECT month, feature, k, greatest(sum(b), 0.0001) AS b, greatest(sum(c), 0.0001) AS c FROM cboth GROUP BY ALL),
+cpsi AS (SELECT month, feature, sum((c - b) * ln(c / b)) AS psi FROM cw GROUP BY month, feature)"""
+
+
+@register("drift_by_month_categorical", DRIFT_BASE + _psi_cat_month_sql() + """
+SELECT month, feature, round(psi, 6) AS psi FROM cpsi""")
+def drift_by_month_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 over time: PSI of every categorical feature per discharge month after the training
+    period, against the training split."""
+    b, c = _month_sides(spark, sf_dir)
+    return dr.psi_categorical_by_period(b, c, CATEGORICAL_COLUMNS, "month").withColumn("psi", F.round("psi", 6))
+
+
 @register("drift_by_month", DRIFT_BASE + _psi_month_sql() + """
 SELECT month, feature, round(psi, 6) AS psi FROM mpsi""")
 def drift_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,8 +395,7 @@ kcum AS (SELECT month, sum(pos) OVER (PARTITION BY month ORDER BY score ROWS UNB
                 sum(neg) OVER (PARTITION BY month ORDER BY score ROWS UNBOUNDED PRECEDING) AS cn,
                 sum(pos) OVER (PARTITION BY month) AS n, sum(neg) OVER (PARTITION BY month) AS m FROM krows),
 kd AS (SELECT month, n, m, max(abs(CAST(cp AS DOUBLE) / n - CAST(cn AS DOUBLE) / m)) AS d FROM kcum GROUP BY month, n, m),
-kp AS (SELECT *, CASE WHEN d = 0 THEN 1.0 ELSE least(greatest(list_sum(list_transform(range(1, 101),
-          lambda k: 2.0 * pow(-1.0, k - 1) * exp(-2.0 * k * k * (pow(d, 2) * n * m / (n + m))))), 0.0), 1.0) END AS p FROM kd),
+kp AS (SELECT *, """ + ks_pvalue_sql("d", "n", "m") + """ AS p FROM kd),
 asc_ AS (SELECT CAST(date_trunc('month', discharge_date) AS DATE) AS month, readmission_probability AS score,
                 count_if(readmitted_30d = 1) AS pos, count_if(readmitted_30d <> 1) AS neg
          FROM pred WHERE split = 'test' AND readmitted_30d IS NOT NULL GROUP BY 1, 2),
@@ -334,8 +405,9 @@ ra AS (SELECT month, sum(pos * (cneg + CAST(0.5 AS DOUBLE) * neg)) / nullif(CAST
        FROM acum GROUP BY month)"""
 
 
-@register("drift_alerts", with_ctes(ENC, FEAT, SPLIT, ALLFEAT, PRED) + _psi_month_sql() + KS_MONTH_SQL + """
-, ev AS (SELECT CAST(month AS TIMESTAMP) AS ts, 'DataDriftReport' AS name, max(psi) > 0.2 AS flagged FROM mpsi GROUP BY month
+@register("drift_alerts", with_ctes(ENC, FEAT, SPLIT, ALLFEAT, PRED) + _psi_month_sql() + _psi_cat_month_sql() + KS_MONTH_SQL + """
+, ev AS (SELECT CAST(month AS TIMESTAMP) AS ts, 'DataDriftReport' AS name, max(psi) > 0.2 AS flagged
+         FROM (SELECT * FROM mpsi UNION ALL SELECT * FROM cpsi) GROUP BY month
          UNION ALL
          SELECT CAST(kp.month AS TIMESTAMP), 'ModelDriftReport', (kp.p < 0.01) OR coalesce(ra.auc < 0.7, false)
          FROM kp LEFT JOIN ra USING (month))
@@ -347,7 +419,7 @@ def drift_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly data-drift (PSI) and model-drift (KS or rolling AUC) reports after the
     training period become events; hourly windows with a flagged report fire."""
     b, c = _month_sides(spark, sf_dir)
-    data_events = dr.drift_events_by_period(b, c, "month", NUMERIC).drop("max_psi")
+    data_events = dr.drift_events_by_period(b, c, "month", MODEL_FEATURE_COLUMNS).drop("max_psi")
     p = base.predictions(spark, sf_dir)
     test = p.where(F.col("split") == "test").withColumn("month", F.trunc("discharge_date", "month"))
     ks = dr.ks_by_period(p.where(F.col("split") == "val"), test, "readmission_probability", "month")
@@ -355,7 +427,9 @@ def drift_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model_events = ks.join(auc.select("month", "below_threshold"), "month", "left").select(
         F.col("month").cast("timestamp").alias("timestamp"), F.lit("ModelDriftReport").alias("name"),
         (F.col("drift_detected") | F.coalesce(F.col("below_threshold"), F.lit(False))).alias("drift_detected"))
-    a = tm.drift_alerts(data_events.unionByName(model_events))
+    flag = F.to_json(F.create_map(F.lit("drift_detected"), F.initcap(F.col("drift_detected").cast("string"))))
+    events = data_events.unionByName(model_events).select("timestamp", "name", flag.alias("customDimensions"))
+    a = tm.drift_alerts(events)
     return _ntz(_ntz(a, "window_start"), "window_end")
 
 

@@ -24,6 +24,7 @@ from carelens.operators import scoring as sc
 from carelens.operators.clean import transform
 from carelens.operators.split import temporal_split
 from carelens.schemas import DEFAULT_CONFIG
+from carelens.session import materialize
 from carelens.sources import io
 
 
@@ -46,9 +47,9 @@ def run_training(spark: SparkSession, raw: DataFrame, rc: RunConfig) -> dict:
     results = quality.run_expectations(raw)
     io.write_report(results, f"{out}/reports/validation")
     if rc.enforce_validation:
-        quality.validation_gate(spark.read.json(f"{out}/reports/validation"))
+        quality.validation_gate(io.read_report(spark, f"{out}/reports/validation", results))
     # features + split, persisted once (S5); later steps read the partitioned table
-    feats = temporal_split(transform(raw), c["train_fraction"], c["validation_fraction"])
+    feats = temporal_split(materialize(transform(raw), "features"), c["train_fraction"], c["validation_fraction"])
     info = io.persist_splits(feats, f"{out}/curated/features")
     splits = spark.read.parquet(info["path"])
     train, val, test = (splits.where(F.col("split") == s) for s in ("train", "val", "test"))
@@ -71,8 +72,8 @@ def run_training(spark: SparkSession, raw: DataFrame, rc: RunConfig) -> dict:
     if rc.algorithm == "logreg":
         contrib = ct.linear_contributions(model, test, train)
         io.write_report(ct.global_importance(contrib), f"{out}/reports/importance")
-    m = spark.read.json(f"{out}/reports/metrics")
-    d = spark.read.json(f"{out}/reports/fairness")
+    m = io.read_report(spark, f"{out}/reports/metrics", metrics)
+    d = io.read_report(spark, f"{out}/reports/fairness", diffs)
     gate = fa.promotion_gate(m, d, c["min_roc_auc"], c["min_pr_auc"], c["max_brier_score"],
                              c["max_equalized_odds_difference"])
     failures = [r["reason"] for r in gate.collect()]  # at most a handful of checks

@@ -43,9 +43,6 @@ LABEL_COLUMN = "readmitted_30d"
 SEX_VALUES = ["M", "F", "U"]
 ADMISSION_TYPES = ["Elective", "Emergency", "Urgent"]
 DISCHARGE_DISPOSITIONS = ["Home", "SNF", "Rehab", "HomeHealth", "AMA"]
-AGE_BANDS = ["<18", "18-39", "40-64", "65-79", "80+"]
-LOS_BUCKETS = ["0-2", "3-5", "6-10", "11+"]
-RISK_TIERS = ["low", "medium", "high"]
 
 # --- fixed values: default configuration ---
 DEFAULT_CONFIG = {

@@ -66,8 +66,15 @@ def zone_path(root: str, zone: str, *parts: str) -> str:
 
 
 def write_report(report: DataFrame, path: str, fmt: str = "json") -> None:
-    """Long-form report table to JSON lines (or parquet), one file."""
-    report.coalesce(1).write.mode("overwrite").format(fmt).save(path)
+    """Long-form report table to JSON lines (or parquet). NULL values are written, so a
+    reader finds every column."""
+    w = report.write.mode("overwrite").format(fmt)
+    (w.option("ignoreNullFields", False) if fmt == "json" else w).save(path)
+
+
+def read_report(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """A JSON report read with the columns and types it was written with."""
+    return spark.read.schema(like.schema).json(path)
 
 
 def persist_splits(df: DataFrame, path: str, split_col: str = "split") -> dict:
@@ -79,22 +86,56 @@ def persist_splits(df: DataFrame, path: str, split_col: str = "split") -> dict:
 ENVELOPE_SCHEMA = T.StructType([T.StructField("data", T.ArrayType(REQUEST_SCHEMA))] + list(REQUEST_SCHEMA.fields))
 
 
-def read_requests(spark: SparkSession, path: str, max_batch: int = 100) -> DataFrame:
-    """Scoring requests, each file/line a single request object or ``{"data": [...]}``.
-
-    Output: one row per record with ``request_id`` (per envelope), ``is_batch``,
-    ``item`` (position), ``envelope_error`` (P12) and the request fields.
-    """
-    from carelens.operators.quality import envelope_failures
-
-    raw = spark.read.schema(ENVELOPE_SCHEMA).option("mode", "PERMISSIVE").json(path)
-    single = F.struct(*[F.col(f.name) for f in REQUEST_SCHEMA.fields])
-    env = raw.select(F.expr("uuid()").alias("request_id"), F.col("data").isNotNull().alias("is_batch"),
-                     F.when(F.col("data").isNotNull(), envelope_failures(F.col("data"), max_batch)).alias("envelope_error"),
-                     F.when(F.col("data").isNotNull(), F.col("data")).otherwise(F.array(single)).alias("_records"))
-    return env.select("request_id", "is_batch", "envelope_error",
-                      F.posexplode_outer("_records").alias("item", "_r")).select(
+def request_documents(spark: SparkSession, path: str) -> DataFrame:
+    """One JSON document per row (``doc``). A file whose first line is JSON holds one document per
+    line (lines that are no JSON stay as they are); any other file that is JSON as a whole is
+    one document. A request file is read as a whole, so it has to fit a task."""
+    raw = spark.read.text(path, wholetext=True)
+    lines = F.filter(F.split("value", "\r?\n"), lambda x: F.trim(x) != "")
+    raw = raw.select("value", lines.alias("lines"))
+    whole = F.expr("try_parse_json(get(lines, 0)) IS NULL AND try_parse_json(value) IS NOT NULL")
+    return raw.select(F.explode(F.when(whole, F.array("value")).otherwise(F.col("lines"))).alias("doc"))
+
+
+def parse_requests(docs: DataFrame, max_batch: int = 100, doc: str = "doc", request_id: str | None = None) -> DataFrame:
+    """Request documents, each a single request object or ``{"data": [...]}``.
+
+    Output: one row per record with ``request_id`` (per document), ``is_batch``, ``item``
+    (position), ``envelope_error`` (no JSON object, or the batch rule), ``failures`` (codes of
+    the record's fields, empty when valid) and the request fields. A document that breaks the
+    envelope rule gives one row without a record, so an oversized batch is not unpacked."""
+    from carelens.operators.quality import envelope_failures, request_failures
+
+    key = F.col(request_id) if request_id else F.expr("uuid()")
+    obj = F.expr(f"try_parse_json({doc})")
+    env = docs.select(key.alias("request_id"), F.col(doc).alias("_doc"), F.from_json(F.col(doc), ENVELOPE_SCHEMA).alias("_e"),
+                      F.coalesce(F.schema_of_variant(obj).startswith("OBJECT"), F.lit(False)).alias("_object"),
+                      F.coalesce(F.array_contains(F.json_object_keys(doc), "data"), F.lit(False)).alias("_has_data"))
+    is_batch = F.col("_object") & F.col("_has_data")
+    single = F.struct(*[F.col(f"_e.{f.name}") for f in REQUEST_SCHEMA.fields])
+    error = F.when(~F.col("_object"), F.lit("not a JSON object")).when(is_batch, envelope_failures(F.col("_e.data"), max_batch))
+    env = env.select("request_id", is_batch.alias("is_batch"), error.alias("envelope_error"),
+                     F.when(is_batch, F.col("_e.data")).otherwise(F.array(single)).alias("_records"))
+    empty = F.array().cast(T.ArrayType(REQUEST_SCHEMA))
+    records = F.when(F.col("envelope_error").isNull(), F.col("_records")).otherwise(empty)
+    out = env.select("request_id", "is_batch", "envelope_error", F.posexplode_outer(records).alias("item", "_r")).select(
         "request_id", "is_batch", "envelope_error", "item", "_r.*")
+    return out.withColumn("failures", F.when(F.col("envelope_error").isNull(), request_failures(out)).otherwise(F.array().cast("array<string>")))
+
+
+def read_requests(spark: SparkSession, path: str, max_batch: int = 100) -> DataFrame:
+    """``parse_requests`` over the documents of the files in ``path``."""
+    return parse_requests(request_documents(spark, path), max_batch)
+
+
+def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected): a document with an envelope error or any invalid record is rejected
+    as a whole. Accepted documents are bounded by the batch rule, which ``responses_as_json``
+    relies on."""
+    bad = F.col("envelope_error").isNotNull() | (F.size("failures") > 0)
+    flagged = requests.groupBy(F.col("request_id").alias("_rid")).agg(F.max(bad.cast("int")).alias("_bad"))
+    both = requests.join(flagged, F.col("request_id") == F.col("_rid")).drop("_rid")
+    return both.where("_bad = 0").drop("_bad"), both.where("_bad = 1").drop("_bad")
 
 
 def responses_as_json(responses: DataFrame) -> DataFrame:

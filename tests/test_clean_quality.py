@@ -97,7 +97,7 @@ def test_request_rules(spark):
 def test_envelope(spark):
     df = spark.createDataFrame([([1],), ([],), (list(range(101)),), (None,)], "data array<int>")
     got = [r[0] for r in df.select(quality.envelope_failures(F.col("data"))).collect()]
-    assert got[0] is None and "non-empty" in got[1] and "exceeds max of 100" in got[2] and "non-empty" in got[3]
+    assert got[0] is None and "no records" in got[1] and "at most 100" in got[2] and "no records" in got[3]
 
 
 def test_dedup_hot_key_and_nulls(spark):

@@ -104,7 +104,7 @@ def test_store_lookup_and_missing(spark, tmp_path):
     df.write.parquet(str(tmp_path / "fs"))
     fs = store.FeatureStore(spark, str(tmp_path / "fs"))
     assert [r.encounter_id for r in fs.get_online_features(["E2"], columns=["age"]).collect()] == ["E2"]
-    with pytest.raises(KeyError, match="E9"):
+    with pytest.raises(KeyError, match="1 requested") as ex:
         fs.get_online_features(["E1", "E9"], columns=["age"])
 
 
@@ -114,3 +114,21 @@ def test_temporal_split_single_hot_date(spark):
     got = {r.encounter_id: r.split for r in split.temporal_split(df, 0.7, 0.15).collect()}
     ids = sorted(got)
     assert [got[i] for i in ids] == ["train"] * 350 + ["val"] * 75 + ["test"] * 75
+
+
+def test_split_puts_null_dates_last(spark):
+    rows = [(f"e{i:03d}", None if i < 20 else f"2024-01-{1 + i % 20:02d}") for i in range(100)]
+    df = spark.createDataFrame(rows, "encounter_id string, d string").select("encounter_id", F.to_date("d").alias("discharge_date"))
+    got = {r["encounter_id"]: r["split"] for r in split.temporal_split(df, 0.70, 0.15).collect()}
+    order = sorted(rows, key=lambda r: (r[1] is None, r[1] or "", r[0]))
+    want = {k: "train" if i < 70 else "val" if i < 85 else "test" for i, (k, _) in enumerate(order)}
+    assert got == want
+    assert split.temporal_split(df.limit(0)).count() == 0
+
+
+def test_all_missing_ids_are_reported(spark):
+    table = spark.createDataFrame([(f"e{i}", 1) for i in range(5)], "encounter_id string, age int")
+    wanted = spark.createDataFrame([(f"e{i}",) for i in range(60)], "encounter_id string")
+    with pytest.raises(KeyError) as ex:
+        store.lookup(table, wanted, columns=["age"], strict=True)
+    assert ex.value.n == 55 and [r[0] for r in ex.value.ids().collect()] == sorted(f"e{i}" for i in range(5, 60))

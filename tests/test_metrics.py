@@ -74,15 +74,26 @@ def test_auc_ap_brier_vs_brute_force(spark, seed):
     assert ev.brier(df).first()[0] == pytest.approx(sum((b - a) ** 2 for a, b in zip(y, p)) / len(y))
 
 
-def test_distributed_prefix_matches_window(spark, monkeypatch):
+def test_distributed_prefix_and_quantiles(spark):
+    from carelens.operators import prefix
+
     rnd = random.Random(7)
     y = [rnd.randint(0, 1) for _ in range(500)]
     p = [rnd.random() for _ in y]  # not quantised
-    df = _scored(spark, y, p)
-    expect = ev.roc_auc(df).first()["roc_auc"]
-    monkeypatch.setattr(ev, "SINGLE_TASK_SCORE_ROWS", 10)
-    assert ev.roc_auc(df).first()["roc_auc"] == pytest.approx(expect, abs=1e-12)
-    assert expect == pytest.approx(_auc_brute(y, p), abs=1e-12)
+    assert ev.roc_auc(_scored(spark, y, p)).first()["roc_auc"] == pytest.approx(_auc_brute(y, p), abs=1e-12)
+    rows = [(rnd.choice(["a", "a", "a", "b", None]), round(rnd.gauss(0, 3), 1)) for _ in range(700)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    counts = df.groupBy("g", "v").count().withColumnRenamed("count", "n")
+    got = {r["g"]: r["q"] for r in prefix.quantiles(counts, "v", [0.0, 0.1, 0.5, 0.95, 1.0], ["g"]).collect()}
+    for g in ("a", "b", None):
+        vals = sorted(v for k, v in rows if k == g)
+        for q, x in zip([0.0, 0.1, 0.5, 0.95, 1.0], got[g]):
+            at = q * (len(vals) - 1)
+            lo = int(at)
+            assert x == pytest.approx(vals[lo] + (at - lo) * (vals[min(lo + 1, len(vals) - 1)] - vals[lo]), abs=1e-9)
+    numbered = prefix.with_row_number(df.repartition(5).orderBy("v")).collect()
+    assert [r["v"] for r in sorted(numbered, key=lambda r: r["row_no"])] == sorted(v for _, v in rows)
+    assert sorted(r["row_no"] for r in numbered) == list(range(1, 701))
 
 
 def _groups(spark, rows):
@@ -173,8 +184,29 @@ def test_ks(spark):
     assert r.ks_statistic == 1.0 and r.ks_pvalue < 0.01 and r.drift_detected
     same = dr.ks_two_sample(a, a, "p").first()
     assert same.ks_statistic == 0.0 and not same.drift_detected
-    assert dr.ks_pvalue(0.1, 100, 120) == pytest.approx(
-        min(1, max(0, sum(2 * (-1) ** (k - 1) * math.exp(-2 * k * k * 0.01 * 100 * 120 / 220) for k in range(1, 101)))))
+
+
+def test_ks_pvalue_converges(spark):
+    """Against a long alternating series; tiny gaps of large samples are no drift."""
+    from carelens.operators.prefix import ks_pvalue
+
+    cases = [(0.1, 100, 120), (0.02, 5000, 5000), (0.0001, 50_000, 50_000), (1 / 5_000_000, 5_000_000, 5_000_000), (0.5, 40, 30), (0.0, 5, 5)]
+    df = spark.createDataFrame([(d, n, m) for d, n, m in cases], "d double, n long, m long")
+    got = [r[0] for r in df.select(ks_pvalue(F.col("d"), F.col("n"), F.col("m"))).collect()]
+    for (d, n, m), p in zip(cases, got):
+        l2 = d * d * n * m / (n + m)
+        want = 1.0 if l2 < 0.005 else min(1, max(0, math.fsum(2 * (-1) ** (k - 1) * math.exp(-2 * k * k * l2) for k in range(1, 2000))))
+        assert p == pytest.approx(want, abs=1e-9)
+    assert got[3] > 0.99
+
+
+def test_ks_by_period_is_the_two_sample_test(spark):
+    rnd = random.Random(4)
+    base = spark.createDataFrame([(round(rnd.random(), 3),) for _ in range(400)], "p double")
+    cur = spark.createDataFrame([(m, round(min(1.0, rnd.random() * (1 + 0.1 * m)), 3)) for m in range(4) for _ in range(100 + m)], "m int, p double")
+    got = {r.m: tuple(r)[1:] for r in dr.ks_by_period(base, cur, "p", "m").collect()}
+    for m in range(4):
+        assert got[m] == tuple(dr.ks_two_sample(base, cur.where(F.col("m") == m), "p").first())
 
 
 def test_rolling_auc(spark):
@@ -207,3 +239,14 @@ def test_approx_percentiles_close_to_exact(spark):
     ex = pr.describe_numeric(df, ["x"]).first()
     ap = pr.describe_numeric(df, ["x"], approx=True).first()
     assert abs(ex.p50 - ap.p50) < 1.0 and abs(ex.p25 - ap.p25) < 1.0 and ex["count"] == ap["count"] == 5000
+
+
+def test_gate_fails_without_a_metric(spark):
+    """A test set of one class has no AUC: the model is not promoted."""
+    df = _scored(spark, [0] * 20, [0.1] * 20)
+    m = ev.evaluate(df)
+    row = m.first()
+    assert row.roc_auc is None and not row.passes_roc_auc and not row.passes_pr_auc
+    none = spark.createDataFrame([("sex", None)], "attribute string, equalized_odds_difference double")
+    got = {r["check"] for r in fa.promotion_gate(m, none).collect()}
+    assert got == {"roc_auc", "pr_auc", "equalized_odds_difference[sex]"}
