@@ -202,3 +202,4 @@ from carelens.plans import catalog_eval  # noqa: E402,F401
 from carelens.plans import catalog_monitor  # noqa: E402,F401
 from carelens.plans import catalog_store  # noqa: E402,F401
 from carelens.plans import catalog_models  # noqa: E402,F401
+from carelens.plans import catalog_dirty  # noqa: E402,F401
