@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from carelens.session import checkpoint_dir
 
 #: Text bytes in one block of the block table (a longer document is a block of its own).
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Text bytes that numpy works on at a time inside a task.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 #: The ASCII white space that ends a word: x20, x09-x0D.
 SPACE = np.zeros(256, bool)
@@ -81,7 +81,7 @@ def words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS.get("p", ())) < n:
-        n = 1 << max(16, (n - 1).bit_length())
+        n = (n >> 18) + 1 << 18
         with np.errstate(over="ignore"):
             for name, x in (("p", _BASE), ("i", pow(_BASE, -1, 1 << 64))):
                 steps = np.full(n, x, np.uint64)

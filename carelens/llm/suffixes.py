@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelens.llm.common import (
-    BLOCK_BYTES, block_table, deltas, mix, prefix_hashes, ranges_of, segment_hashes, squeeze, text_buffer, undelta, unpack, unsqueeze, written,
+    BLOCK_BYTES, block_table, deltas, mix, prefix_hashes, ranges_of, runs, segment_hashes, squeeze, text_buffer, undelta, unpack, unsqueeze, written,
 )
 
 DEPTH = 50
@@ -47,6 +47,8 @@ RANGE_KEYS = 1_500_000
 BUCKET_BYTES = 12 << 20
 #: Suffixes that a bucket sorts at a time.
 SORTED = 4_000_000
+#: Bytes that are hashed at a time.
+STEP = 1 << 20
 #: The id that stands for null: larger than all.
 NULL_ID = np.iinfo(np.int64).max
 
@@ -54,6 +56,32 @@ NULL_ID = np.iinfo(np.int64).max
 def anchor_runs(buf: np.ndarray, offs: np.ndarray, depth: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(anchor hash, first suffix, number of suffixes) of the runs of suffixes with one anchor;
     a run has at most as many suffixes as a window has grams."""
+    found = []
+    for i, j in runs(offs, STEP):
+        anchor, first, count = _anchor_runs(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i], depth, gram)
+        found.append((anchor, first + offs[i], count))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def anchor_keys(anchor: np.ndarray) -> np.ndarray:
+    """48 bits of an anchor's hash, even over all numbers (an anchor is the smallest of many
+    hashes). Anchors that share a key are treated alike, which only sends more."""
+    return mix(anchor) >> np.uint64(16) << np.uint64(16)
+
+
+def run_hashes(buf: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each run; begins ascend."""
+    out = np.empty(len(begin), np.uint64)
+    i = 0
+    while i < len(begin):
+        j = max(i + 1, int(np.searchsorted(begin, begin[i] + STEP)))
+        low, high = begin[i], int((begin[i:j] + size[i:j]).max())
+        out[i:j] = segment_hashes(prefix_hashes(buf[low:high]), begin[i:j] - low, begin[i:j] - low + size[i:j])
+        i = j
+    return out
+
+
+def _anchor_runs(buf: np.ndarray, offs: np.ndarray, depth: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     width = depth - gram + 1
     n = len(buf) - depth + 1
     if n <= 0:
@@ -109,7 +137,7 @@ def send_anchors(ranges: int, depth: int, gram: int):
         for batch in batches:
             for block, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 _, buf, offs = _texts(payload.as_buffer())
-                anchor = np.unique(anchor_runs(buf, offs, depth, gram)[0] >> np.uint64(16) << np.uint64(16))
+                anchor = np.unique(anchor_keys(anchor_runs(buf, offs, depth, gram)[0]))
                 edges = ranges_of(anchor, ranges)
                 parts = np.flatnonzero(np.diff(edges))
                 data = [squeeze(deltas(anchor[edges[i] : edges[i + 1]] >> np.uint64(16))) for i in parts]
@@ -134,7 +162,7 @@ def send_runs(buckets: int, ranges: int, depth: int, gram: int):
         batch, buf, offs = _texts(group["payload"].iloc[0])
         ids = _ids(batch)
         anchor, first, count = anchor_runs(buf, offs, depth, gram)
-        key = anchor >> np.uint64(16) << np.uint64(16)
+        key = anchor_keys(anchor)
         distinct, which = np.unique(key, return_inverse=True)
         edges = ranges_of(distinct, ranges)
         shared = np.zeros(len(distinct), bool)
@@ -150,8 +178,8 @@ def send_runs(buckets: int, ranges: int, depth: int, gram: int):
         anchor, first, count, doc = anchor[keep], first[keep], count[keep], doc[keep]
         if not len(first):
             return pd.DataFrame({"bucket": pd.Series(dtype="int32"), "block": pd.Series(dtype="int64"), "data": pd.Series(dtype=object)})
-        bucket = (mix(anchor >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
-        text = combine_hash(buf, first, count + depth - 1)
+        bucket = (mix(anchor_keys(anchor)) % np.uint64(buckets)).astype(np.int64)
+        text = run_hashes(buf, first, count + depth - 1)
         by = np.lexsort((first, bucket))
         bucket, first, count, doc, text = bucket[by], first[by], count[by], doc[by], text[by]
         starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
@@ -163,10 +191,6 @@ def send_runs(buckets: int, ranges: int, depth: int, gram: int):
     return run
 
 
-def combine_hash(buf: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    return segment_hashes(prefix_hashes(buf), first, first + size)
-
-
 def pack_runs(buf, ids, first, count, doc, text, depth) -> bytes:
     """Runs of one bucket and block: equal runs' bytes are held once (after a comparison)."""
     by = np.lexsort((np.arange(len(text)), count, text))
@@ -246,7 +270,7 @@ def repeated_windows(depth: int):
 def merge_runs(buf: np.ndarray, begin: np.ndarray, count: np.ndarray, depth: int) -> np.ndarray:
     """For each run the number of a run with the same bytes (hashes propose, bytes decide)."""
     size = count + depth - 1
-    h = segment_hashes(prefix_hashes(buf), begin, begin + size)
+    h = run_hashes(buf, begin, size)
     by = np.lexsort((count, h))
     same = np.append(False, (h[by][1:] == h[by][:-1]) & (count[by][1:] == count[by][:-1]))
     cand = np.flatnonzero(same)
@@ -306,8 +330,8 @@ def removed_spans(docs: DataFrame, depth: int, gram: int, columns: list[str], te
     sent = blocks.select("block", "payload").mapInArrow(send_anchors(ranges, depth, gram), "part int, block long, data binary")
     known = written(sent.groupBy("part").applyInPandas(shared_anchors, "block long, part int, data binary"), "anchors")
     known = known.select("block", "part", F.lit(None).cast("binary").alias("payload"), "data")
-    runs = rows.unionAll(known).groupBy("block").applyInPandas(send_runs(buckets, ranges, depth, gram), "bucket int, block long, data binary")
-    spans = written(runs.groupBy("bucket").applyInPandas(repeated_windows(depth), "block long, data binary"), "spans")
+    by_anchor = rows.unionAll(known).groupBy("block").applyInPandas(send_runs(buckets, ranges, depth, gram), "bucket int, block long, data binary")
+    spans = written(by_anchor.groupBy("bucket").applyInPandas(repeated_windows(depth), "block long, data binary"), "spans")
     return rows.unionAll(spans.select("block", F.lit(0).alias("part"), F.lit(None).cast("binary").alias("payload"), "data"))
 
 
