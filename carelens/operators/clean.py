@@ -1,4 +1,4 @@
-"""Cleaning and the feature projection: C1-C3, C8, P6-P8.
+"""Cleaning and the feature projection: C1-C3, P6, P7.
 
 All functions are ``DataFrame -> DataFrame`` and lazy. Deduplication keeps one row
 per key with an aggregate (``min_by`` over an explicit order), so a key repeated in a
@@ -105,15 +105,3 @@ def engineer_features(df: DataFrame, *, keep_ethnicity: bool = True, carry: tupl
 def transform(df: DataFrame, observation: Observation | None = None) -> DataFrame:
     """Clean, then engineer features with ethnicity."""
     return engineer_features(clean_raw_encounters(df, observation), keep_ethnicity=True)
-
-
-def label_as_int(df: DataFrame, default_zero: bool = False) -> DataFrame:
-    """Label cast to int; when absent and ``default_zero``, filled with 0 (scoring)."""
-    if LABEL_COLUMN in df.columns:
-        return df.withColumn(LABEL_COLUMN, F.col(LABEL_COLUMN).cast("int"))
-    return df.withColumn(LABEL_COLUMN, F.lit(0)) if default_zero else df
-
-
-def drop_nulls(df: DataFrame, column: str) -> DataFrame:
-    """Rows with a non-NULL ``column``."""
-    return df.where(F.col(column).isNotNull())

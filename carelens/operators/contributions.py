@@ -77,6 +77,15 @@ def contribution_means(model: PipelineModel, train: DataFrame) -> list[float]:
     return [float(row[f"m{i}"]) for i in range(len(cl.slots))]
 
 
+def centred(cl: CompiledLinear, means: list[float]) -> Column:
+    """The contributions ``coef * (x - mean)`` of a compiled model, per source feature."""
+    per: dict[str, Column] = {}
+    for (src, x), c, m in zip(cl.slots, cl.coef, means):
+        term = F.lit(c) * (x - F.lit(m))
+        per[src] = per[src] + term if src in per else term
+    return _contrib_array(per)
+
+
 def linear_contributions(model: PipelineModel, df: DataFrame, train: DataFrame | None = None,
                          means: list[float] | None = None) -> DataFrame:
     """F4 for a fitted linear pipeline (indexer, one-hot, assembler, logistic regression).
@@ -89,13 +98,9 @@ def linear_contributions(model: PipelineModel, df: DataFrame, train: DataFrame |
     cl = compile_linear(model)
     mean = means if means is not None else contribution_means(model, train if train is not None else df)
     base = cl.intercept + sum(c * m for c, m in zip(cl.coef, mean))
-    per: dict[str, Column] = {}
-    for (src, x), c, m in zip(cl.slots, cl.coef, mean):
-        term = F.lit(c) * (x - F.lit(m))
-        per[src] = per[src] + term if src in per else term
     inp = model_input(df, label=False)
     return inp.select(*[F.col(c) for c in df.columns], cl.margin().alias("margin"),
-                      _contrib_array(per).alias("contributions"), F.lit(float(base)).alias("base_value"))
+                      centred(cl, mean).alias("contributions"), F.lit(float(base)).alias("base_value"))
 
 
 # The deterministic score's margin terms: slope * weight * term (see functions.features.RISK_TERMS).
@@ -108,7 +113,7 @@ def synthetic_terms() -> dict[str, Column]:
 
 def synthetic_contributions(df: DataFrame) -> DataFrame:
     """F4 for the deterministic score: term - mean(term) over ``df`` (one-row mean,
-    broadcast), so base_value + sum = margin = 4 * (risk - 1)."""
+    broadcast), so base_value + sum = margin = slope * (risk - center)."""
     terms = synthetic_terms()
     means = df.agg(*[F.avg(t).alias(f"_m_{f}") for f, t in terms.items()])
     j = df.crossJoin(F.broadcast(means))
@@ -124,7 +129,7 @@ def top_factors(contributions: Column, n: int = 3) -> Column:
     rounded to 4: array<struct<feature, shap_value>>."""
     keyed = F.transform(contributions, lambda x, i: F.struct(-F.abs(x["value"]).alias("k"), i.alias("pos"),
                                                              x["feature"].alias("feature"), x["value"].alias("v")))
-    top = F.slice(F.array_sort(keyed), 1, n)
+    top = F.slice(F.sort_array(keyed), 1, n)
     return F.transform(top, lambda x: F.struct(x["feature"].alias("feature"), F.round(x["v"], 4).alias("shap_value")))
 
 

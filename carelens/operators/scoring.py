@@ -13,11 +13,13 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelens.functions import features as fx
 from carelens.functions.features import risk_tier
-from carelens.operators.clean import engineer_features
-from carelens.operators.contributions import linear_contributions, top_factors
+from carelens.operators.clean import FEATURE_COLUMNS, engineer_features
+from carelens.operators.contributions import centred, compile_linear, contribution_means, top_factors
 from carelens.operators.model import predict_proba
 from carelens.schemas import TOP_FACTOR_TYPE
+from carelens.sources.io import split_requests
 
 ENVELOPE = ("request_id", "is_batch", "item", "envelope_error")
 
@@ -28,29 +30,30 @@ def score(model: PipelineModel, requests: DataFrame, model_version: str, explain
 
     ``explain`` adds linear top factors (the last stage must be linear). The contributions
     are centred on ``means`` (fitted once, see ``contributions.contribution_means``), else on
-    the feature means of ``reference``, else of the batch itself.
+    the feature means of ``reference``, else of the batch itself. Requests that carry the
+    checks of ``io.read_requests`` are scored only if they are accepted.
     """
+    if {"envelope_error", "failures"} <= set(requests.columns):
+        requests = split_requests(requests)[0]
     req = requests if "ethnicity" in requests.columns else requests.withColumn("ethnicity", F.lit(None).cast("string"))
-    carry = tuple(c for c in ENVELOPE if c in req.columns)
-    feats = engineer_features(req, keep_ethnicity=False, carry=carry)
     if explain:
-        ref = engineer_features(reference, keep_ethnicity=False) if reference is not None and means is None else None
-        c = linear_contributions(model, feats, ref, means)
-        scored = c.withColumn("y_prob", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin"))))
-        factors = top_factors(F.col("contributions"), 3)
-    else:
-        scored = predict_proba(model, feats)
-        factors = F.array().cast(TOP_FACTOR_TYPE)
+        if means is None:
+            background = reference if reference is not None else req
+            means = contribution_means(model, engineer_features(background, keep_ethnicity=False))
+        return Scorer(model, model_version, means).score(req)
+    carry = tuple(c for c in ENVELOPE if c in req.columns)
+    scored = predict_proba(model, engineer_features(req, keep_ethnicity=False, carry=carry))
     item = F.col("item") if "item" in scored.columns else F.lit(0)
-    return scored.select(
-        *[F.col(c) for c in carry],
+    return scored.select(*[F.col(c) for c in carry], *_response(item, model_version, F.col("y_prob"), F.array().cast(TOP_FACTOR_TYPE)))
+
+
+def _response(item, model_version: str, prob, factors) -> list:
+    """The response columns of one record."""
+    return [
         F.coalesce(F.col("encounter_id"), F.concat(F.lit("unknown-"), item.cast("string"))).alias("encounter_id"),
-        F.lit(model_version).alias("model_version"),
-        F.round("y_prob", 4).alias("readmission_probability"),
-        risk_tier(F.col("y_prob")).alias("risk_tier"),
-        factors.alias("top_factors"),
-        F.expr("uuid()").alias("response_id"),
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("scored_at"))
+        F.lit(model_version).alias("model_version"), F.round(prob, 4).alias("readmission_probability"),
+        risk_tier(prob).alias("risk_tier"), factors.alias("top_factors"), F.expr("uuid()").alias("response_id"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("scored_at")]
 
 
 class Scorer:
@@ -63,10 +66,6 @@ class Scorer:
     """
 
     def __init__(self, model: PipelineModel, model_version: str, means: list[float], carry: tuple[str, ...] = ENVELOPE):
-        from carelens.functions import features as fx
-        from carelens.operators.clean import FEATURE_COLUMNS
-        from carelens.operators.contributions import _contrib_array, compile_linear
-
         cl = compile_linear(model)
         base = cl.intercept + sum(c * m for c, m in zip(cl.coef, means))
         derived = {
@@ -77,19 +76,9 @@ class Scorer:
         }
         self.carry = carry
         self._feat = [derived[c].alias(c) if c in derived else F.col(c) for c in FEATURE_COLUMNS]
-        per: dict = {}
-        for (src, x), c, m in zip(cl.slots, cl.coef, means):
-            term = F.lit(c) * (x - F.lit(m))
-            per[src] = per[src] + term if src in per else term
-        self._model = [cl.margin().alias("margin"), _contrib_array(per).alias("contributions")]
+        self._model = [cl.margin().alias("margin"), centred(cl, means).alias("contributions")]
         prob = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin")))
-        self._out = [
-            F.coalesce(F.col("encounter_id"), F.concat(F.lit("unknown-"), F.col("_item").cast("string")))
-            .alias("encounter_id"),
-            F.lit(model_version).alias("model_version"), F.round(prob, 4).alias("readmission_probability"),
-            risk_tier(prob).alias("risk_tier"), top_factors(F.col("contributions"), 3).alias("top_factors"),
-            F.expr("uuid()").alias("response_id"),
-            F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("scored_at")]
+        self._out = _response(F.col("_item"), model_version, prob, top_factors(F.col("contributions"), 3))
         self.base_value = base
 
     def score(self, requests: DataFrame) -> DataFrame:

@@ -77,57 +77,64 @@ def latency_percentiles(requests: DataFrame, as_of: Column | None = None, lookba
                       "requestCount").orderBy("timestamp")
 
 
+def _binned(rows: DataFrame, bin_size: str, keys: dict[str, Column], aggs: list[Column], ordered: bool,
+            derived: dict[str, Column] | None = None) -> DataFrame:
+    """One row per (keys, time bin), in time order. Grouped by the window itself, so the same
+    code runs on a watermarked stream (which cannot be ordered: ``ordered=False``)."""
+    g = rows.groupBy(F.window("timestamp", bin_size).alias("_w"), *[c.alias(k) for k, c in keys.items()]).agg(*aggs)
+    names = [c for c in g.columns if c != "_w" and c not in keys]
+    start = F.col("_w.start").alias("timestamp")
+    out = g.select(*keys, start, *names) if keys else g.select(start, *names)
+    for name, c in (derived or {}).items():
+        out = out.withColumn(name, c)
+    return out.orderBy("timestamp", *keys) if ordered else out
+
+
 def error_rate_5xx(requests: DataFrame, as_of: Column | None = None, lookback: str | None = None,
-                   bin_size: str = "5 minutes") -> DataFrame:
+                   bin_size: str = "5 minutes", ordered: bool = True) -> DataFrame:
     """K2: total, 5xx errors and error rate (%) per bin."""
     r = recent(requests, as_of, lookback).where(has_term(F.col("name"), SCORE_OPERATION))
-    g = r.groupBy(_bin(bin_size).alias("timestamp")).agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(startswith_ci(F.col("resultCode"), "5")).alias("errors"))
-    return g.withColumn("errorRate", pct(F.col("errors"), F.col("total"), 2)).orderBy("timestamp")
+    aggs = [F.count(F.lit(1)).alias("total"), F.count_if(startswith_ci(F.col("resultCode"), "5")).alias("errors")]
+    return _binned(r, bin_size, {}, aggs, ordered, {"errorRate": pct(F.col("errors"), F.col("total"), 2)})
 
 
 def failures_by_code(requests: DataFrame, as_of: Column | None = None, lookback: str | None = None,
-                     bin_size: str = "5 minutes") -> DataFrame:
+                     bin_size: str = "5 minutes", ordered: bool = True) -> DataFrame:
     """K3: failed requests by result code and bin."""
     r = recent(requests, as_of, lookback).where(~F.col("success"))
-    return (r.groupBy("resultCode", _bin(bin_size).alias("timestamp")).agg(F.count(F.lit(1)).alias("count_"))
-            .orderBy("timestamp", "resultCode"))
+    return _binned(r, bin_size, {"resultCode": F.col("resultCode")}, [F.count(F.lit(1)).alias("count_")], ordered)
 
 
 def dependency_health(dependencies: DataFrame, as_of: Column | None = None, lookback: str | None = None,
-                      bin_size: str = "5 minutes") -> DataFrame:
+                      bin_size: str = "5 minutes", ordered: bool = True) -> DataFrame:
     """K4: dependency calls to the inference endpoint: total, failures, mean duration."""
     d = recent(dependencies, as_of, lookback).where(has_term(F.col("target"), INFERENCE_TARGET))
-    return d.groupBy(_bin(bin_size).alias("timestamp")).agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(~F.col("success")).alias("failures"),
-        F.round(F.avg("duration"), 6).alias("avgDuration")).orderBy("timestamp")
+    return _binned(d, bin_size, {}, [F.count(F.lit(1)).alias("total"), F.count_if(~F.col("success")).alias("failures"),
+                                     F.round(F.avg("duration"), 6).alias("avgDuration")], ordered)
 
 
 def tier_counts(custom_events: DataFrame, as_of: Column | None = None, lookback: str | None = None,
-                bin_size: str = "1 hour") -> DataFrame:
+                bin_size: str = "1 hour", ordered: bool = True) -> DataFrame:
     """K5: scored encounters per risk tier and bin."""
     e = recent(custom_events, as_of, lookback).where(F.col("name") == "ScoringCompleted")
-    return (e.withColumn("riskTier", dim(F.col("customDimensions"), "risk_tier"))
-            .groupBy("riskTier", _bin(bin_size).alias("timestamp")).agg(F.count(F.lit(1)).alias("count_"))
-            .orderBy("timestamp", "riskTier"))
+    return _binned(e, bin_size, {"riskTier": dim(F.col("customDimensions"), "risk_tier")},
+                   [F.count(F.lit(1)).alias("count_")], ordered)
 
 
 def throttled_clients(requests: DataFrame, as_of: Column | None = None, lookback: str | None = None,
-                      bin_size: str = "5 minutes") -> DataFrame:
+                      bin_size: str = "5 minutes", ordered: bool = True) -> DataFrame:
     """K6: 429 responses by client application and bin."""
     r = recent(requests, as_of, lookback).where(F.col("resultCode") == "429")
-    return (r.withColumn("appId", dim(F.col("customDimensions"), "appid"))
-            .groupBy("appId", _bin(bin_size).alias("timestamp")).agg(F.count(F.lit(1)).alias("count_"))
-            .orderBy("timestamp", "appId"))
+    return _binned(r, bin_size, {"appId": dim(F.col("customDimensions"), "appid")},
+                   [F.count(F.lit(1)).alias("count_")], ordered)
 
 
 def availability(dependencies: DataFrame, as_of: Column | None = None, lookback: str | None = None,
-                 bin_size: str = "15 minutes") -> DataFrame:
+                 bin_size: str = "15 minutes", ordered: bool = True) -> DataFrame:
     """K7: availability % of the inference endpoint per bin."""
     d = recent(dependencies, as_of, lookback).where(has_term(F.col("target"), INFERENCE_TARGET))
-    g = d.groupBy(_bin(bin_size).alias("timestamp")).agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(F.col("success")).alias("successCount"))
-    return g.withColumn("availabilityPct", pct(F.col("successCount"), F.col("total"), 3)).orderBy("timestamp")
+    aggs = [F.count(F.lit(1)).alias("total"), F.count_if(F.col("success")).alias("successCount")]
+    return _binned(d, bin_size, {}, aggs, ordered, {"availabilityPct": pct(F.col("successCount"), F.col("total"), 3)})
 
 
 # Alert rule thresholds and windows.

@@ -1,8 +1,8 @@
 """Catalog: attribution, models, scoring and the rate limiter (registered into ``catalog``).
 
-``importance`` and ``top_factors`` explain the deterministic score (fixed linear margin),
-so they have SQL twins. Trained-model queries (``batch_scores``, ``candidate_comparison``)
-and the stateful ``rate_limit`` are rows-only.
+``importance`` and ``top_factors`` explain the deterministic score (fixed linear margin), the
+``linear_*`` queries a model with declared coefficients, so they have SQL twins. Trained-model
+queries (``batch_scores``, ``candidate_comparison``) are rows-only.
 """
 
 from __future__ import annotations
@@ -10,10 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelens.functions import features as fx
 from carelens.operators import contributions as ct
 from carelens.operators import evaluate as ev
 from carelens.operators import model as md
 from carelens.operators import scoring as sc
+from carelens.operators import split as split_ops
 from carelens.plans import base
 from carelens.plans.catalog import register
 from carelens.plans.oracle import ENC, FEAT, with_ctes
@@ -104,10 +106,161 @@ def candidate_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.compare_candidates(rows, "algorithm", "roc_auc")
 
 
-@register("rate_limit")
+def _rate_limit_sql(limit: int) -> str:
+    """Recursion along each client's requests, with the list of admitted times as state."""
+    return f"""
+WITH RECURSIVE e AS (
+  SELECT CAST(user_id AS VARCHAR) AS client, CAST(event_id AS VARCHAR) AS request_id, ts, epoch_us(ts) AS us,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, CAST(event_id AS VARCHAR)) AS rn FROM events),
+s AS (SELECT client, request_id, ts, us, rn, CAST([] AS BIGINT[]) AS kept, [us] AS after, NULL::BIGINT AS oldest FROM e WHERE rn = 1
+  UNION ALL
+  SELECT client, request_id, ts, us, rn, kept,
+         CASE WHEN len(kept) >= {limit} THEN kept ELSE list_append(kept, us) END, CASE WHEN len(kept) >= {limit} THEN kept[1] END
+  FROM (SELECT e.client, e.request_id, e.ts, e.us, e.rn, [x FOR x IN s.after IF x > e.us - 60000000] AS kept
+        FROM s JOIN e ON e.client = s.client AND e.rn = s.rn + 1))
+SELECT client, request_id, ts AS "timestamp", oldest IS NULL AS admitted,
+  CAST(greatest(1, (60000000 - (us - oldest)) // 1000000) AS INTEGER) AS retry_after
+FROM (SELECT *, oldest IS NULL AS ok FROM s)""".replace(
+        "CAST(greatest(1, (60000000 - (us - oldest)) // 1000000) AS INTEGER)",
+        "CASE WHEN oldest IS NOT NULL THEN CAST(greatest(1, (60000000 - (us - oldest)) // 1000000) AS INTEGER) END")
+
+
+def _request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev_ = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return ev_.select(F.col("user_id").cast("string").alias("client"), F.col("event_id").cast("string").alias("request_id"),
+                      F.col("ts").cast("timestamp").alias("timestamp"))
+
+
+@register("rate_limit", _rate_limit_sql(60))
 def rate_limit_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5 batch twin: 60 requests/minute per client over the whole request log."""
-    ev_ = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    req = ev_.select(F.col("user_id").cast("string").alias("client"), F.col("event_id").cast("string").alias("request_id"),
-                     F.col("ts").cast("timestamp").alias("timestamp"))
-    return rl.rate_limit(req, limit=60)
+    return rl.rate_limit(_request_log(spark, sf_dir), limit=60).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+@register("rate_limit_tight", _rate_limit_sql(1))
+def rate_limit_tight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 with one request per minute, which rejects rows of this log."""
+    return rl.rate_limit(_request_log(spark, sf_dir), limit=1).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+# ---------------------------------------------------------------- declared linear models
+
+LINEAR = {  # a model with declared coefficients: name -> (intercept, numeric, categorical values)
+    "a": (-2.1, {"prior_admissions_12mo": 0.31, "charlson_index": 0.07, "length_of_stay": 0.04, "creatinine": -0.11},
+          {"admission_type": {"Emergency": 0.42, "Urgent": 0.17}, "sex": {"F": -0.08, "M": 0.05}}),
+    "b": (-1.4, {"num_medications": 0.05, "glucose_level": 0.002}, {"los_bucket": {"0-2": -0.3, "6-10": 0.2}}),
+    "c": (-2.0, {"age": 0.004, "comorbidity_score": 0.12, "bmi": -0.01}, {"insurance_type": {"ASIA": 0.1}}),
+}
+# NULL numbers (bmi in every 40th row here) take a declared imputation value.
+FILL = 30.0
+
+
+def _linear(name: str) -> ct.CompiledLinear:
+    intercept, numeric, categories = LINEAR[name]
+    slots = [(c, F.coalesce(F.col(c).cast("double"), F.lit(FILL))) for c in numeric]
+    slots += [(c, F.coalesce(F.col(c) == F.lit(v), F.lit(False)).cast("double")) for c, vs in categories.items() for v in vs]
+    return ct.CompiledLinear(slots, [*numeric.values(), *[w for vs in categories.values() for w in vs.values()]], intercept)
+
+
+def _linear_terms_sql(name: str) -> list[tuple[str, str, float]]:
+    _, numeric, categories = LINEAR[name]
+    terms = [(c, f"coalesce(CAST({c} AS DOUBLE), CAST({FILL} AS DOUBLE))", w) for c, w in numeric.items()]
+    return terms + [(c, f"CAST(coalesce({c} = '{v}', false) AS DOUBLE)", w) for c, vs in categories.items() for v, w in vs.items()]
+
+
+def _margin_sql(name: str) -> str:
+    parts = [f"CAST('{LINEAR[name][0]!r}' AS DOUBLE)", *[f"CAST('{w!r}' AS DOUBLE) * {x}" for _, x, w in _linear_terms_sql(name)]]
+    return "(" + " + ".join(parts) + ")"
+
+
+def _prob_sql(name: str) -> str:
+    return f"(CAST(1.0 AS DOUBLE) / (CAST(1.0 AS DOUBLE) + exp(-{_margin_sql(name)})))"
+
+
+HOLES = """
+h AS (SELECT * REPLACE (CASE WHEN CAST(encounter_id AS BIGINT) % 40 = 0 THEN NULL ELSE bmi END AS bmi) FROM feat)"""
+
+
+def _with_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return base.features(spark, sf_dir).withColumn("bmi", F.when(F.col("encounter_id").cast("bigint") % 40 != 0, F.col("bmi")))
+
+
+def _probability(name: str):
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-_linear(name).margin()))
+
+
+@register("linear_scores", with_ctes(ENC, FEAT, HOLES) + f"""
+, p AS (SELECT encounter_id, {_prob_sql('a')} AS p FROM h)
+SELECT encounter_id, round(p, 4) AS readmission_probability,
+  CASE WHEN p < 0.20 THEN 'low' WHEN p <= 0.50 THEN 'medium' ELSE 'high' END AS risk_tier FROM p""")
+def linear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compiled scoring with declared coefficients (response without id and time)."""
+    p = _with_holes(spark, sf_dir).select("encounter_id", _probability("a").alias("p"))
+    return p.select("encounter_id", F.round("p", 4).alias("readmission_probability"), fx.risk_tier(F.col("p")).alias("risk_tier"))
+
+
+def _linear_factors_sql() -> str:
+    terms = _linear_terms_sql("a")
+    by: dict[str, list[str]] = {}
+    for i, (c, _, w) in enumerate(terms):
+        by.setdefault(c, []).append(f"CAST('{w!r}' AS DOUBLE) * (x{i} - m{i})")
+    items = ", ".join(f"{{'k': -abs({' + '.join(v)}), 'pos': {MODEL_FEATURE_COLUMNS.index(c)}, 'feature': '{c}', 'v': {' + '.join(v)}}}" for c, v in by.items())
+    return with_ctes(ENC, FEAT, HOLES) + f"""
+, x AS (SELECT encounter_id, {', '.join(f'{x} AS x{i}' for i, (_, x, _) in enumerate(terms))} FROM h),
+m AS (SELECT {', '.join(f'avg(x{i}) AS m{i}' for i in range(len(terms)))} FROM x),
+c AS (SELECT encounter_id, list_sort([{items}]) AS c FROM x CROSS JOIN m)
+SELECT encounter_id, c[1].feature AS factor_1, round(c[1].v, 4) AS value_1, c[2].feature AS factor_2,
+       round(c[2].v, 4) AS value_2, c[3].feature AS factor_3, round(c[3].v, 4) AS value_3 FROM c"""
+
+
+@register("linear_factors", _linear_factors_sql())
+def linear_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """top factors of the declared model, centred on the table's means."""
+    h, cl = _with_holes(spark, sf_dir), _linear("a")
+    row = h.agg(*[F.avg(x).alias(f"m{i}") for i, (_, x) in enumerate(cl.slots)]).first()
+    c = h.select("encounter_id", ct.centred(cl, list(row)).alias("contributions"))
+    t = c.select("encounter_id", ct.top_factors(F.col("contributions"), 3).alias("t"))
+    return t.select("encounter_id", *[x for k in range(3) for x in (
+        F.col("t")[k]["feature"].alias(f"factor_{k + 1}"), F.col("t")[k]["shap_value"].alias(f"value_{k + 1}"))])
+
+
+@register("encoded_features", with_ctes(ENC, FEAT) + "SELECT encounter_id, " + ", ".join(
+    f"(SELECT count(DISTINCT f2.{c}) FROM feat f2 WHERE f2.{c} < feat.{c}) AS {c}" for c in ("sex", "admission_type")) + """,
+  CAST(polypharmacy_flag AS DOUBLE) AS polypharmacy_flag FROM feat""")
+def encoded_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: the fitted indexer's codes (alphabetical) of two categorical columns, and a flag as a number."""
+    f = base.features(spark, sf_dir)
+    stages, _ = md.encoder_stages("gbt")
+    x = md.model_input(f)
+    out = stages[1].fit(x).transform(x)
+    return out.select("encounter_id", *[F.col(f"{c}__idx").cast("bigint").alias(c) for c in ("sex", "admission_type")], "polypharmacy_flag")
+
+
+@register("class_weight", with_ctes(ENC, FEAT) + """
+SELECT CAST(count_if(readmitted_30d = 0) AS DOUBLE) / greatest(count_if(readmitted_30d = 1), 1) AS class_weight FROM feat""")
+def class_weight_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives per positive."""
+    return split_ops.class_weight(base.features(spark, sf_dir))
+
+
+def _ranking_sql() -> str:
+    rows = " UNION ALL ".join(f"SELECT '{n}' AS algorithm, readmitted_30d AS y, round({_prob_sql(n)}, 4) AS p FROM h" for n in LINEAR)
+    return with_ctes(ENC, FEAT, HOLES) + f"""
+, s AS ({rows}),
+c AS (SELECT algorithm, p, count_if(y = 1) AS pos, count_if(y <> 1) AS neg FROM s GROUP BY 1, 2),
+k AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY algorithm ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM c),
+a AS (SELECT algorithm, round(sum(pos * (below + CAST(0.5 AS DOUBLE) * neg)) / (CAST(sum(pos) AS DOUBLE) * sum(neg)), 4) AS roc_auc FROM k GROUP BY 1),
+b AS (SELECT algorithm, round(avg(pow(p - y, 2)), 4) AS brier_score FROM s GROUP BY 1)
+SELECT algorithm, roc_auc, brier_score, algorithm = (SELECT arg_max(algorithm, roc_auc) FROM a) AS is_best FROM a JOIN b USING (algorithm)"""
+
+
+@register("candidate_ranking", _ranking_sql())
+def candidate_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three declared candidates side by side, the best by ROC-AUC flagged."""
+    h = _with_holes(spark, sf_dir)
+    rows = None
+    for name in LINEAR:
+        scored = h.select(F.col("readmitted_30d").cast("int").alias("y_true"), F.round(_probability(name), 4).alias("y_prob"))
+        r = ev.evaluate(scored).select(F.lit(name).alias("algorithm"), "roc_auc", "brier_score")
+        rows = r if rows is None else rows.unionByName(r)
+    return ev.compare_candidates(rows, "algorithm", "roc_auc")

@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 from carelens.operators import quality
 from carelens.operators import telemetry as tm
+from carelens.schemas import RAW_ENCOUNTER_SCHEMA
+from carelens.session import scratch_path
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -22,16 +24,53 @@ EVENTS_SCHEMA = T.StructType([
 ])
 
 
-def events_stream(spark: SparkSession, path: str, files_per_trigger: int = 1, glob: str | None = None) -> DataFrame:
-    """File stream of event parquet files (``availableNow`` triggers drain it)."""
-    r = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
+def landing_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1000,
+                   glob: str | None = None) -> DataFrame:
+    """File stream of a landing folder's parquet files (an ``availableNow`` trigger drains it)."""
+    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.parquet(path)
 
 
+def events_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000, glob: str | None = None) -> DataFrame:
+    """The telemetry events of a landing folder."""
+    return landing_stream(spark, path, EVENTS_SCHEMA, files_per_trigger, glob)
+
+
+def encounters_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
+    """The daily encounter batches of a landing folder."""
+    return landing_stream(spark, path, RAW_ENCOUNTER_SCHEMA, files_per_trigger)
+
+
+def drain(stream: DataFrame, mode: str, name: str) -> DataFrame:
+    """Runs a stream over all files that are there and returns its result. Every micro-batch
+    writes a folder of its own, overwriting it when replayed, so a replay adds no row twice.
+    Mode ``complete``: the last micro-batch is the result; else all of them are."""
+    spark = stream.sparkSession
+    path, epochs = scratch_path(spark, name), []
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/out/epoch={epoch}")
+        epochs.append(epoch)
+
+    q = (stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if not epochs:
+        return spark.createDataFrame([], stream.schema)
+    wanted = epochs[-1:] if mode == "complete" else sorted(set(epochs))
+    return spark.read.schema(stream.schema).parquet(*[f"{path}/out/epoch={e}" for e in wanted])
+
+
+def telemetry_stream(name: str, rows: DataFrame, watermark: str = "10 minutes") -> DataFrame:
+    """T1 (K2-K7): the batch query of this name over a watermarked stream."""
+    return getattr(tm, name)(rows.withWatermark("timestamp", watermark), ordered=False)
+
+
 def latency_stream(requests: DataFrame, watermark: str = "10 minutes", bin_size: str = "5 minutes") -> DataFrame:
-    """T1 (K1): per-bin exact percentiles and count; a bin is emitted once the watermark passes it."""
+    """T1 (K1): per-bin exact percentiles and count; a bin is emitted once the watermark passes
+    it. (A stream has no sorted view of a bin, so the percentiles keep the bin's distinct values.)"""
     r = requests.withWatermark("timestamp", watermark).where(tm.has_term(F.col("name"), tm.SCORE_OPERATION))
     return (r.groupBy(F.window("timestamp", bin_size).alias("w"))
             .agg(F.round(F.percentile("duration", F.lit(0.5)), 6).alias("p50"),
@@ -41,39 +80,61 @@ def latency_stream(requests: DataFrame, watermark: str = "10 minutes", bin_size:
             .select(F.col("w.start").alias("timestamp"), "p50", "p95", "p99", "requestCount"))
 
 
-def error_rate_stream(requests: DataFrame, watermark: str = "10 minutes", bin_size: str = "5 minutes") -> DataFrame:
-    """T1 (K2): 5xx rate per bin."""
-    r = requests.withWatermark("timestamp", watermark).where(tm.has_term(F.col("name"), tm.SCORE_OPERATION))
-    g = r.groupBy(F.window("timestamp", bin_size).alias("w")).agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(tm.startswith_ci(F.col("resultCode"), "5")).alias("errors"))
-    return g.select(F.col("w.start").alias("timestamp"), "total", "errors",
-                    tm.pct(F.col("errors"), F.col("total"), 2).alias("errorRate"))
+def _alert_stream(name: str, rows: DataFrame, watermark: str, value) -> DataFrame:
+    rule = tm.ALERT_RULES[name]
+    window = F.window("timestamp", rule["window"], rule["slide"]) if "slide" in rule else F.window("timestamp", rule["window"])
+    g = rows.withWatermark("timestamp", watermark).groupBy(window.alias("w")).agg(value.alias("value"))
+    fires = F.col("value") > rule["threshold"] if rule["op"] == ">" else F.col("value") < rule["threshold"]
+    return g.where(fires).select(F.lit(name).alias("alert"), F.col("w.start").alias("window_start"),
+                                 F.col("w.end").alias("window_end"), F.round("value", 6).alias("value"))
+
 
+def _percent(flag) -> F.Column:
+    return F.lit(100.0) * F.count_if(flag) / F.count(F.lit(1))
 
-def availability_alert_stream(dependencies: DataFrame, watermark: str = "10 minutes", threshold: float = 99.0) -> DataFrame:
+
+def latency_alert_stream(requests: DataFrame, watermark: str = "10 minutes") -> DataFrame:
+    """T1 (L1): p95 latency per window, rows above the threshold."""
+    r = requests.where(tm.has_term(F.col("name"), tm.SCORE_OPERATION))
+    return _alert_stream("HighScoringLatencyP95", r, watermark, F.percentile("duration", F.lit(0.95)))
+
+
+def error_rate_alert_stream(requests: DataFrame, watermark: str = "10 minutes") -> DataFrame:
+    """T1 (L2): share of 5xx responses per window, rows above the threshold."""
+    r = requests.where(tm.has_term(F.col("name"), tm.SCORE_OPERATION))
+    return _alert_stream("HighErrorRate", r, watermark, _percent(tm.startswith_ci(F.col("resultCode"), "5")))
+
+
+def availability_alert_stream(dependencies: DataFrame, watermark: str = "10 minutes") -> DataFrame:
     """T2 (L3): availability over 15-minute windows sliding every 5 minutes, rows below threshold."""
-    d = dependencies.withWatermark("timestamp", watermark).where(tm.has_term(F.col("target"), tm.INFERENCE_TARGET))
-    g = d.groupBy(F.window("timestamp", "15 minutes", "5 minutes").alias("w")).agg(
-        (F.lit(100.0) * F.count_if(F.col("success")) / F.count(F.lit(1))).alias("value"))
-    return g.where(F.col("value") < threshold).select(
-        F.lit("EndpointAvailabilityDrop").alias("alert"), F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"), F.round("value", 6).alias("value"))
+    d = dependencies.where(tm.has_term(F.col("target"), tm.INFERENCE_TARGET))
+    return _alert_stream("EndpointAvailabilityDrop", d, watermark, _percent(F.col("success")))
 
 
-def validate_batch_writer(valid_path: str, quarantine_path: str, suite=quality.ENCOUNTER_SUITE):
-    """T3 (Q8, P11): ``foreachBatch`` function splitting each micro-batch into valid rows
-    and quarantined rows with their failure codes (two append sinks, one pass)."""
+def split_writer(valid_path: str, quarantine_path: str, check):
+    """``foreachBatch`` function; ``check`` adds ``failures`` to a micro-batch. Rows without a
+    failure go to the one sink, all others with their codes to the other, each micro-batch into a
+    folder of its own (``_epoch=<id>``) that a replay overwrites."""
     def write(batch: DataFrame, epoch_id: int) -> None:
-        q = quality.quarantine(batch, suite).withColumn("_epoch", F.lit(epoch_id))
-        q = q.persist()  # the micro-batch feeds two sinks; released right after
+        q = check(batch).persist()  # the micro-batch feeds two sinks; released right after
         try:
-            q.where("is_valid").drop("failures", "is_valid").write.mode("append").parquet(valid_path)
-            q.where(~F.col("is_valid")).write.mode("append").parquet(quarantine_path)
+            q.where(F.size("failures") == 0).drop("failures").write.mode("overwrite").parquet(f"{valid_path}/_epoch={epoch_id}")
+            q.where(F.size("failures") > 0).write.mode("overwrite").parquet(f"{quarantine_path}/_epoch={epoch_id}")
         finally:
             q.unpersist()
     return write
 
 
+def validate_batch_writer(valid_path: str, quarantine_path: str, suite=quality.ENCOUNTER_SUITE):
+    """T3 (Q8): encounters against the row rules of the suite."""
+    return split_writer(valid_path, quarantine_path, lambda b: quality.quarantine(b, suite).drop("is_valid"))
+
+
+def validate_requests_writer(valid_path: str, quarantine_path: str):
+    """T3 (P11): scoring request records against the field rules."""
+    return split_writer(valid_path, quarantine_path, lambda b: b.withColumn("failures", quality.request_failures(b)))
+
+
 def dedup_stream(encounters: DataFrame, event_time: str, watermark: str = "1 day", key: str = "encounter_id") -> DataFrame:
     """T4 (C1): first arrival per key within the watermark (state evicted after it)."""
     return encounters.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark([key])

@@ -3,18 +3,18 @@
 Rule (per client, requests in event-time order): the admitted requests of the last
 60 seconds (strictly after ``t - 60``) are counted; when there are ``limit`` of them,
 the request is rejected with ``retry_after = max(1, int(60 - (t - oldest)))`` and does
-not count; otherwise it is admitted. Each decision depends on the earlier admissions
-of the same client, so a client's requests are processed in order by one stateful
-handler. The handler streams through the client's rows chunk by chunk (Arrow batches)
-and keeps at most ``limit`` timestamps of state, so memory stays bounded even for a
-client holding a large share of all requests.
-
-Batch: ``transformWithStateInPandas`` on a batch DataFrame whose rows are hash-
-partitioned by client and sorted by (client, ts, id); the operator's required ordering
-(client) is satisfied by that sort, so rows reach the handler in time order.
-Streaming: the same processor keyed by client with the state in the state store
-(RocksDB); within a micro-batch the handler orders the client's rows itself (a
-micro-batch is bounded by the trigger), across micro-batches input must be in order.
+not count; otherwise it is admitted. A decision depends on the client's earlier admissions.
+
+Batch: a minute without requests forgets everything before it, so a client's requests fall
+into segments, numbered on the small table of counts per (client, minute). Segments in which
+no two neighbouring minutes hold more than ``limit`` requests admit all of them, in the JVM.
+Only the others are walked in order, many segments of a client in parallel: rows hash-
+partitioned and sorted by (client, segment, time), read in Arrow chunks with at most
+``limit`` admitted times carried from one chunk to the next.
+
+Streaming: a stateful processor keyed by client with the admitted times in the state store
+(RocksDB); rows of a micro-batch are ordered by the handler, across micro-batches input must be
+in order. State of idle clients (at most ``limit`` times each) stays in the store.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.window import Window
 
 # The handler runs in Python workers: ship this module's code with the job rather than
 # requiring the package to be installed on every executor.
@@ -37,71 +38,92 @@ OUTPUT_SCHEMA = "client string, request_id string, timestamp timestamp, admitted
 WINDOW_SECONDS = 60.0
 
 
+WINDOW_MICROS = 60_000_000
+
+
+class Walk:
+    """The admitted times (microseconds) of one client, at most ``limit`` of them."""
+
+    def __init__(self, limit: int, admitted=()):
+        self.limit, self.times = limit, deque(sorted(admitted))
+
+    def decide(self, t: int) -> int | None:
+        """None: admitted; else the seconds to wait."""
+        while self.times and self.times[0] <= t - WINDOW_MICROS:
+            self.times.popleft()
+        if len(self.times) >= self.limit:
+            return max(1, (WINDOW_MICROS - (t - self.times[0])) // 1_000_000) if self.times else 60
+        self.times.append(t)
+        return None
+
+
+def _result(client, request_id, timestamp, retry: list) -> pd.DataFrame:
+    return pd.DataFrame({"client": client, "request_id": request_id, "timestamp": timestamp,
+                         "admitted": [r is None for r in retry], "retry_after": pd.array(retry, dtype="Int32")})
+
+
 class RateLimitProcessor(StatefulProcessor):
-    def __init__(self, limit: int = 60, presorted: bool = True):
+    """Streaming handler; state: the admitted times."""
+
+    def __init__(self, limit: int = 60):
         self.limit = limit
-        self.presorted = presorted
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getListState("admitted", StructType([StructField("t", DoubleType())]))
-
-    def _decide(self, client, frame: pd.DataFrame, hist: deque):
-        ts = frame["ts_sec"].tolist()
-        out_adm, out_retry = [], []
-        for t in ts:
-            while hist and hist[0] <= t - WINDOW_SECONDS:
-                hist.popleft()
-            if len(hist) >= self.limit:
-                out_adm.append(False)
-                out_retry.append(max(1, int(WINDOW_SECONDS - (t - hist[0]))))
-            else:
-                hist.append(t)
-                out_adm.append(True)
-                out_retry.append(None)
-        return pd.DataFrame({"client": client, "request_id": frame["request_id"].astype(str).tolist(),
-                             "timestamp": frame["timestamp"].tolist(), "admitted": out_adm,
-                             "retry_after": pd.array(out_retry, dtype="Int32")})
+        self.state = handle.getListState("admitted", StructType([StructField("t", LongType())]))
 
     def handleInputRows(self, key, rows, timerValues):
-        client = key[0]
-        hist = deque(sorted(float(r[0]) for r in self.state.get()) if self.state.exists() else [])
-        if self.presorted:
-            for frame in rows:
-                yield self._decide(client, frame, hist)
-        else:
-            frames = list(rows)  # one micro-batch of one client: bounded by the trigger size
-            frame = pd.concat(frames).sort_values(["ts_sec", "request_id"], kind="stable")
-            yield self._decide(client, frame, hist)
+        walk = Walk(self.limit, [int(r[0]) for r in self.state.get()] if self.state.exists() else [])
+        frame = pd.concat(list(rows)).sort_values(["us", "request_id"], kind="stable")  # one micro-batch of one client
+        retry = [walk.decide(int(t)) for t in frame["us"].tolist()]
         self.state.clear()
-        if hist:
-            self.state.put([(t,) for t in hist])
+        if walk.times:
+            self.state.put([(t,) for t in walk.times])
+        yield _result(key[0], frame["request_id"].astype(str).tolist(), frame["timestamp"].tolist(), retry)
 
     def close(self) -> None:
         pass
 
 
+def _columns(requests: DataFrame, client: str, ts: str, request_id: str) -> DataFrame:
+    return requests.select(F.col(client).cast("string").alias("client"), F.col(request_id).cast("string").alias("request_id"),
+                           F.col(ts).alias("timestamp"), F.unix_micros(F.col(ts)).alias("us"))
+
+
 def rate_limit(requests: DataFrame, client: str = "client", ts: str = "timestamp", request_id: str = "request_id",
                limit: int = 60) -> DataFrame:
     """Batch twin: one row per request with admitted / retry_after."""
-    requests.sparkSession.streams.active  # noqa: B018 - registers the state store coordinator
-    df = requests.select(F.col(client).cast("string").alias("client"),
-                         F.col(request_id).cast("string").alias("request_id"),
-                         F.col(ts).alias("timestamp"),
-                         (F.unix_micros(F.col(ts)).cast("double") / F.lit(1e6)).alias("ts_sec"))
-    df = df.repartition("client").sortWithinPartitions("client", "ts_sec", "request_id")
-    return df.groupBy("client").transformWithStateInPandas(
-        RateLimitProcessor(limit, presorted=True), OUTPUT_SCHEMA, "Append", "None")
+    df = _columns(requests, client, ts, request_id).withColumn("minute", F.floor(F.col("us") / WINDOW_MICROS))
+    counts = df.groupBy("client", "minute").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("client").orderBy("minute")  # one row per client and minute
+    near = F.lag("minute").over(w) == F.col("minute") - 1
+    counts = counts.withColumn("two", F.col("n") + F.when(near, F.lag("n").over(w)).otherwise(F.lit(0)))
+    counts = counts.withColumn("segment", F.sum(F.when(near, 0).otherwise(1)).over(w))
+    busy = F.max("two").over(Window.partitionBy("client", "segment")) > F.lit(limit)
+    counts = counts.select(F.col("client").alias("c_client"), F.col("minute").alias("c_minute"), "segment", busy.alias("busy"))
+    rows = df.join(counts, F.col("client").eqNullSafe(F.col("c_client")) & (F.col("minute") == F.col("c_minute")))
+    calm = rows.where(~F.col("busy")).select("client", "request_id", "timestamp", F.lit(True).alias("admitted"),
+                                             F.lit(None).cast("int").alias("retry_after"))
+    hot = rows.where("busy").select("client", "segment", "us", "request_id", "timestamp")
+    hot = hot.repartition("client", "segment").sortWithinPartitions("client", "segment", "us", "request_id")
+
+    def walk_rows(frames):
+        key, walk = None, Walk(limit)
+        for f in frames:
+            retry = []
+            for c, seg, t in zip(f["client"], f["segment"], f["us"]):
+                if (c, seg) != key:
+                    key, walk = (c, seg), Walk(limit)
+                retry.append(walk.decide(t))
+            yield _result(f["client"], f["request_id"], f["timestamp"], retry)
+
+    return calm.unionByName(hot.mapInPandas(walk_rows, OUTPUT_SCHEMA))
 
 
 def rate_limit_stream(requests: DataFrame, client: str = "client", ts: str = "timestamp",
                       request_id: str = "request_id", limit: int = 60) -> DataFrame:
-    """Streaming form: same processor, state in the state store, rows ordered per batch."""
-    df = requests.select(F.col(client).cast("string").alias("client"),
-                         F.col(request_id).cast("string").alias("request_id"),
-                         F.col(ts).alias("timestamp"),
-                         (F.unix_micros(F.col(ts)).cast("double") / F.lit(1e6)).alias("ts_sec"))
-    return df.groupBy("client").transformWithStateInPandas(
-        RateLimitProcessor(limit, presorted=False), OUTPUT_SCHEMA, "Append", "None")
+    """Streaming form: state in the state store, rows ordered per micro-batch."""
+    return _columns(requests, client, ts, request_id).groupBy("client").transformWithStateInPandas(
+        RateLimitProcessor(limit), OUTPUT_SCHEMA, "Append", "None")
 
 
 def brute_force(rows: list[tuple[str, str, float]], limit: int = 60) -> dict[str, tuple[bool, int | None]]:

@@ -57,6 +57,22 @@ def test_rate_limit_batch_matches_definition(spark):
     assert got == exp and sum(1 for v in exp.values() if not v[0]) > 100
 
 
+def test_rate_limit_splits_a_hot_client(spark):
+    """A client with long busy and calm stretches: busy segments walk in parallel tasks."""
+    rnd = random.Random(9)
+    t0, rows = 1_700_000_000, []
+    for seg in range(40):
+        start = t0 + seg * 400
+        for i in range(60 if seg % 2 else 5):
+            rows.append(("HOT", f"S{seg:02d}-{i:03d}", float(start + rnd.randint(0, 150))))
+    rows += [("EDGE", f"E{k}", float(t0 + k * 60)) for k in range(10)]  # exactly 60 s apart
+    out = rl.rate_limit(_frame(spark, rows), limit=7)
+    got = {r.request_id: (r.admitted, r.retry_after) for r in out.collect()}
+    assert got == rl.brute_force(rows, limit=7) and sum(not v[0] for v in got.values()) > 200
+    one = {r.request_id: (r.admitted, r.retry_after) for r in rl.rate_limit(_frame(spark, rows), limit=1).collect()}
+    assert one == rl.brute_force(rows, limit=1)
+
+
 def test_rate_limit_stream_matches_batch(spark, tmp_path):
     rows = sorted(_bursty(), key=lambda r: r[2])
     df = _frame(spark, rows)
@@ -116,7 +132,7 @@ def test_availability_alert_stream(spark, tmp_path):
 def test_validate_and_dedup_stream(spark, tmp_path):
     from tests.test_features import _raw
     raw = _raw(spark).withColumn("event_time", F.current_timestamp())
-    bad = raw.where("encounter_id = 'ENC-2'").withColumn("age", F.lit(-5))
+    bad = raw.where("encounter_id = 'ENC-2'").withColumn("age", F.lit(-5)).withColumn("encounter_id", F.lit("ENC-3"))
     raw.write.parquet(str(tmp_path / "in/a"))
     raw.where("encounter_id = 'ENC-1'").unionByName(bad).write.parquet(str(tmp_path / "in/b"))
     stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1) \
@@ -127,7 +143,13 @@ def test_validate_and_dedup_stream(spark, tmp_path):
     q.awaitTermination(300)
     valid = spark.read.parquet(str(tmp_path / "valid"))
     assert sorted(r.encounter_id for r in valid.collect()) == ["ENC-1", "ENC-2"]  # duplicates dropped
-    assert not (tmp_path / "quarantine").exists() or spark.read.parquet(str(tmp_path / "quarantine")).count() == 0
+    bad_rows = spark.read.parquet(str(tmp_path / "quarantine")).collect()
+    assert [(r.encounter_id, r.failures) for r in bad_rows] == [("ENC-3", ["between:age"])]
+    # a replayed micro-batch overwrites its own folder
+    write = jobs.validate_batch_writer(str(tmp_path / "v2"), str(tmp_path / "q2"))
+    for _ in range(2):
+        write(raw.limit(1), 7)
+    assert spark.read.parquet(str(tmp_path / "v2")).count() == 1
 
 
 def test_late_label_join(spark, tmp_path):
