@@ -10,8 +10,8 @@ modification times, so a changed input gives a new table.
 from __future__ import annotations
 
 import hashlib
-import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,35 +19,30 @@ from carelens.functions import features as fx
 from carelens.operators.clean import engineer_features, transform
 from carelens.operators.split import temporal_split
 from carelens.schemas import LABEL_COLUMN
-from carelens.session import scratch_path
+from carelens.session import file_stamp, scratch_path
 from carelens.sources.encounters import raw_encounters
 
 _CACHE: dict[tuple, str] = {}
 _INPUTS = ("orders", "lineitem", "customer", "nation", "region")
 
 
-def _fingerprint(sf_dir: str) -> str:
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
-    for name in _INPUTS:
-        p = f"{sf_dir.rstrip('/')}/{name}.parquet"
-        try:
-            st = os.stat(p)
-            h.update(f"{name}:{st.st_size}:{st.st_mtime_ns}".encode())
-        except OSError:  # remote file systems: fall back to the path only
-            h.update(name.encode())
-    return h.hexdigest()[:16]
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    stamps = [f"{n}:{file_stamp(spark, f'{sf_dir.rstrip(chr(47))}/{n}.parquet')}" for n in _INPUTS]
+    return hashlib.sha1("|".join([sf_dir, *stamps]).encode()).hexdigest()[:16]
 
 
 def _curated(spark: SparkSession, sf_dir: str, name: str, build, partition_by: list[str] | None = None) -> DataFrame:
     """Materialise ``build()`` once per session and input snapshot (parquet in the shared
     checkpoint folder, optionally partitioned for pruning) and return a scan of it."""
-    key = (id(spark.sparkContext), _fingerprint(sf_dir), name)
+    key = (id(spark.sparkContext), _fingerprint(spark, sf_dir), name)
     path = _CACHE.get(key)
     if path is not None:
         try:
             return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - the folder was cleaned up: build again
-            _CACHE.pop(key, None)
+        except AnalysisException as ex:
+            if ex.getCondition() != "PATH_NOT_FOUND":
+                raise
+            _CACHE.pop(key, None)  # the folder was cleared: build again
     path = scratch_path(spark, f"curated-{name}")
     w = build().write.mode("overwrite")
     if partition_by:

@@ -89,3 +89,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system that holds ``path``, and the path as it knows it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def file_stamp(spark: SparkSession, path: str) -> str:
+    """Size and modification time of a file or folder on any file system ('' if it is not there)."""
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return ""
+    return f"{fs.getContentSummary(p).getLength()}:{fs.getFileStatus(p).getModificationTime()}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes all tables this library has written to the checkpoint folder; for the owner of a
+    run, at its end, when no DataFrame over them is needed any more."""
+    fs, pattern = _file_system(spark, f"{checkpoint_dir(spark).rstrip('/')}/carelens*")
+    for found in fs.globStatus(pattern) or []:
+        fs.delete(found.getPath(), True)
