@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelens.llm.common import (
-    BLOCK_BYTES, LOWER, block_table, combine, deltas, mix, prefix_hashes, ranges_of, segment_hashes, squeeze, text_buffer, undelta, unpack, unsqueeze, words, written,
+    BLOCK_BYTES, LOWER, block_table, combine, deltas, mix, prefix_hashes, ranges_of, segment_hashes, squeeze, text_buffer, undelta, tidy, unpack, unsqueeze, words, written,
 )
 
 #: N-grams that a range holds on average (over the blocks that send them).
@@ -81,6 +81,7 @@ def block_keys(batch: pa.RecordBatch, order: int):
 def send_counts(order: int, ranges: int):
     """Blocks -> (part, block, data): the block's distinct n-grams with their training counts."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for block, payload in zip(rows.column(0).to_pylist(), rows.column(1), strict=True):
@@ -98,6 +99,7 @@ def send_counts(order: int, ranges: int):
     return run
 
 
+@tidy
 def total_counts(group: pd.DataFrame) -> pd.DataFrame:
     """One range: the totals, to each block in the order it sent; one row of sums (block null)."""
     sent = [unsqueeze(d) for d in group["data"]]
@@ -149,6 +151,7 @@ def score_texts(
     answers = written(sent.groupBy("part").applyInPandas(total_counts, "block long, part int, data binary, v long, n long"), "counts")
     v, n = answers.agg(F.coalesce(F.sum("v"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
 
+    @tidy
     def score(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("part")
         batch = unpack(group["payload"].iloc[0])

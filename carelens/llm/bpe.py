@@ -36,7 +36,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import prefix_hashes, runs, segment_hashes, text_buffer
+from carelens.llm.common import prefix_hashes, runs, segment_hashes, text_buffer, tidy
 
 CHUNK = 32768
 OVERLAP = 256
@@ -284,6 +284,7 @@ SCHEMA = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 def _short(data: bytes, with_ids: bool):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = ranks_of(data)
         for batch in batches:
@@ -306,6 +307,7 @@ def _short(data: bytes, with_ids: bool):
 def _chunks(chunk: int, overlap: int):
     """(doc_id, text) -> one row per chunk, with a key that tells the texts apart."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, offs = clean_utf8(batch.column(1))
@@ -375,6 +377,7 @@ def encode_documents(
     short = columns.where(F.octet_length("text") <= chunk).mapInArrow(_short(rank_file, with_ids), schema)
     chunks = columns.where(F.octet_length("text") > chunk).mapInArrow(_chunks(chunk, overlap), "doc_id long, text_key string, chunk_no int, closes boolean, part binary")
 
+    @tidy
     def encode_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = ranks_of(rank_file)
         for batch in batches:
@@ -386,6 +389,7 @@ def encode_documents(
     dealt = chunks.repartition(F.col("doc_id"), F.col("text_key"), F.col("chunk_no"))
     encoded = dealt.mapInArrow(encode_chunks, "doc_id long, text_key string, chunk_no int, closes boolean, part binary, ids binary, at binary, bounds binary")
 
+    @tidy
     def join(group: pd.DataFrame) -> pd.DataFrame:
         ranks = ranks_of(rank_file)
         copies = int((group["chunk_no"] == 0).sum())  # rows with one id and text
@@ -410,6 +414,7 @@ def encode_documents(
 def decode_documents(encoded: DataFrame, rank_file: bytes, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(doc_id, bytes binary) from rows with an array of ids; a null array gives no bytes."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = ranks_of(rank_file)
         for batch in batches:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelens.llm.common import runs, text_buffer, written
+from carelens.llm.common import runs, text_buffer, tidy, written
 
 #: Windows that the network reads at a time.
 BATCH = 512
@@ -163,6 +163,7 @@ def training_windows(rows: DataFrame, net: Net, windows: int) -> tuple[np.ndarra
     """Up to ``windows`` windows of each sampled row, brought to the driver, with their classes."""
     size = net.window
 
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, offs = text_buffer(batch.column(1))
@@ -210,8 +211,11 @@ _ASCII_LETTER[[*range(65, 91), *range(97, 123)]] = True
 
 def letters(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Which texts hold a letter of any script."""
-    total = np.append(0, np.cumsum(_ASCII_LETTER[buf]))
-    out = total[offs[1:]] > total[offs[:-1]]
+    out = np.zeros(len(offs) - 1, bool)
+    for i, j in runs(offs):
+        total = np.append(0, np.cumsum(_ASCII_LETTER[buf[offs[i] : offs[j]]]))
+        at = offs[i : j + 1] - offs[i]
+        out[i:j] = total[at[1:]] > total[at[:-1]]
     for i in np.flatnonzero(~out):
         out[i] = has_letter(buf[offs[i] : offs[i + 1]].tobytes())
     return out
@@ -235,9 +239,10 @@ def identify_language(
     known = known.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("class"))
     net, names = train(_sample(known, per_class)[0], language_net, windows)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buf, offs = text_buffer(batch.column(2))
+            buf, offs = text_buffer(batch.column("__text"))
             if net is None:
                 pred, score = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
             else:
@@ -245,13 +250,16 @@ def identify_language(
                 known = letters(buf, offs)
                 pred = [names[k] if ok else "und" for k, ok in zip(p.argmax(1), known, strict=True)]
                 score = np.where(known, p.max(1, initial=0), 0.0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(pred, pa.string()), pa.array(score, pa.float64()), *batch.columns[3:]], schema_names)
-
-    schema_names = ["doc_id", "held_out", "lang_pred", "score", *[f"carry_{c}" for c in carry]]
-    kept = [F.col(f"`{c}`").alias(f"carry_{c}") for c in carry]
-    columns = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(f"`{text}`").cast("string").alias("text"), *kept)
+            found = [batch.column(0), batch.column(1), pa.array(pred, pa.string()), pa.array(score, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*found, *[batch.column(c) for c in sent]], ["doc_id", "held_out", "lang_pred", "score", *kept])
+
+    # the text is sent once, also where it is carried
+    kept = [f"carry_{c}" for c in carry]
+    sent = ["__text" if c == text else f"carry_{c}" for c in carry]
+    others = [F.col(f"`{c}`").alias(f"carry_{c}") for c in carry if c != text]
+    columns = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(f"`{text}`").cast("string").alias("__text"), *others)
     types = {f.name: f.dataType.simpleString() for f in columns.schema}
-    schema = "doc_id long, held_out boolean, lang_pred string, score double" + "".join(f", `carry_{c}` {types[f'carry_{c}']}" for c in carry)
+    schema = "doc_id long, held_out boolean, lang_pred string, score double" + "".join(f", `{k}` {types[c]}" for k, c in zip(kept, sent, strict=True))
     return columns.mapInArrow(run, schema)
 
 
@@ -274,6 +282,7 @@ def score_quality(
     texts = docs.select(F.col(f"`{doc_id}`").alias("id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     net, names = train(texts.join(chosen, "id").withColumn("order", F.xxhash64("id")), quality_net, windows, counts)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, offs = text_buffer(batch.column(2))

@@ -11,6 +11,9 @@ executor re-reads the written table, so ids never change between jobs.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import inspect
 import uuid
 from collections.abc import Iterator
 
@@ -23,6 +26,43 @@ from pyspark.sql import functions as F
 
 from carelens.session import checkpoint_dir
 
+def _give_back_memory() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def tidy(run):
+    """A function for tasks that gives freed memory back to the system at its end: Python workers
+    live on between tasks and stages, and would keep what the largest task took."""
+    if inspect.isgeneratorfunction(run):
+
+        def over_batches(batches):
+            try:
+                yield from run(batches)
+            finally:
+                _give_back_memory()
+
+        return over_batches
+    if len(inspect.signature(run).parameters) == 1:
+
+        def over_group(group):
+            try:
+                return run(group)
+            finally:
+                _give_back_memory()
+
+        return over_group
+
+    def over_pair(first, second):
+        try:
+            return run(first, second)
+        finally:
+            _give_back_memory()
+
+    return over_pair
+
+
 #: Text bytes in one block of the block table (a longer document is a block of its own).
 BLOCK_BYTES = 4 << 20
 #: Text bytes that numpy works on at a time inside a task.
@@ -152,6 +192,7 @@ def block_table(docs: DataFrame, columns: list[str], text: str, block_bytes: int
     """
     at = columns.index(text)
 
+    @tidy
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, size = 0, [], 0
         part = None

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelens.llm.common import written
+from carelens.llm.common import tidy, written
 
 SHARD = 8192
 BLOCK = 4096
@@ -130,6 +130,7 @@ def quantised(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     rows = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{embedding}`").cast("array<double>").alias("e"))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("e").isNotNull() & F.forall("e", finite))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             e = batch.column(1)
@@ -154,6 +155,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_i
     shards, blocks = max(1, math.ceil(counts["n"] / SHARD)), max(1, math.ceil(counts["q"] / BLOCK))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
 
+    @tidy
     def at_home(group: pd.DataFrame) -> pd.DataFrame:
         tree = Tree(_matrix(group["q"]), group["vec_id"].to_numpy(), k)
         mine = group[group["asks"]].drop_duplicates(["vec_id", "q"])
@@ -169,6 +171,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_i
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard != home")
     held = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("shard", "block", *[F.col(c).alias(c) for c in ("dim", "vec_id", "q")])
 
+    @tidy
     def away(points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(points) or not len(queries):
             return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "vec_id", "score")})

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import SPACE, prefix_hashes, runs, segment_hashes, text_buffer, words
+from carelens.llm.common import SPACE, prefix_hashes, runs, segment_hashes, text_buffer, tidy, words
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
@@ -157,6 +157,7 @@ def repetition_rules(
 ) -> DataFrame:
     """One row per document: the counts, the covered words, the longest repeat and the verdict."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, offs = text_buffer(batch.column(1))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import LOWER, runs, text_buffer, words, written
+from carelens.llm.common import LOWER, runs, text_buffer, tidy, words, written
 
 #: Variants that a task holds at a time (they are sorted in memory), as a mean over prefixes.
 TASK_VARIANTS = 2_000_000
@@ -74,6 +74,7 @@ def fingerprints(buf: np.ndarray, offs: np.ndarray, shingle: int, seed: int = 42
 def fingerprint_table(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
     """(doc_id, fp): fp is the fingerprint's bits as a signed long."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, offs = text_buffer(batch.column(1))
@@ -141,6 +142,7 @@ def links(distinct: DataFrame, distance: int) -> DataFrame:
     prefix = F.shiftrightunsigned("fp", 64 - bits) if bits else F.lit(0).cast("long")
     sent = distinct.select("fp", prefix.alias("own"), F.explode(masks).alias("mask")).select("fp", F.col("own").bitwiseXOR(F.col("mask")).alias("prefix"))
 
+    @tidy
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         found = links_in(np.unique(group["fp"].to_numpy().view(np.uint64)), int(key[0]), bits, distance)
         return pd.DataFrame({"a": found[:, 0].view(np.int64), "b": found[:, 1].view(np.int64)})

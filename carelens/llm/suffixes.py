@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelens.llm.common import (
-    BLOCK_BYTES, block_table, deltas, mix, prefix_hashes, ranges_of, runs, segment_hashes, squeeze, text_buffer, undelta, unpack, unsqueeze, written,
+    BLOCK_BYTES, block_table, deltas, mix, prefix_hashes, ranges_of, runs, segment_hashes, squeeze, text_buffer, undelta, tidy, unpack, unsqueeze, written,
 )
 
 DEPTH = 50
@@ -133,6 +133,7 @@ def _spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def send_anchors(ranges: int, depth: int, gram: int):
     """Blocks -> (part, block, data): the block's anchors, once each, by range of hashes."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -146,6 +147,7 @@ def send_anchors(ranges: int, depth: int, gram: int):
     return run
 
 
+@tidy
 def shared_anchors(group: pd.DataFrame) -> pd.DataFrame:
     """One range: for each block which of its anchors another block holds too."""
     keys = [undelta(unsqueeze(d)[0]) for d in group["data"]]
@@ -157,6 +159,7 @@ def shared_anchors(group: pd.DataFrame) -> pd.DataFrame:
 def send_runs(buckets: int, ranges: int, depth: int, gram: int):
     """One block with its answers -> (bucket, block, data): the runs with shared anchors."""
 
+    @tidy
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("part")
         batch, buf, offs = _texts(group["payload"].iloc[0])
@@ -219,6 +222,7 @@ def pack_runs(buf, ids, first, count, doc, text, depth) -> bytes:
 def repeated_windows(depth: int):
     """One bucket: (block, data) with the spans of bytes that a smaller id holds."""
 
+    @tidy
     def run(group: pd.DataFrame) -> pd.DataFrame:
         parts = [unsqueeze(d) for d in group["data"]]
         # all runs of all blocks; ``kind`` numbers their bytes
@@ -339,6 +343,7 @@ def dedup_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", de
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per document."""
     columns = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
 
+    @tidy
     def report(group: pd.DataFrame) -> pd.DataFrame:
         batch, buf, offs = _texts(group.loc[group["part"] < 0, "payload"].iloc[0])
         gone = covered_bytes(len(buf), group.loc[group["part"] >= 0, "data"].tolist())
@@ -362,6 +367,7 @@ def dedup_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     others = [c for c in docs.columns if c not in (doc_id, text)]
     named = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)])
 
+    @tidy
     def cut(group: pd.DataFrame) -> pd.DataFrame:
         batch, buf, offs = _texts(group.loc[group["part"] < 0, "payload"].iloc[0])
         gone = covered_bytes(len(buf), group.loc[group["part"] >= 0, "data"].tolist())

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelens.llm.bpe import BLANK, LETTER, NUMBER, OTHER, classes, clean_utf8, code_points
-from carelens.llm.common import prefix_hashes, runs, segment_hashes
+from carelens.llm.common import prefix_hashes, runs, segment_hashes, tidy
 
 MOST_STATES = 400_000
 #: Characters of a chunk of the splitter.
@@ -281,6 +281,7 @@ def count_tokens(data: bytes, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
 def token_counts(docs: DataFrame, tokenizer: bytes, doc_id: str = "doc_id", text: str = "text", limit: int = 512) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) per document; ``tokenizer``: a tokenizer file's content."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, offs = clean_utf8(batch.column(1))
