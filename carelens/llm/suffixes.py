@@ -13,7 +13,12 @@ there, and a group that cannot hold two documents is left at the earliest digit:
    block) and places. In each bucket equal runs are merged first; then the suffixes are sorted
    by most-significant-digit passes of eight bytes, each pass within the groups of the pass
    before, and groups of one fall out. After ``depth`` bytes the groups are the repeated windows.
-3. A window is repeated for a document if a smaller id holds it. These places go back to the
+3. An anchor with more than ``HOT_RUNS`` runs (counted in the ranges) goes window by window: its
+   runs stay with their block, which sends the hashes of its distinct windows to ranges, as it did
+   with the anchors; windows that other blocks hold too are dealt by their own hash, with their
+   bytes and the block's smallest id, and come back with the smallest id of all. So no task holds
+   all of an anchor, and a window is one entry per block.
+4. A window is repeated for a document if a smaller id holds it. These places go back to the
    document's block, where covered bytes are removed.
 
 All tables between tasks are grouped by hashes of content; a string that very many documents
@@ -47,6 +52,10 @@ RANGE_KEYS = 1_500_000
 BUCKET_BYTES = 12 << 20
 #: Suffixes that a bucket sorts at a time.
 SORTED = 4_000_000
+#: Runs of one anchor, over all blocks, above which its windows are dealt one by one.
+HOT_RUNS = 50_000
+#: Hot runs that a block packs at a time.
+PACKED = 1 << 15
 #: Bytes that are hashed at a time.
 STEP = 1 << 20
 #: The id that stands for null: larger than all.
@@ -130,34 +139,60 @@ def _spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(begins - total[:-1], sizes) + np.arange(total[-1])
 
 
+def _by_range(block: int, keys: np.ndarray, count: np.ndarray, ranges: int) -> tuple[np.ndarray, list[int], list[bytes]]:
+    """(part, block, data): ascending 48-bit keys and how often each occurs, by range."""
+    edges = ranges_of(keys, ranges)
+    parts = np.flatnonzero(np.diff(edges))
+    cuts = [slice(edges[i], edges[i + 1]) for i in parts]
+    return parts, [block] * len(parts), [squeeze(deltas(keys[c] >> np.uint64(16)), count[c].astype(np.uint32)) for c in cuts]
+
+
 def send_anchors(ranges: int, depth: int, gram: int):
-    """Blocks -> (part, block, data): the block's anchors, once each, by range of hashes."""
+    """Blocks -> (part, block, data): the block's anchors, once each, with their numbers of runs,
+    by range of hashes."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 _, buf, offs = _texts(payload.as_buffer())
-                anchor = np.unique(anchor_keys(anchor_runs(buf, offs, depth, gram)[0]))
-                edges = ranges_of(anchor, ranges)
-                parts = np.flatnonzero(np.diff(edges))
-                data = [squeeze(deltas(anchor[edges[i] : edges[i + 1]] >> np.uint64(16))) for i in parts]
-                yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([block] * len(parts), pa.int64()), pa.array(data, pa.binary())], ["part", "block", "data"])
+                anchor, count = np.unique(anchor_keys(anchor_runs(buf, offs, depth, gram)[0]), return_counts=True)
+                parts, blocks, data = _by_range(block, anchor, count, ranges)
+                yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(blocks, pa.int64()), pa.array(data, pa.binary())], ["part", "block", "data"])
 
     return run
 
 
-@tidy
-def shared_anchors(group: pd.DataFrame) -> pd.DataFrame:
-    """One range: for each block which of its anchors another block holds too."""
-    keys = [undelta(unsqueeze(d)[0]) for d in group["data"]]
-    _, which, count = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-    many = np.split(count[which] > 1, np.cumsum([len(k) for k in keys])[:-1])
-    return pd.DataFrame({"block": group["block"].to_numpy(), "part": group["part"].to_numpy(), "data": [squeeze(np.packbits(m)) for m in many]})
+def shared_keys(hot: int):
+    """One range: for each block which of its keys another block holds too, and which occur more
+    than ``hot`` times in all."""
+
+    @tidy
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        sent = [unsqueeze(d) for d in group["data"]]
+        keys = [undelta(s[0]) for s in sent]
+        _, which, count = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        total = np.bincount(which, np.concatenate([s[1] for s in sent]))
+        edges = np.cumsum([len(k) for k in keys])[:-1]
+        answers = zip(np.split(count[which] > 1, edges), np.split(total[which] > hot, edges), strict=True)
+        return pd.DataFrame({"block": group["block"].to_numpy(), "part": group["part"].to_numpy(), "data": [squeeze(*[np.packbits(x) for x in a]) for a in answers]})
+
+    return run
+
+
+def _answers(parts, data, keys: np.ndarray, ranges: int) -> np.ndarray:
+    """The bits that the ranges answered for ascending keys: shared, hot."""
+    edges, out = ranges_of(keys, ranges), np.zeros((2, len(keys)), bool)
+    for part, answer in zip(parts, data, strict=True):
+        a, b = edges[part], edges[part + 1]
+        for bits, x in zip(out, unsqueeze(answer), strict=True):
+            bits[a:b] = np.unpackbits(x, count=b - a).astype(bool)
+    return out
 
 
 def send_runs(buckets: int, ranges: int, depth: int, gram: int):
-    """One block with its answers -> (bucket, block, data): the runs with shared anchors."""
+    """One block with its answers -> (bucket, block, data): the runs with shared anchors; those
+    with hot anchors in a negative bucket of the block's own."""
 
     @tidy
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -167,29 +202,29 @@ def send_runs(buckets: int, ranges: int, depth: int, gram: int):
         anchor, first, count = anchor_runs(buf, offs, depth, gram)
         key = anchor_keys(anchor)
         distinct, which = np.unique(key, return_inverse=True)
-        edges = ranges_of(distinct, ranges)
-        shared = np.zeros(len(distinct), bool)
-        for part, data in zip(group["part"].iloc[1:], group["data"].iloc[1:], strict=True):
-            a, b = edges[part], edges[part + 1]
-            shared[a:b] = np.unpackbits(unsqueeze(data)[0], count=b - a).astype(bool)
+        shared, hot = _answers(group["part"].iloc[1:], group["data"].iloc[1:], distinct, ranges)
         # or another document of this block
         doc = np.searchsorted(offs, first, "right") - 1
         low, high = np.full(len(distinct), len(ids)), np.full(len(distinct), -1)
         np.minimum.at(low, which, doc)
         np.maximum.at(high, which, doc)
         keep = (shared | (low != high))[which]
+        hot = hot[which][keep]
         anchor, first, count, doc = anchor[keep], first[keep], count[keep], doc[keep]
         if not len(first):
-            return pd.DataFrame({"bucket": pd.Series(dtype="int32"), "block": pd.Series(dtype="int64"), "data": pd.Series(dtype=object)})
-        bucket = (mix(anchor_keys(anchor)) % np.uint64(buckets)).astype(np.int64)
+            return pd.DataFrame({"bucket": pd.Series(dtype="int64"), "block": pd.Series(dtype="int64"), "data": pd.Series(dtype=object)})
+        block = int(group["block"].iloc[0])
+        bucket = np.where(hot, -1 - block, (mix(anchor_keys(anchor)) % np.uint64(buckets)).astype(np.int64))
         text = run_hashes(buf, first, count + depth - 1)
         by = np.lexsort((first, bucket))
         bucket, first, count, doc, text = bucket[by], first[by], count[by], doc[by], text[by]
-        starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        new = np.append(True, bucket[1:] != bucket[:-1])
+        new[: np.count_nonzero(hot) : PACKED] = True
+        starts = np.flatnonzero(new)
         out = []
         for a, b in zip(starts, np.append(starts[1:], len(bucket)), strict=True):
             out.append(pack_runs(buf, ids, first[a:b], count[a:b], doc[a:b], text[a:b], depth))
-        return pd.DataFrame({"bucket": bucket[starts].astype(np.int32), "block": group["block"].iloc[0], "data": out})
+        return pd.DataFrame({"bucket": bucket[starts], "block": block, "data": out})
 
     return run
 
@@ -219,22 +254,43 @@ def pack_runs(buf, ids, first, count, doc, text, depth) -> bytes:
     )
 
 
+def unpack_runs(messages, depth: int):
+    """(message, first, id, kind) of all runs of all messages; ``kind`` numbers their bytes: for
+    each kind the number of its windows and where its bytes begin; the bytes."""
+    parts = [unsqueeze(d) for d in messages]
+    first = np.concatenate([undelta(p[0]).astype(np.int64) for p in parts])
+    message = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
+    ids = np.concatenate([np.repeat(p[3].view("<i8"), p[4]) for p in parts])
+    kinds = np.append(0, np.cumsum([len(p[2]) for p in parts]))
+    kind = np.concatenate([np.where(p[1] > 0, p[1].astype(np.int64) - 1, np.cumsum(p[1] == 0) - 1) + k for p, k in zip(parts, kinds, strict=False)])
+    count = np.concatenate([p[2] for p in parts]).astype(np.int64)
+    begin = np.append(0, np.cumsum(count + depth - 1))[:-1]
+    return message, first, ids, kind, count, begin, np.concatenate([p[5] for p in parts])
+
+
+def repeated_spans(first, size, ids, window_first, window_min, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(run, start, length): the bytes of each run's windows that a smaller id holds."""
+    flag = window_min[_spread(window_first, size)] < np.repeat(ids, size)
+    where = np.repeat(np.arange(len(first)), size)[flag]
+    byte = _spread(first, size)[flag]
+    if not len(byte):
+        return where, byte, byte
+    joint = (byte[1:] == byte[:-1] + 1) & (where[1:] == where[:-1])
+    head = np.flatnonzero(np.append(True, ~joint))
+    tail = np.append(head[1:], len(byte)) - 1
+    return where[head], byte[head], byte[tail] - byte[head] + depth
+
+
 def repeated_windows(depth: int):
-    """One bucket: (block, data) with the spans of bytes that a smaller id holds."""
+    """One bucket: (block, hot, data) with the spans of bytes that a smaller id holds (hot is 0).
+    Runs of hot anchors are handed on as they are; hot is then the number of their windows."""
 
     @tidy
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        parts = [unsqueeze(d) for d in group["data"]]
-        # all runs of all blocks; ``kind`` numbers their bytes
-        first = np.concatenate([undelta(p[0]).astype(np.int64) for p in parts])
-        block = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
-        ids = np.concatenate([np.repeat(p[3].view("<i8"), p[4]) for p in parts])
-        kinds = np.append(0, np.cumsum([len(p[2]) for p in parts]))
-        kind = np.concatenate([np.where(p[1] > 0, p[1].astype(np.int64) - 1, np.cumsum(p[1] == 0) - 1) + k for p, k in zip(parts, kinds, strict=False)])
-        count = np.concatenate([p[2] for p in parts]).astype(np.int64)
-        buf = np.concatenate([p[5] for p in parts])
-        del parts
-        begin = np.append(0, np.cumsum(count + depth - 1))[:-1]
+        if group["bucket"].iloc[0] < 0:
+            return pd.DataFrame({"block": group["block"], "hot": [int(unsqueeze(d)[2].sum(dtype=np.int64)) for d in group["data"]], "data": group["data"]})
+        # all runs of all blocks
+        block, first, ids, kind, count, begin, buf = unpack_runs(group["data"], depth)
         # equal runs of different blocks
         least = np.full(len(count), NULL_ID)
         np.minimum.at(least, kind, ids)
@@ -255,22 +311,132 @@ def repeated_windows(depth: int):
         hit = np.flatnonzero(smallest[at_own[merged[kind]]] < ids)
         out_block, out_data = [], []
         if len(hit):
-            flag = window_min[_spread(window_first[hit], size[hit])] < np.repeat(ids[hit], size[hit])
-            where = np.repeat(hit, size[hit])[flag]
-            byte = _spread(first[hit], size[hit])[flag]
-            joint = (byte[1:] == byte[:-1] + 1) & (where[1:] == where[:-1])
-            head = np.flatnonzero(np.append(True, ~joint))
-            tail = np.append(head[1:], len(byte)) - 1
-            b, start, length = block[where[head]], byte[head], byte[tail] - byte[head] + depth
+            where, start, length = repeated_spans(first[hit], size[hit], ids[hit], window_first[hit], window_min, depth)
+            b = block[hit[where]]
             cut = np.flatnonzero(np.append(True, b[1:] != b[:-1]))
             for i, j in zip(cut, np.append(cut[1:], len(b)), strict=True):
                 out_block.append(int(group["block"].iloc[b[i]]))
                 out_data.append(squeeze(deltas(start[i:j].astype(np.uint32)), length[i:j].astype(np.uint32)))
-        return pd.DataFrame({"block": pd.Series(out_block, dtype="int64"), "data": pd.Series(out_data, dtype=object)})
+        return pd.DataFrame({"block": pd.Series(out_block, dtype="int64"), "hot": pd.Series(0, range(len(out_block)), "int64"), "data": pd.Series(out_data, dtype=object)})
 
     return run
 
 
+class HotWindows:
+    """The distinct windows of a block's hot runs, by ascending hash (of bytes that only share a
+    hash some may occur twice; the buckets compare bytes again)."""
+
+    def __init__(self, messages, depth: int):
+        messages = sorted(messages, key=lambda m: int(unsqueeze(m)[0][0]))
+        _, self.first, self.ids, kind, count, begin, self.buf = unpack_runs(messages, depth)
+        self.size, self.depth = count[kind], depth
+        least = np.full(len(count), NULL_ID)
+        np.minimum.at(least, kind, self.ids)
+        at = _spread(begin, count)
+        sums = prefix_hashes(self.buf)
+        h = segment_hashes(sums, at, at + depth)
+        del sums
+        by = np.argsort(h, kind="stable")
+        h, at, least = h[by], at[by], np.repeat(least, count)[by]
+        digits = np.ndarray((len(self.buf) - 7,), ">u8", self.buf.tobytes(), strides=(1,))
+        new = np.append(True, h[1:] != h[:-1])
+        for step in range(0, depth, 8):
+            digit = digits[at + min(step, depth - 8)]
+            new[1:] |= digit[1:] != digit[:-1]
+        head = np.flatnonzero(new)
+        self.hash, self.at, self.least = h[head], at[head], np.minimum.reduceat(least, head)
+        number = np.empty(len(by), np.int64)
+        number[by] = np.cumsum(new) - 1
+        self.window_first = np.append(0, np.cumsum(count))[:-1][kind]
+        self.number = number  # of each window of each kind of run
+        self.keys, self.key, self.held = np.unique(anchor_keys(self.hash), return_inverse=True, return_counts=True)
+
+    def dealt(self, parts, answers, ranges: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """The windows that are held elsewhere too, by bucket, and their buckets."""
+        shared = _answers(parts, answers, self.keys, ranges)[0] | (self.held > 1)
+        some = np.flatnonzero(shared[self.key])
+        bucket = (mix(self.keys[self.key[some]]) % np.uint64(buckets)).astype(np.int64)
+        by = np.argsort(bucket, kind="stable")
+        return some[by], bucket[by]
+
+
+def send_windows(ranges: int, depth: int):
+    """A block's hot runs -> (part, block, data): the hashes of its distinct windows, by range."""
+
+    @tidy
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        windows = HotWindows(group["data"], depth)
+        parts, block, data = _by_range(int(group["block"].iloc[0]), windows.keys, windows.held, ranges)
+        return pd.DataFrame({"part": parts.astype(np.int32), "block": block, "data": data})
+
+    return run
+
+
+def deal_windows(buckets: int, ranges: int, depth: int):
+    """A block's hot runs with the answers (kind 1) -> (bucket, block, data): bytes and smallest
+    id of the windows that are held elsewhere too, by their own hash."""
+
+    @tidy
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        known = group[group["kind"] == 1]
+        windows = HotWindows(group.loc[group["kind"] == 0, "data"], depth)
+        some, bucket = windows.dealt(known["part"], known["data"], ranges, buckets)
+        starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
+        out = []
+        for a, b in zip(starts, np.append(starts[1:], len(bucket)), strict=True):
+            data = windows.buf[_spread(windows.at[some[a:b]], np.full(b - a, depth))]
+            out.append(squeeze(data, windows.least[some[a:b]].view(np.uint64)))
+        return pd.DataFrame({"bucket": bucket[starts].astype(np.int32), "block": pd.Series(int(group["block"].iloc[0]), range(len(out)), "int64"), "data": pd.Series(out, dtype=object)})
+
+    return run
+
+
+def least_ids(depth: int):
+    """One bucket of windows: to each block the smallest ids, in the order it sent."""
+
+    @tidy
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        parts = [unsqueeze(d) for d in group["data"]]
+        least = np.concatenate([p[1].view(np.int64) for p in parts])
+        sort_windows(np.concatenate([p[0] for p in parts]), np.arange(len(least)) * depth, least, depth)
+        answers = np.split(least.view(np.uint64), np.cumsum([len(p[1]) for p in parts])[:-1])
+        return pd.DataFrame({"block": group["block"].to_numpy(), "part": group["bucket"].to_numpy(), "data": [squeeze(a) for a in answers]})
+
+    return run
+
+
+def hot_spans(buckets: int, ranges: int, depth: int):
+    """A block's hot runs with the answers (kind 1) and the smallest ids (kind 2) -> (block, data):
+    the spans of bytes that a smaller id holds."""
+
+    @tidy
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        known, ids = group[group["kind"] == 1], group[group["kind"] == 2].sort_values("part")
+        windows = HotWindows(group.loc[group["kind"] == 0, "data"], depth)
+        some, _ = windows.dealt(known["part"], known["data"], ranges, buckets)
+        least = windows.least.copy()
+        if len(ids):
+            least[some] = np.concatenate([unsqueeze(d)[0] for d in ids["data"]]).view(np.int64)
+        _, start, length = repeated_spans(windows.first, windows.size, windows.ids, windows.window_first, least[windows.number], depth)
+        data = [squeeze(deltas(start.astype(np.uint32)), length.astype(np.uint32))] if len(start) else []
+        return pd.DataFrame({"block": pd.Series(int(group["block"].iloc[0]), range(len(data)), "int64"), "data": pd.Series(data, dtype=object)})
+
+    return run
+
+
+def spans_of_hot(hot: DataFrame, windows: int, depth: int) -> DataFrame:
+    """(block, data): the spans of the hot runs (block, data) with so many windows."""
+    ranges = max(1, math.ceil(windows / RANGE_KEYS))
+    buckets = max(1, math.ceil(windows * depth / BUCKET_BYTES))
+    sent = hot.groupBy("block").applyInPandas(send_windows(ranges, depth), "part int, block long, data binary")
+    known = written(sent.groupBy("part").applyInPandas(shared_keys(0), "block long, part int, data binary"), "windows")
+    rows = hot.select("block", F.lit(0).alias("kind"), F.lit(-1).alias("part"), "data").unionAll(known.select("block", F.lit(1).alias("kind"), "part", "data"))
+    dealt = rows.groupBy("block").applyInPandas(deal_windows(buckets, ranges, depth), "bucket int, block long, data binary")
+    least = dealt.groupBy("bucket").applyInPandas(least_ids(depth), "block long, part int, data binary")
+    rows = rows.unionAll(least.select("block", F.lit(2).alias("kind"), "part", "data"))
+    return written(rows.groupBy("block").applyInPandas(hot_spans(buckets, ranges, depth), "block long, data binary"), "hot-spans")
+
+
 def merge_runs(buf: np.ndarray, begin: np.ndarray, count: np.ndarray, depth: int) -> np.ndarray:
     """For each run the number of a run with the same bytes (hashes propose, bytes decide)."""
     size = count + depth - 1
@@ -332,10 +498,14 @@ def removed_spans(docs: DataFrame, depth: int, gram: int, columns: list[str], te
     buckets = max(1, math.ceil(total * 3.7 / BUCKET_BYTES))
     rows = blocks.select("block", F.lit(-1).alias("part"), "payload", F.lit(None).cast("binary").alias("data"))
     sent = blocks.select("block", "payload").mapInArrow(send_anchors(ranges, depth, gram), "part int, block long, data binary")
-    known = written(sent.groupBy("part").applyInPandas(shared_anchors, "block long, part int, data binary"), "anchors")
+    known = written(sent.groupBy("part").applyInPandas(shared_keys(HOT_RUNS), "block long, part int, data binary"), "anchors")
     known = known.select("block", "part", F.lit(None).cast("binary").alias("payload"), "data")
-    by_anchor = rows.unionAll(known).groupBy("block").applyInPandas(send_runs(buckets, ranges, depth, gram), "bucket int, block long, data binary")
-    spans = written(by_anchor.groupBy("bucket").applyInPandas(repeated_windows(depth), "block long, data binary"), "spans")
+    by_anchor = rows.unionAll(known).groupBy("block").applyInPandas(send_runs(buckets, ranges, depth, gram), "bucket long, block long, data binary")
+    found = written(by_anchor.groupBy("bucket").applyInPandas(repeated_windows(depth), "block long, hot long, data binary"), "spans")
+    spans, hot = found.where("hot = 0").select("block", "data"), found.where("hot > 0").select("block", "data")
+    windows = found.agg(F.coalesce(F.sum("hot"), F.lit(0))).first()[0]
+    if windows:
+        spans = spans.unionAll(spans_of_hot(hot, windows, depth))
     return rows.unionAll(spans.select("block", F.lit(0).alias("part"), F.lit(None).cast("binary").alias("payload"), "data"))
 
 

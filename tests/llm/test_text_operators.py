@@ -252,6 +252,41 @@ def test_dedup_equals_all_windows(docs, rows, block_bytes):
     assert got.agg(F.sum("n_removed")).first()[0] > 2000
 
 
+@pytest.mark.parametrize("block_bytes", [3000, 1 << 22])
+def test_dedup_deals_a_hot_anchor_by_windows(spark, docs, rows, block_bytes, monkeypatch, tmp_path):
+    import random
+    import uuid
+
+    import carelens.llm.suffixes as s
+
+    rng = random.Random(8)
+    passage = sentence(rng, 30)
+    rows = rows + [(5000 + i, f"{rng.random()}{rng.random()}{passage}{rng.random()}{rng.random()}", "en", "a", 1) for i in range(300)]
+    plain, folder = s.repeated_windows, str(tmp_path)
+
+    def counted(depth):
+        run = plain(depth)
+
+        def count(group):
+            if group["bucket"].iloc[0] >= 0:
+                with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+                    f.write(str(sum(len(s.unsqueeze(d)[0]) for d in group["data"])))
+            return run(group)
+
+        return count
+
+    monkeypatch.setattr(s, "repeated_windows", counted)
+    monkeypatch.setattr(s, "HOT_RUNS", 40, raising=False)
+    monkeypatch.setattr(s, "PACKED", 7, raising=False)
+    monkeypatch.setattr(s, "BUCKET_BYTES", 2000)
+    texts, gone = plain_dedup(rows)
+    want = [(r[0], len(t), int(g.sum()), hashlib.sha256(t if not g.any() else bytes(b for b, x in zip(t, g, strict=True) if not x)).hexdigest()) for r, t, g in zip(rows, texts, gone, strict=True)]
+    got = dedup_report(spark.createDataFrame(rows, docs.schema).repartition(4), block_bytes=block_bytes)
+    assert sorted_rows(got, "doc_id", "n_bytes", "n_removed", "kept_sha256") == sorted(want, key=repr)
+    # every passage's anchors have 300 runs
+    assert max(int(f.read_text()) for f in tmp_path.iterdir()) < 200
+
+
 def test_dedup_in_rounds(docs, rows, monkeypatch):
     import random
 
