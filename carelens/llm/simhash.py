@@ -7,7 +7,8 @@ fingerprint emits all values in that ball, and those that meet on a value are cl
 
 The variants are shuffled by their leading bits and only there written out in full: a
 fingerprint goes to each prefix that its ball reaches (the prefix with up to r bits flipped),
-and inside the prefix the remaining flips are applied to the low bits. A fingerprint is so sent
+and inside the prefix the remaining flips are applied to the low bits; a prefix far above the mean
+is worked through in rounds by further bits of the variants. A fingerprint is so sent
 a few dozen times, not 2,081 times, and no variant is left out. All that meet on one value are
 linked to the smallest of them, never pair by pair; each such link is verified by its bit
 distance, and links are deduplicated before they leave the task. With an odd ``distance``, or
@@ -26,6 +27,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -38,6 +40,8 @@ from carelens.llm.common import LOWER, runs, text_buffer, tidy, words, written
 
 #: Variants that a task holds at a time (they are sorted in memory), as a mean over prefixes.
 TASK_VARIANTS = 2_000_000
+#: Variants that a task writes out at a time, whatever its prefix holds.
+HELD_VARIANTS = 4_000_000
 #: Shingle hashes whose bits are counted at a time.
 HASHES = 1 << 17
 
@@ -93,9 +97,18 @@ def flips(bits: range, most: int) -> np.ndarray:
 
 
 def links_in(fps: np.ndarray, prefix: int, prefix_bits: int, distance: int) -> np.ndarray:
-    """Distinct links (a, b), b < a, of fingerprints whose balls meet under one prefix."""
+    """Distinct links (a, b), b < a, of fingerprints whose balls meet under one prefix. With more
+    than ``HELD_VARIANTS`` variants the prefix is halved by its next bit until they fit; a value
+    has one prefix of each length, so fingerprints that meet on it stay together."""
     radius, low = (distance + 1) // 2, 64 - prefix_bits
     spent = np.bitwise_count((fps >> np.uint64(low)) ^ np.uint64(prefix)) if prefix_bits else np.zeros(len(fps), np.uint8)
+    fps, spent = fps[spent <= radius], spent[spent <= radius]
+    if not len(fps):
+        return np.zeros((0, 2), np.uint64)
+    each = [sum(comb(low, k) for k in range(radius - used + 1)) for used in range(radius + 1)]
+    if low and np.bincount(spent, minlength=radius + 1) @ each > HELD_VARIANTS:
+        halves = [links_in(fps, 2 * prefix + bit, prefix_bits + 1, distance) for bit in (0, 1)]
+        return np.unique(np.concatenate(halves), axis=0) if all(map(len, halves)) else max(halves, key=len)
     values, owners = [], []
     tail = fps & np.uint64((1 << low) - 1)
     for used in range(radius + 1):

@@ -219,6 +219,38 @@ def test_components_of_chains_and_stars(spark):
     assert got == {n: 0 if n <= 40 else 100 if n < 200 else 200 if n < 300 else 300 if n < 999 else 999 for n in nodes}
 
 
+@pytest.mark.parametrize("distance", [3, 4])
+def test_links_of_a_hot_prefix_in_rounds(distance, monkeypatch):
+    import random
+    import tracemalloc
+
+    import carelens.llm.simhash as s
+
+    rng = random.Random(distance)
+    fps = np.unique(np.array([0xABCDEF0123 << 24 | rng.getrandbits(24) for _ in range(1500)], np.uint64))
+    near = np.argwhere(np.triu(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= distance, 1))
+    want = s.links_in(fps, 0, 0, distance)  # at once
+    monkeypatch.setattr(s, "HELD_VARIANTS", 60_000, raising=False)
+    s.flips.cache_clear()
+    tracemalloc.start()
+    got = s.links_in(fps, 0, 0, distance)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) and got.tolist() == want.tolist()
+    assert (np.bitwise_count(got[:, 0] ^ got[:, 1]) <= distance).all()
+    root = {int(f): int(f) for f in fps}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in got.tolist():
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    assert len(near) > 100 and all(find(int(fps[a])) == find(int(fps[b])) for a, b in near)
+    assert peak < 20 << 20, peak
+
+
 # --- suffix-array dedup --------------------------------------------------------------------
 
 
