@@ -12,6 +12,9 @@ Only the others are walked in order, many segments of a client in parallel: rows
 partitioned and sorted by (client, segment, time), read in Arrow chunks with at most
 ``limit`` admitted times carried from one chunk to the next.
 
+A request without a time is admitted and counts for no other (as in the SQL form, where it comes
+last and lies in no window).
+
 Streaming: a stateful processor keyed by client with the admitted times in the state store
 (RocksDB); rows of a micro-batch are ordered by the handler, across micro-batches input must be
 in order. State of idle clients (at most ``limit`` times each) stays in the store.
@@ -93,6 +96,7 @@ def rate_limit(requests: DataFrame, client: str = "client", ts: str = "timestamp
                limit: int = 60) -> DataFrame:
     """Batch twin: one row per request with admitted / retry_after."""
     df = _columns(requests, client, ts, request_id).withColumn("minute", F.floor(F.col("us") / WINDOW_MICROS))
+    untimed, df = df.where("us IS NULL"), df.where("us IS NOT NULL")
     counts = df.groupBy("client", "minute").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("client").orderBy("minute")  # one row per client and minute
     near = F.lag("minute").over(w) == F.col("minute") - 1
@@ -101,8 +105,9 @@ def rate_limit(requests: DataFrame, client: str = "client", ts: str = "timestamp
     busy = F.max("two").over(Window.partitionBy("client", "segment")) > F.lit(limit)
     counts = counts.select(F.col("client").alias("c_client"), F.col("minute").alias("c_minute"), "segment", busy.alias("busy"))
     rows = df.join(counts, F.col("client").eqNullSafe(F.col("c_client")) & (F.col("minute") == F.col("c_minute")))
-    calm = rows.where(~F.col("busy")).select("client", "request_id", "timestamp", F.lit(True).alias("admitted"),
-                                             F.lit(None).cast("int").alias("retry_after"))
+    calm = rows.where(~F.col("busy")).select("client", "request_id", "timestamp")
+    calm = calm.unionByName(untimed.select("client", "request_id", "timestamp"))
+    calm = calm.select("*", F.lit(True).alias("admitted"), F.lit(None).cast("int").alias("retry_after"))
     hot = rows.where("busy").select("client", "segment", "us", "request_id", "timestamp")
     hot = hot.repartition("client", "segment").sortWithinPartitions("client", "segment", "us", "request_id")
 

@@ -73,6 +73,17 @@ def test_rate_limit_splits_a_hot_client(spark):
     assert one == rl.brute_force(rows, limit=1)
 
 
+def test_rate_limit_keeps_requests_without_a_time(spark):
+    rows = _bursty()
+    untimed = [(c, f"N{i}", None) for i, c in enumerate(["HOT"] * 30 + ["C1", None])]
+    df = _frame(spark, rows).select("client", "request_id", "timestamp")
+    df = df.unionByName(spark.createDataFrame(untimed, "client string, request_id string, timestamp timestamp"))
+    out = rl.rate_limit(df, limit=20).collect()
+    got = {r.request_id: (r.admitted, r.retry_after) for r in out}
+    exp = rl.brute_force([(c, r, float(int(t * 1e6)) / 1e6) for c, r, t in rows], limit=20)
+    assert len(out) == len(rows) + len(untimed) and got == exp | {r: (True, None) for _, r, _ in untimed}
+
+
 def test_rate_limit_stream_matches_batch(spark, tmp_path):
     rows = sorted(_bursty(), key=lambda r: r[2])
     df = _frame(spark, rows)
