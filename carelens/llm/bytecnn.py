@@ -274,13 +274,15 @@ def score_quality(
     """(doc_id, held_out, score, predicted) per document; score: the probability of label 1.
 
     ``labels`` has an id under the same name and the label; ids with several labels count by the
-    largest, null labels do not count. ``held_out`` is a condition on the id alone. Null and empty
+    largest, null labels do not count. ``held_out`` is a condition on the id alone. Of rows that
+    repeat an id one teaches, the text with the smallest hash. Null and empty
     texts are scored as empty texts; without labels of both classes every score is 0.5."""
     marks = labels.where(~held_out & F.col(f"`{label}`").isNotNull()).groupBy(F.col(f"`{doc_id}`").alias("id")).agg(F.max(F.col(f"`{label}`")).cast("string").alias("class"))
     chosen, counts = _sample(marks.where(F.col("class").isin("0", "1")), per_class)
     chosen = written(chosen.select("id", "class"), "labels")  # chosen before any text is looked up
     texts = docs.select(F.col(f"`{doc_id}`").alias("id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
-    net, names = train(texts.join(chosen, "id").withColumn("order", F.xxhash64("id")), quality_net, windows, counts)
+    texts = texts.join(chosen, "id").groupBy("id", "class").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text"))
+    net, names = train(texts.withColumn("order", F.xxhash64("id")), quality_net, windows, counts)
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

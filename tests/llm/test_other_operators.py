@@ -212,6 +212,25 @@ def test_quality_is_told_on_held_out_texts(spark, empty):
     assert {r["score"] for r in score_quality(df, marks.limit(0), held).collect()} == {0.5}
 
 
+def test_quality_learns_one_row_of_a_repeated_id(spark, monkeypatch):
+    import carelens.llm.bytecnn as b
+
+    rng = random.Random(4)
+    rows = [(i, sentence(rng, 20), "en", "s", 0) for i in range(40)] + [(7, sentence(rng, 20), "en", "s", 0) for _ in range(500)]
+    df, marks = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    seen = []
+
+    def train(found, *_):
+        seen.append(sorted((r["id"], r["text"], r["class"]) for r in found.collect()))
+        return None, []
+
+    monkeypatch.setattr(b, "train", train)
+    for part in (df.repartition(5), df.orderBy("text")):
+        assert score_quality(part, marks, F.lit(False)).count() == len(rows)
+    assert [i for i, _, _ in seen[0]] == list(range(40)) and seen[0] == seen[1]
+    assert {(i, t) for i, t, _ in seen[0]} <= {(r[0], r[1]) for r in rows}
+
+
 def test_windows_cover_every_gram():
     net = language_net(3)
     rng = np.random.default_rng(1)
