@@ -19,15 +19,27 @@ from carelens.plans.catalog import SQL, register
 from carelens.plans.catalog_dirty import dirty, faulty_requests
 from carelens.plans.catalog_models import _probability, _with_holes
 from carelens.schemas import REQUEST_COLUMNS
-from carelens.session import scratch_path
+from carelens.session import is_folder, scratch_path
 from carelens.sources import telemetry as src
 from carelens.streaming import jobs
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _events_path(sf_dir)
+    if is_folder(spark, path):  # of part files, whose names the filter would have to match
+        return jobs.events_stream(spark, path)
     return jobs.events_stream(spark, sf_dir, glob="events.parquet")
 
 
+def _events_path(sf_dir: str) -> str:
+    return f"{sf_dir.rstrip('/')}/events.parquet"
+
+
+def _drained(spark: SparkSession, sf_dir: str, stream: DataFrame, name: str) -> DataFrame:
+    """The result of a complete-mode stream over the events."""
+    return jobs.drain(stream, "complete", name, spark.read.parquet(_events_path(sf_dir)))
+
+
 def _ntz(df: DataFrame, *columns: str) -> DataFrame:
     for c in columns:
         df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
@@ -44,7 +56,7 @@ _SOURCES = {
 def _telemetry(name: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = _SOURCES[name](_events(spark, sf_dir))
-        return _ntz(jobs.drain(jobs.telemetry_stream(name, rows), "complete", f"stream-{name}"), "timestamp")
+        return _ntz(_drained(spark, sf_dir, jobs.telemetry_stream(name, rows), f"stream-{name}"), "timestamp")
 
     query.__doc__ = f"T1: {name} as a stream."
     return query
@@ -58,14 +70,14 @@ for _name in _SOURCES:
 def stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1 (K1) as a stream."""
     rows = src.requests_from_events(_events(spark, sf_dir))
-    return _ntz(jobs.drain(jobs.latency_stream(rows), "complete", "stream-latency"), "timestamp")
+    return _ntz(_drained(spark, sf_dir, jobs.latency_stream(rows), "stream-latency"), "timestamp")
 
 
 @register("stream_alerts", SQL["alerts"])
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1, T2 (L1-L3): the three alert streams."""
     def run(job, source):
-        return jobs.drain(job(source(_events(spark, sf_dir))), "complete", f"stream-{job.__name__}")
+        return _drained(spark, sf_dir, job(source(_events(spark, sf_dir))), f"stream-{job.__name__}")
 
     parts = [run(jobs.latency_alert_stream, src.requests_from_events), run(jobs.error_rate_alert_stream, src.requests_from_events),
              run(jobs.availability_alert_stream, src.dependencies_from_events)]

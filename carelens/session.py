@@ -105,6 +105,12 @@ def file_stamp(spark: SparkSession, path: str) -> str:
     return f"{fs.getContentSummary(p).getLength()}:{fs.getFileStatus(p).getModificationTime()}"
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder, on any file system."""
+    fs, p = _file_system(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Deletes all tables this library has written to the checkpoint folder; for the owner of a
     run, at its end, when no DataFrame over them is needed any more."""

@@ -43,10 +43,11 @@ def encounters_stream(spark: SparkSession, path: str, files_per_trigger: int = 1
     return landing_stream(spark, path, RAW_ENCOUNTER_SCHEMA, files_per_trigger)
 
 
-def drain(stream: DataFrame, mode: str, name: str) -> DataFrame:
+def drain(stream: DataFrame, mode: str, name: str, source: DataFrame | None = None) -> DataFrame:
     """Runs a stream over all files that are there and returns its result. Every micro-batch
     writes a folder of its own, overwriting it when replayed, so a replay adds no row twice.
-    Mode ``complete``: the last micro-batch is the result; else all of them are."""
+    Mode ``complete``: the last micro-batch is the result; else all of them are. ``source``: what
+    the stream reads, as a table; if it has rows, at least one micro-batch must have run."""
     spark = stream.sparkSession
     path, epochs = scratch_path(spark, name), []
 
@@ -57,6 +58,8 @@ def drain(stream: DataFrame, mode: str, name: str) -> DataFrame:
     q = (stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    if not epochs and source is not None and not source.isEmpty():
+        raise RuntimeError(f"{name}: the source has rows, but the stream has read none")
     if not epochs:
         return spark.createDataFrame([], stream.schema)
     wanted = epochs[-1:] if mode == "complete" else sorted(set(epochs))

@@ -73,6 +73,19 @@ def test_rate_limit_splits_a_hot_client(spark):
     assert one == rl.brute_force(rows, limit=1)
 
 
+def test_events_in_a_folder_of_part_files_are_streamed(spark, tmp_path):
+    from carelens.plans import catalog_streams as cs
+
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    events.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    query = cs._telemetry("tier_counts")
+    got, want = query(spark, str(tmp_path)).collect(), query(spark, SF).collect()
+    assert len(want) > 0 and sorted(map(str, got)) == sorted(map(str, want))
+    unread = jobs.events_stream(spark, str(tmp_path), glob="nothing").groupBy("event_type").count()
+    with pytest.raises(RuntimeError):
+        jobs.drain(unread, "complete", "unread", events)
+
+
 def test_rate_limit_keeps_requests_without_a_time(spark):
     rows = _bursty()
     untimed = [(c, f"N{i}", None) for i, c in enumerate(["HOT"] * 30 + ["C1", None])]
