@@ -89,7 +89,7 @@ def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("candidate_comparison")
 def candidate_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Logistic vs boosted trees (early stop on the validation split),
+    """Logistic vs boosted trees (early stop on the validation split),
     evaluated on the test split; the best by ROC-AUC flagged."""
     from concurrent.futures import ThreadPoolExecutor
 
