@@ -87,6 +87,13 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelens.llm.centroids import cluster
+
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256")
+    return cluster(table(spark, sf_dir, "embeddings")).select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest)
+
+
 OP2_SQL = """
 WITH d AS (
   SELECT doc_id, source,
@@ -131,6 +138,34 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+def _op11_sql(k: int = 8, rounds: int = 10) -> str:
+    """One assignment and one update per round; ``cs`` is the list of centroids."""
+    near = """SELECT v.*, list_min(ds) AS distance, list_position(ds, list_min(ds)) - 1 AS cluster
+  FROM (SELECT v.*, c.cs, [CAST(list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(v.q, c.cs[i])]) AS BIGINT)
+                           FOR i IN range(1, len(c.cs) + 1)] AS ds FROM v, c{0} c) v"""
+    parts = [f"""
+v AS MATERIALIZED (
+  SELECT vec_id, [CAST(greatest(least(floor(1024 * CAST(x AS DOUBLE)), 134217728), -134217728) AS BIGINT) FOR x IN embedding] AS q
+  FROM embeddings WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+c0 AS MATERIALIZED (
+  SELECT list(q ORDER BY h NULLS LAST, q) AS cs
+  FROM (SELECT q, sha256('3:' || CAST(vec_id AS VARCHAR)) AS h FROM v ORDER BY h NULLS LAST, q LIMIT {k}))"""]
+    for i in range(rounds):
+        parts.append(f"""
+a{i} AS MATERIALIZED (SELECT cluster, q FROM ({near.format(i)})),
+m{i} AS (SELECT cluster, j, CAST(sum(x) AS HUGEINT) AS s, count(*) AS n
+  FROM (SELECT cluster, unnest(q) AS x, unnest(range(1, 65)) AS j FROM a{i}) GROUP BY cluster, j),
+u{i} AS (SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS q FROM m{i} GROUP BY cluster),
+c{i + 1} AS MATERIALIZED (
+  SELECT list(coalesce(u.q, o.q) ORDER BY o.cluster) AS cs
+  FROM (SELECT unnest(cs) AS q, unnest(range(0, len(cs))) AS cluster FROM c{i}) o LEFT JOIN u{i} u USING (cluster))""")
+    return "WITH" + ",".join(parts) + f""",
+f AS MATERIALIZED (SELECT vec_id, cluster, distance, v.cs[cluster + 1] AS centroid FROM ({near.format(rounds)}) v)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(centroid, ',')) AS centroid_sha256
+FROM f"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_automaton": op1_automaton,
     "op2_mix": op2_mix,
@@ -142,5 +177,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_quality": op9_quality,
     "op10_repetition": op10_repetition,
+    "op11_centroids": op11_centroids,
 }
-SQL: dict[str, str] = {"op2_mix": OP2_SQL, "op5_kdtree": OP5_SQL}
+SQL: dict[str, str] = {"op2_mix": OP2_SQL, "op5_kdtree": OP5_SQL, "op11_centroids": _op11_sql()}
