@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -259,3 +260,86 @@ def ranges_of(keys: np.ndarray, ranges: int) -> np.ndarray:
     """Where each of ``ranges`` equal parts of the 64-bit numbers begins in ascending keys, and the end."""
     edges = np.array([(i << 64) // ranges for i in range(ranges)], np.uint64)
     return np.append(np.searchsorted(keys, edges), len(keys))
+
+
+# Exact equality of byte segments.
+
+#: Beyond so many bytes a segment is handled on its own, not in a column of eight-byte digits.
+LONG_SEGMENT = 256
+
+
+def _digits(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes (little-endian, zeros past the end) from each byte on."""
+    return np.ndarray((len(buf) + 1,), "<u8", buf.tobytes() + bytes(8), strides=(1,))
+
+
+def _digit(digits: np.ndarray, starts: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """The next ``left`` bytes, eight at most, from each start."""
+    x = digits[starts]
+    short = left < 8
+    x[short] &= (np.uint64(1) << (left[short].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+    return x
+
+
+def spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... (size of them) for each pair, in one array."""
+    total = np.append(0, np.cumsum(sizes))
+    return np.repeat(begins - total[:-1], sizes) + np.arange(total[-1])
+
+
+def hash_segments(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each buf[start:end], digit by digit; memory goes with the segments, not with the buffer."""
+    size = ends - starts
+    digits = _digits(buf)
+    h = mix(size.astype(np.uint64))
+    live, at = np.flatnonzero(size > 0), 0
+    with np.errstate(over="ignore"):
+        while len(live) and at < LONG_SEGMENT:
+            x = _digit(digits, starts[live] + at, size[live] - at)
+            h[live] = mix((h[live] ^ mix(x + np.uint64(_BASE))) * np.uint64(0x9FB21C651E98DF25))
+            at += 8
+            live = live[size[live] > at]
+        for i in live.tolist():
+            rest = np.uint64(xxhash.xxh64_intdigest(buf[starts[i] + at : ends[i]], 7))
+            h[i] = mix((h[i] ^ rest) * np.uint64(0x9FB21C651E98DF25))
+    return h
+
+
+def same_bytes(buf: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether buf[a:a+n] equals buf[b:b+n], for each triple."""
+    same = np.ones(len(n), bool)
+    digits = _digits(buf)
+    live, at = np.flatnonzero((n > 0) & (a != b)), 0
+    while len(live) and at < LONG_SEGMENT:
+        left = n[live] - at
+        equal = _digit(digits, a[live] + at, left) == _digit(digits, b[live] + at, left)
+        same[live[~equal]] = False
+        at += 8
+        live = live[equal & (left > 8)]
+    for i in live.tolist():
+        same[i] = bool(np.array_equal(buf[a[i] + at : a[i] + n[i]], buf[b[i] + at : b[i] + n[i]]))
+    return same
+
+
+def distinct_segments(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, which): one representative of each distinct buf[start:end], and each one's number in it.
+
+    Hashes group the segments, bytes decide: a segment that differs from its group's first one is
+    told apart by its bytes, so two texts never count as one whatever their hashes."""
+    if not len(starts):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    _, first, which = np.unique(hash_segments(buf, starts, ends), return_index=True, return_inverse=True)
+    size = ends - starts
+    like = first[which]
+    wrong = size != size[like]
+    check = np.flatnonzero(~wrong)
+    wrong[check] = ~same_bytes(buf, starts[check], starts[like[check]], size[check])
+    seen: dict[bytes, int] = {}
+    more = []
+    for i in np.flatnonzero(wrong).tolist():
+        data = buf[starts[i] : ends[i]].tobytes()
+        if data not in seen:
+            seen[data] = len(first) + len(more)
+            more.append(i)
+        which[i] = seen[data]
+    return np.append(first, np.array(more, np.int64)), which

@@ -94,6 +94,19 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster(table(spark, sf_dir, "embeddings")).select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest)
 
 
+def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelens.llm.periods import periodic_runs
+
+    found = periodic_runs(table(spark, sf_dir, "documents"), seed=F.crc32(F.col("doc_id").cast("string")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.col2")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.col3")).alias("period"), F.expr("1000 * best.length div -best.col3").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 OP2_SQL = """
 WITH d AS (
   SELECT doc_id, source,
@@ -178,5 +191,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_repetition": op10_repetition,
     "op11_centroids": op11_centroids,
+    "op12_periods": op12_periods,
 }
 SQL: dict[str, str] = {"op2_mix": OP2_SQL, "op5_kdtree": OP5_SQL, "op11_centroids": _op11_sql()}
