@@ -106,9 +106,9 @@ def runs(offs: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]
         i = j
 
 
-def words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words ``[^\\x20\\x09-\\x0D]+``, and each row's first word."""
-    solid = ~SPACE[buf]
+def words(buf: np.ndarray, offs: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words (``[^\\x20\\x09-\\x0D]+`` by default), and each row's first word."""
+    solid = ~between[buf]
     first, last = solid.copy(), solid.copy()
     first[1:] &= ~solid[:-1]
     last[:-1] &= ~solid[1:]

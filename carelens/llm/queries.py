@@ -107,6 +107,16 @@ def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelens.llm.contamination import contamination
+
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
 OP2_SQL = """
 WITH d AS (
   SELECT doc_id, source,
@@ -151,6 +161,31 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+OP13_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+i AS (
+  SELECT item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark),
+p AS MATERIALIZED (
+  SELECT DISTINCT item_id, size, array_to_string(list_slice(w, pos, pos + size - 1), ' ') AS gram
+  FROM (SELECT item_id, w, least(len(w), 10) AS size, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS pos FROM i WHERE len(w) > 0)),
+g AS (
+  SELECT rid, pos, size, array_to_string(list_slice(w, pos, pos + size - 1), ' ') AS gram
+  FROM (SELECT rid, w, size, unnest(range(1, len(w) - size + 2)) AS pos FROM d, (SELECT DISTINCT size FROM p) WHERE len(w) >= size)),
+m AS MATERIALIZED (SELECT g.rid, g.pos, g.size, p.item_id FROM g JOIN p USING (size, gram)),
+h AS (SELECT rid, count(DISTINCT place) AS n_hit FROM (SELECT rid, unnest(range(pos, pos + size)) AS place FROM m) GROUP BY rid),
+t AS (SELECT rid, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items
+      FROM m GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (rid) LEFT JOIN t USING (rid)
+"""
+
+
 def _op11_sql(k: int = 8, rounds: int = 10) -> str:
     """One assignment and one update per round; ``cs`` is the list of centroids."""
     near = """SELECT v.*, list_min(ds) AS distance, list_position(ds, list_min(ds)) - 1 AS cluster
@@ -192,5 +227,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_repetition": op10_repetition,
     "op11_centroids": op11_centroids,
     "op12_periods": op12_periods,
+    "op13_contamination": op13_contamination,
 }
-SQL: dict[str, str] = {"op2_mix": OP2_SQL, "op5_kdtree": OP5_SQL, "op11_centroids": _op11_sql()}
+SQL: dict[str, str] = {"op2_mix": OP2_SQL, "op5_kdtree": OP5_SQL, "op11_centroids": _op11_sql(), "op13_contamination": OP13_SQL}
