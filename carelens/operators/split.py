@@ -1,104 +1,138 @@
-"""Splits and sampling: temporal split (C4/W1), patient split (C5), sample (C6),
-class weight (C7).
-
-Temporal split without a global single-partition window:
-  1. per-date counts (partial aggregate) and their running sums (distributed);
-  2. the at most two rows that hold a boundary position come to the driver: a date and
-     how many of its rows go to the earlier split;
-  3. only rows on the two boundary dates need a rank within their date. That rank is
-     computed by a distributed ranking (range partitioning on the order key, per-
-     partition offsets), so a hot date holding a third of all rows is sorted by many
-     tasks, not one;
-  4. the split column is a plain expression plus a join with the boundary ranks.
+"""Splits and sampling: positional slices (W1), temporal split (C4), patient split (C5), sample
+(C6), class weight (C7).
+
+A positional slice says for every row between which positions of a total order it lies, without
+sorting, shuffling or joining the rows themselves:
+  1. counts per first order column (partial aggregates) and their distributed running sums place
+     every cut position in one value of it: a row per cut comes to the driver;
+  2. only for those values, counts per remaining order columns and row digest, again with running
+     sums, place every cut in one group of rows that are alike in all of them;
+  3. the slice is then a projection: each row is compared with the cut groups, column by column.
+     A projection can neither add nor lose rows, whatever repeats or is NULL.
+  4. Rows of a cut group itself are the same in content; they are written and numbered over their
+     partitions, and the first so many go to the earlier slice. Only here rows are written, and a
+     hot group stays spread over as many tasks as held it.
+No window holds a hot value, and the wide rows are never shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from carelens.operators.prefix import running_sums
+from carelens.operators.prefix import running_sums, with_row_number
 from carelens.schemas import LABEL_COLUMN
 from carelens.session import cut_lineage
 
-def distributed_rank(df: DataFrame, order: list[str], rank_col: str = "_rank",
-                     partitions: int | None = None) -> DataFrame:
-    """0-based rank of each row by ``order`` (unique key assumed), computed without a
-    single-partition window.
 
-    Rows are range-partitioned and sorted on ``order``; ``monotonically_increasing_id``
-    then encodes (partition, position). The result is checkpointed before the
-    partition counts are taken so both views agree even if a task is re-run.
-    """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranked = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    ranked = cut_lineage(ranked)
-    pid = F.shiftrightunsigned(F.col("_mid"), 33)
-    counts = ranked.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition: a bounded side, safe to window in one task and broadcast.
-    offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
-    local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    return (ranked.join(F.broadcast(offsets), pid == F.col("_pid"))
-            .withColumn(rank_col, F.col("_off") + local)
-            .drop("_mid", "_pid", "_off"))
+def row_digest(df: DataFrame) -> Column:
+    """A 64-bit hash of all columns, in which equal rows agree (maps through their JSON text)."""
+    fields = [F.to_json(F.struct(f"`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in df.schema.fields]
+    return F.xxhash64(*fields)
+
+
+@dataclass
+class _Cut:
+    """Where a slice ends: rows before ``group`` (order columns and digest), and ``copies`` of its
+    rows. ``group`` None: no row lies behind."""
+
+    group: list | None
+    copies: int = 0
+
+
+def _before(columns: list[Column], group: list) -> Column:
+    """columns < group, column by column, NULLs last."""
+    out = F.lit(False)
+    for c, v in reversed(list(zip(columns, group, strict=True))):
+        less = c.isNotNull() if v is None else F.coalesce(c < F.lit(v), F.lit(False))
+        out = less | (c.eqNullSafe(F.lit(v)) & out)
+    return out
+
+
+def _same_group(columns: list[Column], group: list) -> Column:
+    out = F.lit(True)
+    for c, v in zip(columns, group, strict=True):
+        out = out & c.eqNullSafe(F.lit(v))
+    return out
+
+
+def _cuts(df: DataFrame, order: list[str], ends: Callable[[int], list[int]]) -> list[_Cut]:
+    first, rest = order[0], order[1:]
+    any_of = lambda conditions: reduce(Column.__or__, conditions, F.lit(False))
+    holds = lambda p: (F.col("cum_n") - F.col("n") <= p) & (F.col("cum_n") > p)
+    per_value = df.groupBy(F.col(first).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    cum = running_sums(per_value, F.col("v").asc_nulls_last(), ["n"])  # reads the counts it has written
+    positions = ends(cum.agg(F.max("total_n")).first()[0] or 0)
+    values = cum.where(any_of(map(holds, positions))).select("v", "n", "cum_n").collect()  # one per cut at most
+    starts = {p: (r["v"], p - (r["cum_n"] - r["n"])) for p in positions for r in values if r["cum_n"] - r["n"] <= p < r["cum_n"]}
+    if not values:
+        return [_Cut(None)] * len(positions)
+    at_cut = any_of(F.col(first).eqNullSafe(F.lit(r["v"])) for r in values)
+    keys = [F.col(c).alias(f"o{i}") for i, c in enumerate(rest)]
+    detail = df.where(at_cut).groupBy(F.col(first).alias("v"), *keys, row_digest(df).alias("digest")).agg(F.count(F.lit(1)).alias("n"))
+    inner = F.struct(*[x for i in range(len(rest)) for x in (F.col(f"o{i}").isNull(), F.col(f"o{i}"))], "digest")
+    groups = running_sums(detail.withColumn("at", inner), F.col("at").asc(), ["n"], ["v"])
+    wanted = any_of(F.col("v").eqNullSafe(F.lit(v)) & holds(inside) for v, inside in starts.values())
+    found = groups.where(wanted).collect()  # one per cut at most
+
+    def cut(p: int) -> _Cut:
+        if p not in starts:  # behind the last row
+            return _Cut(None)
+        v, inside = starts[p]
+        g = next(r for r in found if r["v"] == v and r["cum_n"] - r["n"] <= inside < r["cum_n"])
+        return _Cut([v, *[g[f"o{i}"] for i in range(len(rest))], g["digest"]], inside - (g["cum_n"] - g["n"]))
+
+    return [cut(p) for p in positions]
+
+
+def positional_slices(df: DataFrame, order: list[str], ends: Callable[[int], list[int]], names: list[str],
+                      slice_col: str = "slice") -> DataFrame:
+    """``df`` with ``slice_col``: ``names[k]`` for rows between the k-th and the next end in
+    ``order`` (ascending, NULLs last; then by a digest of the whole row, so the order is total up
+    to rows that are the same). ``ends``: from the number of rows to the ascending end positions,
+    one fewer than names. Each slice has exactly the rows its positions say."""
+    cuts = _cuts(df, order, ends)
+    columns = [*[F.col(f"`{c}`") for c in order], row_digest(df)]
+    split_groups = {tuple(c.group): c.group for c in cuts if c.group is not None and c.copies > 0}
+
+    def label(place: Column | None) -> Column:
+        """``place``: the row's number in its cut group, for rows of one."""
+        out = F.lit(names[-1])
+        for cut, name in reversed(list(zip(cuts, names, strict=False))):
+            if cut.group is None:
+                earlier = F.lit(True)
+            else:
+                earlier = _before(columns, cut.group)
+                if place is not None:
+                    earlier = earlier | (_same_group(columns, cut.group) & (place <= F.lit(cut.copies)))
+            out = F.when(earlier, F.lit(name)).otherwise(out)
+        return out.alias(slice_col)
+
+    kept = [F.col(f"`{c}`") for c in df.columns if c != slice_col]
+    if not split_groups:
+        return df.select(*kept, label(None))
+    in_group = reduce(Column.__or__, [_same_group(columns, g) for g in split_groups.values()])
+    parts = [df.where(~in_group).select(*kept, label(None))]
+    for group in split_groups.values():
+        numbered = with_row_number(df.where(_same_group(columns, group)), "_place")
+        parts.append(numbered.select(*kept, label(F.col("_place"))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def temporal_split(df: DataFrame, train_fraction: float = 0.70, validation_fraction: float = 0.15,
                    date_col: str = "discharge_date", key: str = "encounter_id",
                    split_col: str = "split") -> DataFrame:
-    """Rows ordered by (date_col, key), NULL dates last: first int(n*train) -> train, next
-    int(n*val) -> val, rest -> test."""
-    per_date = df.groupBy(F.col(date_col).alias("d")).agg(F.count(F.lit(1)).alias("n"))
-    cum = cut_lineage(running_sums(per_date, F.col("d").asc_nulls_last(), ["n"]))
-    n = cum.agg(F.max("total_n")).first()[0] or 0
-    train_end = int(n * train_fraction)
-    val_end = train_end + int(n * validation_fraction)
-
-    def holds(pos: int) -> Column:
-        return (F.col("cum_n") - F.col("n") <= pos) & (F.col("cum_n") > pos)
-
-    edges = cum.where(holds(train_end) | holds(val_end)).collect()  # at most two rows
-
-    def boundary(pos: int):
-        """(date, k): rows of `date` with within-date rank < k are before `pos`."""
-        for r in edges:
-            if r["cum_n"] - r["n"] <= pos < r["cum_n"]:
-                return r["d"], pos - (r["cum_n"] - r["n"])
-        return None  # all rows are before
-
-    dcol = F.col(date_col)
-
-    def before(at, inner: Column) -> Column:
-        if at is None:
-            return F.lit(True)
-        d, k = at
-        if d is None:  # the boundary lies among the NULL dates
-            return dcol.isNotNull() | (inner < F.lit(k))
-        return F.coalesce((dcol < F.lit(d)) | ((dcol == F.lit(d)) & (inner < F.lit(k))), F.lit(False))
-
-    first, second = boundary(train_end), boundary(val_end)
-    dates = [at[0] for at in {first, second} if at is not None]
-    if dates:
-        on_edge = F.lit(False)
-        for d in dates:
-            on_edge = on_edge | dcol.eqNullSafe(F.lit(d))
-        edge = df.where(on_edge).select(dcol.alias("_bd"), F.col(key).alias("_bk"))
-        edge = distributed_rank(edge, ["_bd", "_bk"], "_grank")
-        # rank within date = global rank among boundary rows - rows on earlier boundary dates
-        least = edge.groupBy(F.col("_bd").alias("_fd")).agg(F.min("_grank").alias("_first"))  # two rows
-        edge = edge.join(F.broadcast(least), F.col("_bd").eqNullSafe(F.col("_fd"))).select(
-            "_bd", "_bk", (F.col("_grank") - F.col("_first")).alias("_r"))
-        out = df.join(edge, dcol.eqNullSafe(F.col("_bd")) & (F.col(key) == F.col("_bk")), "left")
-    else:
-        out = df.withColumn("_r", F.lit(None).cast("bigint"))
-    inner = F.col("_r")
-    split = (F.when(before(first, inner), F.lit("train"))
-             .when(before(second, inner), F.lit("val"))
-             .otherwise(F.lit("test")))
-    return out.withColumn(split_col, split).drop("_bd", "_bk", "_r")
+    """C4: rows ordered by (date_col, key), NULLs last: first int(n*train) -> train, next
+    int(n*val) -> val, rest -> test. Keys may repeat or be NULL: every row is in one split."""
+    def ends(n: int) -> list[int]:
+        train = int(n * train_fraction)
+        return [train, train + int(n * validation_fraction)]
+
+    return positional_slices(df, [date_col, key], ends, ["train", "val", "test"], split_col)
 
 
 def patient_split(df: DataFrame, split_col: str = "split", patient: str = "patient_id",

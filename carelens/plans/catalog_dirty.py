@@ -97,6 +97,22 @@ def split_with_null_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.temporal_split(f.withColumn("discharge_date", day), 0.70, 0.15).select("encounter_id", "split")
 
 
+@register("split_repeated_keys", with_ctes(ENC, FEAT) + """
+, d AS (SELECT CASE WHEN k % 48 = 0 THEN NULL ELSE CAST(k // 16 % 40 AS VARCHAR) END AS encounter_id,
+               CASE WHEN k % 500 = 0 THEN NULL ELSE CAST(date_trunc('quarter', discharge_date) AS DATE) END AS day
+        FROM (SELECT CAST(encounter_id AS BIGINT) AS k, discharge_date FROM feat)),
+r AS (SELECT *, row_number() OVER (ORDER BY day NULLS LAST, encounter_id NULLS LAST) - 1 AS rk, count(*) OVER () AS n FROM d)
+SELECT encounter_id, day, CASE WHEN rk < CAST(floor(n * 0.70) AS BIGINT) THEN 'train'
+  WHEN rk < CAST(floor(n * 0.70) AS BIGINT) + CAST(floor(n * 0.15) AS BIGINT) THEN 'val' ELSE 'test' END AS split FROM r""")
+def split_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4, W1 on keys that many rows repeat or lack: positions decide, and every row comes out once."""
+    f, k = base.features(spark, sf_dir), F.col("encounter_id").cast("bigint")
+    key = F.when(k % 48 != 0, F.expr("cast(cast(encounter_id as bigint) div 16 % 40 as string)"))
+    day = F.when(k % 500 != 0, F.trunc("discharge_date", "quarter"))
+    rows = f.select(key.alias("encounter_id"), day.alias("day"), "length_of_stay", "readmitted_30d")
+    return split.temporal_split(rows, 0.70, 0.15, date_col="day").select("encounter_id", "day", "split")
+
+
 @register("late_labels_bounded", with_ctes(ENC, ALLFEAT, PRED) + """
 , s AS (SELECT encounter_id, CAST(discharge_date AS TIMESTAMP) AS scored_ts, readmission_probability FROM pred WHERE split = 'test'),
 l AS (SELECT encounter_id, CAST(discharge_date + CAST(10 + CAST(encounter_id AS BIGINT) % 81 AS INTEGER) AS TIMESTAMP) AS label_ts,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from carelens.operators import asof, split, store
 from carelens.operators.history import with_patient_history
+from carelens.operators.prefix import with_row_number
 
 
 def _encounters(seed=0, n=300):
@@ -59,12 +60,11 @@ def test_temporal_split_sizes_and_order(spark):
     assert {r.encounter_id: r.split for r in out} == expect
 
 
-def test_distributed_rank(spark):
+def test_row_numbers_over_partitions(spark):
     rows = [(f"K{i:05d}", i % 7) for i in range(1000)]
-    df = spark.createDataFrame(rows, "k string, g int")
-    got = {r.k: r._rank for r in split.distributed_rank(df, ["g", "k"], partitions=5).collect()}
-    expect = {k: i for i, (k, _) in enumerate(sorted(rows, key=lambda r: (r[1], r[0])))}
-    assert got == expect
+    df = spark.createDataFrame(rows, "k string, g int").repartition(5)
+    got = {r.k: r.row_no for r in with_row_number(df.orderBy("g", "k")).collect()}
+    assert got == {k: i + 1 for i, (k, _) in enumerate(sorted(rows, key=lambda r: (r[1], r[0])))}
 
 
 def test_patient_split(spark):
@@ -132,3 +132,48 @@ def test_all_missing_ids_are_reported(spark):
     with pytest.raises(KeyError) as ex:
         store.lookup(table, wanted, columns=["age"], strict=True)
     assert ex.value.n == 55 and [r[0] for r in ex.value.ids().collect()] == sorted(f"e{i}" for i in range(5, 60))
+
+
+def _expected_sizes(n):
+    return {"train": int(n * 0.70), "val": int(n * 0.15), "test": n - int(n * 0.70) - int(n * 0.15)}
+
+
+def test_split_of_repeated_keys_keeps_every_row(spark):
+    rows = [(f"e{i // 2}", dt.date(2024, 1, 1 + i // 4)) for i in range(20)]  # 10 (date, key) pairs, each twice
+    df = spark.createDataFrame(rows, "encounter_id string, discharge_date date").repartition(3)
+    got = split.temporal_split(df)
+    assert {r["split"]: r["count"] for r in got.groupBy("split").count().collect()} == {"train": 14, "val": 3, "test": 3}
+    assert sorted((r.encounter_id, r.discharge_date) for r in got.collect()) == sorted(rows)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_slices_of_any_rows_equal_a_sorted_list(spark, seed):
+    rnd = random.Random(seed)
+    rows = [(rnd.choice([None, "a", "b", "c"]), rnd.choice([None, *[dt.date(2024, 1, 1 + d) for d in range(3)]]), rnd.choice([None, 1, 2]), {"k": rnd.choice(["x", "y"])})
+            for _ in range(rnd.choice([0, 1, 7, 60]))]
+    df = spark.createDataFrame(rows, "encounter_id string, discharge_date date, v int, m map<string,string>").repartition(4)
+    got = split.temporal_split(df).collect()
+    assert sorted(map(repr, ((r.encounter_id, r.discharge_date, r.v, r.m) for r in got))) == sorted(map(repr, rows))
+    order = lambda r: (r[1] is None, r[1] or dt.date.min, r[0] is None, r[0] or "")
+    want, at = {}, sorted(rows, key=order)
+    train, val = int(len(rows) * 0.70), int(len(rows) * 0.15)
+    for i, r in enumerate(at):
+        name = "train" if i < train else "val" if i < train + val else "test"
+        want[order(r), name] = want.get((order(r), name), 0) + 1
+    found = {}
+    for r in got:
+        k = order((r.encounter_id, r.discharge_date)), r.split
+        found[k] = found.get(k, 0) + 1
+    assert found == want
+
+
+def test_one_row_repeated_many_times_is_split_by_count(spark):
+    df = spark.range(1000).selectExpr("'e' encounter_id", "date'2024-01-01' discharge_date", "1 v").repartition(5)
+    got = {r["split"]: r["count"] for r in split.temporal_split(df).groupBy("split").count().collect()}
+    assert got == _expected_sizes(1000)
+
+
+def test_split_never_shuffles_the_rows(spark):
+    df = spark.createDataFrame([(f"e{i}", dt.date(2024, 1, 1 + i % 9), i) for i in range(90)], "encounter_id string, discharge_date date, wide int")
+    plan = split.temporal_split(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
