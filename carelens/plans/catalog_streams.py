@@ -17,11 +17,12 @@ from carelens.operators import telemetry as tm
 from carelens.plans import base
 from carelens.plans.catalog import SQL, register
 from carelens.plans.catalog_dirty import dirty, faulty_requests
-from carelens.plans.catalog_models import _probability, _with_holes
+from carelens.plans.catalog_models import _probability, _rate_limit_sql, _with_holes
 from carelens.schemas import REQUEST_COLUMNS
 from carelens.session import is_folder, scratch_path
 from carelens.sources import telemetry as src
 from carelens.streaming import jobs
+from carelens.streaming.rate_limit import rate_limit_stream
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,3 +154,31 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, n = _landed(table, "features")
     p = jobs.landing_stream(spark, path, table.schema, n).select("encounter_id", _probability("a").alias("p"))
     return jobs.drain(p.select("encounter_id", F.round("p", 4).alias("readmission_probability"), fx.risk_tier(F.col("p")).alias("risk_tier")), "append", "stream-scores")
+
+
+_UNTIMED = "event_id % 97 = 0"
+
+
+def _stream_rate_limit_sql() -> str:
+    timed = _rate_limit_sql(2).replace("FROM events)", f"FROM events WHERE NOT ({_UNTIMED}))", 1)
+    return timed + f"""
+UNION ALL
+SELECT CAST(user_id AS VARCHAR), CAST(event_id AS VARCHAR), CAST(NULL AS TIMESTAMP), true, CAST(NULL AS INTEGER) FROM events WHERE {_UNTIMED}"""
+
+
+@register("stream_rate_limit", _stream_rate_limit_sql())
+def stream_rate_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: the request log in four deliveries, up to five minutes out of order and some of it without
+    a time, through the stateful limiter (2 requests a minute), which keeps its state between them. A
+    closing request moves the watermark past all others."""
+    late = F.make_dt_interval(mins=F.abs(F.hash("event_id")) % 5)
+    log = spark.read.parquet(_events_path(sf_dir)).select(
+        F.col("user_id").cast("string").alias("client"), F.col("event_id").cast("string").alias("request_id"),
+        F.when(F.expr(f"NOT ({_UNTIMED})"), F.col("ts").cast("timestamp")).alias("timestamp"), (F.col("ts").cast("timestamp") + late).alias("arrived"))
+    lo, hi = log.agg(F.min(F.unix_micros("arrived")), F.max(F.unix_micros("arrived"))).first()
+    step = max(1, ((hi or 0) - (lo or 0)) // 4 + 1)
+    number = F.floor((F.unix_micros("arrived") - F.lit(lo or 0)) / F.lit(step))
+    deliveries = [log.where(number == k).drop("arrived") for k in range(4)]
+    closing = spark.createDataFrame([("closing", "closing", dt.datetime(2200, 1, 1))], deliveries[0].schema)
+    out = jobs.drain_deliveries([*deliveries, closing], lambda s: rate_limit_stream(s, limit=2, watermark="6 minutes"), "stream-rate-limit")
+    return _ntz(out, "timestamp")

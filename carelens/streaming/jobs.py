@@ -43,13 +43,11 @@ def encounters_stream(spark: SparkSession, path: str, files_per_trigger: int = 1
     return landing_stream(spark, path, RAW_ENCOUNTER_SCHEMA, files_per_trigger)
 
 
-def drain(stream: DataFrame, mode: str, name: str, source: DataFrame | None = None) -> DataFrame:
-    """Runs a stream over all files that are there and returns its result. Every micro-batch
-    writes a folder of its own, overwriting it when replayed, so a replay adds no row twice.
-    Mode ``complete``: the last micro-batch is the result; else all of them are. ``source``: what
-    the stream reads, as a table; if it has rows, at least one micro-batch must have run."""
-    spark = stream.sparkSession
-    path, epochs = scratch_path(spark, name), []
+def run_available(stream: DataFrame, mode: str, path: str) -> list[int]:
+    """Runs a stream over all files that are there now, from the checkpoint in ``path``, and returns
+    the micro-batches that ran. Each writes a folder of its own (``out/epoch=<id>``), overwriting it
+    when replayed, so a replay adds no row twice."""
+    epochs = []
 
     def write(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/out/epoch={epoch}")
@@ -58,12 +56,38 @@ def drain(stream: DataFrame, mode: str, name: str, source: DataFrame | None = No
     q = (stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    if not epochs and source is not None and not source.isEmpty():
-        raise RuntimeError(f"{name}: the source has rows, but the stream has read none")
+    return sorted(set(epochs))
+
+
+def _written(stream: DataFrame, path: str, epochs: list[int]) -> DataFrame:
+    spark = stream.sparkSession
     if not epochs:
         return spark.createDataFrame([], stream.schema)
-    wanted = epochs[-1:] if mode == "complete" else sorted(set(epochs))
-    return spark.read.schema(stream.schema).parquet(*[f"{path}/out/epoch={e}" for e in wanted])
+    return spark.read.schema(stream.schema).parquet(*[f"{path}/out/epoch={e}" for e in epochs])
+
+
+def drain(stream: DataFrame, mode: str, name: str, source: DataFrame | None = None) -> DataFrame:
+    """Runs a stream over all files that are there and returns its result. Mode ``complete``: the
+    last micro-batch is the result; else all of them are. ``source``: what the stream reads, as a
+    table; if it has rows, at least one micro-batch must have run."""
+    path = scratch_path(stream.sparkSession, name)
+    epochs = run_available(stream, mode, path)
+    if not epochs and source is not None and not source.isEmpty():
+        raise RuntimeError(f"{name}: the source has rows, but the stream has read none")
+    return _written(stream, path, epochs[-1:] if mode == "complete" else epochs)
+
+
+def drain_deliveries(deliveries: list[DataFrame], job, name: str) -> DataFrame:
+    """The deliveries (tables of one schema) land one after the other in a folder; after each, the
+    append-mode stream ``job(landed)`` is started again on its checkpoint, reads what is new and
+    stops. Returns all it has written, as a job that is scheduled daily would have."""
+    spark = deliveries[0].sparkSession
+    path, epochs, stream = scratch_path(spark, name), [], None
+    for table in deliveries:
+        table.write.mode("append").parquet(f"{path}/landing")
+        stream = job(landing_stream(spark, f"{path}/landing", table.schema, 1 << 30))
+        epochs += run_available(stream, "append", path)
+    return _written(stream, path, sorted(set(epochs)))
 
 
 def telemetry_stream(name: str, rows: DataFrame, watermark: str = "10 minutes") -> DataFrame:

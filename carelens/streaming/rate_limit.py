@@ -15,9 +15,13 @@ partitioned and sorted by (client, segment, time), read in Arrow chunks with at
 A request without a time is admitted and counts for no other (as in the SQL form, where it comes
 last and lies in no window).
 
-Streaming: a stateful processor keyed by client with the admitted times in the state store
-(RocksDB); rows of a micro-batch are ordered by the handler, across micro-batches input must be
-in order. State of idle clients (at most ``limit`` times each) stays in the store.
+Streaming: a stateful processor keyed by client. A decision needs all earlier requests of the
+client, so a request waits in the state until the watermark has passed its time; an event-time timer
+then decides what is due, in time order, however the micro-batches were cut. Requests that arrive
+behind the watermark are dropped by Spark (and counted in the query's progress); requests without a
+time are admitted at once, as in the batch form. The state of a client is its waiting requests and
+at most ``limit`` admitted times; when nothing waits, a timer one window after the newest admission
+removes it, so idle clients hold no state.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 # The handler runs in Python workers: ship this module's code with the job rather than
@@ -59,34 +63,77 @@ class Walk:
         self.times.append(t)
         return None
 
+    def forget(self, t: int) -> None:
+        """Drops the times that no request after ``t`` can meet in its window."""
+        while self.times and self.times[0] <= t - WINDOW_MICROS:
+            self.times.popleft()
+
 
 def _result(client, request_id, timestamp, retry: list) -> pd.DataFrame:
     return pd.DataFrame({"client": client, "request_id": request_id, "timestamp": timestamp,
                          "admitted": [r is None for r in retry], "retry_after": pd.array(retry, dtype="Int32")})
 
 
+STREAM_SCHEMA = "client string, request_id string, us long, admitted boolean, retry_after int"
+
+
 class RateLimitProcessor(StatefulProcessor):
-    """Streaming handler; state: the admitted times."""
+    """Streaming handler; state: the requests that wait for the watermark, and the admitted times."""
 
     def __init__(self, limit: int = 60):
         self.limit = limit
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getListState("admitted", StructType([StructField("t", LongType())]))
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", StructType([StructField("us", LongType()), StructField("request_id", StringType())]))
+        self.admitted = handle.getListState("admitted", StructType([StructField("us", LongType())]))
 
     def handleInputRows(self, key, rows, timerValues):
-        walk = Walk(self.limit, [int(r[0]) for r in self.state.get()] if self.state.exists() else [])
-        frame = pd.concat(list(rows)).sort_values(["us", "request_id"], kind="stable")  # one micro-batch of one client
-        retry = [walk.decide(int(t)) for t in frame["us"].tolist()]
-        self.state.clear()
+        earliest = None
+        for frame in rows:
+            timed = frame["us"].notna()
+            untimed = frame.loc[~timed, "request_id"].tolist()
+            if untimed:
+                yield _decisions(key[0], untimed, [None] * len(untimed), [None] * len(untimed))
+            frame = frame[timed]
+            if len(frame):
+                us = frame["us"].astype("int64")
+                self.waiting.appendList(list(zip(us.tolist(), frame["request_id"].tolist())))
+                earliest = int(us.min()) if earliest is None else min(earliest, int(us.min()))
+        if earliest is not None:
+            self.handle.registerTimer(earliest // 1000)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = [(int(r[0]), r[1]) for r in self.waiting.get()] if self.waiting.exists() else []
+        due = sorted((r for r in waiting if r[0] <= passed), key=lambda r: (r[0], r[1] is not None, r[1] or ""))
+        later = [r for r in waiting if r[0] > passed]
+        walk = Walk(self.limit, [int(r[0]) for r in self.admitted.get()] if self.admitted.exists() else [])
+        retry = [walk.decide(t) for t, _ in due]
+        walk.forget(passed)
+        if due:
+            self.waiting.clear()
+            if later:
+                self.waiting.put(later)
+        self.admitted.clear()
         if walk.times:
-            self.state.put([(t,) for t in walk.times])
-        yield _result(key[0], frame["request_id"].astype(str).tolist(), frame["timestamp"].tolist(), retry)
+            self.admitted.put([(t,) for t in walk.times])
+        if later:
+            self.handle.registerTimer(min(later)[0] // 1000)
+        elif walk.times:
+            self.handle.registerTimer((walk.times[-1] + WINDOW_MICROS) // 1000 + 1)
+        if due:
+            yield _decisions(key[0], [r for _, r in due], [t for t, _ in due], retry)
 
     def close(self) -> None:
         pass
 
 
+def _decisions(client, request_id: list, us: list, retry: list) -> pd.DataFrame:
+    return pd.DataFrame({"client": client, "request_id": pd.Series(request_id, dtype="object"), "us": pd.array(us, dtype="Int64"),
+                         "admitted": [r is None for r in retry], "retry_after": pd.array(retry, dtype="Int32")})
+
+
 def _columns(requests: DataFrame, client: str, ts: str, request_id: str) -> DataFrame:
     return requests.select(F.col(client).cast("string").alias("client"), F.col(request_id).cast("string").alias("request_id"),
                            F.col(ts).alias("timestamp"), F.unix_micros(F.col(ts)).alias("us"))
@@ -125,10 +172,12 @@ def rate_limit(requests: DataFrame, client: str = "client", ts: str = "timestamp
 
 
 def rate_limit_stream(requests: DataFrame, client: str = "client", ts: str = "timestamp",
-                      request_id: str = "request_id", limit: int = 60) -> DataFrame:
-    """Streaming form: state in the state store, rows ordered per micro-batch."""
-    return _columns(requests, client, ts, request_id).groupBy("client").transformWithStateInPandas(
-        RateLimitProcessor(limit), OUTPUT_SCHEMA, "Append", "None")
+                      request_id: str = "request_id", limit: int = 60, watermark: str = "1 minute") -> DataFrame:
+    """Streaming form: requests are decided in time order once the watermark has passed them, so
+    the result is the batch form's whatever order they arrive in, up to a delay of ``watermark``."""
+    rows = _columns(requests, client, ts, request_id).withWatermark("timestamp", watermark)
+    out = rows.groupBy("client").transformWithStateInPandas(RateLimitProcessor(limit), STREAM_SCHEMA, "Append", "EventTime")
+    return out.select("client", "request_id", F.timestamp_micros("us").alias("timestamp"), "admitted", "retry_after")
 
 
 def brute_force(rows: list[tuple[str, str, float]], limit: int = 60) -> dict[str, tuple[bool, int | None]]:

@@ -98,27 +98,44 @@ def test_rate_limit_keeps_requests_without_a_time(spark):
 
 
 def test_rate_limit_stream_matches_batch(spark, tmp_path):
-    rows = sorted(_bursty(), key=lambda r: r[2])
-    df = _frame(spark, rows)
-    # in-order input in 5 files = 5 micro-batches; state carries the admitted times across them
-    bounds = [rows[k * 300][2] for k in range(5)] + [rows[-1][2] + 1]
-    for k in range(5):
-        lo = dt.datetime.fromtimestamp(bounds[k], dt.timezone.utc).replace(tzinfo=None)
-        hi = dt.datetime.fromtimestamp(bounds[k + 1], dt.timezone.utc).replace(tzinfo=None)
-        df.where((F.col("ts") >= lo) & (F.col("ts") < hi)).drop("timestamp").coalesce(1) \
-            .write.parquet(str(tmp_path / f"in/part{k}"))
-        _later(tmp_path / f"in/part{k}", seconds=10 * (k + 1))  # files are read oldest first
-    spark.streams.active
-    stream = spark.readStream.schema("client string, request_id string, ts timestamp_ntz") \
-        .option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in")) \
-        .withColumn("timestamp", F.col("ts").cast("timestamp"))
-    q = stream.transform(lambda s: rl.rate_limit_stream(s, limit=20)).writeStream.format("memory") \
-        .queryName("rl_out").outputMode("append").option("checkpointLocation", str(tmp_path / "ck")) \
-        .trigger(availableNow=True).start()
-    q.awaitTermination(300)
-    got = {r.request_id: (r.admitted, r.retry_after) for r in spark.table("rl_out").collect()}
-    exp = {r.request_id: (r.admitted, r.retry_after) for r in rl.rate_limit(df, limit=20).collect()}
-    assert got == exp
+    """Deliveries out of order, requests without a time, a late one, state kept between runs and
+    removed when clients fall idle."""
+    rnd = random.Random(4)
+    rows = _bursty()
+    untimed = [(c, f"N{i}", None) for i, c in enumerate(["HOT", "HOT", "C1", None, "never"])]
+    timed = _frame(spark, rows).select("client", "request_id", "timestamp")
+    arrival = {r: t + rnd.uniform(0, 50) for _, r, t in rows}
+    cuts = sorted(arrival.values())[::300][1:]
+    part = {r: sum(a >= c for c in cuts) for r, a in arrival.items()}
+    schema = timed.schema
+    closing = spark.createDataFrame([("closing", "closing", dt.datetime(2100, 1, 1))], schema)
+    late = spark.createDataFrame([("HOT", "late", dt.datetime(2023, 11, 14))], schema)
+    folder, state, got, epochs = str(tmp_path / "in"), None, [], []
+    for k in range(len(cuts) + 2):
+        if k <= len(cuts):
+            batch = timed.where(F.col("request_id").isin([r for r in part if part[r] == k]))
+            if k == 1:
+                batch = batch.unionByName(spark.createDataFrame(untimed, schema))
+            if k == 3:
+                batch = batch.unionByName(late)
+        else:
+            batch = closing
+        batch.write.mode("append").parquet(folder)
+        stream = rl.rate_limit_stream(jobs.landing_stream(spark, folder, schema, 1 << 30), limit=20)
+        epochs += jobs.run_available(stream, "append", str(tmp_path / "run"))
+    out = jobs._written(stream, str(tmp_path / "run"), sorted(set(epochs))).collect()
+    got = {r.request_id: (r.admitted, r.retry_after) for r in out}
+    exp = rl.brute_force([(c, r, float(int(t * 1e6)) / 1e6) for c, r, t in rows], limit=20)
+    assert len(out) == len(rows) + len(untimed)
+    assert got == exp | {r: (True, None) for _, r, _ in untimed}
+    assert sum(not v[0] for v in got.values()) > 100
+    times = {r.request_id: r.timestamp for r in out}
+    assert all(times[r.request_id] == r.timestamp for r in timed.collect())
+    # the clients' state is gone; only the closing request waits
+    state = spark.read.format("statestore").option("path", str(tmp_path / "run/checkpoint")).option("stateVarName", "waiting").load()
+    assert [r.key.client for r in state.select("key").collect()] == ["closing"]
+    admitted = spark.read.format("statestore").option("path", str(tmp_path / "run/checkpoint")).option("stateVarName", "admitted").load()
+    assert admitted.count() == 0
 
 
 def test_latency_stream_matches_batch(spark, tmp_path):
