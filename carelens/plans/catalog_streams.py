@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 
 from carelens.functions import features as fx
 from carelens.operators import telemetry as tm
+from carelens.operators.sketch import sketch_bytes, wide_rank_error
 from carelens.plans import base
 from carelens.plans.catalog import SQL, register
 from carelens.plans.catalog_dirty import dirty, faulty_requests
+from carelens.plans.catalog_monitor import HAS_SCORE, TEL
 from carelens.plans.catalog_models import _probability, _rate_limit_sql, _with_holes
+from carelens.plans.oracle import with_ctes
 from carelens.schemas import REQUEST_COLUMNS
 from carelens.session import is_folder, scratch_path
 from carelens.sources import telemetry as src
@@ -74,6 +77,31 @@ def stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(_drained(spark, sf_dir, jobs.latency_stream(rows), "stream-latency"), "timestamp")
 
 
+_SKETCH_K = 200
+
+
+@register("stream_latency_sketch", with_ctes(TEL) + f"""
+SELECT time_bucket(INTERVAL 30 DAY, "timestamp", TIMESTAMP '1970-01-01') AS "timestamp", count(*) AS requestCount,
+       true AS p50_in_bound, true AS p95_in_bound, true AS p99_in_bound, true AS state_in_bound FROM req WHERE {HAS_SCORE} GROUP BY 1""")
+def stream_latency_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 (K1) from sketch state, by bins of 30 days: whether each percentile's rank among the bin's
+    exact durations is within the sketch's error, and its state within the size bound."""
+    stream = jobs.latency_sketch_stream(src.requests_from_events(_events(spark, sf_dir)), bin_size="30 days", k=_SKETCH_K)
+    bins = _drained(spark, sf_dir, stream, "stream-latency-sketch")
+    exact = src.requests(spark, sf_dir).where(tm.has_term(F.col("name"), tm.SCORE_OPERATION))
+    exact = exact.select(F.window("timestamp", "30 days").start.alias("timestamp"), "duration")
+    joined = exact.join(bins.drop("sketch"), "timestamp")
+    probs = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    ranks = joined.groupBy("timestamp").agg(*[x for p in probs for x in (
+        (F.count_if(F.col("duration") < F.col(p)) / F.count("duration")).alias(f"{p}_below"),
+        (F.count_if(F.col("duration") <= F.col(p)) / F.count("duration")).alias(f"{p}_upto"))])
+    bound = wide_rank_error(_SKETCH_K)
+    inside = [((F.col(f"{p}_below") <= F.lit(q + bound)) & (F.col(f"{p}_upto") >= F.lit(q - bound))).alias(f"{p}_in_bound") for p, q in probs.items()]
+    out = bins.join(ranks, "timestamp").select(
+        "timestamp", "requestCount", *inside, (F.octet_length("sketch") <= F.lit(sketch_bytes(_SKETCH_K))).alias("state_in_bound"))
+    return _ntz(out, "timestamp")
+
+
 @register("stream_alerts", SQL["alerts"])
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1, T2 (L1-L3): the three alert streams."""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelens.operators import quality
+from carelens.operators import sketch as sk
 from carelens.operators import telemetry as tm
 from carelens.schemas import RAW_ENCOUNTER_SCHEMA
 from carelens.session import scratch_path
@@ -107,10 +108,36 @@ def latency_stream(requests: DataFrame, watermark: str = "10 minutes", bin_size:
             .select(F.col("w.start").alias("timestamp"), "p50", "p95", "p99", "requestCount"))
 
 
-def _alert_stream(name: str, rows: DataFrame, watermark: str, value) -> DataFrame:
+def latency_sketch_stream(requests: DataFrame, watermark: str = "10 minutes", bin_size: str = "5 minutes",
+                          k: int = sk.SKETCH_K) -> DataFrame:
+    """T1 (K1) with bounded state: per bin a quantile sketch, read as percentiles within the rank
+    error of ``k``, and the request count. The sketches come out as well: ``latency_rollup`` merges
+    them into larger bins. This is the form to operate; ``latency_stream`` keeps every distinct
+    duration of a bin and fits bins known to be small."""
+    r = requests.withWatermark("timestamp", watermark).where(tm.has_term(F.col("name"), tm.SCORE_OPERATION))
+    g = r.groupBy(F.window("timestamp", bin_size).alias("w")).agg(sk.sketch("duration", k).alias("sketch"), F.count(F.lit(1)).alias("requestCount"))
+    return _percentiles(g.select(F.col("w.start").alias("timestamp"), "sketch", "requestCount"))
+
+
+def _percentiles(binned: DataFrame) -> DataFrame:
+    q = binned.withColumn("_q", sk.quantiles("sketch", [0.5, 0.95, 0.99]))
+    return q.select("timestamp", *[F.round(F.col("_q")[i], 6).alias(n) for i, n in enumerate(("p50", "p95", "p99"))], "requestCount", "sketch")
+
+
+def latency_rollup(sketches: DataFrame, bin_size: str = "1 hour", k: int = sk.SKETCH_K) -> DataFrame:
+    """K1 over larger bins from the rows of ``latency_sketch_stream``, without the requests."""
+    g = sketches.groupBy(F.window("timestamp", bin_size).start.alias("timestamp")).agg(
+        sk.merged("sketch", k).alias("sketch"), F.sum("requestCount").alias("requestCount"))
+    return _percentiles(g)
+
+
+def _alert_stream(name: str, rows: DataFrame, watermark: str, value, read=None) -> DataFrame:
+    """``value``: the aggregate of a window; ``read``: from it to the number that is compared."""
     rule = tm.ALERT_RULES[name]
     window = F.window("timestamp", rule["window"], rule["slide"]) if "slide" in rule else F.window("timestamp", rule["window"])
     g = rows.withWatermark("timestamp", watermark).groupBy(window.alias("w")).agg(value.alias("value"))
+    if read is not None:
+        g = g.withColumn("value", read(F.col("value")))
     fires = F.col("value") > rule["threshold"] if rule["op"] == ">" else F.col("value") < rule["threshold"]
     return g.where(fires).select(F.lit(name).alias("alert"), F.col("w.start").alias("window_start"),
                                  F.col("w.end").alias("window_end"), F.round("value", 6).alias("value"))
@@ -126,6 +153,13 @@ def latency_alert_stream(requests: DataFrame, watermark: str = "10 minutes") ->
     return _alert_stream("HighScoringLatencyP95", r, watermark, F.percentile("duration", F.lit(0.95)))
 
 
+def latency_sketch_alert_stream(requests: DataFrame, watermark: str = "10 minutes", k: int = sk.SKETCH_K) -> DataFrame:
+    """T1 (L1) with bounded state: the p95 is read from a sketch, so a window fires if its p95 within
+    the rank error is above the threshold."""
+    r = requests.where(tm.has_term(F.col("name"), tm.SCORE_OPERATION))
+    return _alert_stream("HighScoringLatencyP95", r, watermark, sk.sketch("duration", k), lambda s: sk.quantiles(s, [0.95])[0])
+
+
 def error_rate_alert_stream(requests: DataFrame, watermark: str = "10 minutes") -> DataFrame:
     """T1 (L2): share of 5xx responses per window, rows above the threshold."""
     r = requests.where(tm.has_term(F.col("name"), tm.SCORE_OPERATION))
