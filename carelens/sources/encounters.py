@@ -6,10 +6,13 @@ counts; look-ahead label and prior use come from the patient-history operator.
 Plan shape (sizes grow with the data, nothing is collected):
   lineitem --partial agg by order--> per-order aggregate (one shuffle of lineitem)
   orders LEFT JOIN per-order aggregate on order key (sort-merge, co-partitioned)
-  JOIN customer x nation x region on customer key (dimension; nation/region are
-  fixed-size and broadcast by Catalyst's size check; customer grows with the data,
-  so AQE decides broadcast vs shuffle at run time and splits a skewed patient)
-  patient history over a per-(patient, day) pre-aggregate (see operators.history)
+  written once, bucketed by a key that encodes order, patient and dates: the one
+  exchange of wide rows
+  narrow rows (key, patient, dates) look up the patient history over a per-(patient, day)
+  pre-aggregate (see operators.history) and customer x nation x region (nation/region are
+  fixed-size and broadcast by Catalyst's size check; customer grows with the data, so AQE
+  decides broadcast vs shuffle at run time and splits a skewed patient)
+  bucketed rows LEFT JOIN what was found, on the key (only the narrow side is shuffled)
 """
 
 from __future__ import annotations
@@ -17,11 +20,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.operators.history import with_patient_history
+from carelens.operators.history import ATTACH, attach_key, history_lookups
 from carelens.schemas import RAW_ENCOUNTER_COLUMNS
-from carelens.session import materialize
+from carelens.session import materialize_bucketed
 from carelens.sources.tables import table
 
+
 def line_aggregates(lineitem: DataFrame) -> DataFrame:
     """Per-order line count, returned lines, discount sum, distinct parts."""
     return (lineitem.groupBy("l_orderkey")
@@ -79,15 +83,17 @@ def raw_encounters(spark: SparkSession, sf_dir: str, *, materialize_rows: bool =
 
     The order-level rows feed three branches (the encounter itself and two history
     lookups); they are written once to the shared checkpoint folder so that lineitem,
-    the largest table, is scanned and shuffled once rather than once per branch.
+    the largest table, is scanned and shuffled once rather than once per branch, and bucketed
+    by the key of the final join, so that they are not shuffled again.
     """
     lines = line_aggregates(table(spark, sf_dir, "lineitem"))
     rows = encounter_rows(table(spark, sf_dir, "orders"), lines)
-    if materialize_rows:
-        rows = materialize(rows, "encounter-rows")
     # History keyed on the numeric customer key: cheaper hashing than the string id.
-    hist = with_patient_history(rows, patient="_custkey")
+    rows = rows.withColumn(ATTACH, attach_key("encounter_id", "_custkey", "admit_date", "discharge_date"))
+    if materialize_rows:
+        rows = materialize_bucketed(rows, ATTACH, "encounter_rows")
     dim = patient_dimension(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"),
                             table(spark, sf_dir, "region"))
-    enc = hist.join(dim, F.col("_custkey") == F.col("c_custkey"), "left")
+    found = history_lookups(rows, patient="_custkey").join(dim, F.col("_custkey") == F.col("c_custkey"), "left")
+    enc = rows.join(found.drop("_custkey", "c_custkey"), ATTACH, "left")
     return enc.select(*RAW_ENCOUNTER_COLUMNS)

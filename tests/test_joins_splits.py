@@ -177,3 +177,24 @@ def test_split_never_shuffles_the_rows(spark):
     df = spark.createDataFrame([(f"e{i}", dt.date(2024, 1, 1 + i % 9), i) for i in range(90)], "encounter_id string, discharge_date date, wide int")
     plan = split.temporal_split(df)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_history_keeps_repeated_and_missing_ids(spark):
+    d = dt.date
+    rows = [("e1", "p", d(2024, 1, 1), d(2024, 1, 3), "Emergency"), ("e1", "p", d(2024, 1, 1), d(2024, 1, 3), "Emergency"),
+            ("e2", "p", d(2024, 1, 10), None, "Elective"), (None, "p", d(2024, 1, 20), d(2024, 1, 20), "Emergency"),
+            ("e3", None, d(2024, 1, 5), d(2024, 1, 6), "Emergency"), ("e4", "q", d(2024, 6, 1), d(2024, 6, 2), "Elective")]
+    df = spark.createDataFrame(rows, "encounter_id string, patient_id string, admit_date date, discharge_date date, admission_type string")
+    for spread in ((), ("encounter_id",)):
+        out = with_patient_history(df, spread=spread)
+        got = sorted([(r.encounter_id or "", r.patient_id or "", r.readmitted_30d, r.prior_admissions_12mo, r.prior_ed_visits_12mo) for r in out.collect()], key=repr)
+        # each e1 row meets the other's admission only before its own discharge; e2's window is open
+        assert got == sorted([("e1", "p", 1, 0, 0), ("e1", "p", 1, 0, 0), ("e2", "p", None, 2, 2), ("", "p", 0, 3, 2), ("e3", "", 0, 0, 0), ("e4", "q", None, 0, 0)], key=repr)
+        assert out.columns[:5] == df.columns
+
+
+def test_attach_keys_tell_values_apart(spark):
+    df = spark.createDataFrame([("1", "2:3"), ("1:2", "3"), (None, "-"), ("-", None), ("", ""), (None, None), ("12", ""), ("1", "2")], "a string, b string")
+    from carelens.operators.history import attach_key
+
+    assert df.select(attach_key("a", "b")).distinct().count() == 8

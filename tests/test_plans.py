@@ -49,3 +49,27 @@ def test_no_unbounded_cartesian_products(spark):
     for name in ("expectations", "slices", "evaluation", "drift_report", "asof_features", "patient_split"):
         p = _plan(entry.queries()[name](spark, SF))
         assert "CartesianProduct" not in p, name
+
+
+def _exchanges(plan):
+    """Output column names of every shuffle in a physical plan, adaptive or not."""
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.initialPlan()
+    out = []
+    if plan.getClass().getSimpleName() == "ShuffleExchangeExec":
+        attributes = plan.output()
+        out.append([attributes.apply(i).name() for i in range(attributes.size())])
+    children = plan.children()
+    for i in range(children.size()):
+        out += _exchanges(children.apply(i))
+    return out
+
+
+def test_encounter_rows_are_shuffled_once(spark):
+    """The write of the bucketed rows shuffles them; the lookups then shuffle narrow rows only."""
+    from carelens.sources.encounters import raw_encounters
+
+    plan = raw_encounters(spark, SF)._jdf.queryExecution().executedPlan()
+    shuffled = _exchanges(plan)
+    assert shuffled and not [c for c in shuffled if "glucose_level" in c or "creatinine" in c]
+    assert "Bucketed: true" in plan.toString()
