@@ -1,8 +1,9 @@
 """Cleaning and the feature projection: C1-C3, P6, P7.
 
-All functions are ``DataFrame -> DataFrame`` and lazy. Deduplication keeps one row
-per key with an aggregate (``min_by`` over an explicit order), so a key repeated in a
-third of all rows is collapsed by the map-side partial aggregate before the shuffle.
+All functions are ``DataFrame -> DataFrame``, lazy but for the repeated keys that
+deduplication writes. It keeps one row per key with an aggregate (``min_by`` over an explicit
+order), so a key repeated in a third of all rows is collapsed by the map-side partial
+aggregate before the shuffle.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from carelens.functions import features as fx
 from carelens.schemas import LABEL_COLUMN
+from carelens.session import cut_lineage
 
 # Engineered feature column order (without the optional columns).
 FEATURE_COLUMNS = [
@@ -30,10 +32,11 @@ def dedup_first(df: DataFrame, key: str = "encounter_id", order_by: list[str | C
     to all columns, which makes the choice deterministic (``dropDuplicates`` is not).
 
     Plan: a narrow count per key (hash aggregate over the key column only) finds the
-    duplicated keys; rows with a unique key pass through an anti-join, and only rows of
-    duplicated keys go through the ``min_by`` aggregate, whose partial aggregation
-    collapses even a key repeated in a third of all rows before the shuffle. When the
-    duplicated-key set is small, AQE broadcasts it and the wide rows are never shuffled.
+    duplicated keys, which are written once; rows with a unique key pass through an anti-join,
+    and only rows of duplicated keys go through the ``min_by`` aggregate, whose partial
+    aggregation collapses even a key repeated in a third of all rows before the shuffle. The
+    written key set has a known size: where it is small it is broadcast and the wide rows are
+    never shuffled, and without any duplicate the input is returned as it is.
     NULL keys group together (null-safe joins).
     """
     cols = df.columns
@@ -43,6 +46,9 @@ def dedup_first(df: DataFrame, key: str = "encounter_id", order_by: list[str | C
     packed = F.struct(*[F.col(c) for c in cols])
     dup_keys = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
                 .select(F.col(key).alias("_dk")))
+    dup_keys = cut_lineage(dup_keys, "repeated-keys")
+    if dup_keys.isEmpty():
+        return df
     on = F.col(key).eqNullSafe(F.col("_dk"))
     unique_rows = df.join(dup_keys, on, "left_anti")
     repeated = (df.join(dup_keys, on, "left_semi").groupBy(key)

@@ -11,7 +11,7 @@ The training means come from one aggregate pass, fitted once with the model.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from carelens.functions.features import RISK_CENTER, RISK_SLOPE, RISK_TERMS
 from carelens.operators.model import model_input
-from carelens.schemas import MODEL_FEATURE_COLUMNS
+from carelens.schemas import LABEL_COLUMN, MODEL_FEATURE_COLUMNS
 
 
 def _contrib_array(values: dict[str, Column]) -> Column:
@@ -37,19 +37,28 @@ class CompiledLinear:
     slots: list[tuple[str, Column]]  # (source feature, slot value)
     coef: list[float]
     intercept: float
+    levels: list[str | None] = field(default_factory=list)  # the category of an indicator slot
 
     def margin(self) -> Column:
         return sum((F.lit(c) * x for c, (_, x) in zip(self.coef, self.slots)), F.lit(self.intercept))
 
 
-def compile_linear(model: PipelineModel) -> CompiledLinear:
-    """Compile imputer + indexer + one-hot + assembler + logistic model into JVM-native expressions."""
+#: Levels of the two slots a categorical has besides its learned values.
+OTHER, NEVER = "(other)", "(never)"
+
+
+def compile_linear(model: PipelineModel | CompiledLinear) -> CompiledLinear:
+    """Compile imputer + indexer + one-hot + assembler + logistic model into JVM-native expressions
+    (a model that is declared as expressions already stays as it is)."""
+    if isinstance(model, CompiledLinear):
+        return model
     imputer, indexer, encoder, assembler, lr = model.stages
     means = imputer.surrogateDF.first().asDict()  # one row
     source = dict(zip(imputer.getOutputCols(), imputer.getInputCols()))
     labels = dict(zip(indexer.getInputCols(), indexer.labelsArray))
     ohe_src = {o: i.replace("__idx", "") for i, o in zip(encoder.getInputCols(), encoder.getOutputCols())}
     slots: list[tuple[str, Column]] = []
+    levels: list[str | None] = []
     for col in assembler.getInputCols():
         if col in ohe_src:
             src = ohe_src[col]
@@ -60,13 +69,15 @@ def compile_linear(model: PipelineModel) -> CompiledLinear:
             slots.append((src, (F.col(src).isNull() | ~F.col(src).isin(*known)).cast("double")))
             # ... and the encoder's own keep slot for out-of-range indices, never set here
             slots.append((src, F.lit(0.0)))
+            levels += [*known, OTHER, NEVER]
         else:
             x = F.col(source[col]).cast("double")
             slots.append((source[col], F.coalesce(F.when(~F.isnan(x), x), F.lit(float(means[source[col]])))))
+            levels.append(None)
     coef = lr.coefficients.toArray().tolist()
     if len(coef) != len(slots):
         raise ValueError(f"slot count {len(slots)} does not match the model's {len(coef)} coefficients")
-    return CompiledLinear(slots, coef, float(lr.intercept))
+    return CompiledLinear(slots, coef, float(lr.intercept), levels)
 
 
 def contribution_means(model: PipelineModel, train: DataFrame) -> list[float]:
@@ -77,6 +88,40 @@ def contribution_means(model: PipelineModel, train: DataFrame) -> list[float]:
     return [float(row[f"m{i}"]) for i in range(len(cl.slots))]
 
 
+def score_equations(model: PipelineModel, train: DataFrame, reg_param: float = 0.0, weight: str | None = None) -> DataFrame:
+    """M2: the equations a fitted logistic model solves, one row per slot: feature, level (of an
+    indicator), equation.
+
+    equation = mean of weight * (p - y) * x / sd(x), plus ``reg_param`` * coefficient * sd(x) (the
+    slope of the ridge penalty in standardised units), with x / sd = 1 for the intercept. At the
+    optimum all are zero, whichever solver found it and even where the optimum is not unique. A
+    constant slot has the equation 0. ``train``: the rows of the fit, with ``weight`` if weighted.
+
+    Two aggregates over the rows (the weighted deviations, then all equations at once)."""
+    cl = compile_linear(model)
+    w = F.lit(1.0) if weight is None else F.col(weight)
+    rows = model_input(train)
+    total, squares = F.sum(w), F.sum(w * w)
+    first = rows.agg(total.alias("w"), (total - squares / total).alias("d"),
+                     *[x for i, (_, v) in enumerate(cl.slots) for x in (F.sum(w * v).alias(f"s{i}"), F.sum(w * v * v).alias(f"q{i}"))]).first()
+    if first["w"] is None:
+        return rows.sparkSession.createDataFrame([], "feature string, level string, equation double")
+
+    def deviation(i: int) -> float:
+        spread = first[f"q{i}"] - first[f"s{i}"] ** 2 / first["w"]
+        return (spread / first["d"]) ** 0.5 if spread > 1e-10 * first[f"q{i}"] else 0.0  # below: rounding of a constant
+
+    sd = [deviation(i) for i in range(len(cl.slots))]
+    residual = w * (F.lit(1.0) / (F.lit(1.0) + F.exp(-cl.margin())) - F.col(LABEL_COLUMN))
+    sums = rows.agg(F.sum(residual).alias("r"), *[F.sum(residual * v).alias(f"r{i}") for i, (_, v) in enumerate(cl.slots)])
+    names = [("(intercept)", None), *[(f, lv) for (f, _), lv in zip(cl.slots, cl.levels, strict=True)]]
+    values = [F.col("r") / F.lit(first["w"])]
+    for i, (c, s) in enumerate(zip(cl.coef, sd, strict=True)):
+        values.append(F.col(f"r{i}") / F.lit(first["w"] * s) + F.lit(reg_param * c * s) if s > 0 else F.lit(0.0))
+    structs = [F.struct(F.lit(f).alias("feature"), F.lit(lv).cast("string").alias("level"), v.alias("equation")) for (f, lv), v in zip(names, values, strict=True)]
+    return sums.select(F.inline(F.array(*structs)))
+
+
 def centred(cl: CompiledLinear, means: list[float]) -> Column:
     """The contributions ``coef * (x - mean)`` of a compiled model, per source feature."""
     per: dict[str, Column] = {}

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from carelens.operators.prefix import running_sums
 
 
-def score_counts(df: DataFrame, y_true: str = "y_true", y_prob: str = "y_prob") -> DataFrame:
-    """(score, pos, neg) per distinct score."""
+def score_counts(df: DataFrame, y_true: str = "y_true", y_prob: str = "y_prob", by=()) -> DataFrame:
+    """(score, pos, neg) per distinct score, within the groups ``by``."""
     return (df.where(F.col(y_prob).isNotNull() & F.col(y_true).isNotNull())
-            .groupBy(F.col(y_prob).alias("score"))
+            .groupBy(*by, F.col(y_prob).alias("score"))
             .agg(F.count_if(F.col(y_true) == 1).alias("pos"), F.count_if(F.col(y_true) != 1).alias("neg")))
 
 
@@ -26,11 +26,11 @@ def cumulative_counts(counts: DataFrame, order: str = "score", cols=("pos", "neg
     return running_sums(counts, F.col(order).asc(), cols, by)
 
 
-def curve_table(df: DataFrame, y_true: str = "y_true", y_prob: str = "y_prob") -> DataFrame:
+def curve_table(df: DataFrame, y_true: str = "y_true", y_prob: str = "y_prob", by=()) -> DataFrame:
     """Per-score counts with ascending cumulative sums (inclusive) and class totals:
     score, pos, neg, cum_pos, cum_neg, P, N. Every curve metric is one aggregate over it:
     counts at or above a score are ``P - cum_pos + pos`` (exact integers)."""
-    c = cumulative_counts(score_counts(df, y_true, y_prob))
+    c = cumulative_counts(score_counts(df, y_true, y_prob, by), by=by)
     return c.withColumnRenamed("total_pos", "P").withColumnRenamed("total_neg", "N")
 
 
@@ -72,6 +72,11 @@ def average_precision(df: DataFrame, y_true: str = "y_true", y_prob: str = "y_pr
     return curve_table(df, y_true, y_prob).agg(F.sum("pos").alias("n_pos"), ap_expr().alias("average_precision"))
 
 
+def average_precision_by(df: DataFrame, by: list[str], y_true: str = "y_true", y_prob: str = "y_prob") -> DataFrame:
+    """E2 per group, all groups in one prefix sum."""
+    return curve_table(df, y_true, y_prob, by).groupBy(*by).agg(F.sum("pos").alias("n_pos"), ap_expr().alias("average_precision"))
+
+
 def brier(df: DataFrame, y_true: str = "y_true", y_prob: str = "y_prob") -> DataFrame:
     """Mean squared error of the probability."""
     return df.agg(F.avg(F.pow(F.col(y_prob) - F.col(y_true), 2)).alias("brier_score"))

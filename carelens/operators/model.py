@@ -13,6 +13,7 @@ import math
 import random
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelens.operators.split import with_class_weight
-from carelens.session import scratch_path
+from carelens.session import cut_lineage, scratch_path
 from carelens.schemas import CATEGORICAL_COLUMNS, LABEL_COLUMN, MODEL_FEATURE_COLUMNS
 
 NUMERIC_FEATURES = [c for c in MODEL_FEATURE_COLUMNS if c not in CATEGORICAL_COLUMNS]
@@ -118,9 +119,9 @@ def predict_proba(model: PipelineModel, df: DataFrame, prob_col: str = "y_prob",
     A logistic pipeline is evaluated as compiled column expressions (same arithmetic as
     Spark ML, no UDF); other models through ``model.transform``."""
     keep = [F.col(c) for c in df.columns]
-    if compiled and isinstance(model.stages[-1], LogisticRegressionModel):
-        from carelens.operators.contributions import compile_linear
+    from carelens.operators.contributions import CompiledLinear, compile_linear
 
+    if isinstance(model, CompiledLinear) or (compiled and isinstance(model.stages[-1], LogisticRegressionModel)):
         margin = compile_linear(model).margin()
         return model_input(df, label=False).select(*keep, (F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))).alias(prob_col))
     out = model.transform(model_input(df, label=False))
@@ -153,30 +154,100 @@ DEFAULT_SPACE = SearchSpace(
 )
 
 
-def search(train: DataFrame, val: DataFrame, trials: int = 20, concurrency: int = 4, seed: int = 42,
-           space: SearchSpace = DEFAULT_SPACE, algorithm: str = "gbt"):
-    """M3: seeded candidates trained concurrently (driver threads submit Spark jobs),
-    ranked by average precision on the temporal validation split. Returns
-    (best_model, metrics DataFrame with one row per trial)."""
-    from carelens.operators.evaluate import average_precision
+@dataclass
+class EncodedSplits:
+    """Train and validation rows through the encoder once: (features, label, weight, is_val), written
+    to the shared folder. All trials of a search read it; only classifiers are fitted on it."""
+    encoder: PipelineModel
+    rows: DataFrame
+    categories: int
+
+    @staticmethod
+    def build(train: DataFrame, val: DataFrame, algorithm: str, class_weight: bool = True) -> EncodedSplits:
+        stages, inputs = encoder_stages(algorithm)
+        t = model_input(train)
+        t = with_class_weight(t) if class_weight else t.withColumn("weight", F.lit(1.0))
+        asm = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
+        encoder = Pipeline(stages=[*stages, asm]).fit(t)
+        both = t.withColumn("is_val", F.lit(False)).unionByName(
+            model_input(val).withColumns({"weight": F.lit(1.0), "is_val": F.lit(True)}), allowMissingColumns=True)
+        categories = max(t.agg(*[F.count_distinct(c) for c in CATEGORICAL_COLUMNS]).first())
+        rows = encoder.transform(both).select("features", LABEL_COLUMN, "weight", "is_val")
+        return EncodedSplits(encoder, cut_lineage(rows, "encoded-splits"), categories)
+
+
+#: The parameter that a rung of successive halving gives more of.
+BUDGET = "maxIter"
+
+
+@dataclass
+class SearchResult:
+    """``trials``: one row per trial (trial, params, rung, budget, pr_auc, rank), ``scores``: the written
+    validation scores of each trial's last rung (trial, rung, y_true, y_prob), ``model``: the best."""
+    model: PipelineModel
+    trials: DataFrame
+    scores: DataFrame
 
+
+def _classifier(algorithm: str, params: dict, seed: int, categories: int):
+    p = dict(params)
+    common = dict(featuresCol="features", labelCol=LABEL_COLUMN, weightCol="weight")
+    if algorithm == "gbt":
+        return GBTClassifier(seed=seed, maxBins=max(32, categories + 2, p.pop("maxBins", 32)), **common, **p)
+    if algorithm == "logreg":
+        return LogisticRegression(standardization=True, **common, **p)
+    raise ValueError(f"Unsupported algorithm: {algorithm}")
+
+
+def halving_search(train: DataFrame, val: DataFrame, trials: int = 20, eta: int = 3, rungs: int = 3, concurrency: int = 4,
+                   seed: int = 42, space: SearchSpace = DEFAULT_SPACE, algorithm: str = "gbt") -> SearchResult:
+    """M3: seeded candidates by successive halving. All trials run with a small share of their
+    iterations; the best ``1 / eta`` of them go on with ``eta`` times as many, up to the full number
+    in the last rung. The rows are encoded once, a rung's trials are fitted concurrently (driver
+    threads submit Spark jobs), their validation scores are written, and one grouped prefix sum ranks them all by average precision (ties: the earlier trial)."""
+    from carelens.operators.evaluate import average_precision_by
+
+    spark = train.sparkSession
+    data = EncodedSplits.build(train, val, algorithm)
+    fit_rows, val_rows = data.rows.where("not is_val"), data.rows.where("is_val")
     rnd = random.Random(seed)
-    cands = [space.sample(rnd) for _ in range(trials)]
-    for c in cands:
+    candidates = {i: space.sample(rnd) for i in range(trials)}
+    for c in candidates.values():
         if "featureSubsetStrategy" in c:
             c["featureSubsetStrategy"] = f"{c['featureSubsetStrategy']:.3f}"
+    live, last, fitted = list(candidates), {}, {}
+    for rung in range(rungs):
+        def run(trial: int, rung: int = rung):
+            params = dict(candidates[trial])
+            params[BUDGET] = max(1, round(params.get(BUDGET, 100) / eta ** (rungs - 1 - rung)))
+            model = _classifier(algorithm, params, seed, data.categories).fit(fit_rows)
+            path = scratch_path(spark, "trial-model")
+            model.write().save(path)
+            model = type(model).load(path)  # without the training summary, which holds the session
+            scored = model.transform(val_rows).select(F.lit(trial).alias("trial"), F.lit(rung).alias("rung"),
+                                                      F.col(LABEL_COLUMN).cast("int").alias("y_true"), vector_to_array("probability")[1].alias("y_prob"))
+            return trial, params[BUDGET], model, cut_lineage(scored, "trial-scores")
+
+        with ThreadPoolExecutor(max_workers=concurrency) as pool:
+            done = list(pool.map(run, live))
+        written = reduce(DataFrame.unionByName, [d for *_, d in done])
+        found = {r["trial"]: r["average_precision"] for r in average_precision_by(written, ["trial"]).collect()}  # one row per trial
+        for trial, budget, model, scored in done:
+            last[trial] = (rung, budget, found.get(trial), scored)
+            fitted[trial] = model
+        order = sorted(live, key=lambda t: (-(found.get(t) if found.get(t) is not None else -1.0), t))
+        live = order[: max(1, math.ceil(len(order) / eta))] if rung < rungs - 1 else order
+    ranked = sorted(last, key=lambda t: (-last[t][0], -(last[t][2] if last[t][2] is not None else -1.0), t))
+    rows = [(t, str(sorted(candidates[t].items())), last[t][0], last[t][1], last[t][2], ranked.index(t) + 1) for t in sorted(last)]
+    table = spark.createDataFrame(rows, "trial int, params string, rung int, budget int, pr_auc double, rank int")
+    scores = reduce(DataFrame.unionByName, [scored for *_, scored in last.values()])
+    best = PipelineModel(stages=[*data.encoder.stages, fitted[ranked[0]]])
+    return SearchResult(best, table, scores)
 
-    def run(i_params):
-        i, params = i_params
-        m = train_model(train, val, TrainSpec(algorithm, params, seed))
-        scored = predict_proba(m, val).select(F.col(LABEL_COLUMN).cast("int").alias("y_true"), "y_prob")
-        ap = average_precision(scored).first()["average_precision"]
-        return i, params, ap, m
 
-    with ThreadPoolExecutor(max_workers=concurrency) as pool:
-        results = list(pool.map(run, enumerate(cands)))
-    spark = train.sparkSession
-    rows = [(i, str(sorted(p.items())), float(ap) if ap is not None else None) for i, p, ap, _ in results]
-    metrics = spark.createDataFrame(rows, "trial int, params string, pr_auc double")
-    best = max(results, key=lambda r: (r[2] if r[2] is not None else -1.0, -r[0]))
-    return best[3], metrics
+def search(train: DataFrame, val: DataFrame, trials: int = 20, concurrency: int = 4, seed: int = 42,
+           space: SearchSpace = DEFAULT_SPACE, algorithm: str = "gbt"):
+    """M3 without halving: every trial runs in full. Returns (best_model, metrics with one row per
+    trial: trial, params, pr_auc)."""
+    found = halving_search(train, val, trials, 2, 1, concurrency, seed, space, algorithm)
+    return found.model, found.trials.select("trial", "params", "pr_auc")

@@ -11,6 +11,7 @@ so bad rows can be split off instead of halting the batch.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -152,12 +153,18 @@ class ValidationError(Exception):
     pass
 
 
+def gate_report(results: DataFrame) -> DataFrame:
+    """Q7: one row (failed, failures): how many expectations failed, and their names in suite order."""
+    name = F.concat("expectation", F.coalesce(F.concat(F.lit("("), "column", F.lit(")")), F.lit("")))
+    failed = F.array_sort(F.collect_list(F.when(~F.col("success"), F.struct("idx", name.alias("name")))))  # one per expectation at most
+    return results.agg(failed.alias("f")).select(F.size("f").alias("failed"), F.array_join(F.col("f.name"), ", ").alias("failures"))
+
+
 def validation_gate(results: DataFrame) -> DataFrame:
     """Q7: raise when any expectation failed; the result table is tiny (one row each)."""
-    failed = [r["expectation"] + (f"({r['column']})" if r["column"] else "")
-              for r in results.where(~F.col("success")).select("expectation", "column").collect()]
-    if failed:
-        raise ValidationError(f"{len(failed)} expectation(s) failed: {failed}")
+    r = gate_report(results).first()
+    if r["failed"]:
+        raise ValidationError(f"{r['failed']} expectation(s) failed: {r['failures']}")
     return results
 
 
@@ -189,13 +196,15 @@ def quarantine(df: DataFrame, suite: list[Expectation] = ENCOUNTER_SUITE, key: s
     return out.withColumn("is_valid", F.size("failures") == 0)
 
 
-def request_failures(df: DataFrame) -> Column:
-    """Array of failure codes of a scoring request record (empty when valid)."""
+def request_failures(record: DataFrame | Callable[[str], Column]) -> Column:
+    """Array of failure codes of a scoring request record (empty when valid). ``record``: the
+    table of records, or a function from a field's name to its value."""
+    out_of = F.col if isinstance(record, DataFrame) else record
     codes = []
     for c in REQUEST_REQUIRED:
-        codes.append(F.when(F.col(c).isNull(), F.lit(f"required:{c}")))
+        codes.append(F.when(out_of(c).isNull(), F.lit(f"required:{c}")))
     for c, kind, args in REQUEST_RULES:
-        col = F.col(c)
+        col = out_of(c)
         if kind == "range":
             bad = col.isNull() | (col < args[0]) | (col > args[1])
         elif kind == "in":

@@ -8,7 +8,8 @@ directly, see ``streaming.scoring``); there is no per-row loop.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from urllib.parse import quote
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from carelens.operators.clean import FEATURE_COLUMNS, engineer_features
 from carelens.operators.contributions import centred, compile_linear, contribution_means, top_factors
 from carelens.operators.model import predict_proba
 from carelens.schemas import TOP_FACTOR_TYPE
+from carelens.session import create_if_absent, is_folder
 from carelens.sources.io import split_requests
 
 ENVELOPE = ("request_id", "is_batch", "item", "envelope_error")
@@ -93,22 +95,38 @@ class PromotionGateError(Exception):
     pass
 
 
+REGISTRY_SCHEMA = ("model_name string, version int, model_path string, git_sha string, training_run_id string, "
+                   "data_version string, metrics string, registered_at timestamp")
+
+
+def read_registry(spark: SparkSession, registry_path: str) -> DataFrame:
+    """M6: all registered versions (an empty table where nothing was registered yet)."""
+    if not is_folder(spark, registry_path):
+        return spark.createDataFrame([], REGISTRY_SCHEMA)
+    # each registration lies in a folder of its own, so that no two writers share a commit
+    return spark.read.schema(REGISTRY_SCHEMA).option("recursiveFileLookup", True).parquet(registry_path)
+
+
+def claim_version(spark: SparkSession, registry_path: str, model_name: str) -> int:
+    """The next free version of the model, claimed by creating a marker file that must not exist yet:
+    of several writers one gets it, the others try the next number. A writer that fails after its
+    claim leaves a gap in the numbers, never a second owner."""
+    last = read_registry(spark, registry_path).where(F.col("model_name") == model_name).agg(F.max("version")).first()[0]
+    version = (last or 0) + 1
+    folder = f"{registry_path.rstrip('/')}/_claims/{quote(model_name, safe='')}"
+    while not create_if_absent(spark, f"{folder}/v{version}"):
+        version += 1
+    return version
+
+
 def register(spark: SparkSession, model: PipelineModel, model_root: str, registry_path: str, model_name: str,
              metrics: DataFrame, gate_failures: DataFrame, tags: dict | None = None) -> int:
-    """M6: when the gate passes, save the model and append a registry row; returns the
+    """M6: when the gate passes, claim a version, save the model and add a registry row; returns the
     version. The registry is a small append-only table (one row per promotion)."""
     reasons = [r["reason"] for r in gate_failures.select("reason").collect()]  # <= a handful of checks
     if reasons:
         raise PromotionGateError("; ".join(reasons))
-    try:
-        registry = spark.read.parquet(registry_path)
-    except AnalysisException as ex:
-        if ex.getCondition() != "PATH_NOT_FOUND":  # only a missing table means a first registration
-            raise
-        prev = None
-    else:
-        prev = registry.where(F.col("model_name") == model_name).agg(F.max("version")).first()[0]
-    version = (prev or 0) + 1
+    version = claim_version(spark, registry_path, model_name)
     path = f"{model_root.rstrip('/')}/{model_name}/v{version}"
     model.save(path)  # fails if the version is there: a registered model is never overwritten
     t = tags or {}
@@ -117,5 +135,5 @@ def register(spark: SparkSession, model: PipelineModel, model_root: str, registr
         F.lit(t.get("git_sha", "unknown")).alias("git_sha"), F.lit(t.get("training_run_id", "unknown")).alias("training_run_id"),
         F.lit(t.get("data_version", "unknown")).alias("data_version"),
         F.to_json(F.struct(*metrics.columns)).alias("metrics"), F.current_timestamp().alias("registered_at"))
-    row.write.mode("append").parquet(registry_path)
+    row.write.parquet(f"{registry_path.rstrip('/')}/{quote(model_name, safe='')}-v{version}")
     return version

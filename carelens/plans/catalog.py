@@ -204,3 +204,4 @@ from carelens.plans import catalog_store  # noqa: E402,F401
 from carelens.plans import catalog_models  # noqa: E402,F401
 from carelens.plans import catalog_dirty  # noqa: E402,F401
 from carelens.plans import catalog_streams  # noqa: E402,F401
+from carelens.plans import catalog_io  # noqa: E402,F401

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from carelens.operators import evaluate as ev
 from carelens.operators import fairness as fa
 from carelens.operators import profile as pr
+from carelens.operators.prefix import with_row_number
 from carelens.plans import base
-from carelens.plans.catalog import register
+from carelens.plans.catalog import SQL, register
 from carelens.plans.oracle import ENC, FEAT, SCORED, with_ctes
 from carelens.schemas import CATEGORICAL_COLUMNS, DEFAULT_CONFIG, NUMERIC_COLUMNS, SLICE_COLUMNS
 
@@ -312,3 +313,10 @@ def slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F2, A10, O1: single and flagged pairwise slice error rates."""
     return fa.analyze_slices(base.scored(spark, sf_dir), DEFAULT_CONFIG["min_slice_size"],
                              DEFAULT_CONFIG["elevation_factor"])
+
+
+@register("slices_ordered", "SELECT row_number() OVER (ORDER BY error_rate DESC, slice_columns, slice_values) AS row_no, * FROM ("
+          + SQL["slices"] + ")")
+def slices_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: the order of the slice report itself."""
+    return with_row_number(slices(spark, sf_dir))

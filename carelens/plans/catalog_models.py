@@ -16,10 +16,11 @@ from carelens.operators import evaluate as ev
 from carelens.operators import model as md
 from carelens.operators import scoring as sc
 from carelens.operators import split as split_ops
+from carelens.operators.prefix import with_row_number
 from carelens.plans import base
 from carelens.plans.catalog import register
-from carelens.plans.oracle import ENC, FEAT, with_ctes
-from carelens.schemas import MODEL_FEATURE_COLUMNS, REQUEST_COLUMNS
+from carelens.plans.oracle import ENC, FEAT, SPLIT, with_ctes
+from carelens.schemas import CATEGORICAL_COLUMNS, MODEL_FEATURE_COLUMNS, REQUEST_COLUMNS
 from carelens.streaming import rate_limit as rl
 
 
@@ -56,6 +57,15 @@ def top_factors_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("t")[k]["feature"].alias(f"factor_{k + 1}"), F.col("t")[k]["shap_value"].alias(f"value_{k + 1}"))])
 
 
+@register("importance_ordered", with_ctes(ENC, FEAT) + _contrib_sql() + """
+, lng AS (SELECT unnest(c, recursive := true) FROM cc),
+m AS (SELECT feature, min(pos) AS pos, round(avg(abs(v)), 4) AS mean_abs_contribution FROM lng GROUP BY feature)
+SELECT row_number() OVER (ORDER BY mean_abs_contribution DESC, pos) AS row_no, feature, mean_abs_contribution FROM m""")
+def importance_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3: the order of the importance report itself."""
+    return with_row_number(importance(spark, sf_dir))
+
+
 @register("attribution_sample", with_ctes(ENC, FEAT) + """
 , samp AS (SELECT * FROM feat ORDER BY md5(encounter_id || '42'), encounter_id LIMIT 1000)""" + _contrib_sql("samp") + """
 SELECT encounter_id, c[1].feature AS factor_1, round(c[1].v, 4) AS value_1, c[2].feature AS factor_2,
@@ -106,6 +116,38 @@ def candidate_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.compare_candidates(rows, "algorithm", "roc_auc")
 
 
+_SEARCH = md.SearchSpace(choice={"maxIter": [27, 54], "elasticNetParam": [0.0, 0.5, 1.0]}, loguniform={"regParam": (-8, -1)})
+
+
+@register("model_search")
+def model_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3: nine logistic trials by successive halving over the curated splits (9, 3, 1 trials); the
+    metrics are ranked from the written validation scores."""
+    train, val, _ = _splits(spark, sf_dir)
+    return md.halving_search(train, val, trials=9, eta=3, rungs=3, space=_SEARCH, algorithm="logreg").trials
+
+
+def _score_equations_sql() -> str:
+    numeric = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST(NULL AS VARCHAR) AS level" for c in ["(intercept)", *md.NUMERIC_FEATURES])
+    levels = " UNION ALL ".join(
+        f"SELECT '{c}', {c} FROM tr WHERE {c} IS NOT NULL GROUP BY {c} UNION ALL SELECT '{c}', '{ct.OTHER}' UNION ALL SELECT '{c}', '{ct.NEVER}'"
+        for c in CATEGORICAL_COLUMNS)
+    return with_ctes(ENC, FEAT, SPLIT) + f"""
+, tr AS (SELECT * FROM sfeat WHERE split = 'train'),
+slots AS ({numeric} UNION ALL {levels})
+SELECT feature, level, CAST(0.0 AS DOUBLE) AS equation FROM slots"""
+
+
+@register("fit_score_equations", _score_equations_sql())
+def fit_score_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weighted ridge-logistic model fit on the train split, and the equations that its
+    optimum solves: one per slot, all zero."""
+    train, _, _ = _splits(spark, sf_dir)
+    model = md.train_model(train, None, md.TrainSpec("logreg", {"maxIter": 200, "regParam": 0.01, "tol": 1e-9}))
+    eq = ct.score_equations(model, split_ops.with_class_weight(train), reg_param=0.01, weight="weight")
+    return eq.withColumn("equation", F.round("equation", 4) + F.lit(0.0))
+
+
 def _rate_limit_sql(limit: int) -> str:
     """Recursion along each client's requests, with the list of admitted times as state."""
     return f"""
@@ -155,6 +197,10 @@ LINEAR = {  # a model with declared coefficients: name -> (intercept, numeric, c
 FILL = 30.0
 
 
+# What the contributions of model "a" are centred on: one number per slot, in their order.
+LINEAR_MEANS = [1.5, 2.0, 4.0, 1.9, 0.4, 0.2, 0.5, 0.5]
+
+
 def _linear(name: str) -> ct.CompiledLinear:
     intercept, numeric, categories = LINEAR[name]
     slots = [(c, F.coalesce(F.col(c).cast("double"), F.lit(FILL))) for c in numeric]
@@ -185,6 +231,12 @@ def _with_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.features(spark, sf_dir).withColumn("bmi", F.when(F.col("encounter_id").cast("bigint") % 40 != 0, F.col("bmi")))
 
 
+def _requests_with_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The encounters with a label as scoring requests, some without a bmi."""
+    e = base.encounters(spark, sf_dir).where(F.col("readmitted_30d").isNotNull()).select(*REQUEST_COLUMNS)
+    return e.withColumn("bmi", F.when(F.col("encounter_id").cast("bigint") % 40 != 0, F.col("bmi")))
+
+
 def _probability(name: str):
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-_linear(name).margin()))
 
@@ -194,9 +246,12 @@ def _probability(name: str):
 SELECT encounter_id, round(p, 4) AS readmission_probability,
   CASE WHEN p < 0.20 THEN 'low' WHEN p <= 0.50 THEN 'medium' ELSE 'high' END AS risk_tier FROM p""")
 def linear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Compiled scoring with declared coefficients (response without id and time)."""
-    p = _with_holes(spark, sf_dir).select("encounter_id", _probability("a").alias("p"))
-    return p.select("encounter_id", F.round("p", 4).alias("readmission_probability"), fx.risk_tier(F.col("p")).alias("risk_tier"))
+    """Requests through the scorer with declared coefficients (response without id
+    and time), once with factors and once without."""
+    requests = _requests_with_holes(spark, sf_dir)
+    with_factors = sc.score(_linear("a"), requests.where("age % 2 = 0"), "declared", means=LINEAR_MEANS)
+    plain = sc.score(_linear("a"), requests.where("age % 2 = 1"), "declared", explain=False)
+    return with_factors.unionByName(plain).select("encounter_id", "readmission_probability", "risk_tier")
 
 
 def _linear_factors_sql() -> str:
@@ -224,16 +279,23 @@ def linear_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("t")[k]["feature"].alias(f"factor_{k + 1}"), F.col("t")[k]["shap_value"].alias(f"value_{k + 1}"))])
 
 
-@register("encoded_features", with_ctes(ENC, FEAT) + "SELECT encounter_id, " + ", ".join(
-    f"(SELECT count(DISTINCT f2.{c}) FROM feat f2 WHERE f2.{c} < feat.{c}) AS {c}" for c in ("sex", "admission_type")) + """,
-  CAST(polypharmacy_flag AS DOUBLE) AS polypharmacy_flag FROM feat""")
+def _encoded_sql() -> str:
+    codes = ", ".join(f"coalesce((SELECT code FROM codes_{c} v WHERE v.x = h.{c}), (SELECT count(*) FROM codes_{c})) AS {c}" for c in CATEGORICAL_COLUMNS)
+    tables = "".join(f", codes_{c} AS (SELECT x, row_number() OVER (ORDER BY x) - 1 AS code FROM (SELECT DISTINCT {c} AS x FROM h WHERE {c} IS NOT NULL))" for c in CATEGORICAL_COLUMNS)
+    numbers = ", ".join(f"round(coalesce(CAST({c} AS DOUBLE), (SELECT avg(CAST({c} AS DOUBLE)) FROM h)), 6) AS {c}" for c in md.NUMERIC_FEATURES)
+    return with_ctes(ENC, FEAT, HOLES) + f"{tables}\nSELECT encounter_id, {codes}, {numbers} FROM h"
+
+
+@register("encoded_features", _encoded_sql())
 def encoded_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M1: the fitted indexer's codes (alphabetical) of two categorical columns, and a flag as a number."""
-    f = base.features(spark, sf_dir)
+    """M1: the fitted indexer's codes (alphabetical) of all categorical columns, and the numbers as
+    the model gets them (flags as numbers, missing ones imputed)."""
+    x = md.model_input(_with_holes(spark, sf_dir))
     stages, _ = md.encoder_stages("gbt")
-    x = md.model_input(f)
-    out = stages[1].fit(x).transform(x)
-    return out.select("encounter_id", *[F.col(f"{c}__idx").cast("bigint").alias(c) for c in ("sex", "admission_type")], "polypharmacy_flag")
+    for stage in stages:
+        x = stage.fit(x).transform(x)
+    return x.select("encounter_id", *[F.col(f"{c}__idx").cast("bigint").alias(c) for c in CATEGORICAL_COLUMNS],
+                    *[F.round(f"{c}__imp", 6).alias(c) for c in md.NUMERIC_FEATURES])
 
 
 @register("class_weight", with_ctes(ENC, FEAT) + """

@@ -12,16 +12,15 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.functions import features as fx
 from carelens.operators import telemetry as tm
+from carelens.operators.scoring import score
 from carelens.operators.sketch import sketch_bytes, wide_rank_error
 from carelens.plans import base
 from carelens.plans.catalog import SQL, register
 from carelens.plans.catalog_dirty import dirty, faulty_requests
 from carelens.plans.catalog_monitor import HAS_SCORE, TEL
-from carelens.plans.catalog_models import _probability, _rate_limit_sql, _with_holes
+from carelens.plans.catalog_models import LINEAR_MEANS, _linear, _rate_limit_sql, _requests_with_holes
 from carelens.plans.oracle import with_ctes
-from carelens.schemas import REQUEST_COLUMNS
 from carelens.session import is_folder, scratch_path
 from carelens.sources import telemetry as src
 from carelens.streaming import jobs
@@ -177,11 +176,11 @@ def stream_late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stream_scores", SQL["linear_scores"])
 def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The declared linear model over a stream of feature rows."""
-    table = _with_holes(spark, sf_dir)
+    """The scorer with a declared linear model over a stream of requests."""
+    table = _requests_with_holes(spark, sf_dir)
     path, n = _landed(table, "features")
-    p = jobs.landing_stream(spark, path, table.schema, n).select("encounter_id", _probability("a").alias("p"))
-    return jobs.drain(p.select("encounter_id", F.round("p", 4).alias("readmission_probability"), fx.risk_tier(F.col("p")).alias("risk_tier")), "append", "stream-scores")
+    scored = score(_linear("a"), jobs.landing_stream(spark, path, table.schema, n), "declared", means=LINEAR_MEANS)
+    return jobs.drain(scored.select("encounter_id", "readmission_probability", "risk_tier"), "append", "stream-scores")
 
 
 _UNTIMED = "event_id % 97 = 0"

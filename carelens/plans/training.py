@@ -50,7 +50,7 @@ def run_training(spark: SparkSession, raw: DataFrame, rc: RunConfig) -> dict:
         quality.validation_gate(io.read_report(spark, f"{out}/reports/validation", results))
     # features + split, persisted once (S5); later steps read the partitioned table
     feats = temporal_split(materialize(transform(raw), "features"), c["train_fraction"], c["validation_fraction"])
-    info = io.persist_splits(feats, f"{out}/curated/features")
+    info = io.persist_splits(feats, f"{out}/curated/features", replace="all")
     splits = spark.read.parquet(info["path"])
     train, val, test = (splits.where(F.col("split") == s) for s in ("train", "val", "test"))
     model = md.train_model(train, val if rc.algorithm == "gbt" else None, md.TrainSpec(rc.algorithm, rc.params))

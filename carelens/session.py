@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of ours wants, cluster or local.
@@ -128,6 +129,19 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and fs.getFileStatus(p).isDirectory()
 
 
+def create_if_absent(spark: SparkSession, path: str) -> bool:
+    """Creates an empty file (and its folders); False if there is one already. On file systems with
+    an atomic create (HDFS, local, object stores with conditional puts) one of several callers wins."""
+    fs, p = _file_system(spark, path)
+    try:
+        fs.create(p, False).close()
+    except Py4JJavaError:
+        if not fs.exists(p):
+            raise
+        return False
+    return True
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Deletes all tables this library has written to the checkpoint folder; for the owner of a
     run, at its end, when no DataFrame over them is needed any more."""

@@ -7,7 +7,10 @@ here touches the local disk directly.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,22 +36,45 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.format(fmt).load(path)
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> dict:
-    """Write by suffix; returns {'path', 'rows', 'columns'}.
-
-    The row count is read back from the written files (parquet: footer metadata only).
-    An ``Observation`` on the write would avoid even that, but in this Spark version an
-    observed write leaves the session unable to serialise later plans, so it is not used.
-    """
+def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Runs ``write`` and returns how many rows it wrote, as the write itself observed them.
+
+    The observed write runs in a session of its own (the rows come through a global temporary view):
+    in this Spark version a session that has observed a query can no longer serialise plans with a
+    freshly fitted model."""
+    spark = df.sparkSession
+    view = f"carelens_write_{uuid.uuid4().hex}"
+    df.createGlobalTempView(view)
+    try:
+        own = spark.newSession()
+        for r in spark.sql("SET").collect():  # this session's settings, a few dozen
+            if r["key"].startswith("spark.sql.") and own.conf.isModifiable(r["key"]):
+                own.conf.set(r["key"], r["value"])
+        seen = Observation()
+        write(own.table(f"global_temp.{view}").observe(seen, F.count(F.lit(1)).alias("rows")))
+        return int(seen.get["rows"])
+    finally:
+        spark.catalog.dropGlobalTempView(view)
+
+
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
+                partitions: str = "static") -> dict:
+    """Write by suffix; returns {'path', 'rows', 'columns'}; the rows are counted by the write.
+
+    ``partitions='dynamic'``: an overwrite replaces only the partitions that ``df`` has rows of."""
     fmt = _format(path)
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if fmt == "csv":
-        w = w.option("header", True)
-    w.format(fmt).save(path)
-    rows = read_table(df.sparkSession, path, df.schema if fmt != "parquet" else None).count()
-    return {"path": path, "rows": rows, "columns": len(df.columns)}
+
+    def write(rows: DataFrame) -> None:
+        w = rows.write.mode(mode).option("partitionOverwriteMode", partitions)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        if fmt == "csv":
+            w = w.option("header", True)
+        if fmt == "json":
+            w = w.option("ignoreNullFields", False)
+        w.format(fmt).save(path)
+
+    return {"path": path, "rows": _counted(df, write), "columns": len(df.columns)}
 
 
 def zone_path(root: str, zone: str, *parts: str) -> str:
@@ -77,32 +103,45 @@ def read_report(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     return spark.read.schema(like.schema).json(path)
 
 
-def persist_splits(df: DataFrame, path: str, split_col: str = "split") -> dict:
-    """One table partitioned by split (readers prune to the split they need)."""
+def persist_splits(df: DataFrame, path: str, split_col: str = "split", replace: str = "given") -> dict:
+    """One table partitioned by split (readers prune to the split they need). ``replace='given'``
+    rewrites the splits that ``df`` holds and leaves the others, ``'all'`` the whole table."""
     return write_table(df, path.rstrip("/") + ("" if path.endswith(".parquet") else ".parquet"),
-                       partition_by=[split_col])
+                       partition_by=[split_col], partitions="dynamic" if replace == "given" else "static")
 
 
 ENVELOPE_SCHEMA = T.StructType([T.StructField("data", T.ArrayType(REQUEST_SCHEMA))] + list(REQUEST_SCHEMA.fields))
 
 
-def request_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON document per row (``doc``). A file whose first line is JSON holds one document per
-    line (lines that are no JSON stay as they are); any other file that is JSON as a whole is
-    one document. A request file is read as a whole, so it has to fit a task."""
-    raw = spark.read.text(path, wholetext=True)
+#: A request file of more bytes is read line by line whatever it holds: a document of at most 100
+#: records is far smaller.
+WHOLE_BYTES = 16 << 20
+
+
+def request_documents(spark: SparkSession, path: str, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """One JSON document per row (``doc``, and the ``file`` it is from). A file whose first line is
+    JSON holds one document per line (lines that are no JSON stay as they are, and are rejected by
+    the envelope rule); any other file that is JSON as a whole is one document.
+
+    Files of up to ``whole_bytes`` are read as a whole to tell; larger ones are only ever read by
+    lines, in splits, so no file has to fit a task. The file size prunes the files of either read."""
+    size = F.col("_metadata.file_size")
+    raw = spark.read.text(path, wholetext=True).where(size <= whole_bytes).select("value", F.col("_metadata.file_path").alias("file"))
     lines = F.filter(F.split("value", "\r?\n"), lambda x: F.trim(x) != "")
-    raw = raw.select("value", lines.alias("lines"))
+    raw = raw.select("value", "file", lines.alias("lines"))
     whole = F.expr("try_parse_json(get(lines, 0)) IS NULL AND try_parse_json(value) IS NOT NULL")
-    return raw.select(F.explode(F.when(whole, F.array("value")).otherwise(F.col("lines"))).alias("doc"))
+    small = raw.select(F.explode(F.when(whole, F.array("value")).otherwise(F.col("lines"))).alias("doc"), "file")
+    large = spark.read.text(path).where(size > whole_bytes).select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("file"))
+    return small.unionByName(large.where(F.trim("doc") != ""))
 
 
 def parse_requests(docs: DataFrame, max_batch: int = 100, doc: str = "doc", request_id: str | None = None) -> DataFrame:
     """Request documents, each a single request object or ``{"data": [...]}``.
 
     Output: one row per record with ``request_id`` (per document), ``is_batch``, ``item``
-    (position), ``envelope_error`` (no JSON object, or the batch rule), ``failures`` (codes of
-    the record's fields, empty when valid) and the request fields. A document that breaks the
+    (position), ``envelope_error`` (no JSON object, or the batch rule), ``accepted`` (neither the
+    document nor any of its records has a fault), ``failures`` (codes of the record's fields, empty
+    when valid) and the request fields. A document that breaks the
     envelope rule gives one row without a record, so an oversized batch is not unpacked."""
     from carelens.operators.quality import envelope_failures, request_failures
 
@@ -118,8 +157,10 @@ def parse_requests(docs: DataFrame, max_batch: int = 100, doc: str = "doc", requ
                      F.when(is_batch, F.col("_e.data")).otherwise(F.array(single)).alias("_records"))
     empty = F.array().cast(T.ArrayType(REQUEST_SCHEMA))
     records = F.when(F.col("envelope_error").isNull(), F.col("_records")).otherwise(empty)
-    out = env.select("request_id", "is_batch", "envelope_error", F.posexplode_outer(records).alias("item", "_r")).select(
-        "request_id", "is_batch", "envelope_error", "item", "_r.*")
+    faulty = F.exists(records, lambda r: F.size(request_failures(lambda c: r[c])) > 0)
+    out = env.select("request_id", "is_batch", "envelope_error", (F.col("envelope_error").isNull() & ~faulty).alias("accepted"),
+                     F.posexplode_outer(records).alias("item", "_r")).select(
+        "request_id", "is_batch", "envelope_error", "accepted", "item", "_r.*")
     return out.withColumn("failures", F.when(F.col("envelope_error").isNull(), request_failures(out)).otherwise(F.array().cast("array<string>")))
 
 
@@ -132,10 +173,7 @@ def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected): a document with an envelope error or any invalid record is rejected
     as a whole. Accepted documents are bounded by the batch rule, which ``responses_as_json``
     relies on."""
-    bad = F.col("envelope_error").isNotNull() | (F.size("failures") > 0)
-    flagged = requests.groupBy(F.col("request_id").alias("_rid")).agg(F.max(bad.cast("int")).alias("_bad"))
-    both = requests.join(flagged, F.col("request_id") == F.col("_rid")).drop("_rid")
-    return both.where("_bad = 0").drop("_bad"), both.where("_bad = 1").drop("_bad")
+    return requests.where("accepted").drop("accepted"), requests.where("not accepted").drop("accepted")
 
 
 def responses_as_json(responses: DataFrame) -> DataFrame:

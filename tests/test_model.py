@@ -187,3 +187,63 @@ def test_scorer_matches_score(spark, data):
     b = {(r.encounter_id, r.readmission_probability, r.risk_tier, tuple(r.top_factors))
          for r in sc.Scorer(m, "v1", means).score(req).collect()}
     assert a == b and len(a) == 300
+
+
+def test_score_equations_vanish_at_the_optimum_only(spark, data):
+    from carelens.operators.split import with_class_weight
+
+    train, _, _ = data
+    weighted = with_class_weight(train)
+    for reg in (0.0, 0.05):
+        m = md.train_model(train, None, md.TrainSpec("logreg", {"maxIter": 500, "regParam": reg, "tol": 1e-12}))
+        eq = ct.score_equations(m, weighted, reg_param=reg, weight="weight").collect()
+        assert len(eq) == len(ct.compile_linear(m).slots) + 1 and max(abs(r.equation) for r in eq) < 5e-5
+    early = md.train_model(train, None, md.TrainSpec("logreg", {"maxIter": 2, "regParam": 0.05}))
+    assert max(abs(r.equation) for r in ct.score_equations(early, weighted, reg_param=0.05, weight="weight").collect()) > 1e-3
+    off = ct.score_equations(m, weighted, reg_param=0.5, weight="weight")  # another penalty than that of the fit
+    assert max(abs(r.equation) for r in off.collect()) > 1e-2
+    assert ct.score_equations(m, weighted.where("false"), weight="weight").count() == 0
+
+
+def test_halving_search_ranks_its_written_scores(spark, data, tmp_path):
+    import duckdb
+
+    train, val, _ = data
+    space = md.SearchSpace(choice={"maxIter": [9, 18]}, loguniform={"regParam": (-9, 2)})
+    found = md.halving_search(train, val, trials=9, eta=3, rungs=3, space=space, algorithm="logreg")
+    trials = {r.trial: r for r in found.trials.collect()}
+    assert sorted(r.rung for r in trials.values()) == [0] * 6 + [1] * 2 + [2]
+    assert sorted(r["rank"] for r in trials.values()) == list(range(1, 10))
+    for r in trials.values():
+        full = 9 if "('maxIter', 9)" in r.params else 18
+        assert r.budget == max(1, round(full / 3 ** (2 - r.rung)))
+    found.scores.write.parquet(str(tmp_path / "scores"))
+    sql = f"""
+    WITH s AS (SELECT * FROM '{tmp_path}/scores/*.parquet'),
+    c AS (SELECT trial, rung, y_prob, count_if(y_true = 1) AS pos, count(*) AS n FROM s GROUP BY ALL),
+    k AS (SELECT *, sum(pos) OVER w AS tp, sum(n) OVER w AS above, sum(pos) OVER (PARTITION BY trial) AS p FROM c
+          WINDOW w AS (PARTITION BY trial ORDER BY y_prob DESC)),
+    a AS (SELECT trial, rung, sum(pos / p * tp / above) AS ap FROM k GROUP BY ALL)
+    SELECT trial, ap, row_number() OVER (ORDER BY rung DESC, round(ap, 12) DESC, trial) FROM a"""
+    for trial, ap, rank in duckdb.connect().execute(sql).fetchall():
+        assert trials[trial]["rank"] == rank and trials[trial].pr_auc == pytest.approx(ap, abs=1e-12)
+    best = min(trials.values(), key=lambda r: r["rank"])
+    scored = md.predict_proba(found.model, val).select(F.col("readmitted_30d").alias("y_true"), "y_prob")
+    assert ev.average_precision(scored).first()["average_precision"] == pytest.approx(best.pr_auc, abs=1e-9)
+
+
+def test_concurrent_registrations_get_versions_of_their_own(spark, data, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    train, _, _ = data
+    m = md.train_model(train, None, md.TrainSpec("logreg", {"maxIter": 3}))
+    metrics = spark.createDataFrame([(0.8, 0.5, 0.1)], "roc_auc double, pr_auc double, brier_score double")
+    ok = spark.createDataFrame([], "check string, value double, reason string")
+    root, registry = str(tmp_path / "models"), str(tmp_path / "registry")
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        got = list(pool.map(lambda i: sc.register(spark, m, root, registry, "risk/model a", metrics, ok, {"git_sha": f"c{i}"}), range(8)))
+    assert sorted(got) == list(range(1, 9))
+    rows = sc.read_registry(spark, registry).collect()
+    assert sorted(r.version for r in rows) == list(range(1, 9)) and {r.git_sha for r in rows} == {f"c{i}" for i in range(8)}
+    assert all((tmp_path / "models" / "risk/model a" / f"v{r.version}").is_dir() for r in rows)
+    assert sc.claim_version(spark, registry, "risk/model a") == 9 and sc.claim_version(spark, registry, "other") == 1

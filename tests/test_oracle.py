@@ -26,7 +26,7 @@ def test_query_matches_sql_twin(spark, con, name):
 
 
 def test_every_query_has_a_twin_or_is_rows_only():
-    assert set(catalog.QUERIES) - set(SQL) == {"batch_scores", "candidate_comparison"}
+    assert set(catalog.QUERIES) - set(SQL) == {"batch_scores", "candidate_comparison", "model_search"}
 
 
 def test_entry_smoke(spark):
