@@ -36,7 +36,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import prefix_hashes, runs, segment_hashes, text_buffer, tidy
+from carelens.llm.common import distinct_segments, runs, text_buffer, tidy
 
 CHUNK = 32768
 OVERLAP = 256
@@ -233,7 +233,7 @@ class Ranks:
         """As ``encode_pieces``, each distinct piece once."""
         if not len(starts):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        _, first, which = np.unique(segment_hashes(prefix_hashes(buf), starts, ends), return_index=True, return_inverse=True)
+        first, which = distinct_segments(buf, starts, ends)
         ids, counts = self.encode_pieces(buf, starts[first], ends[first])
         offs = np.append(0, np.cumsum(counts))
         n = counts[which]
