@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelens.llm.bpe import BLANK, LETTER, NUMBER, OTHER, classes, clean_utf8, code_points
-from carelens.llm.common import prefix_hashes, runs, segment_hashes, tidy
+from carelens.llm.common import distinct_segments, runs, tidy
 
 MOST_STATES = 400_000
 #: Characters of a chunk of the splitter.
@@ -271,7 +271,7 @@ def count_tokens(data: bytes, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     starts, last = np.flatnonzero(begins & solid), np.flatnonzero(ends)
     a, b = byte_at[starts], byte_at[last] + width[last]
     if len(a):
-        _, first, which = np.unique(segment_hashes(prefix_hashes(buf), a, b), return_index=True, return_inverse=True)
+        first, which = distinct_segments(buf, a, b)
         each = counter.counts([raw[i:j] for i, j in zip(a[first].tolist(), b[first].tolist(), strict=True)])
         row = np.searchsorted(offs, a, "right") - 1
         total += np.bincount(row, np.array(each)[which], n).astype(np.int64)
