@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import SPACE, prefix_hashes, runs, segment_hashes, text_buffer, tidy, words
+from carelens.llm.common import SPACE, distinct_segments, runs, text_buffer, tidy, words
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
@@ -111,7 +111,7 @@ def _sums(flags: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return total[offs[1:]] - total[offs[:-1]]
 
 
-def duplicate_lines(buf: np.ndarray, offs: np.ndarray, sums: np.ndarray) -> np.ndarray:
+def duplicate_lines(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Per row the lines with a word that equal an earlier line."""
     brk = np.flatnonzero(buf == 10)
     starts = np.unique(np.concatenate([offs[:-1], brk + 1]))
@@ -123,7 +123,7 @@ def duplicate_lines(buf: np.ndarray, offs: np.ndarray, sums: np.ndarray) -> np.n
     full = solid[closes] > solid[starts]
     starts, closes = starts[full], closes[full]
     row = np.searchsorted(offs, starts, "right") - 1
-    h = segment_hashes(sums, starts, closes)
+    h = distinct_segments(buf, starts, closes)[1]
     by = np.lexsort((h, row))
     again = np.zeros(len(by), bool)
     again[1:] = (h[by][1:] == h[by][:-1]) & (row[by][1:] == row[by][:-1])
@@ -132,11 +132,10 @@ def duplicate_lines(buf: np.ndarray, offs: np.ndarray, sums: np.ndarray) -> np.n
 
 def judge(buf: np.ndarray, offs: np.ndarray, min_words: int, max_covered: float, max_repeat: int) -> dict[str, np.ndarray]:
     """All columns of ``SCHEMA`` but the id, for the rows of one run."""
-    sums = prefix_hashes(buf)
     starts, ends, row_words = words(buf, offs)
     n_words = np.diff(row_words)
     row = np.repeat(np.arange(len(n_words)), n_words)
-    ids = np.unique(segment_hashes(sums, starts, ends), return_inverse=True)[1]
+    ids = distinct_segments(buf, starts, ends)[1]
     height = repeat_heights(ids, row, np.repeat(row_words[1:], n_words))
     n_repeat = _sums(covered(np.where(height >= 3, 3, 0), 3), row_words)
     n_covered = _sums(covered(height, min_words), row_words)
@@ -146,7 +145,7 @@ def judge(buf: np.ndarray, offs: np.ndarray, min_words: int, max_covered: float,
     bad = (n_covered > max_covered * n_words) | (longest > max_repeat)
     return {
         "n_words": n_words, "word_chars": _sums(~SPACE[buf] & ((buf & 0xC0) != 0x80), offs), "n_symbols": _sums(SYMBOL[buf], offs),
-        "n_dup_lines": duplicate_lines(buf, offs, sums), "n_repeat_words": n_repeat, "covered_words": n_covered,
+        "n_dup_lines": duplicate_lines(buf, offs), "n_repeat_words": n_repeat, "covered_words": n_covered,
         "longest_repeat": np.where(longest >= 3, longest, 0), "base_failed": failed, "kept": ~failed & ~bad,
     }
 
