@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelens.llm.common import (
-    BLOCK_BYTES, LOWER, block_table, combine, deltas, mix, prefix_hashes, ranges_of, segment_hashes, squeeze, text_buffer, undelta, tidy, unpack, unsqueeze, words, written,
+    BLOCK_BYTES, LOWER, block_table, combine, deltas, hash_segments, mix, ranges_of, squeeze, text_buffer, undelta, tidy, unpack, unsqueeze, words, written,
 )
 
 #: N-grams that a range holds on average (over the blocks that send them).
@@ -53,7 +53,7 @@ def ngrams(buf: np.ndarray, offs: np.ndarray, order: int) -> tuple[np.ndarray, l
     starts, ends, first = words(low, offs)
     row = np.repeat(np.arange(len(offs) - 1), np.diff(first))
     tokens = np.empty(len(starts) + len(offs) - 1, np.uint64)
-    tokens[np.arange(len(starts)) + row] = segment_hashes(prefix_hashes(low), starts, ends)
+    tokens[np.arange(len(starts)) + row] = hash_segments(low, starts, ends)
     first = first + np.arange(len(offs))
     tokens[first[1:] - 1] = END
     begins = [BEGIN]
