@@ -152,9 +152,13 @@ def judge(buf: np.ndarray, offs: np.ndarray, min_words: int, max_covered: float,
 
 def repetition_rules(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-    min_words: int = 10, max_covered: float = 0.4, max_repeat: int = 200,
+    min_words: int = 10, max_covered: float = 0.1, max_repeat: int = 50,
 ) -> DataFrame:
-    """One row per document: the counts, the covered words, the longest repeat and the verdict."""
+    """One row per document: the counts, the covered words, the longest repeat and the verdict.
+
+    The default limits are published ones for web text: at most a tenth of a document inside repeats
+    of ten words (Rae et al. 2021), none of more than 50 (the length from which Lee et al. 2022 cut
+    exact repeats)."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
