@@ -407,3 +407,44 @@ def test_the_method_rejects_what_the_plain_rules_pass(spark):
     got = {r["doc_id"]: r for r in repetition_rules(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
     assert not got[1]["base_failed"] and not got[1]["kept"] and got[1]["longest_repeat"] == 45 and got[1]["covered_words"] == 90
     assert got[2]["kept"]
+
+
+def plain_method(words, min_words=10, max_covered=0.1, max_repeat=50):
+    """(covered_words, longest_repeat, the method's verdict) by comparing all pairs of places."""
+    n = len(words)
+    height = [0] * n
+    for i in range(n):
+        for j in range(n):
+            k = 0
+            while j != i and max(i, j) + k < n and words[i + k] == words[j + k]:
+                k += 1
+            height[i] = max(height[i], k)
+    covered = {p for i in range(n) if height[i] >= min_words for p in range(i, i + height[i])}
+    longest = max(height, default=0)
+    return len(covered), longest if longest >= 3 else 0, len(covered) <= max_covered * n and longest <= max_repeat
+
+
+def test_method_columns_equal_brute_force(spark, rows):
+    import random
+
+    rng = random.Random(12)
+    texts = [(i, text) for i, text, *_ in rows if text and len(text) < 2500][:25]
+    for i in range(60):
+        w = sentence(rng, rng.randint(40, 110)).split()
+        part = w[: rng.choice([5, 9, 10, 11, 14, 60])]
+        at = rng.randint(0, len(w))
+        texts.append((5000 + i, " ".join(w[:at] + part * rng.choice([1, 1, 2]) + w[at:])))
+    got = {r.doc_id: r for r in repetition_rules(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    verdicts = set()
+    for i, text in texts:
+        r, (covered, longest, fine) = got[i], plain_method(words(text))
+        assert (r.covered_words, r.longest_repeat, r.kept) == (covered, longest, fine and not r.base_failed)
+        verdicts.add((r.base_failed, r.kept))
+    assert verdicts >= {(False, True), (False, False)}
+
+
+def test_the_limits_reject_rows_of_the_given_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    kept = repetition_rules(docs).groupBy("base_failed", "kept").count().collect()
+    n = {(r.base_failed, r.kept): r["count"] for r in kept}
+    assert 0 < n[False, False] < 0.01 * n[False, True] and (True, True) not in n
