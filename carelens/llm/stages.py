@@ -28,18 +28,50 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*[F.col(f"`carry_{c}`").alias(c) for c in columns])
 
 
+#: Words of 64 bits in the table that tells most rows apart before anything is shuffled.
+BITMAP_WORDS = 1 << 17
+
+
+def apart(rows: DataFrame, key: str, keys: DataFrame, words: int = BITMAP_WORDS) -> tuple[DataFrame, DataFrame]:
+    """(rows whose ``key`` is surely not in ``keys``, all others), by a bitmap over a hash of the key.
+
+    The bitmap has a row per word, ``words`` at most, so it is broadcast whatever the keys are: with
+    more keys than bits it tells fewer rows apart, which costs a shuffle of more rows later."""
+    bit = F.pmod(F.xxhash64(key), F.lit(words * 64))
+    one = keys.select(F.floor(bit / 64).alias("__word"), F.expr(f"shiftleft(1L, cast(pmod(pmod(xxhash64({key}), {words * 64}), 64) as int))").alias("b"))
+    table = one.groupBy("__word").agg(F.bit_or("b").alias("__bits"))
+    marked = rows.join(F.broadcast(table), F.floor(bit / 64) == F.col("__word"), "left")
+    hit = F.coalesce(F.expr(f"(shiftrightunsigned(__bits, cast(pmod(pmod(xxhash64({key}), {words * 64}), 64) as int)) & 1L) = 1"), F.lit(False))
+    return marked.where(~hit).drop("__word", "__bits"), marked.where(hit).drop("__word", "__bits")
+
+
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, with underscores until no column has it (in any case)."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each SimHash component: the one with the smallest id, and one row of
-    those that repeat it. Rows without an id stand behind all others, in order of a text hash."""
+    those that repeat its id (an id whose rows fall in several components stays if it is the smallest
+    of one). Rows without an id stand behind all others, in order of a text hash.
+
+    Most ids are kept and occur once. Only the others (to be dropped, or repeated) are looked up: a
+    bitmap of them passes most rows on where they are, and the rest is joined exactly."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
+    key = free_name(docs.columns, "__id")
     stand_in = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 2) + F.lit(1 << 62)
-    named = docs.withColumn("__id", F.coalesce("doc_id", stand_in))
-    groups = near_duplicates(named, doc_id="__id")
-    ids = written(groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("n")), "kept-ids")
-    once = named.join(ids.where("n = 1").select("__id"), "__id", "left_semi").select(*columns)
-    repeated = named.join(ids.where("n > 1").select("__id"), "__id", "left_semi")
-    first = repeated.groupBy("__id").agg(F.min(F.struct(*columns)).alias("row")).select("row.*")
-    return once.unionByName(first)
+    named = docs.withColumn(key, F.coalesce("doc_id", stand_in))
+    groups = near_duplicates(named, doc_id=key)
+    ids = groups.groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("n"), F.max(F.col("doc_id") == F.col("component_id")).alias("stays"))
+    others = written(ids.where("n > 1 OR NOT stays").select(key, "stays"), "other-ids")
+    plain, rest = apart(named, key, others)
+    rest = rest.join(others.withColumnRenamed(key, "__k"), F.col(key) == F.col("__k"), "left")
+    once = rest.where("stays IS NULL").select(*columns)
+    first = rest.where("stays").groupBy(key).agg(F.min(F.struct(*columns)).alias("__row")).select("__row.*")
+    return plain.select(*columns).unionByName(once).unionByName(first)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
