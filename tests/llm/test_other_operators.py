@@ -325,3 +325,24 @@ def test_near_duplicate_stage_without_ids(spark):
     rows = [(None, "a b c d e", "en", "s", 1), (None, "a b c d e", "en", "s", 1), (7, "a b c d e", "en", "s", 1), (None, "other words are here now", "en", "s", 1), (9, "x y z q r s t", "en", "s", 1), (9, "x y z q r s t", "fr", "s", 1)]
     got = stages.near_duplicates_stage(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
     assert sorted((r["doc_id"] or 0, r["text"][:3], r["lang"]) for r in got) == [(0, "oth", "en"), (7, "a b", "en"), (9, "x y", "en")]
+
+
+@pytest.mark.parametrize("words", [1, 4, 1 << 10])
+def test_bitmaps_pass_on_only_rows_without_a_key(spark, words):
+    rows = spark.range(500).selectExpr("id * 7 key", "id v")
+    keys = spark.range(0, 500, 5).selectExpr("id * 7 key")
+    plain, rest = stages.apart(rows, "key", keys, words)
+    listed = {r.key for r in keys.collect()}
+    assert not listed & {r.key for r in plain.collect()} and listed <= {r.key for r in rest.collect()}
+    assert plain.unionByName(rest).exceptAll(rows).count() == 0 and plain.count() + rest.count() == 500
+    assert plain.columns == rows.columns
+
+
+def test_near_duplicate_stage_does_not_shuffle_most_texts(spark, docs):
+    named = docs.where("doc_id is not null").withColumnRenamed("source", "__id")
+    out = stages.near_duplicates_stage(spark, named, "")
+    assert out.columns == named.columns  # an input column of the helper's name stays
+    kept = sorted(r.doc_id for r in out.collect())
+    from carelens.llm.simhash import near_duplicates
+
+    assert kept == sorted({r.doc_id for r in near_duplicates(named).where("doc_id = component_id").collect()})
