@@ -162,6 +162,14 @@ def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return mix(a * np.uint64(0x9FB21C651E98DF25) + (b ^ (b >> np.uint64(29))))
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, with underscores until no column has it (in any case)."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder under the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/carelens-llm/{name}-{uuid.uuid4().hex[:12]}"

@@ -23,7 +23,7 @@ def op1_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from carelens.llm.mixing import mix_plan
 
-    return mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken", "mix.copies")
+    return mix_plan(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken", "mix.copies")
 
 
 def tokenizer_file(name: str) -> bytes:
@@ -119,7 +119,7 @@ def op13_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP2_SQL = """
 WITH d AS (
-  SELECT doc_id, source,
+  SELECT row_number() OVER () AS rid, doc_id, source,
          CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
          (CAST(CAST('0x' || substr(md5('42:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) AS DOUBLE) + 0.5)
            / 4503599627370496.0 AS u
@@ -133,18 +133,16 @@ l AS (SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) - coalesce(sum(cap) OV
 t AS (SELECT *, least(cap, coalesce(max(CASE WHEN cap >= level * weight THEN level END) OVER (), 0.0) * weight) AS target FROM l),
 r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS ratio FROM t),
 f AS (SELECT *, CAST(floor(ratio) AS BIGINT) AS whole, ratio - floor(ratio) AS fraction FROM r),
-q AS (SELECT d.doc_id, d.source, d.size, f.source_size, f.target, f.whole, f.fraction * f.source_size AS open,
+q AS (SELECT d.rid, d.doc_id, d.source, d.size, f.source_size, f.target, f.whole, f.fraction * f.source_size AS open,
              CASE WHEN fraction > 0 THEN (u / (1 - u)) / (fraction / (1 - fraction)) ELSE 0.0 END AS rnk
       FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source),
-k AS (SELECT source, open, rnk, doc_id, size, sum(size) AS wd FROM q WHERE open > 0 GROUP BY ALL),
-m AS (SELECT *, sum(wd) OVER (PARTITION BY source ORDER BY rnk, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS so_far FROM k),
+m AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rnk, doc_id NULLS FIRST, size, rid ROWS UNBOUNDED PRECEDING) AS so_far
+      FROM q WHERE open > 0),
 g AS (SELECT *, open - coalesce(max(CASE WHEN so_far <= open THEN so_far END) OVER (PARTITION BY source), 0) AS gap FROM m),
-n AS (SELECT *, sum(wd) OVER (PARTITION BY source ORDER BY rnk, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS filled
+n AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rnk, doc_id NULLS FIRST, size, rid ROWS UNBOUNDED PRECEDING) AS filled
       FROM g WHERE so_far > open AND size < 2 * gap),
-p AS (SELECT source, doc_id, size FROM g WHERE so_far <= open
-      UNION ALL SELECT source, doc_id, size FROM n WHERE filled - 0.5 * wd <= gap),
-c AS (SELECT q.*, whole + CASE WHEN p.size IS NULL THEN 0 ELSE 1 END AS copies
-      FROM q LEFT JOIN p ON q.source IS NOT DISTINCT FROM p.source AND q.doc_id IS NOT DISTINCT FROM p.doc_id AND q.size = p.size)
+p AS (SELECT rid FROM g WHERE so_far <= open UNION ALL SELECT rid FROM n WHERE filled - 0.5 * size <= gap),
+c AS (SELECT q.*, whole + CASE WHEN p.rid IS NULL THEN 0 ELSE 1 END AS copies FROM q LEFT JOIN p USING (rid))
 SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken, copies FROM c
 """
 

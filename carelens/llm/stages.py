@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from carelens.llm.bpe import encode_documents
 from carelens.llm.bytecnn import identify_language
-from carelens.llm.common import written
+from carelens.llm.common import free_name, written
 from carelens.llm.mixing import mix_documents
 from carelens.llm.queries import remainder, tokenizer_file
 from carelens.llm.simhash import near_duplicates
@@ -45,14 +45,6 @@ def apart(rows: DataFrame, key: str, keys: DataFrame, words: int = BITMAP_WORDS)
     return marked.where(~hit).drop("__word", "__bits"), marked.where(hit).drop("__word", "__bits")
 
 
-def free_name(taken: list[str], name: str) -> str:
-    """``name``, with underscores until no column has it (in any case)."""
-    lower = {c.lower() for c in taken}
-    while name.lower() in lower:
-        name += "_"
-    return name
-
-
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each SimHash component: the one with the smallest id, and one row of
     those that repeat its id (an id whose rows fall in several components stays if it is the smallest
