@@ -144,18 +144,23 @@ class Net:
 
 
 def _sample(rows: DataFrame, per_class: int) -> tuple[DataFrame, dict[str, int]]:
-    """The sizes of the classes, and up to ``per_class`` rows of each class, by hash order; rows: id, class and others.
-
-    The classes are the network's last layer, so their table is small enough for the driver. A
-    cut by hash keeps about twice what is wanted before any class is put in order."""
-    counts = {r["class"]: r["n"] for r in rows.groupBy("class").agg(F.count("*").alias("n")).collect()}
+    """The sizes of the classes, and up to ``per_class`` rows of each class, in the order of a hash of
+    all their columns; rows that repeat another in all columns teach once. rows: id, class and others.
+
+    The classes are the network's last layer, so their table is small enough for the driver. A cut
+    by hash keeps about twice what is wanted before any class is put in order; it is set by the
+    number of different rows, so a class whose rows repeat is not cut away."""
+    others = [c for c in rows.columns if c != "class"]
+    rows = rows.withColumn("order", F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in others], F.lit(11)))
+    sizes = rows.groupBy("class").agg(F.count("*").alias("n"), F.approx_count_distinct("order", 0.02).alias("d")).collect()
+    counts = {r["class"]: r["n"] for r in sizes}
     if not counts:
-        return rows.withColumn("order", F.lit(0).cast("long")).limit(0), counts
-    part = {c: min(1.0, (2 * per_class + 100) / n) for c, n in counts.items()}
+        return rows.limit(0), counts
+    part = {r["class"]: min(1.0, (2 * per_class + 100) / r["d"]) for r in sizes}
     wanted = F.map_from_arrays(F.array(*map(F.lit, part)), F.array(*map(F.lit, part.values())))
-    rows = rows.withColumn("order", F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(11)))
     rows = rows.where(F.pmod(F.col("order"), F.lit(1 << 20)) / float(1 << 20) <= wanted[F.col("class")])
-    nth = F.row_number().over(Window.partitionBy("class").orderBy("order", "id"))
+    rows = rows.groupBy("class", "order").agg(F.min(F.struct(*others)).alias("row")).select("class", "order", "row.*")
+    nth = F.row_number().over(Window.partitionBy("class").orderBy("order"))
     return rows.withColumn("nth", nth).where(F.col("nth") <= per_class).drop("nth"), counts
 
 
