@@ -94,6 +94,35 @@ def test_mix_equals_its_sql(spark, docs, tmp_path):
     assert got == want and len(got) > 60
 
 
+@pytest.mark.parametrize("shared", [7, None])
+def test_rows_that_share_an_id_are_taken_one_by_one(spark, shared):
+    rows = [(shared, f"w{i % 5} " * 10, None, "a", 1) for i in range(60)] + [(100 + i, "x " * 10, None, "b", 1) for i in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    got = mix_plan(df).select("source", "text", "mix.*").collect()
+    for s in "ab":
+        taken = sum(r.taken for r in got if r.source == s)
+        assert abs(taken - next(r.target for r in got if r.source == s)) <= 5
+    again = mix_documents(df.repartition(7)).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, mix_documents(df.coalesce(1)).collect()))
+    assert len(got) == 100 and len({r.copies for r in got if r.source == "a"}) == 2
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_mix_of_repeated_rows_equals_its_sql(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    rows = [(rng.choice([None, 1, 2, 3]), "w " * rng.choice([0, 1, 3, 3, 8]), None, rng.choice(["a", "a", "b", None]), 1) for _ in range(rng.choice([30, 200]))]
+    rows += [(5, "long " * 300, None, "b", 1), (6, None, None, "c", None)]
+    got, want = compare_with_sql(spark, "op2_mix", {"documents": spark.createDataFrame(rows, SCHEMA)}, tmp_path)
+    assert got == want
+
+
+def test_columns_with_the_plans_names_stay(docs):
+    named = docs.selectExpr("*", "'own' mix", "'own' __m", "'own' __p", "'own' Mix_")
+    plan = mix_plan(named)
+    assert plan.columns == [*named.columns, "mix__"] and plan.where("mix = 'own' and __m = 'own' and mix__.copies >= 0").count() == docs.count()
+    assert mix_documents(named).columns == named.columns
+
+
 # --- search --------------------------------------------------------------------------------
 
 
@@ -153,6 +182,33 @@ def test_tree_skips_most_of_a_clustered_shard():
     assert len(seen) < len(tree.lo) / 2
 
 
+def test_queries_skip_the_cells_they_cannot_use(spark, monkeypatch):
+    """Clusters that lie apart: a query is sent to few shards beyond its own, and the result is that
+    of all pairs."""
+    import carelens.llm.kdtree as kd
+
+    monkeypatch.setattr(kd, "SHARD", 25)
+    rng = np.random.default_rng(6)
+    corners = np.array([[3 - 6 * (i >> a & 1) for a in range(3)] for i in range(8)], float)
+    rows = [(i, (corners[i % 8] + rng.normal(0, 0.05, 3)).tolist()) for i in range(1600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found, sent = kd.plan(df, F.col("vec_id") % 50 == 0)
+    assert sorted(map(tuple, found.collect())) == plain_top(rows)
+    queries, shards = 32, 1600 / 25
+    assert sent.count() < 0.2 * queries * shards
+
+
+def test_cells_follow_their_cuts():
+    from carelens.llm.kdtree import Cells
+
+    rng = np.random.default_rng(3)
+    sample = rng.integers(-50, 50, (400, 3))
+    cells = Cells(sample, 13, 4)
+    number = cells.of(sample)
+    assert cells.stop == 17 and set(number) == set(range(4, 17)) and np.bincount(number)[4:].min() > 8
+    assert Cells(np.zeros((50, 3), np.int64), 8, 0).stop == 1 and Cells(np.zeros((50, 0), np.int64), 8, 0).stop == 1
+
+
 def test_search_equals_its_sql(spark, tmp_path):
     rows = [r for r in vectors() if r[0] is not None and r[0] < 1000]
     df = spark.createDataFrame(list({r[0]: r for r in rows}.values()), "vec_id long, embedding array<float>")
