@@ -18,9 +18,10 @@ from carelens.operators import scoring as sc
 from carelens.operators import split as split_ops
 from carelens.operators.prefix import with_row_number
 from carelens.plans import base
-from carelens.plans.catalog import register
+from carelens.plans.catalog import SQL, register
 from carelens.plans.oracle import ENC, FEAT, SPLIT, with_ctes
 from carelens.schemas import CATEGORICAL_COLUMNS, MODEL_FEATURE_COLUMNS, REQUEST_COLUMNS
+from carelens.session import cut_lineage, scratch_path
 from carelens.streaming import rate_limit as rl
 
 
@@ -127,6 +128,23 @@ def model_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return md.halving_search(train, val, trials=9, eta=3, rungs=3, space=_SEARCH, algorithm="logreg").trials
 
 
+@register("registry_versions", "SELECT 'readmission risk' AS model_name, v AS version, e.roc_auc, e.n_rows FROM (" + SQL["evaluation"]
+          + ") e CROSS JOIN (SELECT CAST(unnest(range(1, 9)) AS INTEGER) AS v) t")
+def registry_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: eight registrations at once get eight versions; the registry with the metrics in it."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = scratch_path(spark, "registrations")
+    train, _, _ = _splits(spark, sf_dir)
+    model = md.train_model(train, None, md.TrainSpec("logreg", {"maxIter": 1}))
+    metrics = cut_lineage(ev.evaluate(base.scored(spark, sf_dir)), "metrics")
+    passed = spark.createDataFrame([], "check string, value double, reason string")
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        list(pool.map(lambda _: sc.register(spark, model, f"{root}/models", f"{root}/registry", "readmission risk", metrics, passed), range(8)))
+    row = F.from_json("metrics", "roc_auc double, n_rows bigint")
+    return sc.read_registry(spark, f"{root}/registry").select("model_name", "version", row["roc_auc"].alias("roc_auc"), row["n_rows"].alias("n_rows"))
+
+
 def _score_equations_sql() -> str:
     numeric = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST(NULL AS VARCHAR) AS level" for c in ["(intercept)", *md.NUMERIC_FEATURES])
     levels = " UNION ALL ".join(
