@@ -268,7 +268,8 @@ def clean_utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """``text_buffer`` with bytes that are not UTF-8 replaced by U+FFFD."""
     buf, offs = text_buffer(column)
     try:
-        buf.tobytes().decode("utf-8")
+        for i, j in runs(offs):  # decoded by pieces: a character may take four bytes in memory
+            buf[offs[i] : offs[j]].tobytes().decode("utf-8")
     except UnicodeDecodeError:
         texts = [buf[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(offs[:-1], offs[1:], strict=True)]
         return text_buffer(pa.array(texts))

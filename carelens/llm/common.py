@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from carelens.session import checkpoint_dir
 
 def _give_back_memory() -> None:
+    _POWERS.clear()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
         ctypes.CDLL("libc.so.6").malloc_trim(0)
