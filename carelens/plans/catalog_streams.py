@@ -207,5 +207,5 @@ def stream_rate_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.floor((F.unix_micros("arrived") - F.lit(lo or 0)) / F.lit(step))
     deliveries = [log.where(number == k).drop("arrived") for k in range(4)]
     closing = spark.createDataFrame([("closing", "closing", dt.datetime(2200, 1, 1))], deliveries[0].schema)
-    out = jobs.drain_deliveries([*deliveries, closing], lambda s: rate_limit_stream(s, limit=2, watermark="6 minutes"), "stream-rate-limit")
+    out = jobs.drain_deliveries([*deliveries, closing], lambda s: rate_limit_stream(s, limit=2, watermark="6 minutes"), "stream-rate-limit", keyed_state=True)
     return _ntz(out, "timestamp")

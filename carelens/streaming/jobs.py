@@ -8,6 +8,8 @@ source casts TIMESTAMP_NTZ); late rows beyond the watermark are dropped.
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +18,7 @@ from carelens.operators import quality
 from carelens.operators import sketch as sk
 from carelens.operators import telemetry as tm
 from carelens.schemas import RAW_ENCOUNTER_SCHEMA
-from carelens.session import scratch_path
+from carelens.session import rocksdb_state, scratch_path
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -44,18 +46,20 @@ def encounters_stream(spark: SparkSession, path: str, files_per_trigger: int = 1
     return landing_stream(spark, path, RAW_ENCOUNTER_SCHEMA, files_per_trigger)
 
 
-def run_available(stream: DataFrame, mode: str, path: str) -> list[int]:
+def run_available(stream: DataFrame, mode: str, path: str, keyed_state: bool = False) -> list[int]:
     """Runs a stream over all files that are there now, from the checkpoint in ``path``, and returns
     the micro-batches that ran. Each writes a folder of its own (``out/epoch=<id>``), overwriting it
-    when replayed, so a replay adds no row twice."""
+    when replayed, so a replay adds no row twice. ``keyed_state``: the stream has a stateful processor,
+    whose state variables and timers need the RocksDB store whatever the session's default is."""
     epochs = []
 
     def write(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/out/epoch={epoch}")
         epochs.append(epoch)
 
-    q = (stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint")
-         .trigger(availableNow=True).start())
+    with rocksdb_state(stream.sparkSession) if keyed_state else nullcontext():
+        q = (stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint")
+             .trigger(availableNow=True).start())
     q.awaitTermination()
     return sorted(set(epochs))
 
@@ -78,16 +82,17 @@ def drain(stream: DataFrame, mode: str, name: str, source: DataFrame | None = No
     return _written(stream, path, epochs[-1:] if mode == "complete" else epochs)
 
 
-def drain_deliveries(deliveries: list[DataFrame], job, name: str) -> DataFrame:
+def drain_deliveries(deliveries: list[DataFrame], job, name: str, keyed_state: bool = False) -> DataFrame:
     """The deliveries (tables of one schema) land one after the other in a folder; after each, the
     append-mode stream ``job(landed)`` is started again on its checkpoint, reads what is new and
-    stops. Returns all it has written, as a job that is scheduled daily would have."""
+    stops. Returns all it has written, as a job that is scheduled daily would have. ``keyed_state`` as
+    in ``run_available``."""
     spark = deliveries[0].sparkSession
     path, epochs, stream = scratch_path(spark, name), [], None
     for table in deliveries:
         table.write.mode("append").parquet(f"{path}/landing")
         stream = job(landing_stream(spark, f"{path}/landing", table.schema, 1 << 30))
-        epochs += run_available(stream, "append", path)
+        epochs += run_available(stream, "append", path, keyed_state)
     return _written(stream, path, sorted(set(epochs)))
 
 

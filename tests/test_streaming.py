@@ -46,6 +46,22 @@ def _frame(spark, rows):
         .withColumn("timestamp", F.col("ts").cast("timestamp"))
 
 
+def test_rate_limit_deliveries_run_whatever_the_session_state_store_is(spark):
+    from carelens.session import ROCKSDB_STATE, STATE_STORE
+    rows = _frame(spark, _bursty()[:200]).select("client", "request_id", "timestamp")
+    own = spark.conf.get(STATE_STORE)
+    other = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"  # Spark's default
+    spark.conf.set(STATE_STORE, other)
+    try:
+        closing = spark.createDataFrame([("closing", "closing", dt.datetime(2200, 1, 1))], rows.schema)
+        out = jobs.drain_deliveries([rows, closing], lambda s: rl.rate_limit_stream(s, limit=20), "test-limit", keyed_state=True)
+        assert out.where("client <> 'closing'").count() == 200
+        assert spark.conf.get(STATE_STORE) == other
+    finally:
+        spark.conf.set(STATE_STORE, own)
+    assert own == ROCKSDB_STATE
+
+
 def test_rate_limit_batch_matches_definition(spark):
     rows = _bursty()
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")  # hot client spans many chunks
