@@ -247,3 +247,15 @@ def test_concurrent_registrations_get_versions_of_their_own(spark, data, tmp_pat
     assert sorted(r.version for r in rows) == list(range(1, 9)) and {r.git_sha for r in rows} == {f"c{i}" for i in range(8)}
     assert all((tmp_path / "models" / "risk/model a" / f"v{r.version}").is_dir() for r in rows)
     assert sc.claim_version(spark, registry, "risk/model a") == 9 and sc.claim_version(spark, registry, "other") == 1
+
+
+def test_one_of_several_writers_creates_a_file(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from carelens.session import create_if_absent
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        for i in range(60):
+            won = list(pool.map(lambda _, i=i: create_if_absent(spark, str(tmp_path / f"a b/v{i}")), range(8)))
+            assert sum(won) == 1 and (tmp_path / f"a b/v{i}").is_file()
+    assert not create_if_absent(spark, f"file://{tmp_path}/a b/v0")
