@@ -51,7 +51,9 @@ GRAM = 16
 RANGE_KEYS = 1_500_000
 BUCKET_BYTES = 12 << 20
 #: Suffixes that a bucket sorts at a time.
-SORTED = 4_000_000
+SORTED = 1_000_000
+#: Windows that are turned into spans at a time.
+SPANNED = 1_000_000
 #: Runs of one anchor, over all blocks, above which its windows are dealt one by one.
 HOT_RUNS = 50_000
 #: Hot runs that a block packs at a time.
@@ -270,6 +272,14 @@ def unpack_runs(messages, depth: int):
 
 def repeated_spans(first, size, ids, window_first, window_min, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(run, start, length): the bytes of each run's windows that a smaller id holds."""
+    parts = []
+    for i, j in runs(np.append(0, np.cumsum(size)), SPANNED):
+        where, start, length = _repeated_spans(first[i:j], size[i:j], ids[i:j], window_first[i:j], window_min, depth)
+        parts.append((where + i, start, length))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 3
+
+
+def _repeated_spans(first, size, ids, window_first, window_min, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     flag = window_min[_spread(window_first, size)] < np.repeat(ids, size)
     where = np.repeat(np.arange(len(first)), size)[flag]
     byte = _spread(first, size)[flag]
@@ -459,8 +469,11 @@ def sort_windows(buf: np.ndarray, at: np.ndarray, least: np.ndarray, depth: int)
     are dealt into rounds by the first digit, which bounds what is sorted at a time."""
     digits = np.ndarray((max(0, len(buf) - 7),), ">u8", buf.tobytes(), strides=(1,))
     rounds = -(-len(at) // SORTED)
-    lead = digits[at].astype(np.uint64)
-    deal = (mix(lead) % np.uint64(rounds)).astype(np.int64) if rounds > 1 else None
+    deal = None
+    if rounds > 1:
+        deal = np.empty(len(at), np.uint16)
+        for i in range(0, len(at), SORTED):
+            deal[i : i + SORTED] = mix(digits[at[i : i + SORTED]].astype(np.uint64)) % np.uint64(rounds)
     for r in range(max(1, rounds)):
         live = np.arange(len(at)) if deal is None else np.flatnonzero(deal == r)
         group = np.zeros(len(live), np.int64)
@@ -481,13 +494,13 @@ def sort_windows(buf: np.ndarray, at: np.ndarray, least: np.ndarray, depth: int)
 
 
 def covered_bytes(n: int, spans: list[bytes]) -> np.ndarray:
-    change = np.zeros(n + 1, np.int64)
+    change = np.zeros(n + 1, np.int32)
     for data in spans:
         start, length = unsqueeze(data)
         start = undelta(start).astype(np.int64)
         np.add.at(change, start, 1)
         np.add.at(change, start + length, -1)
-    return np.cumsum(change[:n]) > 0
+    return np.cumsum(change[:n], out=change[:n]) > 0
 
 
 def removed_spans(docs: DataFrame, depth: int, gram: int, columns: list[str], text: str, block_bytes: int) -> DataFrame:
@@ -521,9 +534,10 @@ def dedup_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", de
         begins[1:] &= ~gone[:-1]
         edge = offs[:-1][offs[:-1] < len(buf)]
         begins[edge] = gone[edge]
-        removed, spans = np.append(0, np.cumsum(gone)), np.append(0, np.cumsum(begins))
-        kept = [hashlib.sha256(buf[a:b][~gone[a:b]].tobytes()).hexdigest() for a, b in zip(offs[:-1], offs[1:], strict=True)]
-        out = pd.DataFrame({"n_bytes": np.diff(offs), "n_removed": np.diff(removed[offs]), "n_spans": np.diff(spans[offs]), "kept_sha256": kept})
+        docs = list(zip(offs[:-1], offs[1:], strict=True))
+        removed, spans = ([np.count_nonzero(x[a:b]) for a, b in docs] for x in (gone, begins))
+        kept = [hashlib.sha256(buf[a:b][~gone[a:b]].tobytes()).hexdigest() for a, b in docs]
+        out = pd.DataFrame({"n_bytes": np.diff(offs), "n_removed": np.array(removed, np.int64), "n_spans": np.array(spans, np.int64), "kept_sha256": kept})
         out.insert(0, "doc_id", pd.array(batch.column(0).to_pylist(), "Int64"))
         return out
 
@@ -541,9 +555,11 @@ def dedup_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def cut(group: pd.DataFrame) -> pd.DataFrame:
         batch, buf, offs = _texts(group.loc[group["part"] < 0, "payload"].iloc[0])
         gone = covered_bytes(len(buf), group.loc[group["part"] >= 0, "data"].tolist())
-        lead = np.flatnonzero((buf & 0xC0) != 0x80)
-        if len(lead):
-            gone = np.repeat(np.logical_and.reduceat(gone, lead), np.diff(np.append(lead, len(buf))))
+        for i, j in runs(offs, STEP):
+            piece = slice(offs[i], offs[j])
+            lead = np.flatnonzero((buf[piece] & 0xC0) != 0x80)
+            if len(lead):
+                gone[piece] = np.repeat(np.logical_and.reduceat(gone[piece], lead), np.diff(np.append(lead, piece.stop - piece.start)))
         texts = [buf[a:b][~gone[a:b]].tobytes().decode("utf-8", "replace") for a, b in zip(offs[:-1], offs[1:], strict=True)]
         null = batch.column(1).is_null().to_numpy(zero_copy_only=False)
         out = batch.to_pandas(types_mapper=lambda t: pd.ArrowDtype(t))

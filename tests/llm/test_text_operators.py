@@ -337,6 +337,31 @@ def test_dedup_in_rounds(docs, rows, monkeypatch):
     assert least.tolist() == [want[data[p : p + 20].tobytes()] for p in at]
 
 
+def test_dedup_tasks_work_piece_by_piece():
+    """A task's arrays are a few bytes per byte of text, not one or several numbers of eight bytes."""
+    import tracemalloc
+
+    import carelens.llm.suffixes as s
+
+    n = 4 << 20
+    spans = [s.squeeze(s.deltas(np.arange(0, n - 60, 100).astype(np.uint32)), np.full(len(range(0, n - 60, 100)), 60, np.uint32))]
+    digit = np.random.default_rng(1).integers(97, 123, n, dtype=np.uint8)
+    at, least = np.arange(n - 50), np.arange(n - 50)
+    peaks = []
+    tracemalloc.start()
+    try:
+        for work in (lambda: s.covered_bytes(n, spans), lambda: s.sort_windows(digit, at, least, 50)):
+            tracemalloc.reset_peak()
+            before = tracemalloc.get_traced_memory()[0]
+            out = work()
+            peaks.append((tracemalloc.get_traced_memory()[1] - before) / n)
+            if out is not None:
+                assert out.sum() == 60 * len(range(0, n - 60, 100))
+    finally:
+        tracemalloc.stop()
+    assert peaks[0] < 8 and peaks[1] < 40, peaks
+
+
 def test_deduplicated_texts_keep_whole_characters(docs, rows, empty):
     texts, gone = plain_dedup(rows)
     want = []
