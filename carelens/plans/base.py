@@ -19,7 +19,7 @@ from carelens.functions import features as fx
 from carelens.operators.clean import engineer_features, transform
 from carelens.operators.split import temporal_split
 from carelens.schemas import LABEL_COLUMN
-from carelens.session import file_stamp, scratch_path
+from carelens.session import file_stamp, scratch_path, small_tasks
 from carelens.sources.encounters import raw_encounters
 
 _CACHE: dict[tuple, str] = {}
@@ -44,10 +44,11 @@ def _curated(spark: SparkSession, sf_dir: str, name: str, build, partition_by: l
                 raise
             _CACHE.pop(key, None)  # the folder was cleared: build again
     path = scratch_path(spark, f"curated-{name}")
-    w = build().write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    with small_tasks(spark):
+        w = build().write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
     _CACHE[key] = path
     return spark.read.parquet(path)
 

@@ -73,3 +73,28 @@ def test_encounter_rows_are_shuffled_once(spark):
     shuffled = _exchanges(plan)
     assert shuffled and not [c for c in shuffled if "glucose_level" in c or "creatinine" in c]
     assert "Bucketed: true" in plan.toString()
+
+
+def test_lines_are_shuffled_once_for_their_distinct_count(spark):
+    from carelens.sources.encounters import line_aggregates
+
+    rows = [(1, 5, "R", 0.5), (1, 5, "N", 0.25), (1, 6, "R", None), (2, None, None, 0.0), (None, 7, "R", 1.0)]
+    lines = spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_returnflag string, l_discount double")
+    out = line_aggregates(lines)
+    got = {r.l_orderkey: tuple(r)[1:] for r in out.collect()}
+    assert got == {1: (3, 2, 0.75, 2), 2: (1, 0, 0.0, 0), None: (1, 1, 1.0, 1)}
+    assert out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") == 1
+
+
+def test_derived_tables_are_built_in_small_tasks(spark, tmp_path):
+    from carelens.plans import base
+    from carelens.session import ADVISORY, TASK_BYTES
+
+    for own, within in (("64m", str(TASK_BYTES)), ("1m", "1m")):
+        seen = []
+        spark.conf.set(ADVISORY, own)
+        try:
+            base._curated(spark, str(tmp_path / own), "test-tasks", lambda: seen.append(spark.conf.get(ADVISORY)) or spark.range(3)).count()  # noqa: B023
+            assert seen == [within] and spark.conf.get(ADVISORY) == own
+        finally:
+            spark.conf.unset(ADVISORY)
