@@ -26,6 +26,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -42,6 +43,8 @@ CHUNK = 32768
 OVERLAP = 256
 #: Characters that a boundary may depend on beyond itself (a contraction is three long).
 LOOK = 4
+#: Text bytes that are encoded at a time: the arrays for them take some hundred bytes per byte.
+ENCODE_BYTES = 1 << 19
 #: Pieces longer than this are merged with a heap, one by one.
 SHORT = 48
 LETTER, NUMBER, OTHER, BLANK, SPACE = range(5)
@@ -52,11 +55,13 @@ NONE = np.int64(1) << 40
 def classes() -> np.ndarray:
     """The class of every code point, as the regex library sees it."""
     out = np.full(0x110000, OTHER, np.uint8)
-    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-    text, at = "".join(map(chr, points)), np.array(points)
-    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
-        for m in regex.finditer(pattern, text):
-            out[at[m.start() : m.end()]] = kind
+    for begin in range(0, 0x110000, 2048):  # a block of characters in memory at a time
+        if 0xD800 <= begin < 0xE000:
+            continue
+        text = "".join(map(chr, range(begin, begin + 2048)))
+        for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+            for m in regex.finditer(pattern, text):
+                out[begin + m.start() : begin + m.end()] = kind
     out[32] = BLANK
     return out
 
@@ -108,18 +113,23 @@ class Ranks:
         size = max(self.tokens) + 1
         self.byte_ids = np.array([self.rank[bytes([b])] for b in range(256)], np.int64)
         get = self.rank.get
-        pairs = sorted(
-            ((a << 32) | b, r) for t, r in self.rank.items() for k in range(1, len(t))
-            if (a := get(t[:k])) is not None and (b := get(t[k:])) is not None
-        )
-        keys, self.merged = np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64)
+        pairs = array("q")  # (pair, what it merges into), flat
+        for t, r in self.rank.items():
+            for k in range(1, len(t)):
+                if (a := get(t[:k])) is not None and (b := get(t[k:])) is not None:
+                    pairs.extend(((a << 32) | b, r))
+        flat = np.array(pairs, np.int64).reshape(-1, 2)
+        flat = flat[np.lexsort((flat[:, 1], flat[:, 0]))]
+        keys, self.merged = flat[:, 0], flat[:, 1].copy()
         self.slots = 1 << (4 * len(keys) - 1).bit_length()
         self.table_key = np.full(self.slots + 64, -1, np.int64)
         self.table_value = np.full(self.slots + 64, NONE, np.int64)
-        for key, value, slot in zip(keys.tolist(), self.merged.tolist(), self._slot(keys).tolist(), strict=True):
-            while self.table_key[slot] != -1:
-                slot += 1
-            self.table_key[slot], self.table_value[slot] = key, value
+        for i in range(0, len(keys), 1 << 14):
+            here = keys[i : i + (1 << 14)]
+            for key, value, slot in zip(here.tolist(), self.merged[i : i + (1 << 14)].tolist(), self._slot(here).tolist(), strict=True):
+                while self.table_key[slot] != -1:
+                    slot += 1
+                self.table_key[slot], self.table_value[slot] = key, value
         self.lengths = np.zeros(size, np.int64)
         for r, t in self.tokens.items():
             self.lengths[r] = len(t)
@@ -290,7 +300,7 @@ def _short(data: bytes, with_ids: bool):
         ranks = ranks_of(data)
         for batch in batches:
             buf, offs = clean_utf8(batch.column(1))
-            for i, j in runs(offs):
+            for i, j in runs(offs, ENCODE_BYTES):
                 here = offs[i : j + 1] - offs[i]
                 _, first, ids, counts = split_and_encode(ranks, buf[offs[i] : offs[j]], here)
                 at = np.append(0, np.cumsum(counts))[first]
@@ -381,7 +391,7 @@ def encode_documents(
     @tidy
     def encode_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = ranks_of(rank_file)
-        for batch in batches:
+        for batch in (whole.slice(i, j - i) for whole in batches for i, j in runs(text_buffer(whole.column(4))[1], ENCODE_BYTES)):
             no, closes = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             found = [Chunk(ranks, n * chunk, p.as_buffer().to_pybytes(), c) for n, p, c in zip(no, batch.column(4), closes, strict=True)]
             as_bytes = [pa.array([x.astype(kind).tobytes() for x in data], pa.binary()) for data, kind in (([f.ids for f in found], "<u4"), ([f.at for f in found], "<u4"), ([f.bounds - f.begin for f in found], "<u4"))]
