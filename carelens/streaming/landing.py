@@ -12,7 +12,7 @@ is ended half-way and started again neither loses nor repeats a delivery.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +40,12 @@ def raw_rows(spark: SparkSession, raw: str, schema: T.StructType = RAW_ENCOUNTER
     return spark.read.schema(T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])).parquet(path).drop("epoch")
 
 
+def folder_of(path: Column) -> Column:
+    """The name of the folder that holds a file. Found from the end: it is evaluated for every row, and
+    a regular expression that looks for the last folder tries each place of the path in turn."""
+    return F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+
+
 def delivery_digests(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Per ``_delivery`` the number of rows and two digests that do not depend on their order."""
     h = F.xxhash64(*columns)
@@ -54,7 +60,7 @@ def ingest(spark: SparkSession, landing: str, raw: str) -> DataFrame:
     columns = RAW_ENCOUNTER_SCHEMA.fieldNames()
     # a delivery's files are in one micro-batch: it takes all files that are there
     stream = encounters_stream(spark, f"{landing}/*", files_per_trigger=1 << 30).select(
-        *columns, F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1).alias("_delivery"))
+        *columns, folder_of(F.col("_metadata.file_path")).alias("_delivery"))
     ran = []
 
     def write(batch: DataFrame, epoch: int) -> None:

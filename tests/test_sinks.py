@@ -1,6 +1,7 @@
 """Sinks, deliveries and request files."""
 
 import datetime as dt
+import time
 import json
 
 import pytest
@@ -54,6 +55,22 @@ def encounters(spark, day, n, start=0):
     return spark.createDataFrame(rows, RAW_ENCOUNTER_SCHEMA)
 
 
+def test_a_files_folder_is_found_without_searching_the_path(spark):
+    paths = ["file:///a/b%20c/part-0.parquet", "s3://bucket/x/y=1/z.parquet", "viewfs://store/in/2024-01-02-again/q"]
+    found = spark.createDataFrame([(p,) for p in paths], "p string").select(landing.folder_of(F.col("p")).alias("f"))
+    assert [r.f for r in found.collect()] == ["b%20c", "y=1", "2024-01-02-again"]
+    rows = spark.range(200_000).select(F.concat(F.lit("file:///" + "long-folder-name-of-a-scratch-table/" * 8), "id", F.lit("/part-00000.parquet")).alias("p"))
+
+    def seconds(column):
+        started = time.perf_counter()
+        rows.agg(F.max(F.length(column))).collect()
+        return time.perf_counter() - started
+
+    searched = F.regexp_extract("p", "([^/]+)/[^/]+$", 1)
+    assert rows.where(searched != landing.folder_of(F.col("p"))).count() == 0
+    assert min(seconds(landing.folder_of(F.col("p"))) for _ in range(3)) < seconds(searched) / 2
+
+
 def test_a_delivery_sent_again_adds_nothing(spark, tmp_path):
     land, raw = str(tmp_path / "landing"), str(tmp_path / "raw")
     one, two = encounters(spark, dt.date(2024, 1, 1), 30), encounters(spark, dt.date(2024, 1, 2), 20, 100)
