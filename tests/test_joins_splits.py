@@ -99,6 +99,31 @@ def test_asof_join_brute_force(spark):
         assert got[eid] == ((best[1], best[2]) if best else (None, None))
 
 
+def test_asof_join_sorts_the_right_side_in_small_tasks_and_narrow_rows(spark, monkeypatch):
+    from carelens.session import ADVISORY, TASK_BYTES
+
+    seen, cut = [], asof.cut_lineage
+    monkeypatch.setattr(asof, "cut_lineage", lambda df, name: seen.append((spark.conf.get(ADVISORY), df._jdf.queryExecution().optimizedPlan().toString())) or cut(df, name))
+    d = dt.date(2022, 1, 1)
+    left = spark.createDataFrame([("E1", "P", d), ("E2", None, d), ("E3", "P", None)], "e string, p string, day date")
+    stamp = dt.datetime
+    right = spark.createDataFrame(
+        [("P", d, stamp(2022, 1, 1, 9), 1, 5.0), ("P", d, stamp(2022, 1, 1, 10), 2, None), ("P", d, None, 9, 7.0), ("Q", d, None, None, 1.0)],
+        "p string, day date, at timestamp_ntz, n int, v double")
+    before = spark.conf.get(ADVISORY, None)
+
+    def got(values, tie_break, day="day"):
+        found = asof.asof_join(left, right, key="p", left_day="day", right_day=day, values=values, tie_break=tie_break)
+        return {r.e: tuple(r)[3:] for r in found.collect()}
+
+    assert got(["v"], ["at", "n", "v"]) == {"E1": (d, None), "E2": (None, None), "E3": (None, None)}
+    assert "max_by" not in seen[0][1] and seen[0][0] == str(TASK_BYTES)
+    assert got(["v"], ["at", "n"]) == {"E1": (d, None), "E2": (None, None), "E3": (None, None)}  # not in the order
+    assert got(["v", "n"], ["n", "v"])["E1"] == (d, 7.0, 9)
+    assert got(["n"], ["n"], "at")["E1"] == (d, 2)  # a time of day decides first
+    assert spark.conf.get(ADVISORY, None) == before
+
+
 def test_store_lookup_and_missing(spark, tmp_path):
     df = spark.createDataFrame([("E1", 50), ("E2", 60)], "encounter_id string, age int")
     df.write.parquet(str(tmp_path / "fs"))
