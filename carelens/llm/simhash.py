@@ -40,6 +40,8 @@ from carelens.llm.common import LOWER, runs, text_buffer, tidy, words, written
 
 #: Variants that a task holds at a time (they are sorted in memory), as a mean over prefixes.
 TASK_VARIANTS = 2_000_000
+#: Text bytes whose shingles are hashed at a time.
+STEP = 1 << 19
 #: Variants that a task writes out at a time, whatever its prefix holds.
 HELD_VARIANTS = 4_000_000
 #: Shingle hashes whose bits are counted at a time.
@@ -82,7 +84,7 @@ def fingerprint_table(docs: DataFrame, doc_id: str, text: str, shingle: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, offs = text_buffer(batch.column(1))
-            parts = [fingerprints(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i], shingle) for i, j in runs(offs)]
+            parts = [fingerprints(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i], shingle) for i, j in runs(offs, STEP)]
             fp = np.concatenate([*parts, np.zeros(0, np.uint64)]).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], ["doc_id", "fp"])
 

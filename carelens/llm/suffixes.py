@@ -58,8 +58,8 @@ SPANNED = 1_000_000
 HOT_RUNS = 50_000
 #: Hot runs that a block packs at a time.
 PACKED = 1 << 15
-#: Bytes that are hashed at a time.
-STEP = 1 << 20
+#: Bytes that are hashed at a time: the arrays for them take about a hundred bytes per byte.
+STEP = 1 << 18
 #: The id that stands for null: larger than all.
 NULL_ID = np.iinfo(np.int64).max
 
