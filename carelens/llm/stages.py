@@ -1,6 +1,7 @@
 """The stages of the corpus pipeline: each applies one operator to all that its predecessor kept.
 
-Every function takes (spark, docs, sf_dir); all but the last return the columns of documents.
+Every function takes (spark, docs, sf_dir); all but the last return the columns of documents. JVMs
+and Python workers live through all stages, so those with Python tasks bound the batches between them.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from carelens.llm.bpe import encode_documents
 from carelens.llm.bytecnn import identify_language
-from carelens.llm.common import free_name, written
+from carelens.llm.common import free_name, small_batches, written
 from carelens.llm.mixing import mix_documents
 from carelens.llm.queries import remainder, tokenizer_file
 from carelens.llm.simhash import near_duplicates
@@ -22,6 +23,7 @@ LEAST_SCORE = 0.5
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with a letter whose language the network tells with ``LEAST_SCORE``."""
+    small_batches(docs.sparkSession)
     columns = tuple(docs.columns)
     found = identify_language(docs, remainder(3) == 1, carry=columns)
     kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
@@ -52,6 +54,7 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     Most ids are kept and occur once. Only the others (to be dropped, or repeated) are looked up: a
     bitmap of them passes most rows on where they are, and the rest is joined exactly."""
+    small_batches(docs.sparkSession)
     columns = [F.col(f"`{c}`") for c in docs.columns]
     key = free_name(docs.columns, "__id")
     stand_in = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 2) + F.lit(1 << 62)
@@ -68,6 +71,7 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts repeated passages out of all texts; ``n_chars`` follows the text."""
+    small_batches(docs.sparkSession)
     cut = dedup_documents(docs)
     return cut.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes).get("n_chars", "bigint"))) if "n_chars" in docs.columns else cut
 
@@ -79,4 +83,5 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mix, with their digests."""
+    small_batches(docs.sparkSession)
     return encode_documents(docs, tokenizer_file("byte_bpe_50k.tiktoken"), with_ids=True)
