@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from carelens.functions import features as fx
 from carelens.schemas import LABEL_COLUMN
-from carelens.session import cut_lineage
+from carelens.session import cut_lineage, in_own_session
 
 # Engineered feature column order (without the optional columns).
 FEATURE_COLUMNS = [
@@ -67,13 +67,14 @@ def coerce_dates(df: DataFrame) -> DataFrame:
 def drop_null_label(df: DataFrame, observation: Observation | None = None) -> DataFrame:
     """Drop rows whose label is NULL (only when the label column exists).
 
-    The dropped count is reported through ``observation`` (no second job).
+    The dropped count is reported through ``observation`` (no second job); the result then belongs to
+    a session of its own (``in_own_session``).
     """
     if LABEL_COLUMN not in df.columns:
         return df
     if observation is not None:
-        df = df.observe(observation, F.count_if(F.col(LABEL_COLUMN).isNull()).alias("dropped_rows"),
-                        F.count(F.lit(1)).alias("rows_in"))
+        df = in_own_session(df).observe(observation, F.count_if(F.col(LABEL_COLUMN).isNull()).alias("dropped_rows"),
+                                        F.count(F.lit(1)).alias("rows_in"))
     return df.where(F.col(LABEL_COLUMN).isNotNull())
 
 

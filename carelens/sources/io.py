@@ -7,7 +7,6 @@ here touches the local disk directly.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelens.schemas import REQUEST_SCHEMA
+from carelens.session import in_own_session
 
 FORMATS = {".csv": "csv", ".parquet": "parquet", ".json": "json"}
 
@@ -37,24 +37,11 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    """Runs ``write`` and returns how many rows it wrote, as the write itself observed them.
-
-    The observed write runs in a session of its own (the rows come through a global temporary view):
-    in this Spark version a session that has observed a query can no longer serialise plans with a
-    freshly fitted model."""
-    spark = df.sparkSession
-    view = f"carelens_write_{uuid.uuid4().hex}"
-    df.createGlobalTempView(view)
-    try:
-        own = spark.newSession()
-        for r in spark.sql("SET").collect():  # this session's settings, a few dozen
-            if r["key"].startswith("spark.sql.") and own.conf.isModifiable(r["key"]):
-                own.conf.set(r["key"], r["value"])
-        seen = Observation()
-        write(own.table(f"global_temp.{view}").observe(seen, F.count(F.lit(1)).alias("rows")))
-        return int(seen.get["rows"])
-    finally:
-        spark.catalog.dropGlobalTempView(view)
+    """Runs ``write`` and returns how many rows it wrote, as the write itself observed them (in a
+    session of its own, see ``in_own_session``)."""
+    seen = Observation()
+    write(in_own_session(df).observe(seen, F.count(F.lit(1)).alias("rows")))
+    return int(seen.get["rows"])
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,

@@ -36,6 +36,20 @@ def test_null_label_observation(spark):
     assert n == 1 and obs.get["dropped_rows"] == 1
 
 
+def test_an_observed_cleaning_leaves_the_session_to_models(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import Observation
+
+    obs = Observation()
+    rows = clean.transform(_raw(spark), obs)
+    assert sorted(r["encounter_id"] for r in rows.collect()) == sorted(r["encounter_id"] for r in clean.transform(_raw(spark)).collect())
+    assert obs.get == {"dropped_rows": 0, "rows_in": 2}
+    x = VectorAssembler(inputCols=["id"], outputCol="features").transform(spark.range(50).selectExpr("id", "cast(id % 2 as double) label"))
+    assert LogisticRegression(maxIter=2).fit(x).transform(x).select("probability").first() is not None
+    assert not [t for t in spark.catalog.listTables("global_temp") if t.name.startswith("carelens_own_")]
+
+
 def _suite_result(df):
     return {(r["expectation"], r["column"]): r for r in quality.run_expectations(df).collect()}
 
